@@ -76,3 +76,41 @@ def filing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                    F.when(F.col("l_discount") == 0, F.lit("n/a"))
                    .otherwise(F.col("l_extendedprice").cast("string")).alias("value")))
     return period.unionByName(model).unionByName(amounts)
+
+
+AS_OF = "2024-06-30 12:00:00"
+
+
+def as_of() -> F.Column:
+    """Fixed run time so results are repeatable."""
+    return F.to_timestamp(F.lit(AS_OF))
+
+
+def download_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """download_state: one row per customer; refs = its orders; status
+    'done' when the account balance is not negative, else 'pending'."""
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    refs = (table(spark, sf_dir, "orders")
+            .groupBy("o_custkey")
+            .agg(F.array_sort(F.collect_list(F.col("o_orderkey").cast("string"))).alias("filings_done")))
+    empty = F.array().cast("array<string>")
+    return (cust.join(refs, F.col("o_custkey") == F.col("c_custkey"), "left")
+            .select(number_of(F.col("c_custkey")).alias("_id"),
+                    F.when(F.col("c_acctbal") >= 0, F.lit("done")).otherwise(F.lit("pending")).alias("status"),
+                    F.size(F.coalesce("filings_done", empty)).alias("filings_count"),
+                    F.coalesce("filings_done", empty).alias("filings_done"),
+                    empty.alias("filings_migrated")))
+
+
+def gold_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """gold_state: customers outside the BUILDING segment were processed
+    before; open orders ('O') are the filings not processed yet."""
+    cust = table(spark, sf_dir, "customer").filter(F.col("c_mktsegment") != "BUILDING").select("c_custkey")
+    refs = (table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") != "O")
+            .groupBy("o_custkey")
+            .agg(F.array_sort(F.collect_list(F.col("o_orderkey").cast("string"))).alias("processed_filings")))
+    empty = F.array().cast("array<string>")
+    return (cust.join(refs, F.col("o_custkey") == F.col("c_custkey"), "left")
+            .select(number_of(F.col("c_custkey")).alias("_id"),
+                    F.coalesce("processed_filings", empty).alias("processed_filings"),
+                    F.to_timestamp(F.lit("2024-01-01 00:00:00")).alias("last_processed")))
