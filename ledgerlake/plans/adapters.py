@@ -114,3 +114,98 @@ def gold_state(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(number_of(F.col("c_custkey")).alias("_id"),
                     F.coalesce("processed_filings", empty).alias("processed_filings"),
                     F.to_timestamp(F.lit("2024-01-01 00:00:00")).alias("last_processed")))
+
+
+NACE_VERSIONS_OF_ORDERS = ("2003", "2008", "2025", "1999")
+
+
+def _s(c) -> F.Column:
+    return c.cast("string")
+
+
+def register_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Bronze register tables (all strings + ``_seq``) from the test tables.
+
+    * enterprise = customer: Status 'AC' when the balance is not negative,
+      else the nation key; kind '2' except the AUTOMOBILE segment; legal form
+      = segment, null for HOUSEHOLD; StartDate = first order date dd-MM-yyyy.
+    * activity = orders: code = priority, class = status, version by key.
+    * address = orders: REGO for finished orders, else BAET.
+    * denomination = orders: type 1/2/3 by priority.
+    * branch = open orders (ISO dates), establishment = pending orders
+      (dd-MM-yyyy), contact = low-priority orders.
+    * code = nation (Status), segments (JuridicalForm) and priorities (Nace*).
+    """
+    cust = table(spark, sf_dir, "customer")
+    orders = table(spark, sf_dir, "orders")
+    nation = table(spark, sf_dir, "nation")
+    first_order = orders.groupBy("o_custkey").agg(F.min("o_orderdate").alias("first_date"))
+    enterprise = (cust.join(first_order, F.col("o_custkey") == F.col("c_custkey"), "left")
+                  .select(number_of(F.col("c_custkey")).alias("EnterpriseNumber"),
+                          F.when(F.col("c_acctbal") >= 0, F.lit("AC"))
+                          .otherwise(_s(F.col("c_nationkey"))).alias("Status"),
+                          F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit("1")).otherwise(F.lit("2"))
+                          .alias("TypeOfEnterprise"),
+                          F.when(F.col("c_mktsegment") != "HOUSEHOLD", F.col("c_mktsegment"))
+                          .alias("JuridicalForm"),
+                          F.date_format("first_date", "dd-MM-yyyy").alias("StartDate"),
+                          F.col("c_custkey").alias("_seq")))
+    o = orders.select("*", number_of(F.col("o_custkey")).alias("_num"), F.col("o_orderkey").alias("_seq"))
+    versions = F.array(*[F.lit(v) for v in NACE_VERSIONS_OF_ORDERS])
+    activity = o.select(F.col("_num").alias("EntityNumber"),
+                        F.element_at(versions, (F.pmod("o_orderkey", F.lit(4)) + 1).cast("int")).alias("NaceVersion"),
+                        F.col("o_orderpriority").alias("NaceCode"),
+                        F.col("o_orderstatus").alias("Classification"), "_seq")
+    address = o.select(F.col("_num").alias("EntityNumber"),
+                       F.when(F.col("o_orderstatus") == "F", F.lit("REGO")).otherwise(F.lit("BAET"))
+                       .alias("TypeOfAddress"),
+                       F.date_format("o_orderdate", "MMdd").alias("Zipcode"),
+                       F.when(F.col("o_orderpriority") != "1-URGENT", F.lower(F.substring("o_orderpriority", 3, 20)))
+                       .alias("MunicipalityFR"),
+                       F.upper(F.col("o_orderpriority")).alias("MunicipalityNL"),
+                       F.when(F.col("o_orderpriority") != "2-HIGH", F.concat(F.lit("Rue "), _s(F.col("o_orderkey"))))
+                       .alias("StreetFR"),
+                       F.concat(F.lit("Straat "), _s(F.col("o_orderkey"))).alias("StreetNL"),
+                       _s(F.dayofmonth("o_orderdate")).alias("HouseNumber"), "_seq")
+    denomination = o.select(F.col("_num").alias("EntityNumber"),
+                            F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("1"))
+                            .when(F.col("o_orderpriority") == "2-HIGH", F.lit("2")).otherwise(F.lit("3"))
+                            .alias("TypeOfDenomination"),
+                            F.concat(F.lit("Name "), _s(F.col("o_orderkey"))).alias("Denomination"), "_seq")
+    branch = o.filter(F.col("o_orderstatus") == "O").select(
+        F.col("_num").alias("EnterpriseNumber"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("StartDate"),
+        "_seq")
+    establishment = o.filter(F.col("o_orderstatus") == "P").select(
+        F.col("_num").alias("EnterpriseNumber"), F.date_format("o_orderdate", "dd-MM-yyyy").alias("StartDate"),
+        "_seq")
+    contact = o.filter(F.col("o_orderpriority") == "5-LOW").select(
+        F.col("_num").alias("EntityNumber"), F.lit("EMAIL").alias("ContactType"),
+        F.concat(F.lit("c"), _s(F.col("o_orderkey")), F.lit("@example.org")).alias("Value"), "_seq")
+    # code table: nation names as Status labels (region 4 only in NL), a
+    # second, later FR label for region-0 nations (last wins), segments as
+    # legal forms (HOUSEHOLD has none), priorities as NACE labels.
+    st = nation.select(F.lit("Status").alias("Category"), _s(F.col("n_nationkey")).alias("Code"),
+                       F.when(F.col("n_regionkey") == 4, F.lit("NL")).otherwise(F.lit("FR")).alias("Language"),
+                       F.col("n_name").alias("Description"), F.col("n_nationkey").cast("long").alias("_seq"))
+    st2 = nation.filter(F.col("n_regionkey") == 0).select(
+        F.lit("Status").alias("Category"), _s(F.col("n_nationkey")).alias("Code"), F.lit("FR").alias("Language"),
+        F.lower("n_name").alias("Description"), (F.col("n_nationkey") + 1000).cast("long").alias("_seq"))
+    seg = cust.select("c_mktsegment").distinct().filter(F.col("c_mktsegment") != "HOUSEHOLD").select(
+        F.lit("JuridicalForm").alias("Category"), F.col("c_mktsegment").alias("Code"), F.lit("FR").alias("Language"),
+        F.lower("c_mktsegment").alias("Description"), F.lit(2000).cast("long").alias("_seq"))
+    pri = orders.select("o_orderpriority").distinct()
+    n = F.substring("o_orderpriority", 1, 1)
+    nace = pri.select(
+        F.explode(F.array(
+            F.struct(F.lit("Nace2008").alias("Category"), F.when(n.isin("1", "3", "5"), F.lower("o_orderpriority"))
+                     .alias("Description")),
+            F.struct(F.lit("Nace2003").alias("Category"), F.when(n.isin("1", "2"), F.upper("o_orderpriority"))
+                     .alias("Description")),
+            F.struct(F.lit("Nace2025").alias("Category"), F.when(n.isin("2", "4"), F.concat(F.lit("n25 "), F.col("o_orderpriority")))
+                     .alias("Description")))).alias("e"), "o_orderpriority"
+    ).filter(F.col("e.Description").isNotNull()).select(
+        F.col("e.Category").alias("Category"), F.col("o_orderpriority").alias("Code"), F.lit("FR").alias("Language"),
+        F.col("e.Description").alias("Description"), F.lit(3000).cast("long").alias("_seq"))
+    code = st.unionByName(st2).unionByName(seg).unionByName(nace)
+    return {"enterprise": enterprise, "activity": activity, "address": address, "branch": branch,
+            "contact": contact, "denomination": denomination, "establishment": establishment, "code": code}

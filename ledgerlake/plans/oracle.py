@@ -91,3 +91,93 @@ facts AS (
   FROM base)"""
 
 FACTS_WITH = "WITH " + FILING_LINES_CTE + "," + WIDE_CTE + "," + FACTS_CTE
+
+
+def _num(col: str) -> str:
+    return number_sql(col)
+
+
+REGISTER_CTE = f"""
+enterprise AS (
+  SELECT {_num('c_custkey')} AS EnterpriseNumber,
+         CASE WHEN c_acctbal >= 0 THEN 'AC' ELSE CAST(c_nationkey AS VARCHAR) END AS Status,
+         CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN '1' ELSE '2' END AS TypeOfEnterprise,
+         CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN c_mktsegment END AS JuridicalForm,
+         strftime(fo.first_date, '%d-%m-%Y') AS StartDate, c_custkey AS _seq
+  FROM customer LEFT JOIN (SELECT o_custkey, min(o_orderdate) AS first_date FROM orders GROUP BY o_custkey) fo
+       ON fo.o_custkey = c_custkey),
+activity AS (
+  SELECT {_num('o_custkey')} AS EntityNumber, (['2003', '2008', '2025', '1999'])[1 + o_orderkey % 4] AS NaceVersion,
+         o_orderpriority AS NaceCode, o_orderstatus AS Classification, o_orderkey AS _seq FROM orders),
+address AS (
+  SELECT {_num('o_custkey')} AS EntityNumber,
+         CASE WHEN o_orderstatus = 'F' THEN 'REGO' ELSE 'BAET' END AS TypeOfAddress,
+         strftime(o_orderdate, '%m%d') AS Zipcode,
+         CASE WHEN o_orderpriority <> '1-URGENT' THEN lower(substr(o_orderpriority, 3, 20)) END AS MunicipalityFR,
+         upper(o_orderpriority) AS MunicipalityNL,
+         CASE WHEN o_orderpriority <> '2-HIGH' THEN 'Rue ' || CAST(o_orderkey AS VARCHAR) END AS StreetFR,
+         'Straat ' || CAST(o_orderkey AS VARCHAR) AS StreetNL,
+         CAST(day(o_orderdate) AS VARCHAR) AS HouseNumber, o_orderkey AS _seq FROM orders),
+denomination AS (
+  SELECT {_num('o_custkey')} AS EntityNumber,
+         CASE o_orderpriority WHEN '1-URGENT' THEN '1' WHEN '2-HIGH' THEN '2' ELSE '3' END AS TypeOfDenomination,
+         'Name ' || CAST(o_orderkey AS VARCHAR) AS Denomination, o_orderkey AS _seq FROM orders),
+branch AS (
+  SELECT {_num('o_custkey')} AS EnterpriseNumber, strftime(o_orderdate, '%Y-%m-%d') AS StartDate, o_orderkey AS _seq
+  FROM orders WHERE o_orderstatus = 'O'),
+establishment AS (
+  SELECT {_num('o_custkey')} AS EnterpriseNumber, strftime(o_orderdate, '%d-%m-%Y') AS StartDate, o_orderkey AS _seq
+  FROM orders WHERE o_orderstatus = 'P'),
+contact AS (
+  SELECT {_num('o_custkey')} AS EntityNumber, 'EMAIL' AS ContactType,
+         'c' || CAST(o_orderkey AS VARCHAR) || '@example.org' AS Value, o_orderkey AS _seq
+  FROM orders WHERE o_orderpriority = '5-LOW'),
+code AS (
+  SELECT 'Status' AS Category, CAST(n_nationkey AS VARCHAR) AS Code,
+         CASE WHEN n_regionkey = 4 THEN 'NL' ELSE 'FR' END AS Language, n_name AS Description,
+         CAST(n_nationkey AS BIGINT) AS _seq FROM nation
+  UNION ALL
+  SELECT 'Status', CAST(n_nationkey AS VARCHAR), 'FR', lower(n_name), CAST(n_nationkey + 1000 AS BIGINT)
+  FROM nation WHERE n_regionkey = 0
+  UNION ALL
+  SELECT DISTINCT 'JuridicalForm', c_mktsegment, 'FR', lower(c_mktsegment), CAST(2000 AS BIGINT)
+  FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'
+  UNION ALL
+  SELECT DISTINCT 'Nace2008', o_orderpriority, 'FR', lower(o_orderpriority), CAST(3000 AS BIGINT)
+  FROM orders WHERE substr(o_orderpriority, 1, 1) IN ('1', '3', '5')
+  UNION ALL
+  SELECT DISTINCT 'Nace2003', o_orderpriority, 'FR', upper(o_orderpriority), CAST(3000 AS BIGINT)
+  FROM orders WHERE substr(o_orderpriority, 1, 1) IN ('1', '2')
+  UNION ALL
+  SELECT DISTINCT 'Nace2025', o_orderpriority, 'FR', 'n25 ' || o_orderpriority, CAST(3000 AS BIGINT)
+  FROM orders WHERE substr(o_orderpriority, 1, 1) IN ('2', '4')),
+dict AS (
+  SELECT Category AS category, coalesce(trim(Code), 'None') AS code, arg_max(Description, _seq) AS label
+  FROM code WHERE Language = 'FR' AND Category IS NOT NULL AND Category <> '' AND coalesce(trim(Code), 'None') <> ''
+  GROUP BY ALL),
+nace AS (
+  SELECT code, max(label) FILTER (WHERE category = 'Nace2003') AS n2003,
+         max(label) FILTER (WHERE category = 'Nace2008') AS n2008,
+         max(label) FILTER (WHERE category = 'Nace2025') AS n2025
+  FROM dict WHERE category IN ('Nace2003', 'Nace2008', 'Nace2025') GROUP BY code),
+activity_l AS (
+  SELECT a.*, coalesce(nullif(CASE a.NaceVersion WHEN '2003' THEN n.n2003 WHEN '2025' THEN n.n2025 ELSE n.n2008 END, ''),
+                       nullif(n.n2008, ''), nullif(n.n2025, ''), nullif(n.n2003, ''), '') AS NaceLabel
+  FROM activity a LEFT JOIN nace n ON n.code = coalesce(trim(a.NaceCode), 'None')),
+activity_d AS (
+  SELECT * FROM activity_l
+  QUALIFY row_number() OVER (PARTITION BY EntityNumber, coalesce(trim(NaceCode), 'None'),
+                                          coalesce(trim(Classification), 'None') ORDER BY _seq) = 1),
+enterprise_l AS (
+  SELECT e.*,
+    CASE WHEN coalesce(trim(e.JuridicalForm), 'None') <> '' THEN coalesce(jf.label, '') END AS JuridicalFormLabel,
+    CASE WHEN coalesce(trim(e.Status), 'None') <> '' THEN coalesce(st.label, '') END AS StatusLabel
+  FROM enterprise e
+  LEFT JOIN dict jf ON jf.category = 'JuridicalForm' AND jf.code = coalesce(trim(e.JuridicalForm), 'None')
+  LEFT JOIN dict st ON st.category = 'Status' AND st.code = coalesce(trim(e.Status), 'None'))"""
+
+
+def flip_sql(c: str) -> str:
+    return (f"CASE WHEN {c} IS NOT NULL AND len(string_split({c}, '-')) = 3 "
+            f"THEN split_part({c}, '-', 3) || '-' || split_part({c}, '-', 2) || '-' || split_part({c}, '-', 1) "
+            f"ELSE {c} END")

@@ -24,3 +24,4 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import the modules that register queries."""
     from . import queries_gold  # noqa: F401
+    from . import queries_silver  # noqa: F401
