@@ -209,3 +209,49 @@ def register_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     code = st.unionByName(st2).unionByName(seg).unionByName(nace)
     return {"enterprise": enterprise, "activity": activity, "address": address, "branch": branch,
             "contact": contact, "denomination": denomination, "establishment": establishment, "code": code}
+
+
+def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unified companies (enterprise + nested activities) for target tests."""
+    from ..operators.silver import nest_children
+    t = register_tables(spark, sf_dir)
+    return nest_children(t["enterprise"], {"activities": (t["activity"], "EntityNumber")})
+
+
+def deposits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deposit listing rows from orders: one deposit per order.  Urgent
+    pending orders have an empty period end; finished orders are migrated;
+    pending ones carry no migration flag."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(
+        number_of(F.col("o_custkey")).alias("company"),
+        F.col("o_orderkey").cast("string").alias("reference"),
+        F.year("o_orderdate").alias("periodEndDateYear"),
+        F.concat(F.lit("d"), F.col("o_orderkey").cast("string")).alias("id"),
+        F.when(F.col("o_orderstatus") == "F", F.lit(True)).when(F.col("o_orderstatus") == "O", F.lit(False))
+        .alias("migration"),
+        F.when((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P"), F.lit(""))
+        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("periodEndDate"),
+        F.date_format(F.date_add("o_orderdate", F.pmod(F.col("o_orderkey"), F.lit(90)).cast("int")), "yyyy-MM-dd")
+        .alias("depositDate"))
+
+
+def deposit_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State for deposit tests: open urgent/high orders are done already,
+    finished low-priority ones are migrated already."""
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    o = table(spark, sf_dir, "orders")
+    ref = F.col("o_orderkey").cast("string")
+    lists = o.groupBy("o_custkey").agg(
+        F.array_sort(F.collect_list(F.when((F.col("o_orderstatus") == "O")
+                                           & F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), ref)))
+        .alias("filings_done"),
+        F.array_sort(F.collect_list(F.when((F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "5-LOW"),
+                                           ref))).alias("filings_migrated"))
+    empty = F.array().cast("array<string>")
+    return (cust.join(lists, F.col("o_custkey") == F.col("c_custkey"), "left")
+            .select(number_of(F.col("c_custkey")).alias("_id"),
+                    F.when(F.col("c_acctbal") >= 0, F.lit("done")).otherwise(F.lit("pending")).alias("status"),
+                    F.size(F.coalesce("filings_done", empty)).alias("filings_count"),
+                    F.coalesce("filings_done", empty).alias("filings_done"),
+                    F.coalesce("filings_migrated", empty).alias("filings_migrated")))

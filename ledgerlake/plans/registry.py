@@ -25,3 +25,4 @@ def load_all() -> None:
     """Import the modules that register queries."""
     from . import queries_gold  # noqa: F401
     from . import queries_silver  # noqa: F401
+    from . import queries_targets  # noqa: F401
