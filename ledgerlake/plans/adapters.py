@@ -255,3 +255,19 @@ def deposit_state(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.size(F.coalesce("filings_done", empty)).alias("filings_count"),
                     F.coalesce("filings_done", empty).alias("filings_done"),
                     F.coalesce("filings_migrated", empty).alias("filings_migrated")))
+
+
+def search_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Companies for search tests from ``part``: official name = p_name,
+    second name = type and brand, one MAIN activity coded by the type."""
+    p = table(spark, sf_dir, "part")
+    return p.select(
+        number_of(F.col("p_partkey")).alias("EnterpriseNumber"),
+        F.lit("Actif").alias("StatusLabel"), F.lower("p_type").alias("JuridicalFormLabel"),
+        F.array(F.struct(F.lit("1").alias("TypeOfDenomination"), F.col("p_name").alias("Denomination")),
+                F.struct(F.lit("2").alias("TypeOfDenomination"),
+                         F.concat_ws(" ", "p_type", "p_brand").alias("Denomination"))).alias("denominations"),
+        F.array(F.struct(F.col("p_size").cast("string").alias("Zipcode"),
+                         F.col("p_brand").alias("MunicipalityFR"))).alias("addresses"),
+        F.array(F.struct(F.col("p_type").alias("NaceCode"), F.lit("MAIN").alias("Classification"),
+                         F.lower("p_type").alias("NaceLabel"))).alias("activities"))
