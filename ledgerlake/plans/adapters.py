@@ -271,3 +271,69 @@ def search_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("p_brand").alias("MunicipalityFR"))).alias("addresses"),
         F.array(F.struct(F.col("p_type").alias("NaceCode"), F.lit("MAIN").alias("Classification"),
                          F.lower("p_type").alias("NaceLabel"))).alias("activities"))
+
+
+def progress_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Progress events from ``events``: view -> downloading, purchase ->
+    downloaded, error -> download_failed, click -> statutes_count, signup ->
+    done (error when value > 40).  document = user id, run = day,
+    seq = event id; props.k (JSON) names the deed."""
+    e = table(spark, sf_dir, "events")
+    t = F.col("event_type")
+    kind = (F.when(t == "view", F.lit("downloading")).when(t == "purchase", F.lit("downloaded"))
+            .when(t == "error", F.lit("download_failed")).when(t == "click", F.lit("statutes_count"))
+            .when((t == "signup") & (F.col("value") > 40), F.lit("error")).when(t == "signup", F.lit("done")))
+    k = F.from_json("props", "k int")["k"]
+    doc_kinds = t.isin("view", "purchase", "error")
+    uid = F.col("user_id").cast("string")
+    return e.select(
+        kind.alias("event"),
+        F.when(doc_kinds, uid).alias("documentId"),
+        F.when(doc_kinds, F.date_format("ts", "yyyy-MM-dd")).alias("deedDate"),
+        F.when(t == "view", F.concat(F.lit("deed k"), k.cast("string"))).alias("description"),
+        F.when(t == "purchase", F.concat(uid, F.lit("_"), F.date_format("ts", "yyyyMMdd"), F.lit("_"),
+                                         F.col("event_id").cast("string"), F.lit(".pdf"))).alias("filename"),
+        F.when(t == "purchase", F.round(F.col("value") * 1000).cast("long")).alias("sizeBytes"),
+        F.when(t == "click", F.col("user_id")).alias("count"),
+        F.when(kind == "done", F.floor("value").cast("long")).alias("total"),
+        F.when(kind == "done", k.cast("long")).alias("downloaded"),
+        F.when(kind == "error", F.concat(F.lit("failed "), uid)).alias("message"),
+        F.lit(None).cast("string").alias("enterprise"),
+        F.date_format("ts", "yyyy-MM-dd").alias("run"),
+        F.col("event_id").alias("seq"))
+
+
+def deeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deed listing rows from orders (low-priority deeds carry no date)."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(
+        key_of(F.col("o_custkey")).alias("company_key"),
+        F.concat(F.lit("doc"), F.col("o_orderkey").cast("string")).alias("documentId"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.date_format("o_orderdate", "yyyy-MM-dd")).alias("deedDate"),
+        F.col("o_orderpriority").alias("deedNatureDecoded"),
+        F.when(F.col("o_orderstatus").isin("F", "O"), F.lit("DONE")).otherwise(F.lit("PENDING")).alias("documentStatus"),
+        F.col("o_orderstatus").alias("_status"), F.col("o_totalprice").alias("_price"))
+
+
+def deed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files on disk: finished orders' deeds (filename, size)."""
+    from ..functions.expr import deed_filename
+    d = deeds(spark, sf_dir).filter(F.col("_status") == "F")
+    return d.select(deed_filename(F.col("company_key"), F.col("deedDate"), F.col("documentId")).alias("filename"),
+                    F.floor("_price").cast("long").alias("size"))
+
+
+def notaire_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deed state: done for non-negative balances; acts done = deeds of
+    urgent finished orders."""
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    o = table(spark, sf_dir, "orders")
+    acts = o.groupBy("o_custkey").agg(F.array_sort(F.collect_list(
+        F.when((F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT"),
+               F.concat(F.lit("doc"), F.col("o_orderkey").cast("string"))))).alias("acts_done"))
+    empty = F.array().cast("array<string>")
+    return (cust.join(acts, F.col("o_custkey") == F.col("c_custkey"), "left")
+            .select(number_of(F.col("c_custkey")).alias("_id"),
+                    F.when(F.col("c_acctbal") >= 0, F.lit("done")).otherwise(F.lit("pending")).alias("status"),
+                    F.size(F.coalesce("acts_done", empty)).alias("acts_count"),
+                    F.coalesce("acts_done", empty).alias("acts_done")))

@@ -28,3 +28,4 @@ def load_all() -> None:
     from . import queries_targets  # noqa: F401
     from . import queries_views  # noqa: F401
     from . import queries_search  # noqa: F401
+    from . import queries_deeds  # noqa: F401
