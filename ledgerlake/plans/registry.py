@@ -29,3 +29,4 @@ def load_all() -> None:
     from . import queries_views  # noqa: F401
     from . import queries_search  # noqa: F401
     from . import queries_deeds  # noqa: F401
+    from . import queries_files  # noqa: F401
