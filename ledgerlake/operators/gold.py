@@ -11,7 +11,8 @@ YEAR_FIELDS = ("year", "filing_ref", "ca", "marge_brute", "ebit", "resultat_net"
                "dettes_financieres", "fonds_propres", "capital_souscrit")
 RATIO_FIELDS = ("marge_brute", "marge_nette", "roe", "liquidite", "endettement")
 
-_EMPTY_REFS = F.array().cast("array<string>")
+def _empty_refs():
+    return F.array().cast("array<string>")
 
 
 def company_numbers(state: DataFrame, id_col: str = "_id") -> DataFrame:
@@ -75,7 +76,7 @@ def incremental_targets(download_state: DataFrame, gold_state: DataFrame) -> Dat
 def gold_state_updates(targets: DataFrame, as_of: Column) -> DataFrame:
     """New gold-state rows for every selected company (also those whose
     files gave no valid filing)."""
-    return targets.select("_id", F.coalesce("filings_done", _EMPTY_REFS).alias("processed_filings"),
+    return targets.select("_id", F.coalesce("filings_done", _empty_refs()).alias("processed_filings"),
                           as_of.cast("timestamp").alias("last_processed"))
 
 
