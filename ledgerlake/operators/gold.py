@@ -52,12 +52,19 @@ def company_accounts(facts: DataFrame, as_of: Column) -> DataFrame:
     smallest filing_ref), last_updated, years (ascending by year, then
     filing_ref; several filings of one year all stay).  ``facts`` must carry
     ``enterprise_number`` (see restore_company_number).
+
+    One collect aggregate per company; the latest layout is read from the
+    sorted array (first element of the greatest year), so no second
+    (sort-based) aggregate over string values is needed.
     """
-    latest = F.struct(-F.col("year"), F.col("filing_ref"))
-    return (facts.groupBy("enterprise_number")
-            .agg(F.min_by("schema_type", latest).alias("schema_type"),
-                 F.array_sort(F.collect_list(year_struct())).alias("years"))
-            .select("enterprise_number", "schema_type", as_of.cast("timestamp").alias("last_updated"), "years"))
+    ratios = F.struct(*[F.col(c).alias(c) for c in RATIO_FIELDS])
+    elem = F.struct(*[F.col(c) for c in YEAR_FIELDS], ratios.alias("ratios"), F.col("schema_type").alias("_st"))
+    agg = facts.groupBy("enterprise_number").agg(F.array_sort(F.collect_list(elem)).alias("_y"))
+    last_year = F.array_max(F.transform("_y", lambda y: y["year"]))
+    latest = F.try_element_at(F.filter("_y", lambda y: y["year"] == last_year), F.lit(1))
+    return agg.select("enterprise_number", latest["_st"].alias("schema_type"),
+                      as_of.cast("timestamp").alias("last_updated"),
+                      F.transform("_y", lambda y: y.dropFields("_st")).alias("years"))
 
 
 def incremental_targets(download_state: DataFrame, gold_state: DataFrame) -> DataFrame:

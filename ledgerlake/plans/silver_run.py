@@ -36,7 +36,10 @@ def build_silver(tables: dict[str, DataFrame], sector_codes=HOTEL_NACE_CODES) ->
     flat = {}
     for name, (tname, key) in CHILD_KEYS.items():
         flat[name] = (tables[tname], key)
-    act = S.with_activity_labels(S.dedup_activities(flat["activities"][0]), dictionary)
+    # clustered by company once: the dedup window (company, code, class) and
+    # the nesting aggregate (company) both reuse this partitioning
+    act_in = flat["activities"][0].repartition("EntityNumber")
+    act = S.with_activity_labels(S.dedup_activities(act_in), dictionary)
     flat["activities"] = (act, "EntityNumber")
     flat["addresses"] = (S.registered_address(flat["addresses"][0]), "EntityNumber")
     flat["branches"] = (S.flip_start_dates(flat["branches"][0]), "EnterpriseNumber")
