@@ -17,6 +17,7 @@ QUERY_BATCH = [
     (1, "red"), (2, "small ring"), (3, "Hot"), (4, "widg"), (5, "ld an"), (6, "x"), (7, "zz"),
     (8, "000000042"), (9, "0000.000.107"), (10, "00042"), (11, "r.d"), (12, "gear 12345"),
     (13, "  blue  "), (14, "ECONOMY"), (15, "Ge"), (16, "0000 000 1 99"), (17, "Brand#1"), (18, "o"),
+    (19, "000000001"), (20, "0000.000.011"), (21, "00 0000 0014"), (22, "BE 0000000003"), (23, "0000-000-022"),
 ]
 
 

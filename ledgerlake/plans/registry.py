@@ -30,3 +30,4 @@ def load_all() -> None:
     from . import queries_search  # noqa: F401
     from . import queries_deeds  # noqa: F401
     from . import queries_files  # noqa: F401
+    from . import queries_misc  # noqa: F401
