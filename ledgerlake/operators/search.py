@@ -136,6 +136,10 @@ def _grams(c: Column, n: int) -> Column:
                     lambda g: F.length(g) == n)
 
 
+def _tagged_grams(c: Column, n: int) -> Column:
+    return F.transform(_grams(c, n), lambda g: F.struct(F.lit(n).alias("gl"), g.alias("g")))
+
+
 def regex_hits(names: DataFrame, q: DataFrame) -> DataFrame:
     """Case-insensitive regex on names for the given name queries.
 
@@ -147,20 +151,21 @@ def regex_hits(names: DataFrame, q: DataFrame) -> DataFrame:
     plain = ~F.col("qt").rlike(REGEX_META) & (F.length("qt") > 0)
     lit = q.filter(plain)
     other = q.filter(~plain)
-    nf = names.withColumn("nf", X.ascii_lower(F.col("name")))
-    index = nf.select("EnterpriseNumber", F.explode(F.concat(
-        F.transform(_grams(F.col("nf"), 1), lambda g: F.struct(F.lit(1).alias("gl"), g.alias("g"))),
-        F.transform(_grams(F.col("nf"), 2), lambda g: F.struct(F.lit(2).alias("gl"), g.alias("g"))),
-        F.transform(_grams(F.col("nf"), 3), lambda g: F.struct(F.lit(3).alias("gl"), g.alias("g"))))).alias("x")
-    ).select("EnterpriseNumber", "x.gl", "x.g").distinct()
     qf = X.ascii_lower(F.col("qt"))
     qlen = F.length(qf)
     qg = lit.select("query_id", "qt", F.when(qlen >= 3, _grams(qf, 3)).otherwise(F.array(qf)).alias("gs"),
                     F.least(qlen, F.lit(3)).alias("gl"))
     qg = qg.select("query_id", "qt", "gl", F.size("gs").alias("need"), F.explode("gs").alias("g"))
-    cand = (qg.join(index, ["gl", "g"])
-            .groupBy("query_id", "qt", "need", "EnterpriseNumber").agg(F.count("g").alias("have"))
-            .filter(F.col("have") == F.col("need")).select("query_id", "qt", "EnterpriseNumber"))
+    # grams of every name, exploded map-side (no global distinct); only the
+    # grams that some query needs survive the join with the small query side
+    # gram lengths the batch needs (at most three small ints; usually only 3)
+    lengths = sorted(r[0] for r in qg.select("gl").distinct().collect()) or [3]
+    nf = X.ascii_lower(F.col("name"))
+    index = names.select("EnterpriseNumber", F.explode(F.concat(*[_tagged_grams(nf, n) for n in lengths])).alias("x")
+    ).select("EnterpriseNumber", "x.gl", "x.g")
+    cand = (index.join(qg, ["gl", "g"])
+            .groupBy("query_id", "qt", "need", "EnterpriseNumber").agg(F.collect_set("g").alias("have"))
+            .filter(F.size("have") == F.col("need")).select("query_id", "qt", "EnterpriseNumber"))
     pattern = F.concat(F.lit("(?i)"), F.col("qt"))
     verified = (cand.join(names, "EnterpriseNumber").filter(F.regexp_like(F.col("name"), pattern))
                 .select("query_id", "EnterpriseNumber"))
