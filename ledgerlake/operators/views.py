@@ -107,11 +107,14 @@ def flow_node_totals(flows: DataFrame, years: DataFrame) -> DataFrame:
     ``years``: one row per (company, year) with ``ca``.  One row per node
     0..7 of every (company, year)."""
     keys = ["enterprise_number", "year"]
-    incoming = flows.groupBy(*keys, F.col("target").alias("node")).agg(F.sum("value").alias("_in"))
-    outgoing = flows.groupBy(*keys, F.col("source").alias("node")).agg(F.sum("value").alias("_out"))
+    contrib = (flows.select(*keys, F.col("target").alias("node"), F.col("value").alias("_in"),
+                            F.lit(0.0).alias("_out"))
+               .unionByName(flows.select(*keys, F.col("source").alias("node"), F.lit(0.0).alias("_in"),
+                                         F.col("value").alias("_out"))))
+    sums = contrib.groupBy(*keys, "node").agg(F.sum("_in").alias("_in"), F.sum("_out").alias("_out"))
     nodes = years.select(*keys, F.greatest(F.lit(0.0), _num0(F.col("ca"))).alias("_ca"),
                          F.explode(F.sequence(F.lit(0), F.lit(7))).alias("node"))
-    j = nodes.join(incoming, keys + ["node"], "left").join(outgoing, keys + ["node"], "left")
+    j = nodes.join(sums, keys + ["node"], "left")
     inc = F.coalesce("_in", F.lit(0.0))
     total = (F.when(F.col("node") == 0, F.col("_ca"))
              .when(inc != 0, inc).otherwise(F.coalesce("_out", F.lit(0.0))))

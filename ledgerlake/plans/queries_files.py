@@ -146,3 +146,16 @@ def q_directors_cache(spark, sf_dir):
     fetched = P.directors_cache_rows(P.extract_directors(_pages(spark, sf_dir)), todo, AD.as_of())
     new = P.update_directors_cache(cache, fetched)
     return new.select("_id", F.size("directors").alias("n_directors"))
+
+
+@register("gold_from_compacted", _accounts_flat_sql(f"WHERE enterprise_key IN {DONE_KEYS}"))
+def q_gold_from_compacted(spark, sf_dir):
+    """S4 -> compaction (Parquet, bucketed by company) -> E2 batch run that
+    reads only the buckets of the target companies (dynamic partition
+    pruning)."""
+    root, comp = _tree(spark, sf_dir), _scratch(spark)
+    S.compact_filing_lines(spark, root, comp)
+    state_t, gold_t = _scratch(spark), _scratch(spark)
+    first = run_gold(spark, root, AD.download_state(spark, sf_dir), state_t, gold_t, AD.as_of(), compacted=comp)
+    assert first["targets"] > 0, first
+    return flat_accounts(sinks.read_table(spark, gold_t))

@@ -57,3 +57,16 @@ def test_upsert(spark):
     old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     new = spark.createDataFrame([(2, "B"), (3, "C")], "k int, v string")
     assert sorted(tuple(r) for r in sinks.upsert(old, new, "k").collect()) == [(1, "a"), (2, "B"), (3, "C")]
+
+
+def test_gold_from_compacted_lines(spark, tmpdir_path):
+    from ledgerlake.sources import filings as S
+    root = os.path.join(tmpdir_path, "landed")
+    write_tree(root)
+    comp = os.path.join(tmpdir_path, "compacted")
+    S.compact_filing_lines(spark, root, comp, buckets=4)
+    ds = spark.createDataFrame([("0100.000.001", "done", 3, ["2022-1", "2022-2", "2021-9"], [])], STATE)
+    st, gold = os.path.join(tmpdir_path, "gs"), os.path.join(tmpdir_path, "g")
+    assert run_gold(spark, root, ds, st, gold, F.current_timestamp(), compacted=comp, buckets=4)["targets"] == 1
+    g = sinks.read_table(spark, gold).collect()
+    assert [r["enterprise_number"] for r in g] == ["0100.000.001"] and len(g[0]["years"]) == 3
