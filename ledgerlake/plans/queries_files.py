@@ -91,7 +91,7 @@ def q_incremental_gold_stream(spark, sf_dir):
     numbers = AD.download_state(spark, sf_dir).filter(F.col("status") == "done")
     q = start_incremental_gold(spark, root, numbers, gold_t, comp, ckpt, AD.as_of(), max_files_per_trigger=8000)
     q.awaitTermination()
-    return flat_accounts(sinks.read_table(spark, gold_t))
+    return flat_accounts(spark.read.parquet(gold_t))
 
 
 # A captured page of the register (invented content) with an office-holder

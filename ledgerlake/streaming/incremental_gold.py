@@ -11,7 +11,8 @@ micro-batch
 2. reads all lines of the companies it touched from the compacted table (the
    semi-join on the bucket column prunes the other buckets) and rebuilds
    their gold rows;
-3. upserts them into the gold snapshot table.
+3. upserts them into the gold table, partitioned by the same company bucket,
+   rewriting only the buckets it touched.
 
 No small-file tree is re-listed or re-read after a file was first seen.
 """
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..operators import accounts as A
 from ..operators import gold as G
+from ..functions import expr as X
 from ..sources import filings as S
 from ..sources import sinks
 
@@ -38,6 +40,7 @@ def start_incremental_gold(spark: SparkSession, root: str, numbers: DataFrame, g
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     landed = S.with_file_columns(reader.csv(root))
+    staging = f"{checkpoint.rstrip('/')}/_staging"
 
     def apply(raw: DataFrame, epoch_id: int) -> None:
         raw.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
@@ -48,10 +51,10 @@ def start_incremental_gold(spark: SparkSession, root: str, numbers: DataFrame, g
         keys = batch.select("enterprise_key").distinct()
         lines = S.read_compacted_lines(spark, compacted, keys, buckets)
         facts = G.restore_company_number(A.facts_from_lines(lines), numbers)
-        accounts = G.company_accounts(facts, as_of)
-        current = sinks.read_table(spark, gold_table)
-        sinks.write_replace(accounts if current is None else sinks.upsert(current, accounts, "enterprise_number"),
-                            gold_table)
+        accounts = G.company_accounts(facts, as_of).withColumn(
+            "key_bucket", S.key_bucket(X.company_key(F.col("enterprise_number")), buckets))
+        sinks.upsert_partitions(accounts, gold_table, "enterprise_number", "key_bucket",
+                                f"{staging}/epoch={epoch_id}")
         batch.unpersist()
 
     w = landed.writeStream.option("checkpointLocation", checkpoint).foreachBatch(apply)
