@@ -65,14 +65,23 @@ def q_search(spark, sf_dir):
 
 
 QUERY_KIND_SQL = f"""
+WITH q AS (SELECT * FROM (VALUES {_values}) t(query_id, q)
+           UNION ALL SELECT CAST(p_partkey + 1000 AS INTEGER), p_name FROM part
+           UNION ALL SELECT CAST(p_partkey + 100000 AS INTEGER), lpad(CAST(p_partkey AS VARCHAR), 9, '0') FROM part)
 SELECT query_id, CASE WHEN length(regexp_replace(trim(q), '[^0-9]', '', 'g')) >= 5 THEN 'number' ELSE 'name' END AS kind
-FROM (VALUES {_values}) t(query_id, q) WHERE length(q) >= 2 AND EXISTS (SELECT 1 FROM part)"""
+FROM q WHERE length(q) >= 2"""
 
 
 @register("query_kind", QUERY_KIND_SQL)
 def q_query_kind(spark, sf_dir):
-    parts = AD.table(spark, sf_dir, "part").limit(1).select(F.lit(1).alias("_one"))
-    return SE.classify(query_batch(spark)).join(parts, how="left_semi", on=F.lit(True)).select("query_id", "kind")
+    """X30 over the fixed batch plus every part name and every part key
+    written as a 9-digit number."""
+    p = AD.table(spark, sf_dir, "part")
+    batch = query_batch(spark).unionByName(
+        p.select((F.col("p_partkey") + 1000).cast("int").alias("query_id"), F.col("p_name").alias("q"))).unionByName(
+        p.select((F.col("p_partkey") + 100000).cast("int").alias("query_id"),
+                 F.lpad(F.col("p_partkey").cast("string"), 9, "0").alias("q")))
+    return SE.classify(batch).select("query_id", "kind")
 
 
 @register("any_sector_activity", f"""
