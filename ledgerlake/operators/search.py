@@ -196,3 +196,46 @@ def search(companies: DataFrame, queries: DataFrame, *, codes=HOTEL_NACE_CODES,
     return hits.join(search_projection(cands), "EnterpriseNumber").select(
         "query_id", "rank", "EnterpriseNumber", "source", "StatusLabel", "JuridicalFormLabel", "denominations",
         "addresses", "activities")
+
+
+# ------------------------------------------------------------------ persistent name index
+
+def token_bucket(tok: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(tok), F.lit(buckets)).cast("int")
+
+
+def build_name_index(companies: DataFrame, out: str, buckets: int = 64) -> None:
+    """Token table of all company names (the text index of the store),
+    written once as Parquet partitioned by a token hash bucket and sorted by
+    token, so a batch of queries reads only the buckets of its tokens."""
+    toks = (_names(companies).select("EnterpriseNumber", F.explode(tokens(F.col("name"))).alias("tok"))
+            .distinct().withColumn("tok_bucket", token_bucket(F.col("tok"), buckets)))
+    (toks.repartition("tok").sortWithinPartitions("tok_bucket", "tok")
+     .write.mode("overwrite").partitionBy("tok_bucket").parquet(out))
+
+
+def token_hits_indexed(index: DataFrame, q: DataFrame, cands: DataFrame, buckets: int = 64) -> DataFrame:
+    """J11 against a persistent index: query tokens join the index on
+    (bucket, token) -- dynamic partition pruning skips other buckets --
+    then hits are restricted to the candidate (sector) companies."""
+    qt = (q.filter(F.col("kind") == "name").select("query_id", F.explode(tokens(F.col("qt"))).alias("tok"))
+          .withColumn("tok_bucket", token_bucket(F.col("tok"), buckets)))
+    hits = qt.join(index, ["tok_bucket", "tok"]).select("query_id", "EnterpriseNumber")
+    return (hits.join(cands.select("EnterpriseNumber"), "EnterpriseNumber", "left_semi")
+            .withColumn("source", F.lit("token")).distinct())
+
+
+def search_indexed(companies: DataFrame, index: DataFrame, queries: DataFrame, *, codes=HOTEL_NACE_CODES,
+                   limit: int = SEARCH_LIMIT, buckets: int = 64) -> DataFrame:
+    """``search`` with the name tokens read from ``build_name_index``."""
+    cands = companies.filter(has_sector(F.col("activities"), codes))
+    q = classify(queries)
+    names = _names(cands)
+    tok = token_hits_indexed(index, q, cands, buckets)
+    num = number_hits(cands, q)
+    leftover = q.filter(F.col("kind") == "name").join(tok.select("query_id").distinct(), "query_id", "left_anti")
+    rx = regex_hits(names, leftover)
+    hits = rank_limit(num.unionByName(tok).unionByName(rx), limit)
+    return hits.join(search_projection(cands), "EnterpriseNumber").select(
+        "query_id", "rank", "EnterpriseNumber", "source", "StatusLabel", "JuridicalFormLabel", "denominations",
+        "addresses", "activities")

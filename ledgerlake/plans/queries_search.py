@@ -101,3 +101,14 @@ def q_search_projection(spark, sf_dir):
                     F.col("addresses")[0]["Zipcode"].alias("first_zip"),
                     F.col("activities")[0]["NaceLabel"].alias("first_label"),
                     F.size("denominations").alias("n_names"))
+
+
+@register("search_indexed", SEARCH_SQL)
+def q_search_indexed(spark, sf_dir):
+    """J11-J13 with a persistent token index built from the whole table."""
+    from .queries_silver import _scratch
+    companies = AD.search_companies(spark, sf_dir)
+    path = _scratch(spark)
+    SE.build_name_index(companies, path, buckets=16)
+    res = SE.search_indexed(companies, spark.read.parquet(path), query_batch(spark), codes=SECTOR, buckets=16)
+    return res.select("query_id", "rank", "EnterpriseNumber", "source")
