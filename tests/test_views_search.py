@@ -97,3 +97,14 @@ def test_search_top_k_is_partial_before_shuffle(spark):
     hits = SE.token_hits(SE._names(companies(spark)), SE.classify(q))
     plan = SE.rank_limit(hits)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan or "Window" in plan
+
+
+def test_name_index_search_matches_plain(spark, tmpdir_path):
+    queries = ["0836157420", "central plaza", "hôtel", "widgetw", "Widgetworks", "lac$"]
+    q = spark.createDataFrame(list(enumerate(queries)), "query_id int, q string")
+    comp = companies(spark)
+    SE.build_name_index(comp, tmpdir_path + "/idx", buckets=4)
+    a = SE.search_indexed(comp, spark.read.parquet(tmpdir_path + "/idx"), q, buckets=4)
+    b = SE.search(comp, q)
+    cols = ["query_id", "rank", "EnterpriseNumber", "source"]
+    assert sorted(tuple(r) for r in a.select(cols).collect()) == sorted(tuple(r) for r in b.select(cols).collect())
