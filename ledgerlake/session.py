@@ -10,15 +10,16 @@ from pyspark.sql import SparkSession
 # Settings every job relies on.  ANSI mode stays on (Spark 4 default); the
 # code uses try_cast / try_to_date / try_element_at where bad input is
 # expected.  Broadcast joins are left to the planner: a side is broadcast only
-# when its (static or AQE runtime) size is under the threshold, otherwise the
-# join stays a shuffle join.  AQE splits skewed join partitions and merges
-# small ones.
+# when its size is under the threshold, otherwise the join stays a shuffle
+# join.  The static threshold (estimates from compressed file sizes) stays at
+# Spark's 10 MB; the AQE threshold applies to measured shuffle output.  AQE
+# splits skewed join partitions and merges small ones.
 JOB_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",

@@ -32,13 +32,18 @@ from ..sources import sinks
 def start_incremental_gold(spark: SparkSession, root: str, numbers: DataFrame, gold_table: str,
                            compacted: str, checkpoint: str, as_of: Column | None = None,
                            available_now: bool = True, max_files_per_trigger: int | None = None,
-                           buckets: int = 64):
+                           buckets: int = 64, archive_dir: str | None = None):
     """``numbers``: a state table (_id) used to restore written company
-    numbers (J6)."""
+    numbers (J6).  With ``archive_dir`` processed CSVs are moved there by
+    the file source (``cleanSource=archive``), so a long-running stream
+    does not re-list an ever-growing tree; the compacted table keeps every
+    line."""
     as_of = as_of if as_of is not None else F.current_timestamp()
     reader = S.filing_reader(spark.readStream)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     landed = S.with_file_columns(reader.csv(root))
     staging = f"{checkpoint.rstrip('/')}/_staging"
 
