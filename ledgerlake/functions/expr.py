@@ -281,17 +281,17 @@ def blank_to_null(c) -> Column:
 
 
 def ratio_text(x, decimals: int = 1) -> Column:
-    """Fixed decimals + ' %' ; null, NaN or 0 -> N/C.
-    Use decimals=2 and suffix='' for liquidity via liquidity_text."""
+    """Fixed decimals (no grouping) + ' %'; null, NaN or 0 -> N/C."""
     x = _c(x)
     ok = x.isNotNull() & ~F.isnan(x) & (x != 0)
-    return F.when(ok, F.concat(F.format_number(x, decimals), F.lit(" %"))).otherwise(F.lit(NOT_AVAILABLE))
+    return F.when(ok, F.format_string(f"%.{decimals}f %%", x)).otherwise(F.lit(NOT_AVAILABLE))
 
 
 def liquidity_text(x) -> Column:
+    """X27 for liquidity: two decimals, no unit."""
     x = _c(x)
     ok = x.isNotNull() & ~F.isnan(x) & (x != 0)
-    return F.when(ok, F.format_number(x, 2)).otherwise(F.lit(NOT_AVAILABLE))
+    return F.when(ok, F.format_string("%.2f", x)).otherwise(F.lit(NOT_AVAILABLE))
 
 
 def amount_text(x) -> Column:

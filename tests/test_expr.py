@@ -57,6 +57,8 @@ def test_deed_filename_round_trip(spark):
 def test_collapse_spaces_and_texts(spark):
     assert one(spark, X.collapse_spaces(F.col("x")), "  Doe ,\n     Jane ") == "Doe , Jane"
     assert one(spark, X.ratio_text(F.col("x")), 12.345, "x double") == "12.3 %"
+    assert one(spark, X.ratio_text(F.col("x")), 1234.56, "x double") == "1234.6 %"
+    assert one(spark, X.liquidity_text(F.col("x")), 0.125, "x double") == "0.13"
     assert one(spark, X.ratio_text(F.col("x")), 0.0, "x double") == "N/C"
     assert one(spark, X.amount_text(F.col("x")), 1234.5, "x double") == "1,234.5 €"
     assert one(spark, X.amount_text(F.col("x")), 1000.0, "x double") == "1,000 €"
