@@ -26,14 +26,17 @@ def company_profile(silver: DataFrame, gold: DataFrame, numbers: DataFrame | Non
     forms is a row_number over (key, silver row), which the join's hash
     partitioning on the key already satisfies (no extra exchange)."""
     s = silver
+    g = gold.select(F.col("enterprise_number").alias("_gnum"),
+                    F.translate("enterprise_number", ".", "").alias("_gk"),
+                    F.struct("last_updated", "years").alias("gold_data"))
     if numbers is not None:
+        # a lookup batch: both sides are cut to the requested companies
+        # before the join (semi-joins with the small request table)
         wanted = numbers.select(X.normalize_company_number(F.col(number_col)).alias("EnterpriseNumber")).distinct()
         s = s.join(wanted, "EnterpriseNumber", "left_semi")
+        g = g.join(wanted.select(F.translate("EnterpriseNumber", ".", "").alias("_gk")), "_gk", "left_semi")
     s = s.withColumns({"_rid": F.monotonically_increasing_id(),
                        "_k": F.translate("EnterpriseNumber", ".", "")})
-    g = gold.select(F.col("enterprise_number").alias("_gnum"),
-                    F.translate("enterprise_number", ".", "").alias("_gk"),
-                    F.struct("last_updated", "years").alias("gold_data"))
     cond = (F.col("_k") == F.col("_gk")) & ((F.col("_gnum") == F.col("EnterpriseNumber"))
                                            | (F.col("_gnum") == F.col("_k")))
     j = s.join(g, cond, "left")
