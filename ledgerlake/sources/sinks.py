@@ -1,12 +1,15 @@
 """Sinks: full rewrite and keyed upsert as snapshot writes.
 
 No table format with MERGE is assumed.  A table is a folder of snapshots;
-a write goes to a new snapshot folder and a one-row pointer table names the
-current one, so a reader never sees a half-written table and a failed job
-leaves the previous snapshot in place (a rerun repeats the work)."""
+a write goes to a new snapshot folder, then one row (snapshot, time) is
+appended to the table's pointer log; readers take the newest row.  Both
+steps go through Spark's output committer, so each is all-or-nothing: a
+reader never sees a half-written table, and a job lost at any point leaves
+the previous snapshot current (a rerun repeats the work)."""
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,12 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 POINTER = "_CURRENT"
+POINTER_SCHEMA = "snapshot string, ts long"
 
 
 def current_snapshot(spark: SparkSession, table: str) -> str | None:
     """Path of the current snapshot, or None when the table has none."""
     try:
-        row = spark.read.schema("snapshot string").json(f"{table.rstrip('/')}/{POINTER}").first()
+        log = spark.read.schema(POINTER_SCHEMA).json(f"{table.rstrip('/')}/{POINTER}")
+        row = log.orderBy(F.col("ts").desc(), F.col("snapshot").desc()).first()
     except AnalysisException:
         return None
     return f"{table.rstrip('/')}/{row['snapshot']}" if row and row["snapshot"] else None
@@ -48,8 +53,8 @@ def write_replace(df: DataFrame, table: str) -> str:
     name = f"snap-{uuid.uuid4().hex}"
     path = f"{table.rstrip('/')}/{name}"
     df.write.mode("errorifexists").parquet(path)
-    (spark.createDataFrame([(name,)], "snapshot string").coalesce(1)
-     .write.mode("overwrite").json(f"{table.rstrip('/')}/{POINTER}"))
+    (spark.createDataFrame([(name, time.time_ns())], POINTER_SCHEMA).coalesce(1)
+     .write.mode("append").json(f"{table.rstrip('/')}/{POINTER}"))
     return path
 
 
