@@ -323,7 +323,7 @@ def deed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.floor("_price").cast("long").alias("size"))
 
 
-def notaire_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+def deed_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deed state: done for non-negative balances; acts done = deeds of
     urgent finished orders."""
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")

@@ -126,7 +126,7 @@ def q_deed_manifest(spark, sf_dir):
 SELECT company_key, documentId, CASE WHEN o_orderstatus = 'F' THEN 'have_file' ELSE 'fetch' END AS route
 FROM dn WHERE documentStatus = 'DONE' AND NOT (o_orderstatus = 'F' AND o_orderpriority = '1-URGENT')""")
 def q_deeds_to_fetch(spark, sf_dir):
-    r = D.deeds_to_fetch(AD.deeds(spark, sf_dir), AD.notaire_state(spark, sf_dir),
+    r = D.deeds_to_fetch(AD.deeds(spark, sf_dir), AD.deed_state(spark, sf_dir),
                          L.deed_manifest(AD.deed_files(spark, sf_dir)))
     return r.select("company_key", "documentId", "route")
 
@@ -135,13 +135,13 @@ def q_deeds_to_fetch(spark, sf_dir):
 c AS (SELECT ns._id, f.filename FROM ns JOIN files f ON f.company_key = ns.company_key WHERE ns.status = 'done')
 SELECT _id, filename, count(*) OVER (PARTITION BY _id) AS files_count FROM c""")
 def q_cached_deeds(spark, sf_dir):
-    cached, _ = D.cached_deeds(AD.notaire_state(spark, sf_dir), L.deed_manifest(AD.deed_files(spark, sf_dir)))
+    cached, _ = D.cached_deeds(AD.deed_state(spark, sf_dir), L.deed_manifest(AD.deed_files(spark, sf_dir)))
     return cached.select("_id", "filename", "files_count")
 
 
 @register("deeds_left_to_fetch", "WITH " + DEEDS_CTE + "\nSELECT _id, company_key FROM ns WHERE status <> 'done'")
 def q_deeds_left_to_fetch(spark, sf_dir):
-    _, rest = D.cached_deeds(AD.notaire_state(spark, sf_dir), L.deed_manifest(AD.deed_files(spark, sf_dir)))
+    _, rest = D.cached_deeds(AD.deed_state(spark, sf_dir), L.deed_manifest(AD.deed_files(spark, sf_dir)))
     return rest
 
 
