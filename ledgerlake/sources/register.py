@@ -45,6 +45,9 @@ def read_register_csv(spark: SparkSession, path: str, tokens=DEFAULT_NULL_TOKENS
     df = (spark.read.option("header", "true").option("inferSchema", "false")
           .option("quote", '"').option("escape", '"').option("multiLine", "false")
           .csv(path))
+    # a UTF-8 byte-order mark at the start of the file would otherwise stick
+    # to the first column name
+    df = df.toDF(*[c.lstrip("\ufeff") for c in df.columns])
     df = df.withColumn("_seq", F.monotonically_increasing_id())
     return null_tokens(df, tokens)
 

@@ -69,3 +69,16 @@ def test_pipeline(spark, tmpdir_path):
     assert sorted(g) == ["0100.000.001", "0100.000.002"]
     assert [y["year"] for y in g["0100.000.002"]["years"]] == [2021, 2021]
     assert jobs.gold(spark, lake, landed)["targets"] == 0
+
+
+def test_register_csv_with_bom_and_null_tokens(spark, tmpdir_path):
+    from ledgerlake.sources import register as R
+    folder = os.path.join(tmpdir_path, "reg")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "enterprise.csv"), "w", encoding="utf-8-sig") as fh:
+        fh.write('"EnterpriseNumber","JuridicalForm","StartDate"\n"0100.000.001","014","NA"\n"0100.000.002","",""\n')
+    t = R.load_register(spark, folder)
+    assert list(t) == ["enterprise"]
+    rows = sorted(t["enterprise"].collect(), key=lambda r: r["EnterpriseNumber"])
+    assert rows[0]["JuridicalForm"] == "014" and rows[0]["StartDate"] is None
+    assert rows[1]["JuridicalForm"] is None
