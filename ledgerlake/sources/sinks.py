@@ -91,7 +91,9 @@ def upsert_partitions(changes: DataFrame, table: str, key: list[str] | str, part
     spark = changes.sparkSession
     key = [key] if isinstance(key, str) else list(key)
     try:
-        current = spark.read.parquet(table)
+        # read with the batch's schema: partition values are never re-typed
+        # by inference (a run '2024-01-01' stays text, '001' keeps its zeros)
+        current = spark.read.schema(changes.schema).parquet(table)
     except AnalysisException:
         current = None
     if current is not None:
@@ -100,6 +102,6 @@ def upsert_partitions(changes: DataFrame, table: str, key: list[str] | str, part
     else:
         merged = changes
     merged.write.mode("overwrite").parquet(staging)
-    (spark.read.parquet(staging).repartition(partition_col)
+    (spark.read.schema(merged.schema).parquet(staging).repartition(partition_col)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(table))

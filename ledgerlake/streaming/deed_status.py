@@ -47,4 +47,4 @@ def run_to_end(spark: SparkSession, events_path: str, table: str, checkpoint: st
                max_files_per_trigger: int | None = None) -> DataFrame:
     q = start_deed_status_stream(spark, events_path, table, checkpoint, True, max_files_per_trigger)
     q.awaitTermination()
-    return spark.read.parquet(table).select(*[f.split(" ")[0] for f in TABLE_SCHEMA.split(", ")])
+    return spark.read.schema(TABLE_SCHEMA).parquet(table)

@@ -82,3 +82,13 @@ def test_upsert_partitions_rewrites_only_touched(spark, tmpdir_path):
     sinks.upsert_partitions(change, t, ["run", "k"], "run", os.path.join(tmpdir_path, "s3"))
     got = sorted((r["run"], r["k"], r["v"]) for r in spark.read.parquet(t).collect())
     assert got == [("r1", "a", 1), ("r1", "b", 20), ("r1", "d", 4), ("r2", "c", 3)]
+
+
+def test_upsert_partitions_keeps_partition_text(spark, tmpdir_path):
+    t = os.path.join(tmpdir_path, "t")
+    a = spark.createDataFrame([("001", "k", 1), ("2024-01-01", "k", 2)], "p string, k string, v int")
+    sinks.upsert_partitions(a, t, ["p", "k"], "p", os.path.join(tmpdir_path, "s1"))
+    b = spark.createDataFrame([("001", "k", 10)], "p string, k string, v int")
+    sinks.upsert_partitions(b, t, ["p", "k"], "p", os.path.join(tmpdir_path, "s2"))
+    got = sorted(tuple(r) for r in spark.read.schema(b.schema).parquet(t).select("p", "k", "v").collect())
+    assert got == [("001", "k", 10), ("2024-01-01", "k", 2)]
