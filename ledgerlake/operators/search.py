@@ -210,7 +210,9 @@ def build_name_index(companies: DataFrame, out: str, buckets: int = 64) -> None:
     token, so a batch of queries reads only the buckets of its tokens."""
     toks = (_names(companies).select("EnterpriseNumber", F.explode(tokens(F.col("name"))).alias("tok"))
             .distinct().withColumn("tok_bucket", token_bucket(F.col("tok"), buckets)))
-    (toks.repartition("tok").sortWithinPartitions("tok_bucket", "tok")
+    # REBALANCE: clustered by token, but a very common token is split over
+    # several write tasks by AQE
+    (toks.hint("rebalance", "tok").sortWithinPartitions("tok_bucket", "tok")
      .write.mode("overwrite").partitionBy("tok_bucket").parquet(out))
 
 

@@ -102,6 +102,6 @@ def upsert_partitions(changes: DataFrame, table: str, key: list[str] | str, part
     else:
         merged = changes
     merged.write.mode("overwrite").parquet(staging)
-    (spark.read.schema(merged.schema).parquet(staging).repartition(partition_col)
+    (spark.read.schema(merged.schema).parquet(staging).hint("rebalance", partition_col)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(table))
