@@ -169,7 +169,11 @@ def regex_hits(names: DataFrame, q: DataFrame) -> DataFrame:
     pattern = F.concat(F.lit("(?i)"), F.col("qt"))
     verified = (cand.join(names, "EnterpriseNumber").filter(F.regexp_like(F.col("name"), pattern))
                 .select("query_id", "EnterpriseNumber"))
-    theta = (other.select("query_id", "qt").join(names, F.regexp_like(F.col("name"), pattern))
+    # a query that is not a valid Java regex gives no rows (instead of
+    # failing the whole batch): the pattern is compiled with the same regex
+    # engine rlike uses, through try_reflect (null when compile throws)
+    valid = F.try_reflect(F.lit("java.util.regex.Pattern"), F.lit("compile"), pattern).isNotNull()
+    theta = (other.select("query_id", "qt").filter(valid).join(names, F.regexp_like(F.col("name"), pattern))
              .select("query_id", "EnterpriseNumber"))
     return verified.unionByName(theta).distinct().withColumn("source", F.lit("regex"))
 

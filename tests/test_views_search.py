@@ -80,7 +80,7 @@ def run(spark, queries):
 
 def test_search_cases(spark):
     r = run(spark, ["0836157420", "836157420", "836157", "central plaza", "hôtel", "widgetw", "Widgetworks", "x",
-                    "lac$"])
+                    "lac$", "zz(", "a["])
     assert [e[1] for e in r["0836157420"]] == ["0836.157.420"]
     assert [e[1] for e in r["836157420"]] == ["0836.157.420"]
     assert "836157" not in r                                    # 6 digits: empty, no fallback
@@ -90,6 +90,7 @@ def test_search_cases(spark):
     assert len(r["Widgetworks"]) == 50 and r["Widgetworks"][0][2] == "token"
     assert "x" not in r                                          # too short
     assert [e[1] for e in r["lac$"]] == ["0123.456.789"]         # regex text
+    assert "zz(" not in r and "a[" not in r                      # invalid regex: no rows, batch not failed
 
 
 def test_search_top_k_is_partial_before_shuffle(spark):
