@@ -89,7 +89,8 @@ def q_incremental_gold_stream(spark, sf_dir):
     root = _tree(spark, sf_dir)
     gold_t, comp, ckpt = _scratch(spark), _scratch(spark), _scratch(spark)
     numbers = AD.download_state(spark, sf_dir).filter(F.col("status") == "done")
-    q = start_incremental_gold(spark, root, numbers, gold_t, comp, ckpt, AD.as_of(), max_files_per_trigger=8000)
+    q = start_incremental_gold(spark, root, numbers, gold_t, comp, ckpt, AD.as_of(), max_files_per_trigger=8000,
+                               buckets=16)
     q.awaitTermination()
     return flat_accounts(spark.read.parquet(gold_t))
 
@@ -154,8 +155,9 @@ def q_gold_from_compacted(spark, sf_dir):
     reads only the buckets of the target companies (dynamic partition
     pruning)."""
     root, comp = _tree(spark, sf_dir), _scratch(spark)
-    S.compact_filing_lines(spark, root, comp)
+    S.compact_filing_lines(spark, root, comp, buckets=16)
     state_t, gold_t = _scratch(spark), _scratch(spark)
-    first = run_gold(spark, root, AD.download_state(spark, sf_dir), state_t, gold_t, AD.as_of(), compacted=comp)
+    first = run_gold(spark, root, AD.download_state(spark, sf_dir), state_t, gold_t, AD.as_of(), compacted=comp,
+                     buckets=16)
     assert first["targets"] > 0, first
     return flat_accounts(sinks.read_table(spark, gold_t))
