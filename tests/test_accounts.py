@@ -1,6 +1,5 @@
 import os
 
-from pyspark.sql import functions as F
 
 from ledgerlake.operators import accounts as A
 from ledgerlake.sources import filings as S

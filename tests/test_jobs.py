@@ -4,7 +4,6 @@ after a deposit run) -> gold from a landed tree, through the job stages."""
 import csv
 import os
 
-from pyspark.sql import functions as F
 
 from ledgerlake import jobs
 from ledgerlake.operators import targets as T
