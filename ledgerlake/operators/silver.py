@@ -34,12 +34,22 @@ def code_dictionary(codes: DataFrame, language: str = "FR", order: str = "_seq")
     return c.groupBy("category", "code").agg(F.max_by("label", "_o").alias("label"))
 
 
-def with_code_labels(df: DataFrame, dictionary: DataFrame, fields: dict[str, tuple[str, str]]) -> DataFrame:
-    """For each ``field -> (category, label_col)`` add the label of the
-    trimmed code; unmatched -> ''; blank code -> null (no label).  A null
-    code reads as 'None' (then usually unmatched -> '')."""
+def _as_dictionary(codes: DataFrame) -> DataFrame:
+    """A raw code table (Category, Code, Language, Description) or an
+    already built dictionary (category, code, label)."""
+    return code_dictionary(codes) if "Category" in codes.columns else codes
+
+
+def with_code_labels(df: DataFrame, dictionary: DataFrame, fields: dict) -> DataFrame:
+    """For each ``field -> (category, label_col)`` (or ``field ->
+    label_col``, category = field name) add the label of the trimmed code;
+    unmatched -> ''; blank code -> null (no label).  A null code reads as
+    'None' (then usually unmatched -> '').  ``dictionary``: a code table
+    or the output of ``code_dictionary``."""
+    dictionary = _as_dictionary(dictionary)
     out = df
-    for field, (category, label_col) in fields.items():
+    for field, spec in fields.items():
+        category, label_col = (field, spec) if isinstance(spec, str) else spec
         d = (dictionary.filter(F.col("category") == category)
              .select(F.col("code").alias("_lc"), F.col("label").alias("_ll")))
         out = (out.withColumn("_lk", text_key(field))
@@ -59,8 +69,9 @@ def nace_label_table(dictionary: DataFrame, versions=NACE_VERSIONS) -> DataFrame
 def with_activity_labels(activities: DataFrame, dictionary: DataFrame, default: str = NACE_DEFAULT_VERSION,
                          order=NACE_FALLBACK_ORDER, versions=NACE_VERSIONS) -> DataFrame:
     """NaceLabel from the version's category (unknown version ->
-    default); missing or empty -> try ``order``; else ''."""
-    labels = nace_label_table(dictionary, versions)
+    default); missing or empty -> try ``order``; else ''.  ``dictionary``:
+    a code table or the output of ``code_dictionary``."""
+    labels = nace_label_table(_as_dictionary(dictionary), versions)
     version = F.coalesce(F.col("NaceVersion").cast("string"), F.lit("None"))
     primary = F.lit(None).cast("string")
     for v in versions:

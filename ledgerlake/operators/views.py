@@ -99,9 +99,15 @@ def flow_edges(years: DataFrame) -> DataFrame:
             .select("enterprise_number", "year", "e.source", "e.target", "e.value"))
 
 
+def _years_of(df: DataFrame) -> DataFrame:
+    """Gold rows (with ``years``) flattened, or flat facts as they are."""
+    return year_rows(df) if "years" in df.columns else df
+
+
 def pnl_flows(gold: DataFrame) -> DataFrame:
-    """G1 for all companies and years of the gold table at once."""
-    return flow_edges(first_filing_per_year(year_rows(gold)))
+    """G1 for all companies and years at once, from gold rows or from flat
+    facts (with ``enterprise_number``)."""
+    return flow_edges(first_filing_per_year(_years_of(gold)))
 
 
 def flow_node_totals(flows: DataFrame, years: DataFrame) -> DataFrame:
@@ -132,6 +138,9 @@ RATIO_SERIES = ("roe", "marge_brute", "marge_nette", "endettement", "liquidite")
 def ratio_series(gold: DataFrame) -> DataFrame:
     """Per company and year entry (ascending), the five ratios rounded
     to 2 decimals; null, NaN and 0 give 0."""
+    if "years" not in gold.columns:   # flat facts: ratios are top-level columns
+        cols = [F.round(_num0(F.col(r)), 2).alias(r) for r in RATIO_SERIES]
+        return gold.select("enterprise_number", "year", "filing_ref", *cols)
     y = gold.select("enterprise_number", F.explode("years").alias("y"))
     cols = [F.round(_num0(F.col(f"y.ratios.{r}")), 2).alias(r) for r in RATIO_SERIES]
     return y.select("enterprise_number", F.col("y.year").alias("year"), F.col("y.filing_ref").alias("filing_ref"),

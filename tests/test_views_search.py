@@ -108,3 +108,10 @@ def test_name_index_search_matches_plain(spark, tmpdir_path):
     b = SE.search(comp, q)
     cols = ["query_id", "rank", "EnterpriseNumber", "source"]
     assert sorted(tuple(r) for r in a.select(cols).collect()) == sorted(tuple(r) for r in b.select(cols).collect())
+
+
+def test_flows_and_series_from_flat_facts(spark):
+    df = spark.createDataFrame([("c", 2022, "r1", 1000.0, 600.0, 200.0, 150.0),
+                                ("c", 2022, "r2", 5.0, 5.0, 5.0, 5.0)], YEARS)
+    edges = sorted((r["source"], r["target"]) for r in V.pnl_flows(df).collect())
+    assert edges == [(0, 1), (0, 2), (1, 3), (1, 4), (3, 5), (3, 6)]     # first filing of the year only
