@@ -81,3 +81,13 @@ def test_register_csv_with_bom_and_null_tokens(spark, tmpdir_path):
     rows = sorted(t["enterprise"].collect(), key=lambda r: r["EnterpriseNumber"])
     assert rows[0]["JuridicalForm"] == "014" and rows[0]["StartDate"] is None
     assert rows[1]["JuridicalForm"] is None
+
+
+def test_command_line_stages(spark, tmpdir_path, capsys):
+    reg, lake = os.path.join(tmpdir_path, "register"), os.path.join(tmpdir_path, "lake")
+    write_register(reg)
+    jobs.main(["bronze", "--root", lake, "--register-dir", reg])
+    jobs.main(["silver", "--root", lake])
+    out = capsys.readouterr().out
+    assert "loaded" in out and "snap-" in out
+    assert sinks.read_table(spark, f"{lake}/silver/companies").count() == 3
