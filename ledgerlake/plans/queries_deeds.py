@@ -53,10 +53,10 @@ def q_deed_status(spark, sf_dir):
 @register("deed_status_stream", DEED_STATUS_SQL)
 def q_deed_status_stream(spark, sf_dir):
     """Events written as JSON-lines files in random order, folded by a
-    streaming query two files per micro-batch."""
+    streaming query three files per micro-batch."""
     folder, table, ckpt = _scratch(spark), _scratch(spark), _scratch(spark)
     AD.progress_events(spark, sf_dir).repartition(6).write.json(folder)
-    return DS.run_to_end(spark, folder, table, ckpt, max_files_per_trigger=2)
+    return DS.run_to_end(spark, folder, table, ckpt, max_files_per_trigger=3)
 
 
 @register("run_summary", "WITH " + EV_CTE + """,
