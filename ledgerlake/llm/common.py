@@ -34,6 +34,13 @@ def id_remainder(col: str, divisor: int) -> Column:
     return F.coalesce(F.crc32(F.col(col).cast("string").cast("binary")), F.lit(0)) % divisor
 
 
+def slices(batches, rows: int = 1000):
+    """Arrow batches cut to at most ``rows`` rows, so that a task holds few texts as Python objects."""
+    for b in batches:
+        for k in range(0, b.num_rows, rows):
+            yield b.slice(k, rows)
+
+
 def tokenizer_path(name: str) -> str:
     """Path of a public tokenizer file; the folder may be set by the
     environment variable LEDGERLAKE_TOKENIZERS."""

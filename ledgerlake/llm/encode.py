@@ -33,7 +33,7 @@ _STOPS = (".", ",")
 _WIDE = ("  ", " \n", "\n ", "\n\n")
 
 #: Pieces a worker keeps (about 200 bytes each) and the longest one kept.
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 500_000
 CACHE_LENGTH = 64
 
 

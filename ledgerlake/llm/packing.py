@@ -25,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
 from .encode import encoder
 
 
@@ -108,7 +109,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = 1024, block
                 yield out([doc, start, [len(x) // width for x in raw], total, [base + w for w in where[part]], offset[part], [wide(x) for x in raw]])
             base, rests, held = base + count, [], 0
 
-        for b in batches:
+        for b in slices(batches):
             full: list[list] = [[] for _ in range(7)]
             for doc, ids in zip(b.column("doc_id").to_pylist(), enc.encode(b.column("text").to_pylist())):
                 ids += end

@@ -7,8 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, wavelet
-from .common import shared_path, table, tokenizer_path
+from . import decontaminate, langid, packing, quality, simhash, urls, wavelet
+from .common import id_remainder, shared_path, table, tokenizer_path
+
+
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of a benchmark item, exact or edited."""
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op2_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,14 +23,42 @@ def op2_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.digests(spark, path)
 
 
+def op5_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; learnt where crc32(doc_id) mod 4 is not 2."""
+    out = quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), id_remainder("doc_id", 4) != 2)
+    return out.select("doc_id", (id_remainder("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 1024 ids."""
     out = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=0, window=1024)
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; learnt where crc32(doc_id) mod 3 is not 1."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs, id_remainder("doc_id", 3) != 1)
+    out = langid.identify(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", (id_remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "proportions")
+
+
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+def op8_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL: the rules', else the trees'."""
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op10_simhash_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, max_bits=3)
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_wavelet_tokens, op6_packing)
+    f.__name__: f for f in (op1_decontaminate, op2_wavelet_tokens, op3_language_mixture, op5_rule_ensemble, op6_packing, op8_url_trees, op10_simhash_bytes)
 }
 
 ORACLE: dict[str, str] = {}

@@ -39,6 +39,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import materialise, slices
 from .encode import encoder
 
 MAGIC = b"LWM1"
@@ -192,7 +193,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, shard_
     def encoded(batches):
         enc, ends = encoder(tokenizer), np.array(cuts, np.int64)
         end = enc.ids([end_id])
-        for b in batches:
+        for b in slices(batches):
             ids = [x + end for x in enc.encode(b.column("text").to_pylist())]
             doc = b.column("doc_id")
             shard = np.searchsorted(ends, doc.fill_null(-2**63).to_numpy(), side="right").astype(np.int32)
@@ -271,8 +272,6 @@ def occurrences(spark: SparkSession, path: str, token: int) -> DataFrame:
 def digests(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start (ids of all documents before it over all files), n_tokens,
     ids_crc32 of each document in the files."""
-    from .common import materialise
-
     def hashed(batches):
         for b in batches:
             crc = pa.array([crc32(x.as_buffer()) for x in b.column("ids")], pa.int64())
