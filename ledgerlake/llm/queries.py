@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, packing, quality, simhash, urls, wavelet
+from . import ann, chat, decontaminate, langid, lattice, packing, quality, simhash, urls, wavelet
 from .common import id_remainder, shared_path, table, tokenizer_path
 
 
@@ -23,6 +23,17 @@ def op2_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.digests(spark, path)
 
 
+def op4_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations formatted; digests are read back from the formatted text and mask."""
+    rows = chat.with_control_case(spark, table(spark, sf_dir, "conversations"), "</s>[INST] ok [/INST]")
+    out = chat.format_chat(rows.select("conv_id", "turn", "role", chat.text_part(F.col("text")).alias("parts")))
+    turns, loss = chat.read_turns(F.col("formatted")), chat.loss_text(F.col("formatted"), F.col("mask"))
+    out = out.withColumns({"turns": turns, "loss": loss})
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return out.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+                      F.length("loss").cast("long").alias("loss_chars"), F.sha2(F.col("loss"), 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
+
+
 def op5_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document; learnt where crc32(doc_id) mod 4 is not 2."""
     out = quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), id_remainder("doc_id", 4) != 2)
@@ -43,6 +54,11 @@ def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (id_remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "proportions")
 
 
+def op7_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every 20th vector."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 
 
@@ -51,6 +67,11 @@ def op8_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op9_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document; learnt where crc32(doc_id) mod 7 is not 2."""
+    return lattice.score(table(spark, sf_dir, "documents"), id_remainder("doc_id", 7) == 2, tokenizer_path("piece_bpe_32k.model"))
+
+
 def op10_simhash_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, max_bits=3)
@@ -58,7 +79,10 @@ def op10_simhash_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op2_wavelet_tokens, op3_language_mixture, op5_rule_ensemble, op6_packing, op8_url_trees, op10_simhash_bytes)
+    f.__name__: f for f in (
+        op1_decontaminate, op2_wavelet_tokens, op3_language_mixture, op4_chat_parts, op5_rule_ensemble, op6_packing, op7_projection_forest, op8_url_trees,
+        op9_subword_lattice, op10_simhash_bytes,
+    )
 }
 
 ORACLE: dict[str, str] = {}
