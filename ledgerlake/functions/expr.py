@@ -91,14 +91,18 @@ def period_year(c) -> Column:
 
 # ---------------------------------------------------------------- filings
 
+# The layout of the landed filing tree: /{company}/hbb/{ref}.csv
+FILING_FOLDER, FILING_SUFFIX = "/hbb/", ".csv"
+
+
 def csv_ref(ref) -> Column:
     """File name of a filing."""
-    return F.concat(_c(ref), F.lit(".csv"))
+    return F.concat(_c(ref), F.lit(FILING_SUFFIX))
 
 
 def filing_path(key, ref) -> Column:
     """/{key}/hbb/{ref}.csv"""
-    return F.concat(F.lit("/"), _c(key), F.lit("/hbb/"), csv_ref(ref))
+    return F.concat(F.lit("/"), _c(key), F.lit(FILING_FOLDER), csv_ref(ref))
 
 
 # Layout of the accounts model: small int codes so the pivot aggregate keeps

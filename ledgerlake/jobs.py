@@ -70,12 +70,11 @@ def compact(spark: SparkSession, root: str, landed: str, buckets: int = 64) -> N
     S.compact_filing_lines(spark, landed, table(root, "lines", "compacted"), buckets)
 
 
-def gold(spark: SparkSession, root: str, landed: str, use_compacted: bool = False, buckets: int = 64) -> dict:
+def gold(spark: SparkSession, root: str, landed: str, use_compacted: bool = False) -> dict:
     """E2 batch: recompute companies with new filings."""
     state = sinks.read_table(spark, table(root, "state", "download"), STATE_SCHEMA)
     return run_gold(spark, landed, state, table(root, "state", "gold"), table(root, "gold", "accounts"),
-                    F.current_timestamp(), compacted=table(root, "lines", "compacted") if use_compacted else None,
-                    buckets=buckets)
+                    F.current_timestamp(), compacted=table(root, "lines", "compacted") if use_compacted else None)
 
 
 def deeds_stream(spark: SparkSession, root: str, events: str, available_now: bool):
@@ -92,7 +91,7 @@ def main(argv=None) -> None:
     p.add_argument("--landed", help="root of the landed filing tree /{company}/hbb/{ref}.csv")
     p.add_argument("--events", help="folder of progress-event JSON lines (deeds-stream)")
     p.add_argument("--compacted", action="store_true", help="gold: read lines from the compacted table")
-    p.add_argument("--buckets", type=int, default=64)
+    p.add_argument("--buckets", type=int, default=64, help="compact: hash buckets of the compacted table (stored with it)")
     p.add_argument("--continuous", action="store_true", help="deeds-stream: keep running")
     a = p.parse_args(argv)
     spark = build_session(app=f"ledgerlake-{a.stage}")
@@ -105,7 +104,7 @@ def main(argv=None) -> None:
     elif a.stage == "compact":
         compact(spark, a.root, a.landed, a.buckets)
     elif a.stage == "gold":
-        print(gold(spark, a.root, a.landed, a.compacted, a.buckets))
+        print(gold(spark, a.root, a.landed, a.compacted))
     elif a.stage == "deeds-stream":
         deeds_stream(spark, a.root, a.events, not a.continuous).awaitTermination()
 

@@ -80,10 +80,26 @@ def incremental_targets(download_state: DataFrame, gold_state: DataFrame) -> Dat
             .drop("processed_filings", "_has_gold"))
 
 
-def gold_state_updates(targets: DataFrame, as_of: Column) -> DataFrame:
+def wanted_filings(targets: DataFrame) -> DataFrame:
+    """enterprise_key, filing_ref of every done filing of the selected companies."""
+    return targets.select(X.company_key(F.col("_id")).alias("enterprise_key"),
+                          F.explode("filings_done").alias("filing_ref")).filter("filing_ref IS NOT NULL").distinct()
+
+
+def gold_state_updates(targets: DataFrame, as_of: Column, seen: DataFrame | None = None) -> DataFrame:
     """New gold-state rows for every selected company (also those whose
-    files gave no valid filing)."""
-    return targets.select("_id", F.coalesce("filings_done", _empty_refs()).alias("processed_filings"),
+    files gave no valid filing).
+
+    ``seen`` (enterprise_key, filing_ref): the filings that the run could read.
+    Only these are marked as processed, so a filing whose file has not
+    landed yet makes its company a target again; without it all done filings are."""
+    refs = F.coalesce("filings_done", _empty_refs())
+    if seen is not None:
+        got = seen.groupBy("enterprise_key").agg(F.collect_set("filing_ref").alias("_seen"))
+        targets = (targets.withColumn("enterprise_key", X.company_key(F.col("_id")))
+                   .join(got, "enterprise_key", "left"))
+        refs = F.filter(refs, lambda r: F.array_contains(F.coalesce("_seen", _empty_refs()), r))
+    return targets.select("_id", refs.alias("processed_filings"),
                           as_of.cast("timestamp").alias("last_processed"))
 
 

@@ -2,14 +2,16 @@
 (J10).
 
 P1 is the one per-row parser of the library: HTML has to be parsed, which no
-built-in Spark expression does.  It runs as ``mapInPandas`` (Arrow batches,
-one parser per task, no row-at-a-time UDF), with Python's standard
-``html.parser`` building a small element tree per page.
+built-in Spark expression does.  Pages that do not mention the section are
+filtered out by Spark; the rest run through ``mapInPandas`` (Arrow batches).
+``TableRows``, a state machine over the events of Python's ``html.parser``,
+keeps the open rows and cells only and never builds a page's tree.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -19,125 +21,116 @@ from pyspark.sql import functions as F
 from ..sources import sinks
 
 DIRECTOR_SCHEMA = "company string, pos int, role string, name string, start_date string"
-VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-
-
-class _Node:
-    __slots__ = ("tag", "attrs", "children", "parent")
-
-    def __init__(self, tag, attrs, parent):
-        self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
-
-    def find_all(self, tag):
-        out, stack = [], list(reversed(self.children))
-        while stack:
-            n = stack.pop()
-            if isinstance(n, _Node):
-                if n.tag == tag:
-                    out.append(n)
-                stack.extend(reversed(n.children))
-        return out
-
-    def find(self, tag):
-        found = self.find_all(tag)
-        return found[0] if found else None
-
-    def text_parts(self):
-        out, stack = [], list(reversed(self.children))
-        while stack:
-            n = stack.pop()
-            if isinstance(n, _Node):
-                stack.extend(reversed(n.children))
-            else:
-                out.append(n)
-        return out
-
-    def text(self) -> str:
-        """Every text piece stripped, empty ones dropped, joined."""
-        return "".join(t.strip() for t in self.text_parts() if t.strip())
-
-    def classes(self):
-        for k, v in self.attrs:
-            if k == "class" and v:
-                return v.split()
-        return []
-
-
-class _TreeBuilder(HTMLParser):
-    """Lenient tree: an end tag closes the nearest open element with that
-    name (unmatched end tags are ignored); void elements never open."""
+
+
+@dataclass
+class _Row:
+    level: int                                            # how many tables it lies in
+    heading: list | None = None                           # texts of its first <h2>
+    cells: list = field(default_factory=list)             # texts of each cell
+    classes: set = field(default_factory=set)             # class names of its cells
+
+
+class TableRows(HTMLParser):
+    """``rows`` of a page's first table in the order in which they begin.
+
+    A row or cell ends at its end tag, at the next one of the same table, or with
+    the table.  Cells and headings of a table inside a cell also count for
+    the row around it."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.root = _Node("#root", [], None)
-        self.cur = self.root
+        self.rows: list[_Row] = []
+        self._level, self._over = 0, False
+        self._open: list[_Row] = []
+        self._texts: list[tuple[str, int, list]] = []     # (tag, level, texts) of open cells and headings
 
-    def handle_starttag(self, tag, attrs):
-        node = _Node(tag, attrs, self.cur)
-        self.cur.children.append(node)
-        if tag not in VOID_TAGS:
-            self.cur = node
+    def _end(self, tag: str) -> None:
+        """Ends what is open of a tag in the current table."""
+        self._texts = [t for t in self._texts if (t[0], t[1]) != (tag, self._level)]
+
+    def _end_row(self) -> None:
+        self._end("td")
+        self._end("h2")
+        self._open = [r for r in self._open if r.level != self._level]
 
-    def handle_startendtag(self, tag, attrs):
-        self.cur.children.append(_Node(tag, attrs, self.cur))
+    def handle_starttag(self, tag, attrs):
+        if self._over or not (self._level or tag == "table"):
+            return
+        if tag == "table":
+            self._level += 1
+        elif tag == "tr":
+            self._end_row()
+            self._open.append(_Row(self._level))
+            self.rows.append(self._open[-1])
+        elif tag == "td" and self._open:
+            self._end("td")
+            texts = []
+            self._texts.append((tag, self._level, texts))
+            named = (dict(attrs).get("class") or "").split()
+            for row in self._open:
+                row.cells.append(texts)
+                row.classes.update(named)
+        elif tag == "h2" and self._open:
+            texts = []
+            self._texts.append((tag, self._level, texts))
+            for row in self._open:
+                if row.heading is None:
+                    row.heading = texts
 
     def handle_endtag(self, tag):
-        n = self.cur
-        while n is not None and n.tag != tag:
-            n = n.parent
-        if n is not None and n.parent is not None:
-            self.cur = n.parent
+        if tag == "tr":
+            self._end_row()
+        elif tag in ("td", "h2"):
+            self._end(tag)
+        elif tag == "table" and self._level:
+            self._end_row()
+            self._level -= 1
+            self._over = not self._level
 
     def handle_data(self, data):
-        self.cur.children.append(data)
-
-
-def parse_directors(html: str | None, section: str = "Functies", classes=("QL", "RL")) -> list[tuple]:
-    """Rows (role, name, start_date) of the office-holder section of a page."""
-    if not html:
-        return []
-    b = _TreeBuilder()
-    b.feed(html)
-    b.close()
-    table = b.root.find("table")
-    if table is None:
-        return []
-    out, inside = [], False
-    for row in table.find_all("tr"):
-        h2 = row.find("h2")
-        if h2 is not None:
-            if section in h2.text():
-                inside = True
-                continue
-            if inside:
-                break
-        if not inside:
-            continue
-        tds = row.find_all("td")
-        if len(tds) < 2:
-            continue
-        if not any(c in classes for td in tds for c in td.classes()):
-            continue
-        role = tds[0].text()
-        name = " ".join(tds[1].text().split())
-        start = " ".join(tds[2].text().split()) if len(tds) >= 3 else ""
-        out.append((role, name, start))
-    return out
+        if piece := data.strip():
+            for _, _, texts in self._texts:
+                texts.append(piece)
+
+
+def _spaced(texts: list) -> str:
+    return " ".join("".join(texts).split())
+
+
+def holders(html: str | None, section: str, classes: frozenset) -> Iterator[tuple[str, str, str]]:
+    """(role, name, start date) of a page's office holders.  Each heading
+    switches the section on or off; only the first stretch of the section counts."""
+    parser = TableRows()
+    parser.feed(html or "")
+    parser.close()
+    on = False
+    for row in parser.rows:
+        if row.heading is not None:
+            was, on = on, section in "".join(row.heading)
+            if was and not on:
+                return
+            if on:
+                continue  # the heading's own row names no one
+        if on and len(row.cells) > 1 and row.classes & classes:
+            role, name, *rest = row.cells
+            yield "".join(role), _spaced(name), _spaced(rest[0]) if rest else ""
 
 
 def extract_directors(pages: DataFrame, company: str = "company", html: str = "html",
                       section: str = "Functies", classes=("QL", "RL")) -> DataFrame:
     """One row per office holder: company, pos, role, name, start_date.
-    Pages without a table give no rows."""
+    Pages without a table or without the section's name give no rows."""
+    marked = frozenset(classes)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = []
-            for comp, page in zip(pdf["company"], pdf["html"]):
-                for i, (role, name, start) in enumerate(parse_directors(page, section, classes)):
-                    rows.append((comp, i, role, name, start))
+            rows = [(comp, i, *holder) for comp, page in zip(pdf["company"], pdf["html"])
+                    for i, holder in enumerate(holders(page, section, marked))]
             yield pd.DataFrame(rows, columns=["company", "pos", "role", "name", "start_date"]).astype(
                 {"pos": "int32"})
-    return pages.select(F.col(company).alias("company"), F.col(html).alias("html")).mapInPandas(run, DIRECTOR_SCHEMA)
+    own = pages.select(F.col(company).alias("company"), F.col(html).alias("html")).filter(F.col("html").contains(section))
+    return own.mapInPandas(run, DIRECTOR_SCHEMA)
 
 
 def directors_cache_rows(directors: DataFrame, companies: DataFrame, as_of, company: str = "_id") -> DataFrame:

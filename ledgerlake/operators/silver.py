@@ -105,17 +105,23 @@ def registered_address(addresses: DataFrame) -> DataFrame:
     return addresses.filter(text_key("TypeOfAddress") == REGISTERED_ADDRESS_TYPE)
 
 
+def number_code(c) -> Column:
+    """A code that the register numbers: trimmed text, of all-digit codes
+    without leading zeros (``001`` is type ``1``)."""
+    return F.regexp_replace(text_key(c), "^0+(?=[0-9]+$)", "")
+
+
 def official_name_flag(denominations: DataFrame) -> DataFrame:
     """O3 (flat): ``_name_rank`` 0 for the official name type, else 1."""
     return denominations.withColumn(
-        "_name_rank", F.when(text_key("TypeOfDenomination") == OFFICIAL_NAME_TYPE, 0).otherwise(1))
+        "_name_rank", F.when(number_code("TypeOfDenomination") == OFFICIAL_NAME_TYPE, 0).otherwise(1))
 
 
 def official_name_first(names: Column) -> Column:
     """O3 on an array of denomination structs that carry ``_seq``: official
     names first, otherwise input order (stable)."""
     def rank(x):
-        return F.when(text_key(x["TypeOfDenomination"]) == OFFICIAL_NAME_TYPE, 0).otherwise(1)
+        return F.when(number_code(x["TypeOfDenomination"]) == OFFICIAL_NAME_TYPE, 0).otherwise(1)
     keyed = F.transform(names, lambda x: F.struct(rank(x).alias("r"), x["_seq"].alias("s"), x.alias("v")))
     return F.transform(F.array_sort(keyed), lambda k: k["v"])
 
@@ -136,7 +142,8 @@ def nest_children(parent: DataFrame, children: dict[str, tuple[DataFrame, str]],
 
     Every child is reduced by its key first and joined on the same key, so
     the joins reuse the aggregation's hash partitioning (one exchange per
-    input).  Skewed keys are split by AQE's skew-join handling."""
+    input).  A parent's children become one array, so a parent's rows meet in
+    one task; AQE cannot split them there."""
     out = parent
     sort_fields = sort_fields or {}
     for name, (child, child_key) in children.items():

@@ -131,7 +131,7 @@ def register_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
       = segment, null for HOUSEHOLD; StartDate = first order date dd-MM-yyyy.
     * activity = orders: code = priority, class = status, version by key.
     * address = orders: REGO for finished orders, else BAET.
-    * denomination = orders: type 1/2/3 by priority.
+    * denomination = orders: type 001/002/003 by priority.
     * branch = open orders (ISO dates), establishment = pending orders
       (dd-MM-yyyy), contact = low-priority orders.
     * code = nation (Status), segments (JuridicalForm) and priorities (Nace*).
@@ -168,8 +168,8 @@ def register_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
                        F.concat(F.lit("Straat "), _s(F.col("o_orderkey"))).alias("StreetNL"),
                        _s(F.dayofmonth("o_orderdate")).alias("HouseNumber"), "_seq")
     denomination = o.select(F.col("_num").alias("EntityNumber"),
-                            F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("1"))
-                            .when(F.col("o_orderpriority") == "2-HIGH", F.lit("2")).otherwise(F.lit("3"))
+                            F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("001"))
+                            .when(F.col("o_orderpriority") == "2-HIGH", F.lit("002")).otherwise(F.lit("003"))
                             .alias("TypeOfDenomination"),
                             F.concat(F.lit("Name "), _s(F.col("o_orderkey"))).alias("Denomination"), "_seq")
     branch = o.filter(F.col("o_orderstatus") == "O").select(
@@ -211,6 +211,21 @@ def register_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             "contact": contact, "denomination": denomination, "establishment": establishment, "code": code}
 
 
+def director_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captured pages (company, html): one per customer with orders, whose
+    section ``Functies`` names an office holder per order (by order key), between
+    other sections."""
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderpriority", "o_clerk", "o_orderdate")
+    row = F.concat(F.lit('<tr><td class="QL">'), F.col("o_orderpriority"), F.lit('</td><td class="RL">  '),
+                   F.regexp_replace("o_clerk", "#", " <i>&amp;</i>\n "), F.lit("</td><td>"),
+                   F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("</td></tr>"))
+    rows = (o.groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", row.alias("row")))).alias("rows")))
+    before = "<html><table><tr><td><h2>Algemeen</h2></td></tr><tr><td class='QL'>Status</td><td>Actief</td></tr><tr><td><h2>Functies</h2></td></tr>"
+    after = "<tr><td>no class</td><td>skipped</td></tr><tr><td><h2>Vaardigheden</h2></td></tr><tr><td class='QL'>X</td><td>not read</td></tr></table></html>"
+    return rows.select(number_of(F.col("o_custkey")).alias("company"), F.concat(
+        F.lit(before), F.array_join(F.transform("rows", lambda r: r["row"]), ""), F.lit(after)).alias("html"))
+
+
 def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unified companies (enterprise + nested activities) for target tests."""
     from ..operators.silver import nest_children

@@ -120,7 +120,7 @@ address AS (
          CAST(day(o_orderdate) AS VARCHAR) AS HouseNumber, o_orderkey AS _seq FROM orders),
 denomination AS (
   SELECT {_num('o_custkey')} AS EntityNumber,
-         CASE o_orderpriority WHEN '1-URGENT' THEN '1' WHEN '2-HIGH' THEN '2' ELSE '3' END AS TypeOfDenomination,
+         CASE o_orderpriority WHEN '1-URGENT' THEN '001' WHEN '2-HIGH' THEN '002' ELSE '003' END AS TypeOfDenomination,
          'Name ' || CAST(o_orderkey AS VARCHAR) AS Denomination, o_orderkey AS _seq FROM orders),
 branch AS (
   SELECT {_num('o_custkey')} AS EnterpriseNumber, strftime(o_orderdate, '%Y-%m-%d') AS StartDate, o_orderkey AS _seq

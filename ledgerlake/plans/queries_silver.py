@@ -69,7 +69,7 @@ def q_registered_address(spark, sf_dir):
 @register("official_name_first", W + """
 SELECT EntityNumber AS EnterpriseNumber, Denomination, TypeOfDenomination,
        CAST(row_number() OVER (PARTITION BY EntityNumber
-            ORDER BY CASE WHEN coalesce(trim(TypeOfDenomination), 'None') = '1' THEN 0 ELSE 1 END, _seq) AS INTEGER) AS pos
+            ORDER BY CASE WHEN coalesce(ltrim(trim(TypeOfDenomination), '0'), 'None') = '1' THEN 0 ELSE 1 END, _seq) AS INTEGER) AS pos
 FROM denomination""")
 def q_official_name_first(spark, sf_dir):
     t = AD.register_tables(spark, sf_dir)
@@ -142,7 +142,7 @@ LEFT JOIN (SELECT EnterpriseNumber, count(*) AS n FROM establishment GROUP BY En
        ON es.EnterpriseNumber = e.EnterpriseNumber
 LEFT JOIN (SELECT EntityNumber, count(*) AS n FROM contact GROUP BY EntityNumber) c ON c.EntityNumber = e.EnterpriseNumber
 LEFT JOIN (SELECT EntityNumber, arg_min(Denomination,
-                  (CASE WHEN coalesce(trim(TypeOfDenomination), 'None') = '1' THEN 0 ELSE 1 END) * 1000000000000 + _seq) AS first_name
+                  (CASE WHEN coalesce(ltrim(trim(TypeOfDenomination), '0'), 'None') = '1' THEN 0 ELSE 1 END) * 1000000000000 + _seq) AS first_name
            FROM denomination GROUP BY EntityNumber) d ON d.EntityNumber = e.EnterpriseNumber"""
 
 

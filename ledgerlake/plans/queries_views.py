@@ -152,7 +152,7 @@ def q_null_nonfinite(spark, sf_dir):
 
 DISPLAY_SQL = "WITH " + O.REGISTER_CTE + f""",
 den AS (SELECT EntityNumber, count(*) AS n, arg_min(Denomination,
-          (CASE WHEN coalesce(trim(TypeOfDenomination), 'None') = '1' THEN 0 ELSE 1 END) * 1000000000000 + _seq) AS nm
+          (CASE WHEN coalesce(ltrim(trim(TypeOfDenomination), '0'), 'None') = '1' THEN 0 ELSE 1 END) * 1000000000000 + _seq) AS nm
         FROM denomination GROUP BY EntityNumber),
 adr AS (SELECT * FROM address WHERE coalesce(trim(TypeOfAddress), 'None') = 'REGO'
         QUALIFY row_number() OVER (PARTITION BY EntityNumber ORDER BY _seq) = 1)

@@ -23,27 +23,25 @@ def null_tokens(df: DataFrame, tokens=DEFAULT_NULL_TOKENS, skip=("_seq",)) -> Da
 def list_csv(spark: SparkSession, folder: str) -> list[tuple[str, str]]:
     """(stem, path) of every entry of ``folder`` named *.csv — a single
     file or a folder of part files as Spark writes them — sorted by name.
-    Only file names are listed; contents are not read."""
-    base = folder.rstrip("/")
-    bare = base.split(":", 1)[1] if "://" in base or base.startswith("file:") else base
-    bare = "/" + bare.lstrip("/")
-    paths = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
-             .option("recursiveFileLookup", "true").load(base).select("path").collect())
-    entries = set()
-    for r in paths:
-        rel = r["path"].split(bare.rstrip("/") + "/", 1)[-1]
-        first = rel.split("/", 1)[0]
-        if first.endswith(".csv"):
-            entries.add(first)
-    return [(e[:-4], f"{base}/{e}") for e in sorted(entries)]
-
-
-def read_register_csv(spark: SparkSession, path: str, tokens=DEFAULT_NULL_TOKENS) -> DataFrame:
+    Only the folder's own entries are listed, through the Hadoop file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    entries = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    names = sorted(n for n in (e.getPath().getName() for e in entries) if n.endswith(".csv"))
+    return [(n[:-4], f"{folder.rstrip('/')}/{n}") for n in names]
+
+
+def read_register_csv(spark: SparkSession, path: str, tokens=DEFAULT_NULL_TOKENS,
+                      multi_line: bool = True) -> DataFrame:
     """One register CSV, every column a string (leading zeros kept), plus
     ``_seq``: read order, increasing within the file (persist it by writing
-    the bronze table; it is not stable across re-reads of a changed file)."""
+    the bronze table; it is not stable across re-reads of a changed file).
+
+    A quoted value may hold line breaks.  Such a file cannot be split, so
+    a part file is read by one task (a table written as several part files still is
+    read by many); ``multi_line=False`` splits large files and is
+    right only for files known to hold no quoted line break."""
     df = (spark.read.option("header", "true").option("inferSchema", "false")
-          .option("quote", '"').option("escape", '"').option("multiLine", "false")
+          .option("quote", '"').option("escape", '"').option("multiLine", str(multi_line).lower())
           .csv(path))
     # a UTF-8 byte-order mark at the start of the file would otherwise stick
     # to the first column name

@@ -18,6 +18,30 @@ from pyspark.errors import AnalysisException
 
 POINTER = "_CURRENT"
 POINTER_SCHEMA = "snapshot string, ts long"
+LAYOUT = "_LAYOUT"
+LAYOUT_SCHEMA = "buckets int, ts long"
+
+
+def _missing(error: AnalysisException) -> bool:
+    """Whether a read failed because there is no such folder (anything else is an error)."""
+    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def bucket_layout(spark: SparkSession, table: str) -> int | None:
+    """The bucket count stored with a hash-bucketed table, or None."""
+    try:
+        row = spark.read.schema(LAYOUT_SCHEMA).json(f"{table.rstrip('/')}/{LAYOUT}").orderBy(F.desc("ts")).first()
+    except AnalysisException as e:
+        if not _missing(e):
+            raise
+        return None
+    return row["buckets"] if row else None
+
+
+def write_bucket_layout(spark: SparkSession, table: str, buckets: int) -> None:
+    """Stores the bucket count in a folder that Spark's readers of the table skip."""
+    (spark.createDataFrame([(buckets, time.time_ns())], LAYOUT_SCHEMA).coalesce(1)
+     .write.mode("append").json(f"{table.rstrip('/')}/{LAYOUT}"))
 
 
 def current_snapshot(spark: SparkSession, table: str) -> str | None:
@@ -25,7 +49,9 @@ def current_snapshot(spark: SparkSession, table: str) -> str | None:
     try:
         log = spark.read.schema(POINTER_SCHEMA).json(f"{table.rstrip('/')}/{POINTER}")
         row = log.orderBy(F.col("ts").desc(), F.col("snapshot").desc()).first()
-    except AnalysisException:
+    except AnalysisException as e:
+        if not _missing(e):
+            raise
         return None
     return f"{table.rstrip('/')}/{row['snapshot']}" if row and row["snapshot"] else None
 
@@ -45,19 +71,48 @@ def table_is_empty(spark: SparkSession, table: str) -> bool:
     return df is None or df.limit(1).count() == 0
 
 
-def write_replace(df: DataFrame, table: str) -> str:
+class ConflictError(RuntimeError):
+    """Another writer replaced the table since it was read."""
+
+
+def write_replace(df: DataFrame, table: str, expected: str | None = None, keep: int = 2) -> str:
     """Write ``df`` as the new full content of ``table``.  Returns the
     snapshot path.  Safe when ``df`` reads the current snapshot of the same
-    table, because the old snapshot is never overwritten."""
+    table, because the old snapshot is never overwritten.
+
+    ``expected``: the snapshot (``current_snapshot``) that ``df`` was derived
+    from; if another one is current when the new one is ready, nothing is
+    published and ConflictError is raised, so no other writer's update is
+    lost.  Of the replaced snapshots the newest ``keep`` - 1 stay for readers that
+    still use them; older ones are removed."""
     spark = df.sparkSession
     name = f"snap-{uuid.uuid4().hex}"
     path = f"{table.rstrip('/')}/{name}"
     df.write.mode("errorifexists").parquet(path)
+    if expected is not None and current_snapshot(spark, table) != expected:
+        _remove(spark, path)
+        raise ConflictError(f"{table} was replaced by another writer")
     (spark.createDataFrame([(name, time.time_ns())], POINTER_SCHEMA).coalesce(1)
      .write.mode("append").json(f"{table.rstrip('/')}/{POINTER}"))
+    drop_old_snapshots(spark, table, keep)
     return path
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def drop_old_snapshots(spark: SparkSession, table: str, keep: int) -> None:
+    """Removes the snapshots that were published before the newest ``keep``
+    (one row a write in the pointer log).  Snapshots not yet published are
+    another writer's and stay."""
+    log = spark.read.schema(POINTER_SCHEMA).json(f"{table.rstrip('/')}/{POINTER}")
+    old = log.orderBy(F.desc("ts"), F.desc("snapshot")).offset(keep).limit(50).collect()
+    for row in old:
+        _remove(spark, f"{table.rstrip('/')}/{row['snapshot']}")
+
+
 def upsert(existing: DataFrame, changes: DataFrame, key: list[str] | str) -> DataFrame:
     """Rows of ``changes`` replace rows of ``existing`` with the same
     key; other existing rows stay; new keys are inserted.  A shuffle join on
@@ -85,16 +140,20 @@ def upsert_partitions(changes: DataFrame, table: str, key: list[str] | str, part
     through the semi-join), merged with the changes, staged as a written
     table in ``staging`` (a folder in the shared checkpoint location; this
     also cuts the lineage to the table being overwritten), then written
-    back with dynamic partition overwrite.  Untouched partitions are never
-    read or written, so the cost follows the batch, not the table.  A
-    replayed batch produces the same partitions again (idempotent)."""
+    back with dynamic partition overwrite, and the staged copy is removed.
+    Untouched partitions are never read or written: the cost is that of the
+    partitions touched, which for hash buckets and a batch of many keys is the
+    whole table.  A replayed batch produces the same partitions again
+    (idempotent)."""
     spark = changes.sparkSession
     key = [key] if isinstance(key, str) else list(key)
     try:
         # read with the batch's schema: partition values are never re-typed
         # by inference (a run '2024-01-01' stays text, '001' keeps its zeros)
         current = spark.read.schema(changes.schema).parquet(table)
-    except AnalysisException:
+    except AnalysisException as e:
+        if not _missing(e):
+            raise
         current = None
     if current is not None:
         touched = changes.select(partition_col).distinct()
@@ -105,3 +164,4 @@ def upsert_partitions(changes: DataFrame, table: str, key: list[str] | str, part
     (spark.read.schema(merged.schema).parquet(staging).hint("rebalance", partition_col)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(table))
+    _remove(spark, staging)

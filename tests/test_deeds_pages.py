@@ -53,10 +53,22 @@ def test_stream_equals_batch(spark, tmpdir_path):
     assert table(out) == table(D.deed_status(frame(spark, EVENTS)))
 
 
+def holders(page):
+    return list(P.holders(page, "Functies", frozenset(("QL", "RL"))))
+
+
 def test_directors_fixture(spark):
-    assert P.parse_directors(FIXTURE_PAGE) == [("Bestuurder", "Doe , Jane", "Sinds 1 januari 2020"),
-                                               ("Zaakvoerder", "Roe, Ann", "")]
-    assert P.parse_directors("<html><p>no table</p></html>") == []
+    assert holders(FIXTURE_PAGE) == [("Bestuurder", "Doe , Jane", "Sinds 1 januari 2020"), ("Zaakvoerder", "Roe, Ann", "")]
+    assert holders("<html><p>no table</p></html>") == [] and holders(None) == []
     df = spark.createDataFrame([("c1", FIXTURE_PAGE), ("c2", "<p/>"), ("c3", None)], "company string, html string")
     rows = P.extract_directors(df).collect()
     assert [(r["company"], r["pos"], r["name"]) for r in rows] == [("c1", 0, "Doe , Jane"), ("c1", 1, "Roe, Ann")]
+
+
+def test_directors_of_odd_pages():
+    head = "<tr><td><h2>Mijn Functies</h2></td></tr>"
+    assert holders(f"<table>{head}<tr><td class='x RL'>a<td>b  c<td>d</table><table>{head}<tr><td class=QL>no<td>no</table>") == [("a", "b c", "d")]
+    assert holders(f"<table><tr><td class=QL>a</td><td>b</td></tr>{head}</table>") == []
+    assert holders(f"<table>{head}<tr><td class=QL>a</td><td>b</td></tr><tr><td><h2>X</h2></td></tr>{head}<tr><td class=QL>c</td><td>d</td></tr></table>") == [("a", "b", "")]
+    # a table inside a cell: its cells are also cells of the row around it
+    assert holders(f"<table>{head}<tr><td class=QL>a<table><tr><td>b</td></tr></table></td><td>c</td></tr></table>") == [("ab", "b", "c")]

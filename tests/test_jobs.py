@@ -25,7 +25,7 @@ REGISTER = {
     "branch": (["Id", "StartDate", "EnterpriseNumber"], []),
     "contact": (["EntityNumber", "EntityContact", "ContactType", "Value"], []),
     "denomination": (["EntityNumber", "Language", "TypeOfDenomination", "Denomination"],
-                     [["0100.000.001", "2", "001", "Hotel A"], ["0100.000.001", "2", "1", "Hotel Alpha"]]),
+                     [["0100.000.001", "2", "002", "HA"], ["0100.000.001", "2", "001", "Hotel Alpha"], ["0100.000.001", "2", "1", "Hotel A"]]),
     "establishment": (["EstablishmentNumber", "StartDate", "EnterpriseNumber"], []),
     "code": (["Category", "Code", "Language", "Description"],
              [["Nace2008", "55100", "FR", "Hôtels"], ["Status", "AC", "FR", "Actif"],
@@ -52,7 +52,7 @@ def test_pipeline(spark, tmpdir_path):
     jobs.silver(spark, lake)
     s = {r["EnterpriseNumber"]: r for r in sinks.read_table(spark, f"{lake}/silver/companies").collect()}
     assert s["0100.000.001"]["JuridicalFormLabel"] == "Société anonyme"
-    assert [d["Denomination"] for d in s["0100.000.001"]["denominations"]] == ["Hotel Alpha", "Hotel A"]
+    assert [d["Denomination"] for d in s["0100.000.001"]["denominations"]] == ["Hotel Alpha", "Hotel A", "HA"]
     jobs.targets(spark, lake)
     state = sinks.read_table(spark, f"{lake}/state/download")
     assert sorted(r["_id"] for r in state.collect()) == ["0100.000.001", "0100.000.002"]
@@ -63,7 +63,7 @@ def test_pipeline(spark, tmpdir_path):
         "_id string, result string, new_done array<string>, new_migrated array<string>")
     sinks.write_replace(T.state_apply(state, outcomes), f"{lake}/state/download")
     jobs.compact(spark, lake, landed, buckets=4)
-    assert jobs.gold(spark, lake, landed, use_compacted=True, buckets=4)["targets"] == 2
+    assert jobs.gold(spark, lake, landed, use_compacted=True)["targets"] == 2
     g = {r["enterprise_number"]: r for r in sinks.read_table(spark, f"{lake}/gold/accounts").collect()}
     assert sorted(g) == ["0100.000.001", "0100.000.002"]
     assert [y["year"] for y in g["0100.000.002"]["years"]] == [2021, 2021]
@@ -91,3 +91,13 @@ def test_command_line_stages(spark, tmpdir_path, capsys):
     out = capsys.readouterr().out
     assert "loaded" in out and "snap-" in out
     assert sinks.read_table(spark, f"{lake}/silver/companies").count() == 3
+
+
+def test_quoted_line_breaks_stay_in_their_row(spark, tmpdir_path):
+    from ledgerlake.sources import register as R
+    folder = os.path.join(tmpdir_path, "reg-lines")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "denomination.csv"), "w", encoding="utf-8") as fh:
+        fh.write('"EntityNumber","Denomination"\n"1","Hotel\nParis"\n"2","say ""hi"",\n\nyou"\n')
+    rows = R.load_register(spark, folder)["denomination"].orderBy("_seq").collect()
+    assert [(r["EntityNumber"], r["Denomination"]) for r in rows] == [("1", "Hotel\nParis"), ("2", 'say "hi",\n\nyou')]
