@@ -215,9 +215,9 @@ def director_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Captured pages (company, html): one per customer with orders, whose
     section ``Functies`` names an office holder per order (by order key), between
     other sections."""
-    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderpriority", "o_clerk", "o_orderdate")
-    row = F.concat(F.lit('<tr><td class="QL">'), F.col("o_orderpriority"), F.lit('</td><td class="RL">  '),
-                   F.regexp_replace("o_clerk", "#", " <i>&amp;</i>\n "), F.lit("</td><td>"),
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderpriority", "o_orderdate")
+    row = F.concat(F.lit('<tr><td class="QL">'), F.col("o_orderpriority"), F.lit('</td><td class="RL">  Clerk <i>&amp;</i>\n '),
+                   _s(F.col("o_orderkey")), F.lit(" </td><td>"),
                    F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("</td></tr>"))
     rows = (o.groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", row.alias("row")))).alias("rows")))
     before = "<html><table><tr><td><h2>Algemeen</h2></td></tr><tr><td class='QL'>Status</td><td>Actief</td></tr><tr><td><h2>Functies</h2></td></tr>"

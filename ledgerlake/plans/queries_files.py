@@ -119,7 +119,7 @@ _HOLDERS = f"""
 holders AS (
   SELECT {_NUM.replace('c_custkey', 'o_custkey')} AS company,
          CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS INTEGER) AS pos,
-         o_orderpriority AS role, replace(o_clerk, '#', '& ') AS name, strftime(o_orderdate, '%Y-%m-%d') AS start_date
+         o_orderpriority AS role, 'Clerk&' || CAST(o_orderkey AS VARCHAR) AS name, strftime(o_orderdate, '%Y-%m-%d') AS start_date
   FROM orders)"""
 
 
