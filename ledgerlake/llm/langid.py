@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import slices
 
@@ -85,17 +86,22 @@ def train(docs: DataFrame, use: Column, smoothing: float = 0.5) -> LanguageModel
     return LanguageModel(languages, np.log(table / table.sum(0)).astype(np.float32))
 
 
-def _em(p: np.ndarray, starts: np.ndarray, sizes: np.ndarray, allowed: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """Proportions and log-likelihood of documents whose n-grams' likelihoods
-    are the rows of ``p`` (document d's from ``starts[d]`` on), over the
-    languages ``allowed`` (documents x languages)."""
-    of = np.repeat(np.arange(len(starts)), sizes)
-    pi = allowed / allowed.sum(1, keepdims=True)
-    for _ in range(rounds):
-        joint = p * pi[of]
-        joint /= joint.sum(1, keepdims=True)
-        pi = np.add.reduceat(joint, starts, axis=0) / sizes[:, None]
-    return pi, np.add.reduceat(np.log((p * pi[of]).sum(1)), starts)
+def _em(p: np.ndarray, times: np.ndarray, starts: np.ndarray, sizes: np.ndarray, total: np.ndarray, allowed: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Proportions (languages x documents), log-likelihood and a bound on how far
+    it is from the best, over the languages ``allowed``.  Document d has the
+    distinct n-grams from ``starts[d]`` on: likelihoods are the columns of ``p``,
+    how often each occurs is ``times``, and ``total`` is their sum a document."""
+    pi = allowed / allowed.sum(0)
+    for left in range(rounds, -1, -1):
+        joint = p * np.repeat(pi, sizes, axis=1)
+        mixed = joint.sum(0)
+        # mean of P(g|k) / P(g|mixture): the next proportions are pi times it, and by concavity it bounds what is still to gain
+        slope = np.add.reduceat(p * (times / mixed), starts, axis=1) / total
+        if not left:
+            gap = total * np.maximum((slope * (allowed > 0)).max(0) - 1, 0)
+            return pi, np.add.reduceat(np.log(mixed) * times, starts), gap
+        pi = pi * slope
+        pi /= pi.sum(0)
 
 
 def mixtures(model: LanguageModel, texts: list[str], penalty: float = 3.0, rounds: int = 25) -> np.ndarray:
@@ -103,56 +109,69 @@ def mixtures(model: LanguageModel, texts: list[str], penalty: float = 3.0, round
     got = [grams(t) for t in texts]
     sizes = np.array([len(g) for g in got])
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    logs = model.log_prob[np.concatenate(got)]
-    total = np.add.reduceat(logs, starts, axis=0, dtype=np.float64)
+    logs = np.ascontiguousarray(model.log_prob.T)[:, np.concatenate(got)]
+    total = np.add.reduceat(logs, starts, axis=1, dtype=np.float64).T
     best = total.argmax(1)
     pi = np.zeros(total.shape)
     pi[np.arange(len(texts)), best] = 1.0
     k = total.shape[1]
     if k == 1:
         return pi
-    ratio = np.exp(np.minimum(logs - logs[np.arange(len(logs)), np.repeat(best, sizes)][:, None], 60))
-    gain = np.add.reduceat(ratio, starts, axis=0, dtype=np.float64).max(1) - sizes
+    own = np.take_along_axis(logs, np.repeat(best, sizes)[None, :], axis=0)
+    gain = np.add.reduceat(np.exp(np.minimum(logs - own, 60)), starts, axis=1, dtype=np.float64).max(0) - sizes
     cost = penalty * np.log(np.maximum(sizes, 2))
     open_ = np.flatnonzero(gain > cost)
-    # a group of texts at a time, so that a task holds a bounded number of n-grams
+    # a group of texts at a time: its arrays stay in the processor's cache
     groups, held = [[]], 0
     for d in open_:
-        if held > 400_000:
+        if held > 60_000:
             groups.append([])
             held = 0
         groups[-1].append(d)
         held += sizes[d]
-    for ds in groups:
-        if not ds:
+    for ds in map(np.array, groups):
+        if not len(ds):
             continue
-        part_sizes = sizes[ds]
-        part_starts = np.concatenate([[0], np.cumsum(part_sizes)[:-1]])
-        part = np.concatenate([logs[starts[d]:starts[d] + sizes[d]] for d in ds]).astype(np.float64)
-        top = part.max(1, keepdims=True)
-        p, shift = np.exp(part - top), np.add.reduceat(top[:, 0], part_starts)
-        full, _ = _em(p, part_starts, part_sizes, np.ones((len(ds), k)), rounds)
-        order = np.argsort(-full, axis=1, kind="stable")
+        seen = [np.unique(got[d], return_counts=True) for d in ds]
+        times = np.concatenate([n for _, n in seen]).astype(np.float64)
+        part = model.log_prob[np.concatenate([g for g, _ in seen])].T.astype(np.float64)
+        top = part.max(0)
+        p = np.exp(part - top)
+
+        def fit(at: np.ndarray, allowed: np.ndarray, rounds: int):
+            """EM of the group's documents ``at``."""
+            size = np.array([len(seen[x][0]) for x in at])
+            inside = np.isin(of, at)
+            start = np.concatenate([[0], np.cumsum(size)[:-1]])
+            shares, ll, gap = _em(np.ascontiguousarray(p[:, inside]), times[inside], start, size, sizes[ds[at]].astype(np.float64), allowed, rounds)
+            return shares.T, ll + np.add.reduceat(top[inside] * times[inside], start), gap
+
+        of = np.repeat(np.arange(len(ds)), [len(g) for g, _ in seen])
+        at = np.arange(len(ds))
         score, chosen = total[ds, best[ds]].copy(), pi[ds]
+        _, ll, gap = fit(at, np.ones((k, len(at))), 4)
+        # even all languages together cannot pay for a second one: the single language stays
+        at = at[ll + gap > score + cost[ds]]
+        if not len(at):
+            continue
+        full, *_ = fit(at, np.ones((k, len(at))), rounds)
+        order = np.argsort(-full, axis=1, kind="stable")
         for m in range(2, k + 1):
-            allowed = np.zeros((len(ds), k))
+            allowed = np.zeros((len(at), k))
             np.put_along_axis(allowed, order[:, :m], 1.0, axis=1)
-            fit, ll = _em(p, part_starts, part_sizes, allowed, rounds)
-            now = ll + shift - cost[ds] * (m - 1)
-            better = now > score
-            score[better], chosen[better] = now[better], fit[better]
+            shares, ll, _ = fit(at, allowed.T, rounds)
+            now = ll - cost[ds[at]] * (m - 1)
+            better = now > score[at]
+            score[at[better]], chosen[at[better]] = now[better], shares[better]
         pi[ds] = chosen
     return pi
 
 
-SCHEMA = "lang_pred string, score double, proportions map<string,double>"
-
-
-def identify(docs: DataFrame, model: LanguageModel, penalty: float = 3.0) -> DataFrame:
+def identify(docs: DataFrame, model: LanguageModel, penalty: float = 3.0, names: tuple[str, str, str] = ("lang_pred", "score", "proportions")) -> DataFrame:
     """``docs`` (any columns, text among them) with lang_pred (the language of
     the largest proportion), score (that proportion) and proportions (of the
-    chosen language set).  Only ``text`` goes into a prediction."""
-    names = {f.split()[0] for f in SCHEMA.split(", ")}
+    chosen language set), under other names if given; columns of docs that
+    have these names are replaced.  Only ``text`` goes into a prediction."""
     keep = docs.select([c for c in docs.columns if c not in names])
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
@@ -174,7 +193,8 @@ def identify(docs: DataFrame, model: LanguageModel, penalty: float = 3.0) -> Dat
                     step, held = [], 0
             lang, score, parts = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(parts, pa.map_(pa.string(), pa.float64()))],
-                                             [*b.schema.names, "lang_pred", "score", "proportions"])
+                                             [*b.schema.names, *names])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep.schema)
-    return keep.mapInArrow(predicted, f"{schema}, {SCHEMA}")
+    schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in keep.schema), T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType()),
+                           T.StructField(names[2], T.MapType(T.StringType(), T.DoubleType()))])
+    return keep.mapInArrow(predicted, schema)
