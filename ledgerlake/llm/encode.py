@@ -32,8 +32,8 @@ _WORD_START = re.compile(r"(?<=\S)(?= \S)")
 _STOPS = (".", ",")
 _WIDE = ("  ", " \n", "\n ", "\n\n")
 
-#: Pieces a worker keeps (about 200 bytes each) and the longest one kept.
-CACHE_PIECES = 500_000
+#: Pieces of half a cache (about 200 bytes each) and the longest one kept.
+CACHE_PIECES = 250_000
 CACHE_LENGTH = 64
 
 
@@ -61,18 +61,26 @@ def _byte_chars() -> dict[int, str]:
 
 
 class _Pieces(dict):
-    """Piece -> id bytes; a piece not yet known is encoded when asked for."""
+    """Piece -> id bytes; a piece not yet known is encoded when asked for.  A
+    full cache becomes the older half, from which pieces in use come back."""
 
     def __init__(self, find):
         super().__init__()
-        self._find = find
+        self._find, self._older = find, {}
 
     def __missing__(self, piece: str) -> bytes:
-        out = self._find(piece, self)
+        out = self._older.get(piece)
+        if out is None:
+            out = self._find(piece, self)
         if len(piece) <= CACHE_LENGTH:
             self[piece] = out
         return out
 
+    def trim(self) -> None:
+        if len(self) > CACHE_PIECES:
+            self._older = dict(self)
+            self.clear()
+
 
 class Encoder:
     """``encode(texts)`` gives the ids of each text as little-endian bytes of
@@ -112,10 +120,9 @@ class Encoder:
             return array(self._code, [t.id for t in self._model.tokenize(text)]).tobytes()
         return self.ids(self._tok.encode(lead + piece, add_special_tokens=False).ids)
 
-    def _forget(self) -> None:
-        if len(self._plain) + len(self._spaced) > CACHE_PIECES:
-            self._plain.clear()
-            self._spaced.clear()
+    def _trim(self) -> None:
+        self._plain.trim()
+        self._spaced.trim()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         if self.rule == "whole":
@@ -124,11 +131,11 @@ class Encoder:
         return [one(t) if t else b"" for t in texts]
 
     def _dropped(self, text: str) -> bytes:
-        self._forget()
+        self._trim()
         return b"".join(map(self._plain.__getitem__, text.replace("\n", " ").split(" ")))
 
     def _prefixed(self, text: str) -> bytes:
-        self._forget()
+        self._trim()
         first, rest = self._plain.__getitem__, self._spaced.__getitem__
         if text[0] in " \n" or text[-1] in " \n" or any(w in text for w in _WIDE) or _OTHER_SPACE.search(text):
             return b"".join(map(first, _WORD_START.split(text)))

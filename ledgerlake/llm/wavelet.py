@@ -233,10 +233,13 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, shard_
      .select(F.col("value").cast("string").alias("value")).write.option("compression", "none").text(path))
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
+def read_documents(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
     """One row a document read back from the files: shard, segment, position
     (of the document in its segment), doc_id, seg_start (ids of the segment
-    before it), n_tokens, ids (binary, little-endian uint32)."""
+    before it), n_tokens, ids (binary, little-endian uint32); with ``digest``
+    ids_crc32 in place of ids."""
+    last = "ids_crc32" if digest else "ids"
+
     def decoded(batches):
         for b in batches:
             for content in b.column("content"):
@@ -244,14 +247,15 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                     ends = np.cumsum(lengths, dtype=np.int64)
                     raw = wm.values().astype("<u4").tobytes()
                     ids = [raw[4 * (e - n):4 * e] for e, n in zip(ends.tolist(), lengths.tolist())]
+                    ids = pa.array([crc32(x) for x in ids], pa.int64()) if digest else pa.array(ids, pa.binary())
                     k = len(doc_ids)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(k, shard)), pa.array(np.full(k, segment)), pa.array(np.arange(k)), pa.array(doc_ids, pa.int64()),
-                         pa.array(ends - lengths), pa.array(lengths.astype(np.int64)), pa.array(ids, pa.binary())],
-                        ["shard", "segment", "position", "doc_id", "seg_start", "n_tokens", "ids"])
+                         pa.array(ends - lengths), pa.array(lengths.astype(np.int64)), ids],
+                        ["shard", "segment", "position", "doc_id", "seg_start", "n_tokens", last])
 
     return (spark.read.format("binaryFile").load(path).select("content")
-            .mapInArrow(decoded, "shard long, segment long, position long, doc_id long, seg_start long, n_tokens long, ids binary"))
+            .mapInArrow(decoded, "shard long, segment long, position long, doc_id long, seg_start long, n_tokens long, " + ("ids_crc32 long" if digest else "ids binary")))
 
 
 def occurrences(spark: SparkSession, path: str, token: int) -> DataFrame:
@@ -272,13 +276,7 @@ def occurrences(spark: SparkSession, path: str, token: int) -> DataFrame:
 def digests(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start (ids of all documents before it over all files), n_tokens,
     ids_crc32 of each document in the files."""
-    def hashed(batches):
-        for b in batches:
-            crc = pa.array([crc32(x.as_buffer()) for x in b.column("ids")], pa.int64())
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], crc], [*b.schema.names[:-1], "ids_crc32"])
-
-    docs = read_documents(spark, path).mapInArrow(hashed, "shard long, segment long, position long, doc_id long, seg_start long, n_tokens long, ids_crc32 long")
-    docs = materialise(docs, "token-digests")
+    docs = materialise(read_documents(spark, path, digest=True), "token-digests")
     # one row a segment (a million ids), so one task can sum them up
     size = docs.groupBy("shard", "segment").agg(F.sum("n_tokens").alias("size"))
     size.createOrReplaceTempView("token_segments")
