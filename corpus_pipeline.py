@@ -2,7 +2,12 @@
 
 STAGES are (name, function); each function takes (spark, docs, sf_dir) and
 returns a DataFrame that is written as Parquet and read again as the docs of
-the next.
+the next.  Stages but the last return the columns of their docs.
+
+Documents are told apart by ``doc_id``.  A document without one cannot be
+matched with a verdict found elsewhere: it passes the quality, near-duplicate
+and decontamination stages unchanged.  Null or empty texts have no language and
+go in the first stage.  Empty tables pass as empty.
 """
 
 from __future__ import annotations
@@ -10,19 +15,56 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import packing
-from ledgerlake.llm.common import materialise, table, tokenizer_path
+from ledgerlake.llm import decontaminate, langid, packing, quality, simhash
+from ledgerlake.llm.common import id_remainder, materialise, table, tokenizer_path
+
+#: Least share of a document that its main language must have (a mixture of two or three languages has it).
+MAIN_LANGUAGE = 0.3
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` but those whose doc_id is in ``ids`` (column gone)."""
+    return docs.join(ids.select("gone").distinct(), docs["doc_id"] == F.col("gone"), "left_anti")
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents go that have no letter, or no language with at least MAIN_LANGUAGE of their text."""
+    model = langid.train(docs, id_remainder("doc_id", 3) != 1)
+    if not model.languages:  # nothing to tell languages by
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    found = langid.identify(docs, model, names=("_language", "_share", "_shares"))
+    return found.filter((F.col("_language") != "und") & (F.col("_share") >= MAIN_LANGUAGE)).select(*docs.columns)
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents go whose quality score is below 0.7."""
+    found = quality.score(docs, table(spark, sf_dir, "labels"), id_remainder("doc_id", 4) != 2, threshold=0.7)
+    return _without(docs, found.filter("predicted = 0").select(F.col("doc_id").alias("gone")))
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document of smallest doc_id stays, once."""
+    found = simhash.near_duplicates(docs.filter("doc_id IS NOT NULL"), words=3, max_bits=3)
+    stay = found.select(F.col("component_id").alias("stays")).distinct()
+    kept = docs.join(stay, docs["doc_id"] == F.col("stays"), "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.filter("doc_id IS NULL"))
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents go that hold a passage of a benchmark item."""
+    leaks = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return _without(docs, leaks.select(F.col("doc_id").alias("gone")))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs what is left into sequences of at most 1024 ids."""
+    """What is left, packed into sequences of at most 1024 ids."""
     out = packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), end_id=0, window=1024)
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-STAGES = [("packing", pack)]
+STAGES = [("language", language), ("quality", good), ("near_duplicates", distinct), ("decontamination", clean), ("packing", pack)]
 
-#: Tokenizers and trained models have no SQL form.
+#: Trained models, fingerprints, alignment and tokenizers have no SQL form.
 ORACLE_SQL = None
 
 

@@ -85,4 +85,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_chat_parts": r"""
+        WITH rows AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+        marked AS (
+            SELECT *, length(replace(replace(replace(role, '~', '~0'), '<', '~1'), chr(10), '~2')) + length(replace(replace(text, '~', '~0'), '<', '~1'))
+                + length('<|turn|>') + 1 + length('<|end|>') + 1 AS chars
+            FROM rows)
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+            CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+            CAST(sum(chars) AS BIGINT) AS formatted_chars
+        FROM marked GROUP BY conv_id""",
+}
