@@ -33,7 +33,7 @@ _STOPS = (".", ",")
 _WIDE = ("  ", " \n", "\n ", "\n\n")
 
 #: Pieces of half a cache (about 200 bytes each) and the longest one kept.
-CACHE_PIECES = 250_000
+CACHE_PIECES = 600_000
 CACHE_LENGTH = 64
 
 
