@@ -40,7 +40,6 @@ ACTIVE_STATUS = "AC"
 LEGAL_PERSON_KIND = "2"
 MAIN_CLASSIFICATION = "MAIN"
 DEPOSITS_SINCE = "2021-01-01"
-SEARCH_LIMIT = 50
 
 # Display texts of the screens.
 DEFAULT_NAME = "Entreprise sans dénomination"

@@ -45,13 +45,15 @@ def company_years(facts: DataFrame) -> DataFrame:
     return facts.withColumn("pos", F.row_number().over(w))
 
 
-def company_accounts(facts: DataFrame, as_of: Column) -> DataFrame:
+def company_accounts(facts: DataFrame, as_of: Column, key: str = "enterprise_number") -> DataFrame:
     """A3 + A4 + O1: nested gold rows.
 
     enterprise_number, schema_type (layout of the latest year; ties take the
     smallest filing_ref), last_updated, years (ascending by year, then
     filing_ref; several filings of one year all stay).  ``facts`` must carry
-    ``enterprise_number`` (see restore_company_number).
+    ``key``: the number as written (see restore_company_number), or the
+    digits-only ``enterprise_key``, which the result then has in its place
+    (one number a key, so the groups are the same; see numbered_accounts).
 
     One collect aggregate per company; the latest layout is read from the
     sorted array (first element of the greatest year), so no second
@@ -59,14 +61,22 @@ def company_accounts(facts: DataFrame, as_of: Column) -> DataFrame:
     """
     ratios = F.struct(*[F.col(c).alias(c) for c in RATIO_FIELDS])
     elem = F.struct(*[F.col(c) for c in YEAR_FIELDS], ratios.alias("ratios"), F.col("schema_type").alias("_st"))
-    agg = facts.groupBy("enterprise_number").agg(F.array_sort(F.collect_list(elem)).alias("_y"))
+    agg = facts.groupBy(key).agg(F.array_sort(F.collect_list(elem)).alias("_y"))
     last_year = F.array_max(F.transform("_y", lambda y: y["year"]))
     latest = F.try_element_at(F.filter("_y", lambda y: y["year"] == last_year), F.lit(1))
-    return agg.select("enterprise_number", latest["_st"].alias("schema_type"),
+    return agg.select(key, latest["_st"].alias("schema_type"),
                       as_of.cast("timestamp").alias("last_updated"),
                       F.transform("_y", lambda y: y.dropFields("_st")).alias("years"))
 
 
+def numbered_accounts(facts: DataFrame, state: DataFrame, as_of: Column) -> DataFrame:
+    """A3 + A4 + J6: nested gold rows of facts keyed by ``enterprise_key``.  The
+    written number is joined to one row a company, not to every filing, and
+    the join reuses the aggregation's partitioning."""
+    accounts = restore_company_number(company_accounts(facts, as_of, "enterprise_key"), state)
+    return accounts.select("enterprise_number", "schema_type", "last_updated", "years")
+
+
 def incremental_targets(download_state: DataFrame, gold_state: DataFrame) -> DataFrame:
     """J5 (+F5): companies whose download is done with a non-empty list of
     filings and that have no gold state, or a done ref not yet processed.

@@ -14,9 +14,9 @@ one job.  Semantics per query:
 * only companies with an activity in the sector codes (F10); at most
   ``limit`` per query, ordered by company number (O4).
 
-All matching is done with equi-joins on generated keys (tokens, n-grams,
-number windows); a nested-loop join is used only for fallback queries that
-contain regex metacharacters.
+All matching is done with equi-joins on generated keys (tokens, 3-grams,
+number keys); a nested-loop join is used only for fallback queries that
+contain regex metacharacters or have fewer than three characters.
 """
 
 from __future__ import annotations
@@ -26,22 +26,17 @@ import unicodedata
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..constants import HOTEL_NACE_CODES, SEARCH_LIMIT
+from ..constants import HOTEL_NACE_CODES
 from ..functions import expr as X
+from ..sources import sinks
 
 
 def _accent_table() -> tuple[str, str]:
-    """Letters of Latin-1 Supplement and Latin Extended-A whose canonical
-    decomposition starts with an ASCII letter, mapped to that letter (a rule
-    on the Unicode database, not a hand-written list)."""
-    src, dst = [], []
-    for cp in range(0x00C0, 0x0180):
-        ch = chr(cp)
-        base = unicodedata.normalize("NFD", ch)[0]
-        if base != ch and base.isascii() and base.isalpha():
-            src.append(ch)
-            dst.append(base)
-    return "".join(src), "".join(dst)
+    """Every letter of the basic plane that is another letter with marks, and
+    that letter (a rule on the Unicode database, not a hand-written list)."""
+    pairs = [(chr(cp), unicodedata.normalize("NFD", chr(cp))) for cp in range(0xC0, 0xD7FF)]
+    pairs = [(c, d[0]) for c, d in pairs if len(d) > 1 and all(unicodedata.combining(m) for m in d[1:])]
+    return "".join(c for c, _ in pairs), "".join(d for _, d in pairs)
 
 
 _ACCENTED, _PLAIN = _accent_table()
@@ -50,8 +45,9 @@ TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 
 
 def fold(c: Column) -> Column:
-    """Lower case with accents stripped (search tokens)."""
-    return F.translate(F.lower(c), _ACCENTED.lower(), _PLAIN.lower())
+    """Lower case with accents stripped, whether they are part of a letter or
+    marks of their own (search tokens)."""
+    return F.regexp_replace(F.translate(F.lower(c), _ACCENTED, _PLAIN), r"\p{M}+", "")
 
 
 def tokens(c: Column) -> Column:
@@ -84,35 +80,32 @@ def classify(queries: DataFrame) -> DataFrame:
             .withColumn("kind", X.query_kind(F.col("qt"))))
 
 
-def _number_windows(cands: DataFrame) -> DataFrame:
-    """Every substring of a company number that a number query can match:
-    (wkind='run', n, key) for lengths 5..len, and (wkind='dotted', 12,
-    key of 10 digits at the non-wildcard positions) for 12-char windows."""
-    num = F.col("EnterpriseNumber")
-    L = F.length(num)
-    w = cands.select("EnterpriseNumber",
-                     F.explode(F.sequence(F.lit(5), F.greatest(L, F.lit(5)))).alias("n")).filter(F.col("n") <= L)
-    w = w.select("EnterpriseNumber", "n", F.explode(F.sequence(F.lit(1), L - F.col("n") + 1)).alias("p"))
-    win = num.substr(F.col("p"), F.col("n"))
-    runs = w.select("EnterpriseNumber", F.lit("run").alias("wkind"), "n", win.alias("key"))
-    dotted = (w.filter(F.col("n") == 12)
-              .select("EnterpriseNumber", win.alias("w"))
-              .filter((F.substring("w", 5, 1) != "\n") & (F.substring("w", 9, 1) != "\n"))
-              .select("EnterpriseNumber", F.lit("dotted").alias("wkind"), F.lit(12).alias("n"),
+def _number_keys(cands: DataFrame) -> DataFrame:
+    """What number queries can match in a company number, as (wkind, key).
+
+    ``dotted``: the ten digits of a 12-character stretch dddd.ddd.ddd (the
+    dots stand for any character); a number as the register writes it has
+    one.  ``run``: the stretches of five and more within a run of digits; a
+    dotted number has none, so only undotted numbers give any."""
+    num, n = F.col("EnterpriseNumber"), F.length("EnterpriseNumber")
+    at = F.when(n >= 12, F.sequence(F.lit(1), n - 11)).otherwise(F.array().cast("array<int>"))
+    dotted = (cands.select(num, F.explode(at).alias("p")).select("EnterpriseNumber", num.substr(F.col("p"), F.lit(12)).alias("w"))
+              .filter(F.col("w").rlike("^[0-9]{4}.[0-9]{3}.[0-9]{3}$"))
+              .select("EnterpriseNumber", F.lit("dotted").alias("wkind"),
                       F.concat(F.substring("w", 1, 4), F.substring("w", 6, 3), F.substring("w", 10, 3)).alias("key")))
-    return runs.unionByName(dotted).distinct()
+    runs = cands.select(num, F.explode(F.regexp_extract_all(num, F.lit("([0-9]{5,})"))).alias("r"))
+    runs = runs.select("EnterpriseNumber", "r", F.explode(F.sequence(F.lit(1), F.length("r") - 4)).alias("p"))
+    runs = runs.select("EnterpriseNumber", "r", "p", F.explode(F.sequence(F.lit(5), F.length("r") - F.col("p") + 1)).alias("n"))
+    return dotted.unionByName(runs.select("EnterpriseNumber", F.lit("run").alias("wkind"), F.col("r").substr(F.col("p"), F.col("n")).alias("key")))
 
 
 def number_hits(cands: DataFrame, q: DataFrame) -> DataFrame:
-    """J13 as an equi-join on (kind, length, key)."""
+    """J13 as an equi-join on (kind, key): one key a dotted company number."""
     nd = F.length("digits")
-    d10 = F.when(nd == 9, F.concat(F.lit("0"), F.col("digits"))).otherwise(F.col("digits"))
     qk = (q.filter(F.col("kind") == "number")
-          .select("query_id",
-                  F.when(nd.isin(9, 10), F.lit("dotted")).otherwise(F.lit("run")).alias("wkind"),
-                  F.when(nd.isin(9, 10), F.lit(12)).otherwise(nd).alias("n"),
-                  F.when(nd.isin(9, 10), d10).otherwise(F.col("digits")).alias("key")))
-    return (qk.join(_number_windows(cands), ["wkind", "n", "key"])
+          .select("query_id", F.when(nd.isin(9, 10), F.lit("dotted")).otherwise(F.lit("run")).alias("wkind"),
+                  F.when(nd == 9, F.concat(F.lit("0"), F.col("digits"))).otherwise(F.col("digits")).alias("key")))
+    return (qk.join(_number_keys(cands), ["wkind", "key"])
             .select("query_id", "EnterpriseNumber", F.lit("number").alias("source")).distinct())
 
 
@@ -122,11 +115,23 @@ def _names(cands: DataFrame) -> DataFrame:
             .filter(F.col("name").isNotNull()))
 
 
-def token_hits(names: DataFrame, q: DataFrame) -> DataFrame:
-    """Token index join (OR of query tokens)."""
+def _first_of_token(index: DataFrame, limit: int) -> DataFrame:
+    """The first ``limit`` companies of each token, by company number.  A
+    query's answer is its first ``limit`` companies by number, and those that an OR
+    of tokens finds first are among the first of each token, so nothing is
+    lost, and a very common token moves only so many rows (the rank
+    filter is a partial top-n before the shuffle)."""
+    w = Window.partitionBy("tok").orderBy("EnterpriseNumber")
+    return index.withColumn("_n", F.dense_rank().over(w)).filter(F.col("_n") <= limit).drop("_n")
+
+
+def token_hits(names: DataFrame, q: DataFrame, limit: int) -> DataFrame:
+    """Token index join (OR of query tokens): for each query the first
+    ``limit`` companies at least."""
     nt = names.select("EnterpriseNumber", F.explode(tokens(F.col("name"))).alias("tok"))
     qt = q.filter(F.col("kind") == "name").select("query_id", F.explode(tokens(F.col("qt"))).alias("tok"))
-    return qt.join(nt, "tok").select("query_id", "EnterpriseNumber", F.lit("token").alias("source")).distinct()
+    return (qt.join(_first_of_token(nt, limit), "tok")
+            .select("query_id", "EnterpriseNumber", F.lit("token").alias("source")).distinct())
 
 
 def _grams(c: Column, n: int) -> Column:
@@ -136,34 +141,24 @@ def _grams(c: Column, n: int) -> Column:
                     lambda g: F.length(g) == n)
 
 
-def _tagged_grams(c: Column, n: int) -> Column:
-    return F.transform(_grams(c, n), lambda g: F.struct(F.lit(n).alias("gl"), g.alias("g")))
-
-
 def regex_hits(names: DataFrame, q: DataFrame) -> DataFrame:
     """Case-insensitive regex on names for the given name queries.
 
-    Literal queries (no regex metacharacter) are narrowed with an n-gram
-    index (1-, 2- and 3-grams of ASCII-lower-cased names: a name can only
-    contain the query if it has every 3-gram of it, or the 1-/2-gram itself)
-    and then verified with the regex.  Other queries are tested against all
-    names (nested-loop join with the small query side)."""
-    plain = ~F.col("qt").rlike(REGEX_META) & (F.length("qt") > 0)
+    Literal queries of three characters and more are narrowed with an index of
+    3-grams of the ASCII-lower-cased names (a name can only contain the query if
+    it has every 3-gram of it) and then verified with the regex.  Shorter
+    ones and those with metacharacters are tested against all names
+    (nested-loop join with the query side)."""
+    qf = X.ascii_lower(F.col("qt"))
+    plain = ~F.col("qt").rlike(REGEX_META) & (F.length(qf) >= 3)
     lit = q.filter(plain)
     other = q.filter(~plain)
-    qf = X.ascii_lower(F.col("qt"))
-    qlen = F.length(qf)
-    qg = lit.select("query_id", "qt", F.when(qlen >= 3, _grams(qf, 3)).otherwise(F.array(qf)).alias("gs"),
-                    F.least(qlen, F.lit(3)).alias("gl"))
-    qg = qg.select("query_id", "qt", "gl", F.size("gs").alias("need"), F.explode("gs").alias("g"))
+    qg = lit.select("query_id", "qt", _grams(qf, 3).alias("gs"))
+    qg = qg.select("query_id", "qt", F.size("gs").alias("need"), F.explode("gs").alias("g"))
     # grams of every name, exploded map-side (no global distinct); only the
-    # grams that some query needs survive the join with the small query side
-    # gram lengths the batch needs (at most three small ints; usually only 3)
-    lengths = sorted(r[0] for r in qg.select("gl").distinct().collect()) or [3]
-    nf = X.ascii_lower(F.col("name"))
-    index = names.select("EnterpriseNumber", F.explode(F.concat(*[_tagged_grams(nf, n) for n in lengths])).alias("x")
-    ).select("EnterpriseNumber", "x.gl", "x.g")
-    cand = (index.join(qg, ["gl", "g"])
+    # grams that some query needs survive the join with the query side
+    index = names.select("EnterpriseNumber", F.explode(_grams(X.ascii_lower(F.col("name")), 3)).alias("g"))
+    cand = (index.join(qg, "g")
             .groupBy("query_id", "qt", "need", "EnterpriseNumber").agg(F.collect_set("g").alias("have"))
             .filter(F.size("have") == F.col("need")).select("query_id", "qt", "EnterpriseNumber"))
     pattern = F.concat(F.lit("(?i)"), F.col("qt"))
@@ -178,21 +173,14 @@ def regex_hits(names: DataFrame, q: DataFrame) -> DataFrame:
     return verified.unionByName(theta).distinct().withColumn("source", F.lit("regex"))
 
 
-def rank_limit(hits: DataFrame, limit: int = SEARCH_LIMIT) -> DataFrame:
+def rank_limit(hits: DataFrame, limit: int) -> DataFrame:
     """At most ``limit`` companies per query, by company number.  The
     rank filter becomes a partial top-n before the shuffle."""
     w = Window.partitionBy("query_id").orderBy("EnterpriseNumber")
     return hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit)
 
 
-def search(companies: DataFrame, queries: DataFrame, *, codes=HOTEL_NACE_CODES,
-           limit: int = SEARCH_LIMIT) -> DataFrame:
-    """J11-J13 + O4 + F11.  Output: query_id, rank, EnterpriseNumber,
-    source ('number' | 'token' | 'regex') and the projected fields."""
-    cands = companies.filter(has_sector(F.col("activities"), codes))
-    q = classify(queries)
-    names = _names(cands)
-    tok = token_hits(names, q)
+def _answer(cands: DataFrame, names: DataFrame, q: DataFrame, tok: DataFrame, limit: int) -> DataFrame:
     num = number_hits(cands, q)
     leftover = q.filter(F.col("kind") == "name").join(tok.select("query_id").distinct(), "query_id", "left_anti")
     rx = regex_hits(names, leftover)
@@ -202,6 +190,16 @@ def search(companies: DataFrame, queries: DataFrame, *, codes=HOTEL_NACE_CODES,
         "addresses", "activities")
 
 
+def search(companies: DataFrame, queries: DataFrame, *, limit: int, codes=HOTEL_NACE_CODES) -> DataFrame:
+    """J11-J13 + O4 + F11: at most ``limit`` companies a query.  Output: query_id,
+    rank, EnterpriseNumber, source ('number' | 'token' | 'regex') and the
+    projected fields."""
+    cands = companies.filter(has_sector(F.col("activities"), codes))
+    q = classify(queries)
+    names = _names(cands)
+    return _answer(cands, names, q, token_hits(names, q, limit), limit)
+
+
 # ------------------------------------------------------------------ persistent name index
 
 def token_bucket(tok: Column, buckets: int) -> Column:
@@ -218,30 +216,30 @@ def build_name_index(companies: DataFrame, out: str, buckets: int = 64) -> None:
     # several write tasks by AQE
     (toks.hint("rebalance", "tok").sortWithinPartitions("tok_bucket", "tok")
      .write.mode("overwrite").partitionBy("tok_bucket").parquet(out))
+    sinks.write_bucket_layout(companies.sparkSession, out, buckets)
 
 
-def token_hits_indexed(index: DataFrame, q: DataFrame, cands: DataFrame, buckets: int = 64) -> DataFrame:
+def token_hits_indexed(index: DataFrame, q: DataFrame, cands: DataFrame, buckets: int, limit: int) -> DataFrame:
     """J11 against a persistent index: query tokens join the index on
     (bucket, token) -- dynamic partition pruning skips other buckets --
-    then hits are restricted to the candidate (sector) companies."""
+    among the candidate (sector) companies."""
     qt = (q.filter(F.col("kind") == "name").select("query_id", F.explode(tokens(F.col("qt"))).alias("tok"))
           .withColumn("tok_bucket", token_bucket(F.col("tok"), buckets)))
-    hits = qt.join(index, ["tok_bucket", "tok"]).select("query_id", "EnterpriseNumber")
-    return (hits.join(cands.select("EnterpriseNumber"), "EnterpriseNumber", "left_semi")
+    own = index.join(qt.select("tok_bucket", "tok").distinct(), ["tok_bucket", "tok"], "left_semi")
+    own = own.join(cands.select("EnterpriseNumber"), "EnterpriseNumber", "left_semi").select("tok", "EnterpriseNumber")
+    return (qt.join(_first_of_token(own, limit), "tok").select("query_id", "EnterpriseNumber")
             .withColumn("source", F.lit("token")).distinct())
 
 
-def search_indexed(companies: DataFrame, index: DataFrame, queries: DataFrame, *, codes=HOTEL_NACE_CODES,
-                   limit: int = SEARCH_LIMIT, buckets: int = 64) -> DataFrame:
-    """``search`` with the name tokens read from ``build_name_index``."""
+def search_indexed(companies: DataFrame, index_path: str, queries: DataFrame, *, limit: int,
+                   codes=HOTEL_NACE_CODES) -> DataFrame:
+    """``search`` with the name tokens read from ``build_name_index``, whose
+    bucket count is the one stored with it."""
+    spark = companies.sparkSession
+    buckets = sinks.bucket_layout(spark, index_path)
+    if buckets is None:
+        raise ValueError(f"{index_path} holds no bucket count: build the index again")
     cands = companies.filter(has_sector(F.col("activities"), codes))
     q = classify(queries)
-    names = _names(cands)
-    tok = token_hits_indexed(index, q, cands, buckets)
-    num = number_hits(cands, q)
-    leftover = q.filter(F.col("kind") == "name").join(tok.select("query_id").distinct(), "query_id", "left_anti")
-    rx = regex_hits(names, leftover)
-    hits = rank_limit(num.unionByName(tok).unionByName(rx), limit)
-    return hits.join(search_projection(cands), "EnterpriseNumber").select(
-        "query_id", "rank", "EnterpriseNumber", "source", "StatusLabel", "JuridicalFormLabel", "denominations",
-        "addresses", "activities")
+    tok = token_hits_indexed(spark.read.parquet(index_path), q, cands, buckets, limit)
+    return _answer(cands, _names(cands), q, tok, limit)

@@ -22,9 +22,9 @@ def company_profile(silver: DataFrame, gold: DataFrame, numbers: DataFrame | Non
     null when neither exists.  With ``numbers`` (a table of requested
     numbers in any form), only those companies are returned (X2 applied).
 
-    One equi-join on the digits-only key; the choice between the two key
-    forms is a row_number over (key, silver row), which the join's hash
-    partitioning on the key already satisfies (no extra exchange)."""
+    Gold rows are gathered by the digits-only key first (a key has one row a
+    written form), so companies join once and nested documents are never
+    sorted or windowed."""
     s = silver
     g = gold.select(F.col("enterprise_number").alias("_gnum"),
                     F.translate("enterprise_number", ".", "").alias("_gk"),
@@ -35,15 +35,14 @@ def company_profile(silver: DataFrame, gold: DataFrame, numbers: DataFrame | Non
         wanted = numbers.select(X.normalize_company_number(F.col(number_col)).alias("EnterpriseNumber")).distinct()
         s = s.join(wanted, "EnterpriseNumber", "left_semi")
         g = g.join(wanted.select(F.translate("EnterpriseNumber", ".", "").alias("_gk")), "_gk", "left_semi")
-    s = s.withColumns({"_rid": F.monotonically_increasing_id(),
-                       "_k": F.translate("EnterpriseNumber", ".", "")})
-    cond = (F.col("_k") == F.col("_gk")) & ((F.col("_gnum") == F.col("EnterpriseNumber"))
-                                           | (F.col("_gnum") == F.col("_k")))
-    j = s.join(g, cond, "left")
-    prio = F.when(F.col("_gnum") == F.col("EnterpriseNumber"), 0).otherwise(1)
-    w = Window.partitionBy("_k", "_rid").orderBy(prio)
-    return (j.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
-            .drop("_rn", "_rid", "_k", "_gk", "_gnum"))
+    forms = g.groupBy("_gk").agg(F.collect_list(F.struct("_gnum", "gold_data")).alias("_forms"))
+    j = s.withColumn("_k", F.translate("EnterpriseNumber", ".", "")).join(forms, F.col("_k") == F.col("_gk"), "left")
+
+    def written(number: str) -> Column:
+        own = F.filter("_forms", lambda f: f["_gnum"] == F.col(number))
+        return F.try_element_at(own, F.lit(1))["gold_data"]
+
+    return j.withColumn("gold_data", F.coalesce(written("EnterpriseNumber"), written("_k"))).drop("_k", "_gk", "_forms")
 
 
 # ------------------------------------------------------------------ flows
@@ -66,9 +65,9 @@ def _num0(c: Column) -> Column:
     return F.when(c.isNull() | F.isnan(c), F.lit(0.0)).otherwise(c)
 
 
-def flow_edges(years: DataFrame) -> DataFrame:
-    """G1 on one row per (company, year): edge list source -> target with
-    value > 0.  Nodes: 0 revenue, 1 gross margin, 2 cost of sales, 3 EBIT,
+def _with_edges(years: DataFrame) -> DataFrame:
+    """G1 on one row per (company, year): ``_ca`` and ``_edges``, the array of
+    edges source -> target with value > 0.  Nodes: 0 revenue, 1 gross margin, 2 cost of sales, 3 EBIT,
     4 operating charges, 5 net profit, 6 financial charges and taxes,
     7 net loss.  Flows need not balance."""
     ca = F.greatest(F.lit(0.0), _num0(F.col("ca")))
@@ -94,8 +93,12 @@ def flow_edges(years: DataFrame) -> DataFrame:
         e(3, 5, F.col("_np")), e(3, 6, tax),
         F.struct(F.when(F.col("_ep") > 0, F.lit(3)).otherwise(F.lit(1)).alias("source"), F.lit(7).alias("target"),
                  F.col("_loss").alias("value")))
-    return (base.select("enterprise_number", "year", "_ca",
-                        F.explode(F.filter(edges, lambda x: x["value"] > 0)).alias("e"))
+    return base.select("enterprise_number", "year", "_ca", F.filter(edges, lambda x: x["value"] > 0).alias("_edges"))
+
+
+def flow_edges(years: DataFrame) -> DataFrame:
+    """G1 on one row per (company, year): one row per edge."""
+    return (_with_edges(years).select("enterprise_number", "year", F.explode("_edges").alias("e"))
             .select("enterprise_number", "year", "e.source", "e.target", "e.value"))
 
 
@@ -110,24 +113,20 @@ def pnl_flows(gold: DataFrame) -> DataFrame:
     return flow_edges(first_filing_per_year(_years_of(gold)))
 
 
-def flow_node_totals(flows: DataFrame, years: DataFrame) -> DataFrame:
+def flow_node_totals(years: DataFrame) -> DataFrame:
     """Total per node: node 0 = revenue (max(0, ca)); other nodes = sum
     of incoming edges, or, when that is 0, the sum of outgoing edges.
-    ``years``: one row per (company, year) with ``ca``.  One row per node
-    0..7 of every (company, year)."""
-    keys = ["enterprise_number", "year"]
-    contrib = (flows.select(*keys, F.col("target").alias("node"), F.col("value").alias("_in"),
-                            F.lit(0.0).alias("_out"))
-               .unionByName(flows.select(*keys, F.col("source").alias("node"), F.lit(0.0).alias("_in"),
-                                         F.col("value").alias("_out"))))
-    sums = contrib.groupBy(*keys, "node").agg(F.sum("_in").alias("_in"), F.sum("_out").alias("_out"))
-    nodes = years.select(*keys, F.greatest(F.lit(0.0), _num0(F.col("ca"))).alias("_ca"),
-                         F.explode(F.sequence(F.lit(0), F.lit(7))).alias("node"))
-    j = nodes.join(sums, keys + ["node"], "left")
-    inc = F.coalesce("_in", F.lit(0.0))
-    total = (F.when(F.col("node") == 0, F.col("_ca"))
-             .when(inc != 0, inc).otherwise(F.coalesce("_out", F.lit(0.0))))
-    return j.select(*keys, "node", total.alias("total"))
+    ``years``: one row per (company, year) with the amounts.  One row per node
+    0..7 of every (company, year), all from that row's edge array: no join,
+    no aggregation."""
+    def through(end: str, node: Column) -> Column:
+        return F.aggregate(F.filter("_edges", lambda e: e[end] == node), F.lit(0.0), lambda s, e: s + e["value"])
+
+    node = F.col("node")
+    incoming = through("target", node)
+    total = F.when(node == 0, F.col("_ca")).when(incoming != 0, incoming).otherwise(through("source", node))
+    return (_with_edges(years).withColumn("node", F.explode(F.sequence(F.lit(0), F.lit(7))))
+            .select("enterprise_number", "year", "node", total.alias("total")))
 
 
 # ------------------------------------------------------------------ series

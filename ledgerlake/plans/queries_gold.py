@@ -101,6 +101,11 @@ def flat_accounts(acc):
     )
 
 
+def _numbered_accounts(spark, sf_dir):
+    ds = AD.download_state(spark, sf_dir).filter(F.col("status") == "done")
+    return G.numbered_accounts(A.facts_from_lines(AD.filing_lines(spark, sf_dir)), ds, AD.as_of())
+
+
 def _restored_facts(spark, sf_dir):
     facts = A.facts_from_lines(AD.filing_lines(spark, sf_dir))
     ds = AD.download_state(spark, sf_dir).filter(F.col("status") == "done")
@@ -131,7 +136,7 @@ def q_company_years(spark, sf_dir):
 
 @register("company_accounts", _accounts_flat_sql())
 def q_company_accounts(spark, sf_dir):
-    return flat_accounts(G.company_accounts(_restored_facts(spark, sf_dir), AD.as_of()))
+    return flat_accounts(_numbered_accounts(spark, sf_dir))
 
 
 LATEST_SCHEMA_SQL = (O.FACTS_WITH + "," + RESTORED_CTE + """
@@ -143,8 +148,7 @@ FROM f""")
 
 @register("latest_schema", LATEST_SCHEMA_SQL)
 def q_latest_schema(spark, sf_dir):
-    return G.company_accounts(_restored_facts(spark, sf_dir), AD.as_of()).select(
-        "enterprise_number", "schema_type")
+    return _numbered_accounts(spark, sf_dir).select("enterprise_number", "schema_type")
 
 
 INCREMENTAL_TARGETS_SQL = "WITH " + TARGETS_CTE + "\nSELECT _id, filings_count FROM targets"

@@ -13,7 +13,7 @@ from ..sources import register as R
 from ..sources import sinks
 from . import adapters as AD
 from . import oracle as O
-from .queries_search import SEARCH_SQL, SECTOR, query_batch
+from .queries_search import LIMIT, SEARCH_SQL, SECTOR, query_batch
 from .queries_silver import _scratch
 from .registry import register
 
@@ -105,13 +105,13 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY Enterpri
 @register("search_by_name", _ranked("tokhits"))
 def q_search_by_name(spark, sf_dir):
     cands, q, names = _search_parts(spark, sf_dir)
-    return SE.rank_limit(SE.token_hits(names, q)).select("query_id", "rank", "EnterpriseNumber")
+    return SE.rank_limit(SE.token_hits(names, q, LIMIT), LIMIT).select("query_id", "rank", "EnterpriseNumber")
 
 
 @register("search_by_number", _ranked("numhits"))
 def q_search_by_number(spark, sf_dir):
     cands, q, names = _search_parts(spark, sf_dir)
-    return SE.rank_limit(SE.number_hits(cands, q)).select("query_id", "rank", "EnterpriseNumber")
+    return SE.rank_limit(SE.number_hits(cands, q), LIMIT).select("query_id", "rank", "EnterpriseNumber")
 
 
 @register("search_fallback_regex", _SQL_HEAD.replace(
@@ -121,5 +121,5 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY Enterpri
 def q_search_fallback_regex(spark, sf_dir):
     """J12 for every name query (not only those without token hits)."""
     cands, q, names = _search_parts(spark, sf_dir)
-    return SE.rank_limit(SE.regex_hits(names, q.filter(F.col("kind") == "name"))).select(
+    return SE.rank_limit(SE.regex_hits(names, q.filter(F.col("kind") == "name")), LIMIT).select(
         "query_id", "rank", "EnterpriseNumber")

@@ -9,6 +9,7 @@ from . import adapters as AD
 from . import oracle as O
 from .registry import register
 
+LIMIT = 50
 SECTOR = ("ECONOMY", "LARGE", "PROMO", "STANDARD")
 
 # A batch of user queries: words, partial words, regex text, numbers in
@@ -55,12 +56,28 @@ rxhits AS (SELECT DISTINCT query_id, EnterpriseNumber, 'regex' AS source
 allh AS (SELECT * FROM numhits UNION ALL SELECT * FROM tokhits UNION ALL SELECT * FROM rxhits)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY EnterpriseNumber) AS INTEGER) AS rank,
        EnterpriseNumber, source
-FROM allh QUALIFY rank <= 50"""
+FROM allh QUALIFY rank <= {LIMIT}"""
 
 
 @register("search", SEARCH_SQL)
 def q_search(spark, sf_dir):
-    res = SE.search(AD.search_companies(spark, sf_dir), query_batch(spark), codes=SECTOR)
+    res = SE.search(AD.search_companies(spark, sf_dir), query_batch(spark), limit=LIMIT, codes=SECTOR)
+    return res.select("query_id", "rank", "EnterpriseNumber", "source")
+
+
+# One name query and one number query a part row.
+PART_QUERIES = """SELECT CAST(p_partkey AS INTEGER) AS query_id, p_name AS q FROM part
+           UNION ALL SELECT CAST(p_partkey + 10000000 AS INTEGER), lpad(CAST(p_partkey AS VARCHAR), 9, '0') FROM part"""
+
+
+@register("search_part_batch", SEARCH_SQL.replace(f"SELECT * FROM (VALUES {_values}) t(query_id, q)", PART_QUERIES))
+def q_search_part_batch(spark, sf_dir):
+    """Search with a batch that grows with the tables: every part's name and number."""
+    p = AD.table(spark, sf_dir, "part")
+    batch = p.select(F.col("p_partkey").cast("int").alias("query_id"), F.col("p_name").alias("q")).unionByName(
+        p.select((F.col("p_partkey") + 10000000).cast("int").alias("query_id"),
+                 F.lpad(F.col("p_partkey").cast("string"), 9, "0").alias("q")))
+    res = SE.search(AD.search_companies(spark, sf_dir), batch, limit=LIMIT, codes=SECTOR)
     return res.select("query_id", "rank", "EnterpriseNumber", "source")
 
 
@@ -110,5 +127,5 @@ def q_search_indexed(spark, sf_dir):
     companies = AD.search_companies(spark, sf_dir)
     path = _scratch(spark)
     SE.build_name_index(companies, path, buckets=16)
-    res = SE.search_indexed(companies, spark.read.parquet(path), query_batch(spark), codes=SECTOR, buckets=16)
+    res = SE.search_indexed(companies, path, query_batch(spark), limit=LIMIT, codes=SECTOR)
     return res.select("query_id", "rank", "EnterpriseNumber", "source")

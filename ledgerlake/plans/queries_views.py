@@ -10,14 +10,14 @@ from ..operators import gold as G
 from ..operators import views as V
 from . import adapters as AD
 from . import oracle as O
-from .queries_gold import AS_OF_SQL, RESTORED_CTE, _restored_facts
+from .queries_gold import AS_OF_SQL, RESTORED_CTE, _numbered_accounts
 from .registry import register
 from .silver_run import build_silver
 
 
 def gold_table(spark, sf_dir):
     """Nested gold rows of all companies of the test tables."""
-    return G.company_accounts(_restored_facts(spark, sf_dir), AD.as_of())
+    return _numbered_accounts(spark, sf_dir)
 
 
 GOLD_W = O.FACTS_WITH + "," + RESTORED_CTE
@@ -94,8 +94,7 @@ FROM nodes n LEFT JOIN inc i USING (enterprise_number, year, node) LEFT JOIN out
 @register("flow_node_totals", NODE_SQL)
 def q_flow_node_totals(spark, sf_dir):
     years = V.first_filing_per_year(V.year_rows(gold_table(spark, sf_dir)))
-    flows = V.flow_edges(years)
-    t = V.flow_node_totals(flows, years)
+    t = V.flow_node_totals(years)
     return t.select("enterprise_number", "year", "node", F.round("total", 2).alias("total"))
 
 
@@ -179,11 +178,34 @@ def q_display_texts(spark, sf_dir):
                     "is_active", "status_text", "status_list_text", "form_text", "start_text")
 
 
-@register("ratio_texts")
+# Both sides print from the same exact decimal expansion of the double; ties at
+# the last digit are rounded up (away from zero).
+def _fixed(x: str, digits: int) -> str:
+    return f"printf('%.{digits}f', CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 20)), {digits}) AS DOUBLE))"
+
+
+def _ratio_text_sql(x: str) -> str:
+    return f"CASE WHEN {x} IS NULL OR isnan({x}) OR {x} = 0 THEN 'N/C' ELSE {_fixed(x, 1)} || ' %' END AS {x}_text"
+
+
+RATIO_TEXTS_SQL = GOLD_W + f"""
+SELECT enterprise_number, year, filing_ref, {_ratio_text_sql('roe')}, {_ratio_text_sql('marge_brute')}, {_ratio_text_sql('marge_nette')},
+       {_ratio_text_sql('endettement')},
+       CASE WHEN liquidite IS NULL OR isnan(liquidite) OR liquidite = 0 THEN 'N/C' ELSE {_fixed('liquidite', 2)} END AS liquidite_text
+FROM f"""
+
+
+@register("ratio_texts", RATIO_TEXTS_SQL)
 def q_ratio_texts(spark, sf_dir):
     return V.ratio_texts(V.year_rows(gold_table(spark, sf_dir)))
 
 
-@register("amount_texts")
+_AMOUNTS = ("ca", "marge_brute", "ebit", "resultat_net", "tresorerie", "dettes_financieres", "fonds_propres", "capital_souscrit")
+AMOUNT_TEXTS_SQL = GOLD_W + "\nSELECT enterprise_number, year, filing_ref, " + ", ".join(
+    f"CASE WHEN {a} IS NULL THEN 'N/C' ELSE regexp_replace(format('{{:,.3f}}', {a}), '(\\.[0-9]*[1-9])0+$|\\.0+$', '\\1') || ' €' END AS {a}_text"
+    for a in _AMOUNTS) + "\nFROM f"
+
+
+@register("amount_texts", AMOUNT_TEXTS_SQL)
 def q_amount_texts(spark, sf_dir):
     return V.amount_texts(V.year_rows(gold_table(spark, sf_dir)))

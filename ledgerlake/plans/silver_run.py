@@ -38,7 +38,7 @@ def build_silver(tables: dict[str, DataFrame], sector_codes=HOTEL_NACE_CODES) ->
         flat[name] = (tables[tname], key)
     # clustered by company once: the dedup window (company, code, class) and
     # the nesting aggregate (company) both reuse this partitioning
-    act_in = flat["activities"][0].repartition("EntityNumber")
+    act_in = flat["activities"][0].filter(F.col("EntityNumber").isNotNull()).repartition("EntityNumber")
     act = S.with_activity_labels(S.dedup_activities(act_in), dictionary)
     flat["activities"] = (act, "EntityNumber")
     flat["addresses"] = (S.registered_address(flat["addresses"][0]), "EntityNumber")

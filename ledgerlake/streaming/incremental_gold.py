@@ -55,8 +55,7 @@ def start_incremental_gold(spark: SparkSession, root: str, numbers: DataFrame, g
                           extra_partitions=("epoch",))
         keys = batch.select("enterprise_key").distinct()
         lines = S.read_compacted_lines(spark, compacted, keys, buckets)
-        facts = G.restore_company_number(A.facts_from_lines(lines), numbers)
-        accounts = G.company_accounts(facts, as_of).withColumn(
+        accounts = G.numbered_accounts(A.facts_from_lines(lines), numbers, as_of).withColumn(
             "key_bucket", S.key_bucket(X.company_key(F.col("enterprise_number")), buckets))
         sinks.upsert_partitions(accounts, gold_table, "enterprise_number", "key_bucket",
                                 f"{staging}/epoch={epoch_id}")

@@ -51,3 +51,36 @@ def test_flat_targets_push_filters_to_scan(spark, tmpdir_path):
     assert "PushedFilters: [IsNotNull(Classification), EqualTo(Classification,MAIN)" in p
     assert "EqualTo(Status,AC)" in p
     assert df.count() == 1
+
+
+def exchanges(df) -> int:
+    return plan_of(df).count("Exchange hashpartitioning")
+
+
+def test_search_plan(spark):
+    """Token and number matching, and literal fallbacks, are equi-joins."""
+    from ledgerlake.operators import search as SE
+    from tests.test_views_search import companies
+    q = SE.classify(spark.createDataFrame([(1, "central"), (2, "0836157420")], "query_id int, q string"))
+    c = companies(spark)
+    for hits in (SE.token_hits(SE._names(c), q, 5), SE.number_hits(c, q)):
+        assert "CartesianProduct" not in plan_of(hits) and "NestedLoop" not in plan_of(hits)
+    # only patterns with metacharacters or of one or two characters are tested against every name
+    assert plan_of(SE.regex_hits(SE._names(c), q)).count("CartesianProduct") + plan_of(SE.regex_hits(SE._names(c), q)).count("NestedLoop") <= 1
+
+
+def test_gold_chain_exchanges(spark, tmpdir_path):
+    from ledgerlake.operators import accounts as A
+    from ledgerlake.operators import gold as G
+    from ledgerlake.operators import views as V
+    root = os.path.join(tmpdir_path, "landed")
+    write_tree(root)
+    state = spark.createDataFrame([("0100.000.001", "done")], "_id string, status string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        gold = G.numbered_accounts(A.facts_from_lines(S.read_filing_lines(spark, root)), state, F.current_timestamp())
+        # filings, companies, and the state's numbers
+        assert exchanges(gold) <= 3
+        assert exchanges(V.flow_node_totals(V.first_filing_per_year(V.year_rows(gold)))) == exchanges(V.pnl_flows(gold))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

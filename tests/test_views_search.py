@@ -28,7 +28,7 @@ def test_flow_rules(spark):
 
 def test_node_totals(spark):
     df = spark.createDataFrame([("c", 2022, "r", 1000.0, 0.0, -10.0, -30.0)], YEARS)
-    t = {r["node"]: r["total"] for r in V.flow_node_totals(V.flow_edges(df), df).collect()}
+    t = {r["node"]: r["total"] for r in V.flow_node_totals(df).collect()}
     assert t[0] == 1000.0 and t[2] == 1000.0 and t[7] == 30.0
     assert t[1] == 30.0  # no incoming edge -> sum of outgoing
 
@@ -70,7 +70,7 @@ def companies(spark, n_extra=60):
 
 def run(spark, queries):
     q = spark.createDataFrame(list(enumerate(queries)), "query_id int, q string")
-    res = SE.search(companies(spark), q)
+    res = SE.search(companies(spark), q, limit=50)
     out = {}
     for r in res.collect():
         out.setdefault(queries[r["query_id"]], []).append((r["rank"], r["EnterpriseNumber"], r["source"]))
@@ -94,8 +94,8 @@ def test_search_cases(spark):
 
 def test_search_top_k_is_partial_before_shuffle(spark):
     q = spark.createDataFrame([(1, "Widgetworks")], "query_id int, q string")
-    hits = SE.token_hits(SE._names(companies(spark)), SE.classify(q))
-    plan = SE.rank_limit(hits)._jdf.queryExecution().executedPlan().toString()
+    hits = SE.token_hits(SE._names(companies(spark)), SE.classify(q), 50)
+    plan = SE.rank_limit(hits, 50)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan or "Window" in plan
 
 
@@ -104,8 +104,8 @@ def test_name_index_search_matches_plain(spark, tmpdir_path):
     q = spark.createDataFrame(list(enumerate(queries)), "query_id int, q string")
     comp = companies(spark)
     SE.build_name_index(comp, tmpdir_path + "/idx", buckets=4)
-    a = SE.search_indexed(comp, spark.read.parquet(tmpdir_path + "/idx"), q, buckets=4)
-    b = SE.search(comp, q)
+    a = SE.search_indexed(comp, tmpdir_path + "/idx", q, limit=50)
+    b = SE.search(comp, q, limit=50)
     cols = ["query_id", "rank", "EnterpriseNumber", "source"]
     assert sorted(tuple(r) for r in a.select(cols).collect()) == sorted(tuple(r) for r in b.select(cols).collect())
 
@@ -115,3 +115,23 @@ def test_flows_and_series_from_flat_facts(spark):
                                 ("c", 2022, "r2", 5.0, 5.0, 5.0, 5.0)], YEARS)
     edges = sorted((r["source"], r["target"]) for r in V.pnl_flows(df).collect())
     assert edges == [(0, 1), (0, 2), (1, 3), (1, 4), (3, 5), (3, 6)]     # first filing of the year only
+
+
+def test_fold_strips_all_accents(spark):
+    words = ["Hôtel", "Ho\u0302tel", "Șoseaua", "ẽtre", "Ἀθήνα", "ﬁne", "Łódź", "한글"]
+    got = [r[0] for r in spark.createDataFrame([(w,) for w in words], "w string").select(SE.fold(F.col("w"))).collect()]
+    assert got == ["hotel", "hotel", "soseaua", "etre", "αθηνα", "ﬁne", "łodz", "한글"]
+
+
+def test_short_literal_and_number_windows(spark):
+    r = run(spark, ["la", "12345", "0500000001", "500 000 001"])
+    assert [e[1] for e in r["la"]] == ["0123.456.789"]
+    assert "12345" not in r                                      # a dotted number has no run of five digits
+    assert [e[1] for e in r["0500000001"]] == [e[1] for e in r["500 000 001"]] == ["0500.000.001"]
+
+
+def test_undotted_numbers(spark):
+    c = companies(spark, 2).withColumn("EnterpriseNumber", F.translate("EnterpriseNumber", ".", ""))
+    q = spark.createDataFrame([(1, "36157"), (2, "0836157420")], "query_id int, q string")
+    got = [(r["query_id"], r["EnterpriseNumber"]) for r in SE.number_hits(c, SE.classify(q)).collect()]
+    assert got == [(1, "0836157420")]                            # ten digits are looked for with dots between

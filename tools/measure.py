@@ -84,11 +84,11 @@ def main():
     cands = companies.filter(SE.has_sector(F.col("activities"), ("ECONOMY", "LARGE", "PROMO", "STANDARD")))
     names = SE._names(cands)
     q = SE.classify(queries)
-    out["name search x%d: token index" % queries.count()] = timed(SE.rank_limit(SE.token_hits(names, q)))
+    out["name search x%d: token index" % queries.count()] = timed(SE.rank_limit(SE.token_hits(names, q, 50), 50))
     theta = (q.select("query_id", "qt").join(names, F.regexp_like(F.col("name"), F.concat(F.lit("(?i)"), F.col("qt"))))
              .select("query_id", "EnterpriseNumber").distinct())
-    out["name search: regex theta join"] = timed(SE.rank_limit(theta))
-    out["name search: n-gram prefilter + regex"] = timed(SE.rank_limit(SE.regex_hits(names, q)))
+    out["name search: regex theta join"] = timed(SE.rank_limit(theta, 50))
+    out["name search: n-gram prefilter + regex"] = timed(SE.rank_limit(SE.regex_hits(names, q), 50))
 
     gs_all = (AD.download_state(spark, sf)
               .select("_id", F.col("filings_done").alias("processed_filings"),
