@@ -11,8 +11,12 @@ Every table lives under the lake root as a snapshot table
     state/gold           processed filings per company (S11)
     gold/accounts        per-company accounts (A3/A4)
     lines/compacted      filing lines as Parquet, bucketed by company
+    deposits/todo        deposits that need work, with their route (W1, F4, J9)
+    directors/cache      office holders per company (P1, J10)
+    index/names          token index of company names
 
-Stages only declare DataFrame plans and write them; no data goes through
+A deposit run is: targets, deposits, claim, (the files land), apply, check,
+then gold.  Stages only declare DataFrame plans and write them; no data goes through
 the driver.
 """
 
@@ -23,18 +27,27 @@ import argparse
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from .constants import EXCLUDED_FORMS, HOTEL_NACE_CODES
+from .constants import EXCLUDED_FORMS, HOTEL_NACE_CODES, STATE_IN_PROGRESS
+from .functions import expr as X
+from .operators import checks as C
+from .operators import gold as G
+from .operators import pages as P
+from .operators import search as SE
 from .operators import targets as T
 from .plans.gold_run import run_gold
 from .plans.silver_run import build_silver
 from .session import build_session
 from .sources import filings as S
+from .sources import listings as L
 from .sources import register as R
 from .sources import sinks
 from .streaming.deed_status import start_deed_status_stream
+from .streaming.incremental_gold import start_incremental_gold
 
 STATE_SCHEMA = ("_id string, status string, filings_count int, filings_done array<string>, "
                 "filings_migrated array<string>")
+TODO_SCHEMA = "company string, reference string, route string"
+DIRECTORS_CACHE_SCHEMA = "_id string, directors array<struct<role:string,name:string,start_date:string>>, scraped_at timestamp"
 REGISTER_CHILDREN = ("activity", "address", "branch", "code", "contact", "denomination", "enterprise",
                      "establishment")
 
@@ -65,6 +78,88 @@ def targets(spark: SparkSession, root: str, sector_codes=HOTEL_NACE_CODES, exclu
     return sinks.write_replace(T.seed_state(state, tg).drop("_seeded"), table(root, "state", "download"))
 
 
+def _state(spark: SparkSession, root: str):
+    """The download state and the path of its current snapshot."""
+    path = table(root, "state", "download")
+    return sinks.current_snapshot(spark, path), sinks.read_table(spark, path, STATE_SCHEMA)
+
+
+def deposits(spark: SparkSession, root: str, listings: str, per_company: int) -> str:
+    """W1 + F4 + J9: of each company's ``per_company`` latest deposits those that
+    need work.  ``listings`` holds a folder of JSON listings a company."""
+    _, state = _state(spark, root)
+    listed = L.read_deposits(spark, f"{listings}/*").withColumnRenamed("company_key", "enterprise_key")
+    own = listed.join(G.company_numbers(state), "enterprise_key").withColumnRenamed("enterprise_number", "company")
+    todo = T.eligible_deposits(T.latest_deposits(own, per_company), state)
+    return sinks.write_replace(todo.select("company", "reference", "route"), table(root, "deposits", "todo"))
+
+
+def claim(spark: SparkSession, root: str, n: int) -> str:
+    """The first ``n`` pending companies become in_progress; rows left so by
+    an earlier run go back to pending first."""
+    snapshot, state = _state(spark, root)
+    return sinks.write_replace(T.state_claim(T.reset_stale(state), n), table(root, "state", "download"), expected=snapshot)
+
+
+def apply(spark: SparkSession, root: str, landed: str) -> str:
+    """Outcomes of the claimed companies.  A company succeeds when every
+    deposit to fetch has landed; then its refs are done (or migrated)."""
+    snapshot, state = _state(spark, root)
+    claimed = state.filter(F.col("status") == STATE_IN_PROGRESS).select(F.col("_id"), X.company_key(F.col("_id")).alias("enterprise_key"))
+    todo = sinks.read_table(spark, table(root, "deposits", "todo"), TODO_SCHEMA)
+    files = S.list_landed_files(spark, landed).select("enterprise_key", "filename", F.lit(True).alias("_landed"))
+    work = (claimed.join(todo, F.col("_id") == F.col("company")).withColumn("filename", X.csv_ref(F.col("reference")))
+            .join(files.distinct(), ["enterprise_key", "filename"], "left"))
+    fetch = F.col("route") == "fetch"
+    found = work.groupBy("_id").agg(
+        F.collect_list(F.when(fetch, F.col("reference"))).alias("new_done"),
+        F.collect_list(F.when(~fetch, F.col("reference"))).alias("new_migrated"),
+        F.max((fetch & F.col("_landed").isNull()).cast("int")).alias("_lacking"))
+    none = F.array().cast("array<string>")
+    outcomes = claimed.select("_id").join(found, "_id", "left").select(
+        "_id", F.when(F.coalesce("_lacking", F.lit(0)) > 0, F.lit("failure")).otherwise(F.lit("success")).alias("result"),
+        F.coalesce("new_done", none).alias("new_done"), F.coalesce("new_migrated", none).alias("new_migrated"))
+    return sinks.write_replace(T.state_apply(state, outcomes), table(root, "state", "download"), expected=snapshot)
+
+
+def check(spark: SparkSession, root: str, landed: str) -> str:
+    """Companies that lack files of done refs go back to pending, and
+    those refs are no longer done, so that the next run fetches them."""
+    snapshot, state = _state(spark, root)
+    found = C.missing_files(state, S.list_landed_files(spark, landed))
+    lost = F.transform("missing", lambda f: F.regexp_replace(f, "[.]csv$", ""))
+    kept = F.when(F.size("missing") > 0, F.array_except("filings_done", lost)).otherwise(F.col("filings_done"))
+    out = found.withColumns({"status": F.col("status_after"), "filings_done": kept})
+    return sinks.write_replace(out.select(*state.columns), table(root, "state", "download"), expected=snapshot)
+
+
+def directors(spark: SparkSession, root: str, pages: str) -> str:
+    """P1 + J10: captured pages ``{company key}.html`` of target companies not
+    yet cached -> the directors cache."""
+    _, state = _state(spark, root)
+    path = table(root, "directors", "cache")
+    cache = sinks.read_table(spark, path, DIRECTORS_CACHE_SCHEMA)
+    todo = P.directors_to_fetch(state.select("_id"), cache).withColumn("enterprise_key", X.company_key(F.col("_id")))
+    texts = spark.read.text(pages, wholetext=True, pathGlobFilter="*.html").select(
+        F.regexp_extract("_metadata.file_name", "^(.+)[.]html$", 1).alias("enterprise_key"), F.col("value").alias("html"))
+    captured = texts.join(todo, "enterprise_key").select(F.col("_id").alias("company"), "html")
+    fetched = P.directors_cache_rows(P.extract_directors(captured), captured.select(F.col("company").alias("_id")), F.current_timestamp())
+    return sinks.write_replace(P.update_directors_cache(cache, fetched), path)
+
+
+def index(spark: SparkSession, root: str, buckets: int = 64) -> None:
+    """The token index of company names for ``operators.search.search_indexed``."""
+    SE.build_name_index(sinks.read_table(spark, table(root, "silver", "companies")), table(root, "index", "names"), buckets)
+
+
+def gold_stream(spark: SparkSession, root: str, landed: str, available_now: bool, buckets: int = 64):
+    """E2 stream: landed files of companies whose download is done -> gold and gold state."""
+    _, state = _state(spark, root)
+    return start_incremental_gold(spark, landed, T.done_with_filings(state), table(root, "gold", "stream"), table(root, "lines", "stream"),
+                                  table(root, "gold", "_checkpoint"), available_now=available_now, buckets=buckets, done_only=True,
+                                  gold_state_table=table(root, "state", "gold_stream"))
+
+
 def compact(spark: SparkSession, root: str, landed: str, buckets: int = 64) -> None:
     """Landed CSV tree -> compacted Parquet lines (full rebuild)."""
     S.compact_filing_lines(spark, landed, table(root, "lines", "compacted"), buckets)
@@ -85,28 +180,37 @@ def deeds_stream(spark: SparkSession, root: str, events: str, available_now: boo
 
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="ledgerlake.jobs")
-    p.add_argument("stage", choices=["bronze", "silver", "targets", "compact", "gold", "deeds-stream"])
+    p.add_argument("stage", choices=["bronze", "silver", "targets", "deposits", "claim", "apply", "check", "compact", "gold", "gold-stream",
+                                     "directors", "index", "deeds-stream"])
     p.add_argument("--root", required=True, help="lake root (a shared file system path)")
     p.add_argument("--register-dir", help="folder of register CSV files (bronze)")
     p.add_argument("--landed", help="root of the landed filing tree /{company}/hbb/{ref}.csv")
+    p.add_argument("--listings", help="folder of deposit listings (deposits)")
+    p.add_argument("--per-company", type=int, help="deposits: how many of the latest of a company count")
+    p.add_argument("--claim", type=int, help="claim: how many companies")
+    p.add_argument("--pages", help="folder of captured pages {company key}.html (directors)")
     p.add_argument("--events", help="folder of progress-event JSON lines (deeds-stream)")
     p.add_argument("--compacted", action="store_true", help="gold: read lines from the compacted table")
-    p.add_argument("--buckets", type=int, default=64, help="compact: hash buckets of the compacted table (stored with it)")
-    p.add_argument("--continuous", action="store_true", help="deeds-stream: keep running")
+    p.add_argument("--buckets", type=int, default=64, help="compact, index, gold-stream: hash buckets of the table (stored with it)")
+    p.add_argument("--continuous", action="store_true", help="streams: keep running")
     a = p.parse_args(argv)
     spark = build_session(app=f"ledgerlake-{a.stage}")
-    if a.stage == "bronze":
-        print(bronze(spark, a.root, a.register_dir))
-    elif a.stage == "silver":
-        print(silver(spark, a.root))
-    elif a.stage == "targets":
-        print(targets(spark, a.root))
-    elif a.stage == "compact":
-        compact(spark, a.root, a.landed, a.buckets)
-    elif a.stage == "gold":
-        print(gold(spark, a.root, a.landed, a.compacted))
-    elif a.stage == "deeds-stream":
-        deeds_stream(spark, a.root, a.events, not a.continuous).awaitTermination()
+    stages = {
+        "bronze": lambda: bronze(spark, a.root, a.register_dir),
+        "silver": lambda: silver(spark, a.root),
+        "targets": lambda: targets(spark, a.root),
+        "deposits": lambda: deposits(spark, a.root, a.listings, a.per_company),
+        "claim": lambda: claim(spark, a.root, a.claim),
+        "apply": lambda: apply(spark, a.root, a.landed),
+        "check": lambda: check(spark, a.root, a.landed),
+        "compact": lambda: compact(spark, a.root, a.landed, a.buckets),
+        "gold": lambda: gold(spark, a.root, a.landed, a.compacted),
+        "gold-stream": lambda: gold_stream(spark, a.root, a.landed, not a.continuous, a.buckets).awaitTermination(),
+        "directors": lambda: directors(spark, a.root, a.pages),
+        "index": lambda: index(spark, a.root, a.buckets),
+        "deeds-stream": lambda: deeds_stream(spark, a.root, a.events, not a.continuous).awaitTermination(),
+    }
+    print(stages[a.stage]())
 
 
 if __name__ == "__main__":

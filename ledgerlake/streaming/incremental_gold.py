@@ -28,13 +28,19 @@ from ..functions import expr as X
 from ..sources import filings as S
 from ..sources import sinks
 
+GOLD_STATE_SCHEMA = "_id string, processed_filings array<string>, last_processed timestamp"
+
 
 def start_incremental_gold(spark: SparkSession, root: str, numbers: DataFrame, gold_table: str,
                            compacted: str, checkpoint: str, as_of: Column | None = None,
                            available_now: bool = True, max_files_per_trigger: int | None = None,
-                           buckets: int = 64, archive_dir: str | None = None):
+                           buckets: int = 64, archive_dir: str | None = None,
+                           done_only: bool = False, gold_state_table: str | None = None):
     """``numbers``: a state table (_id) used to restore written company
-    numbers (J6).  With ``archive_dir`` processed CSVs are moved there by
+    numbers (J6); with ``done_only`` only its companies are rebuilt (lines of
+    others are kept for later).  With ``gold_state_table`` each micro-batch
+    also records the filings that its companies' gold rows were built from
+    (S11), so a later batch run finds only what is new.  With ``archive_dir`` processed CSVs are moved there by
     the file source (``cleanSource=archive``), so a long-running stream
     does not re-list an ever-growing tree; the compacted table keeps every
     line."""
@@ -54,11 +60,20 @@ def start_incremental_gold(spark: SparkSession, root: str, numbers: DataFrame, g
         S.write_compacted(batch.withColumn("epoch", F.lit(epoch_id)), compacted, buckets, mode="overwrite",
                           extra_partitions=("epoch",))
         keys = batch.select("enterprise_key").distinct()
+        if done_only:
+            keys = keys.join(G.company_numbers(numbers).select("enterprise_key"), "enterprise_key", "left_semi")
         lines = S.read_compacted_lines(spark, compacted, keys, buckets)
         accounts = G.numbered_accounts(A.facts_from_lines(lines), numbers, as_of).withColumn(
             "key_bucket", S.key_bucket(X.company_key(F.col("enterprise_number")), buckets))
         sinks.upsert_partitions(accounts, gold_table, "enterprise_number", "key_bucket",
                                 f"{staging}/epoch={epoch_id}")
+        if gold_state_table:
+            before = sinks.current_snapshot(spark, gold_state_table)
+            refs = lines.groupBy("enterprise_key").agg(F.array_sort(F.collect_set("filing_ref")).alias("processed_filings"))
+            seen = G.restore_company_number(refs, numbers).select(
+                F.col("enterprise_number").alias("_id"), "processed_filings", as_of.cast("timestamp").alias("last_processed"))
+            state = sinks.read_table(spark, gold_state_table, GOLD_STATE_SCHEMA)
+            sinks.write_replace(sinks.upsert(state, seen, "_id"), gold_state_table, expected=before)
         batch.unpersist()
 
     w = landed.writeStream.option("checkpointLocation", checkpoint).foreachBatch(apply)

@@ -101,3 +101,73 @@ def test_quoted_line_breaks_stay_in_their_row(spark, tmpdir_path):
         fh.write('"EntityNumber","Denomination"\n"1","Hotel\nParis"\n"2","say ""hi"",\n\nyou"\n')
     rows = R.load_register(spark, folder)["denomination"].orderBy("_seq").collect()
     assert [(r["EntityNumber"], r["Denomination"]) for r in rows] == [("1", "Hotel\nParis"), ("2", 'say "hi",\n\nyou')]
+
+
+def _listing(folder, key, refs):
+    import json
+    os.makedirs(os.path.join(folder, key), exist_ok=True)
+    content = [{"reference": r, "periodEndDate": d, "depositDate": d, "migration": m} for r, d, m in refs]
+    with open(os.path.join(folder, key, "p1.json"), "w") as fh:
+        fh.write(json.dumps({"content": content}))
+
+
+def test_deposit_run_reaches_gold(spark, tmpdir_path):
+    """targets -> deposits -> claim -> apply -> check -> gold, without a hand-written state."""
+    reg, lake, landed, listings = (os.path.join(tmpdir_path, "run", x) for x in ("register", "lake", "landed", "listings"))
+    write_register(reg)
+    write_tree(landed)
+    _listing(listings, "0100000001", [("2022-1", "2022-12-31", False), ("2022-2", "2022-06-30", False), ("old", "2001-01-01", False), ("mig", "2022-03-31", True)])
+    _listing(listings, "0100000002", [("2021-1", "2021-12-31", False), ("not-landed", "2021-11-30", False)])
+    _listing(listings, "0999999999", [("x", "2022-12-31", False)])      # no target
+    jobs.bronze(spark, lake, reg)
+    jobs.silver(spark, lake)
+    jobs.targets(spark, lake)
+    jobs.deposits(spark, lake, listings, per_company=20)
+    todo = {(r["company"], r["reference"]): r["route"] for r in sinks.read_table(spark, f"{lake}/deposits/todo").collect()}
+    assert todo == {("0100.000.001", "2022-1"): "fetch", ("0100.000.001", "2022-2"): "fetch", ("0100.000.001", "mig"): "migrated",
+                    ("0100.000.002", "2021-1"): "fetch", ("0100.000.002", "not-landed"): "fetch"}
+    jobs.claim(spark, lake, 10)
+    jobs.apply(spark, lake, landed)
+    state = {r["_id"]: r for r in sinks.read_table(spark, f"{lake}/state/download").collect()}
+    assert state["0100.000.001"]["status"] == "done" and sorted(state["0100.000.001"]["filings_done"]) == ["2022-1", "2022-2"]
+    assert state["0100.000.001"]["filings_migrated"] == ["mig"]
+    assert state["0100.000.002"]["status"] == "pending"                  # one of its filings has not landed
+    assert jobs.gold(spark, lake, landed)["targets"] == 1
+    gold = {r["enterprise_number"]: r for r in sinks.read_table(spark, f"{lake}/gold/accounts").collect()}
+    assert list(gold) == ["0100.000.001"] and len(gold["0100.000.001"]["years"]) == 3   # all of its files count
+    # the missing file lands: the next run takes the company up again
+    write_tree(landed, {"0100000002/hbb/not-landed.csv": ['"Accounting period end date","2021-11-30"', "70,1"]})
+    jobs.claim(spark, lake, 10)
+    jobs.apply(spark, lake, landed)
+    assert jobs.gold(spark, lake, landed)["targets"] == 1
+    # a file is lost afterwards: its ref is to be fetched again
+    os.remove(os.path.join(landed, "0100000001/hbb/2022-2.csv"))
+    jobs.check(spark, lake, landed)
+    state = {r["_id"]: r for r in sinks.read_table(spark, f"{lake}/state/download").collect()}
+    assert state["0100.000.001"]["status"] == "pending" and state["0100.000.001"]["filings_done"] == ["2022-1"]
+    assert state["0100.000.002"]["status"] == "done"
+    # the stream builds gold of done companies only, and records what it read
+    jobs.gold_stream(spark, lake, landed, available_now=True, buckets=4).awaitTermination()
+    assert {r["enterprise_number"] for r in spark.read.parquet(f"{lake}/gold/stream").collect()} == {"0100.000.002"}
+    processed = {r["_id"]: r["processed_filings"] for r in sinks.read_table(spark, f"{lake}/state/gold_stream").collect()}
+    assert processed == {"0100.000.002": ["2021-1", "2021-2", "2021-3", "not-landed"]}
+
+
+def test_directors_and_index_jobs(spark, tmpdir_path):
+    from ledgerlake.operators import search as SE
+    from ledgerlake.plans.queries_files import FIXTURE_PAGE
+    reg, lake, pages = (os.path.join(tmpdir_path, "dirs", x) for x in ("register", "lake", "pages"))
+    write_register(reg)
+    os.makedirs(pages)
+    for key, page in (("0100000001", FIXTURE_PAGE), ("0100000002", "<p>none</p>"), ("0777777777", FIXTURE_PAGE)):
+        with open(os.path.join(pages, f"{key}.html"), "w") as fh:
+            fh.write(page)
+    for stage in (lambda: jobs.bronze(spark, lake, reg), lambda: jobs.silver(spark, lake), lambda: jobs.targets(spark, lake)):
+        stage()
+    jobs.directors(spark, lake, pages)
+    cache = {r["_id"]: [d["name"] for d in r["directors"]] for r in sinks.read_table(spark, f"{lake}/directors/cache").collect()}
+    assert cache == {"0100.000.001": ["Doe , Jane", "Roe, Ann"], "0100.000.002": []}
+    jobs.index(spark, lake, buckets=4)
+    companies = sinks.read_table(spark, f"{lake}/silver/companies")
+    q = spark.createDataFrame([(1, "alpha")], "query_id int, q string")
+    assert [r["EnterpriseNumber"] for r in SE.search_indexed(companies, f"{lake}/index/names", q, limit=5).collect()] == ["0100.000.001"]
