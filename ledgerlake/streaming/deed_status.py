@@ -1,33 +1,43 @@
 """E1 as Structured Streaming: progress-event files -> running deed table.
 
-The fold is the same aggregation as the batch ``deed_status`` (grouped by
-run and document, ordered by the event number ``seq``), run in ``update``
-output mode: each micro-batch emits the changed (run, documentId) rows,
-which are upserted into a table partitioned by run (only the runs present
-in the micro-batch are rewritten).  Because every value is chosen by
-``seq`` (min_by/max_by), the table does not depend on arrival order and no
-watermark is needed; state grows with the number of documents.  The
-checkpoint folder makes the query restart where it stopped after a failure.
+The stream itself keeps no state.  Each micro-batch
+
+1. writes its events to a log partitioned by (run, epoch); the write overwrites
+   only its own partitions, so a replayed micro-batch does not duplicate;
+2. folds all logged events of the runs it touched with the batch
+   ``deed_status`` (partition pruning leaves the other runs unread);
+3. upserts the result into the table partitioned by run.
+
+A run that has ended costs nothing more: no state is held for it and its
+partitions are not read again.  Every value is chosen by the event number
+``seq`` (min_by/max_by), so the table does not depend on arrival order and no
+watermark is needed.  The checkpoint folder makes the query restart where it
+stopped after a failure.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.deeds import deed_status
 from ..sources import sinks
-from ..sources.listings import read_progress_events
+from ..sources.listings import EVENT_SCHEMA, read_progress_events
 
 KEY = ["run", "documentId"]
 TABLE_SCHEMA = ("run string, documentId string, status string, deedDate string, description string, "
                 "filename string, sizeBytes long")
 
 
-def upsert_batch(table: str, staging_root: str):
-    """Upsert of a micro-batch into the table partitioned by run: only the
-    runs present in the batch are rewritten."""
+def fold_batch(table: str, log: str, staging_root: str):
+    """A micro-batch's events into the log, and the runs it touches into the table."""
     def _apply(batch: DataFrame, epoch_id: int) -> None:
-        sinks.upsert_partitions(batch, table, KEY, "run", f"{staging_root}/epoch={epoch_id}")
+        spark = batch.sparkSession
+        (batch.withColumn("epoch", F.lit(epoch_id).cast("long")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("run", "epoch").parquet(log))
+        logged = spark.read.schema(f"{EVENT_SCHEMA}, epoch long").parquet(log).drop("epoch")
+        own = logged.join(batch.select("run").distinct(), "run", "left_semi")
+        sinks.upsert_partitions(deed_status(own), table, KEY, "run", f"{staging_root}/epoch={epoch_id}")
     return _apply
 
 
@@ -35,10 +45,10 @@ def start_deed_status_stream(spark: SparkSession, events_path: str, table: str,
                              available_now: bool = True, max_files_per_trigger: int | None = None):
     """Start the stream; with ``available_now`` it processes what is there
     and stops."""
+    base = checkpoint.rstrip("/")
     events = read_progress_events(spark, events_path, stream=True, max_files_per_trigger=max_files_per_trigger)
-    w = (deed_status(events).writeStream.outputMode("update")
-         .option("checkpointLocation", checkpoint)
-         .foreachBatch(upsert_batch(table, f"{checkpoint.rstrip('/')}/_staging")))
+    w = (events.writeStream.option("checkpointLocation", checkpoint)
+         .foreachBatch(fold_batch(table, f"{base}/_events", f"{base}/_staging")))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
 
