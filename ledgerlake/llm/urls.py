@@ -10,9 +10,9 @@ domain, first path part or file extension are blocked).  URLs that no rule fits
 the model's verdict.
 
 Suffix statistics are counts in ``SLOTS`` hash slots a kind of suffix, so the
-table has a fixed bound (``4 * SLOTS`` rows) and is broadcast; a training row's
-own label is taken out of the counts it sees, so that labels don't leak into
-features.
+table has a fixed bound (``4 * SLOTS`` rows) and is broadcast.  Labelled URLs are
+dealt into ``FOLDS`` folds; a training row sees the counts of the other
+folds only, so that labels don't leak into features.
 
 Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z
 lower-cased.  Path: then up to ``?``, ``#`` or the end.
@@ -37,6 +37,7 @@ from .common import materialise
 
 ALLOW, BLOCK = "allow", "block"
 SLOTS = 1024
+FOLDS = 5
 KINDS = ("tld", "domain", "folder", "extension")
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -98,14 +99,18 @@ def with_lexical(urls: DataFrame) -> DataFrame:
                             | {f"{k}_slot": F.pmod(F.xxhash64(F.coalesce(v, F.lit(""))), F.lit(SLOTS)).cast("int") for k, v in suffix.items()})
 
 
-def _with_rates(rows: DataFrame, counts: DataFrame, prior: float, own: Column) -> DataFrame:
-    """Adds the share of blocked URLs of each suffix, without the row's own label
-    (``own``: 0 or 1, null if it is not counted)."""
+def _with_rates(rows: DataFrame, counts: DataFrame, prior: float, fold: Column | None = None) -> DataFrame:
+    """Adds the share of blocked URLs of each suffix, and how many there are;
+    with ``fold`` without those of the row's own fold."""
     for k in KINDS:
         of = counts.filter(F.col("kind") == k).select(F.col("slot").alias(f"{k}_slot"), F.col("n").alias("n_"), F.col("blocked").alias("blocked_"))
-        n = F.coalesce("n_", F.lit(0)) - own.isNotNull().cast("int")
-        blocked = F.coalesce("blocked_", F.lit(0)) - F.coalesce(own, F.lit(0))
-        rows = rows.join(F.broadcast(of), f"{k}_slot", "left").withColumns({f"{k}_rate": (blocked + 2 * prior) / (n + 2), f"{k}_seen": F.log1p(n.cast("double"))}).drop("n_", "blocked_")
+        rows = rows.join(F.broadcast(of), f"{k}_slot", "left")
+
+        def seen(name: str) -> Column:
+            whole = F.coalesce(F.aggregate(name, F.lit(0).cast("long"), lambda s, x: s + x), F.lit(0))
+            return whole if fold is None else whole - F.coalesce(F.get(name, fold), F.lit(0))
+
+        rows = rows.withColumns({f"{k}_rate": (seen("blocked_") + 2 * prior) / (seen("n_") + 2), f"{k}_seen": F.log1p(seen("n_").cast("double"))}).drop("n_", "blocked_")
     return rows
 
 
@@ -119,18 +124,20 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], iterations: int = 12,
     rule, verdict = fitting_rule(F.col("host"), F.col("path"), rules)
     rows = rows.withColumns({"rule": rule, "ruled": verdict})
     rows = materialise(with_lexical(rows).drop("url"), "urls")
-    known = rows.filter("ruled IS NOT NULL").withColumn("label", (F.col("ruled") == BLOCK).cast("int"))
+    known = rows.filter("ruled IS NOT NULL").withColumns({"label": (F.col("ruled") == BLOCK).cast("int"), "fold": F.pmod(F.xxhash64("page_id", "host", "path"), F.lit(FOLDS)).cast("int")})
+    by_fold = [F.col("fold") == f for f in range(FOLDS)]
     counts = materialise(
-        known.select("label", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"{k}_slot").alias("slot")) for k in KINDS])).alias("s"))
-        .groupBy("s.kind", "s.slot").agg(F.count("*").alias("n"), F.sum("label").alias("blocked")), "suffixes")  # 4 * SLOTS rows at most
-    n, blocked = counts.filter(F.col("kind") == KINDS[0]).agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("blocked"), F.lit(0))).first()
+        known.select("label", "fold", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"{k}_slot").alias("slot")) for k in KINDS])).alias("s"))
+        .groupBy("s.kind", "s.slot").agg(F.array(*[F.sum(f.cast("long")) for f in by_fold]).alias("n"), F.array(*[F.sum(F.when(f, F.col("label")).otherwise(0)) for f in by_fold]).alias("blocked")),
+        "suffixes")  # 4 * SLOTS rows at most
+    n, blocked = known.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     result = ("page_id", "host", "path", "rule")
     if blocked in (0, n):
         only = BLOCK if n and blocked == n else ALLOW
         return rows.select(*result, F.coalesce("ruled", F.lit(only)).alias("verdict"), F.lit(None).cast("double").alias("score"))
     vector = array_to_vector(F.array(*FEATURES)).alias("features")
-    train = _with_rates(known, counts, blocked / n, F.col("label")).select(vector, F.col("label").cast("double").alias("label"))
+    train = _with_rates(known, counts, blocked / n, F.col("fold")).select(vector, F.col("label").cast("double").alias("label"))
     model = GBTClassifier(maxIter=iterations, maxDepth=depth, seed=seed, maxBins=64, stepSize=0.3, subsamplingRate=1.0).fit(train)
-    judged = model.transform(_with_rates(rows, counts, blocked / n, F.lit(None).cast("int")).select(*result, "ruled", vector))
+    judged = model.transform(_with_rates(rows, counts, blocked / n).select(*result, "ruled", vector))
     p = vector_to_array("probability")[1]
     return judged.select(*result, F.coalesce("ruled", F.when(p >= 0.5, BLOCK).otherwise(ALLOW)).alias("verdict"), F.when(F.col("ruled").isNull(), p).alias("score"))
