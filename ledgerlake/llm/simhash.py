@@ -43,6 +43,8 @@ from .common import materialise, slices
 POSITIONS = [*combinations(range(7), 4)]
 #: Members of a posting compared in one group; larger ones are cut into blocks of this size.
 BLOCK = 2048
+#: Shingles hashed at a time, so that a very long text needs little memory.
+STEP = 65536
 
 
 def fingerprint(text: bytes, words: int = 3) -> int:
@@ -51,19 +53,15 @@ def fingerprint(text: bytes, words: int = 3) -> int:
     if not found:
         return 0
     joined = b" ".join(found)
-    if len(found) < words:
-        hashes = [xxhash.xxh64_intdigest(joined, 42)]
-    else:
-        space = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
-        start = [0, *(space + 1).tolist()]
-        end = [*space.tolist(), len(joined)][words - 1:]
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(joined[a:b], 42) for a, b in zip(start, end)]
-    h = np.array(hashes, "<u8")
-    ones = np.zeros(64, np.int64)
-    for k in range(0, len(h), 65536):
-        ones += np.unpackbits(h[k:k + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0])
+    n = max(1, len(found) - words + 1)
+    space = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
+    start = np.concatenate([[0], space + 1])[:n]
+    end = np.concatenate([space, [len(joined)]])[-n:]
+    digest, ones = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
+    for k in range(0, n, STEP):
+        h = np.array([digest(joined[a:b], 42) for a, b in zip(start[k:k + STEP].tolist(), end[k:k + STEP].tolist())], "<u8")
+        ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
