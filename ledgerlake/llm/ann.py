@@ -5,7 +5,8 @@ Index.  Vectors get one more component, sqrt(M^2 - |x|^2) with M the largest
 norm, so that the largest inner product is the smallest angle.  Each tree is
 grown (one task a tree) on a bounded sample: a node projects its points on the
 difference of two of them and cuts at the median, down to leaves of a
-hundredth of the sample (32 to ``leaf_rows`` points).  Then every row is routed down every tree.
+hundredth of the sample (32 to ``leaf_rows`` points); up to ``leaf_rows`` points
+are one leaf, and so searched exactly.  Then every row is routed down every tree.
 
 Search.  All trees of a query share one priority queue of nodes, ordered by
 how far the query lies on the wrong side of the cuts above a node; leaves are
@@ -162,7 +163,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, trees: int = 16,
     def grown(rows: pa.Table) -> pa.Table:
         t = rows.column("id")[0].as_py()
         rows = rows.sort_by("rep")
-        raw = pickle.dumps(Tree(_lifted(_matrix(rows.column("v"), dim), top), min(leaf_rows, max(32, rows.num_rows // 100)), seed * 1000 + t))
+        n = rows.num_rows
+        leaf = leaf_rows if n <= leaf_rows else min(leaf_rows, max(32, n // 100))
+        raw = pickle.dumps(Tree(_lifted(_matrix(rows.column("v"), dim), top), leaf, seed * 1000 + t))
         return pa.table({"id": pa.array([t], pa.int32()), "tree": pa.array([raw], pa.binary())})
 
     # a tree a task, each on the whole sample; sample_rows / leaf_rows nodes a tree come back
