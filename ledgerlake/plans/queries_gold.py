@@ -72,6 +72,11 @@ targets AS (
          OR EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'O')))"""
 
 
+# Every amount of a year entry, in cents ('-' for null).
+_ENTRY = ("ca", "marge_brute", "ebit", "resultat_net", "tresorerie", "dettes_financieres", "fonds_propres", "capital_souscrit")
+_cents_sql = ", ".join(f"coalesce(CAST(CAST(round({c} * 100) AS BIGINT) AS VARCHAR), '-')" for c in _ENTRY)
+
+
 def _accounts_flat_sql(where: str = "") -> str:
     return (O.FACTS_WITH + "," + RESTORED_CTE + "," + TARGETS_CTE + f""",
 r AS (SELECT *, row_number() OVER (PARTITION BY enterprise_number ORDER BY year, filing_ref) AS rn,
@@ -81,7 +86,8 @@ r AS (SELECT *, row_number() OVER (PARTITION BY enterprise_number ORDER BY year,
 SELECT enterprise_number, any_value(st) AS schema_type, {AS_OF_SQL} AS last_updated,
        CAST(count(*) AS INTEGER) AS n_years, min(year) AS first_year, max(year) AS last_year,
        arg_min(filing_ref, rn) AS first_ref, arg_max(filing_ref, rn) AS last_ref,
-       max(ca) AS max_ca, min(ratio_roe) AS min_roe
+       max(ca) AS max_ca, min(ratio_roe) AS min_roe,
+       string_agg(concat_ws(':', year, filing_ref, {_cents_sql}), ',' ORDER BY rn) AS entries
 FROM (SELECT *, roe AS ratio_roe FROM r) GROUP BY enterprise_number""")
 
 
@@ -98,6 +104,8 @@ def flat_accounts(acc):
         F.array_max(F.transform(y, lambda e: e["ca"])).alias("max_ca"),
         F.array_min(F.filter(F.transform(y, lambda e: e["ratios"]["roe"]), lambda r: r.isNotNull()))
         .alias("min_roe"),
+        F.array_join(F.transform(y, lambda e: F.concat_ws(":", e["year"], e["filing_ref"], *[
+            F.coalesce(F.round(e[c] * 100).cast("bigint").cast("string"), F.lit("-")) for c in _ENTRY])), ",").alias("entries"),
     )
 
 
@@ -162,12 +170,16 @@ def q_incremental_targets(spark, sf_dir):
 
 UPSERT_GOLD_STATE_SQL = "WITH " + TARGETS_CTE + f""",
 gs AS (SELECT {_NUM} AS _id,
-              (SELECT count(*) FROM orders WHERE o_custkey = c_custkey AND o_orderstatus <> 'O') AS n
+              (SELECT count(*) FROM orders WHERE o_custkey = c_custkey AND o_orderstatus <> 'O') AS n,
+              coalesce((SELECT string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY CAST(o_orderkey AS VARCHAR)) FROM orders
+                        WHERE o_custkey = c_custkey AND o_orderstatus <> 'O'), '') AS refs
        FROM customer WHERE c_mktsegment <> 'BUILDING')
-SELECT _id, CAST(n AS INTEGER) AS n_processed, TIMESTAMP '2024-01-01 00:00:00' AS last_processed
+SELECT _id, CAST(n AS INTEGER) AS n_processed, TIMESTAMP '2024-01-01 00:00:00' AS last_processed, refs
 FROM gs WHERE _id NOT IN (SELECT _id FROM targets)
 UNION ALL
-SELECT _id, filings_count, {AS_OF_SQL} FROM targets"""
+SELECT _id, filings_count, {AS_OF_SQL},
+       (SELECT string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY CAST(o_orderkey AS VARCHAR)) FROM orders WHERE {_NUM.replace('c_custkey', 'o_custkey')} = _id)
+FROM targets"""
 
 
 @register("upsert_gold_state", UPSERT_GOLD_STATE_SQL)
@@ -175,7 +187,8 @@ def q_upsert_gold_state(spark, sf_dir):
     ds, gs = AD.download_state(spark, sf_dir), AD.gold_state(spark, sf_dir)
     targets = G.incremental_targets(ds, gs)
     new_state = sinks.upsert(gs, G.gold_state_updates(targets, AD.as_of()), "_id")
-    return new_state.select("_id", F.size("processed_filings").alias("n_processed"), "last_processed")
+    return new_state.select("_id", F.size("processed_filings").alias("n_processed"), "last_processed",
+                            F.array_join(F.array_sort("processed_filings"), ",").alias("refs"))
 
 
 @register("incremental_gold", _accounts_flat_sql("WHERE enterprise_key IN (SELECT enterprise_key FROM targets)"))

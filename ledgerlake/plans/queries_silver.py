@@ -101,11 +101,14 @@ def q_flip_date(spark, sf_dir):
 NEST_SQL = W + """
 SELECT e.EnterpriseNumber,
        CAST(coalesce(a.n, 0) AS INTEGER) AS n_activities, a.first_code, a.last_seq,
-       CAST(coalesce(d.n, 0) AS INTEGER) AS n_denominations, d.first_name
+       CAST(coalesce(d.n, 0) AS INTEGER) AS n_denominations, d.first_name,
+       coalesce(a.items, '') AS activity_items, coalesce(d.items, '') AS denomination_items
 FROM enterprise e
-LEFT JOIN (SELECT EntityNumber, count(*) AS n, arg_min(NaceCode, _seq) AS first_code, max(_seq) AS last_seq
+LEFT JOIN (SELECT EntityNumber, count(*) AS n, arg_min(NaceCode, _seq) AS first_code, max(_seq) AS last_seq,
+                  string_agg(concat_ws('|', NaceVersion, NaceCode, Classification, _seq), ';' ORDER BY _seq) AS items
            FROM activity GROUP BY EntityNumber) a ON a.EntityNumber = e.EnterpriseNumber
-LEFT JOIN (SELECT EntityNumber, count(*) AS n, arg_min(Denomination, _seq) AS first_name
+LEFT JOIN (SELECT EntityNumber, count(*) AS n, arg_min(Denomination, _seq) AS first_name,
+                  string_agg(concat_ws('|', TypeOfDenomination, Denomination, _seq), ';' ORDER BY _seq) AS items
            FROM denomination GROUP BY EntityNumber) d ON d.EntityNumber = e.EnterpriseNumber"""
 
 
@@ -119,7 +122,11 @@ def q_nest_children(spark, sf_dir):
                     X.first_element("activities")["NaceCode"].alias("first_code"),
                     F.try_element_at("activities", F.lit(-1))["_seq"].alias("last_seq"),
                     F.size("denominations").alias("n_denominations"),
-                    X.first_element("denominations")["Denomination"].alias("first_name"))
+                    X.first_element("denominations")["Denomination"].alias("first_name"),
+                    F.array_join(F.transform("activities", lambda a: F.concat_ws("|", a["NaceVersion"], a["NaceCode"], a["Classification"], a["_seq"])), ";")
+                    .alias("activity_items"),
+                    F.array_join(F.transform("denominations", lambda d: F.concat_ws("|", d["TypeOfDenomination"], d["Denomination"], d["_seq"])), ";")
+                    .alias("denomination_items"))
 
 
 SILVER_SQL = W + f"""
