@@ -5,9 +5,11 @@
    keeps the passages around the hits: runs of words in which the next hit is
    never farther than ``2 x`` the longest item.
 2. The hits of all documents give each benchmark n-gram's document frequency.
-   Seeds of an item are its rare n-grams: those in at most ``rare_share`` of
-   all documents, and in any case the rarer half of the item's n-grams, so that
-   an item copied into very many documents keeps its seeds.
+   Seeds of an item are its rare n-grams among those that occur in documents.
+   An n-gram held by at most ``rare_items`` different items is a seed, in however
+   many documents it is: its pairs grow with its hits, not with their square.
+   Of n-grams shared by more items, seeds are those in at most ``rare_share`` of
+   all documents and the rarer half of the item's n-grams that occur.
 3. Passages join items on seeds; each (passage, item) pair is aligned by
    words with Smith-Waterman (match 2, mismatch -1, gap -1).  The score is
    the alignment's share of the item's score against itself, so exact copies
@@ -132,18 +134,22 @@ def _passages(docs: DataFrame, bitmap, n: int, reach: int) -> DataFrame:
 
 
 def item_grams(items: DataFrame, n: int) -> DataFrame:
-    """item, gram of the distinct n-grams of each item (item, text)."""
+    """item, gram of the distinct n-grams of each item (item, text), and words
+    (a hash of all its words: items of equal words are one when counted)."""
     def cut(batches):
         for b in slices(batches):
-            rows = [(i, g) for i, t in zip(b.column("item").to_pylist(), b.column("text").to_pylist()) for g in np.unique(gram_hashes(words_of(t), n)).view(np.int64).tolist()]
+            rows = []
+            for i, t in zip(b.column("item").to_pylist(), b.column("text").to_pylist()):
+                words = words_of(t)
+                whole = gram_hashes(words, len(words)).view(np.int64).tolist()
+                rows += [(i, g, *whole) for g in np.unique(gram_hashes(words, n)).view(np.int64).tolist()]
             if rows:
-                i, g = zip(*rows)
-                yield pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(g, pa.int64())], ["item", "gram"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["item", "gram", "words"])
 
-    return items.mapInArrow(cut, "item long, gram long")
+    return items.mapInArrow(cut, "item long, gram long, words long")
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = 3, rare_share: float = 0.001, threshold: float = 0.5) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = 3, rare_share: float = 0.001, threshold: float = 0.5, rare_items: int = 64) -> DataFrame:
     """doc_id, item_id, score, word_start, word_end (in the document), matched
     (words) and passage (the aligned words) of each leak: a document that
     holds a passage aligned to an item with at least ``threshold`` of the
@@ -174,10 +180,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = 3, rare_share: fl
     hits = passages.select("passage", F.explode(F.arrays_zip("grams", "fresh")).alias("h")).select("passage", F.col("h.grams").alias("gram"), F.col("h.fresh").alias("fresh"))
     seen = hits.filter("fresh").groupBy("gram").agg(F.count("*").alias("df"))
     total = docs.count()
-    grams.join(seen, "gram", "left").withColumn("df", F.coalesce("df", F.lit(0))).createOrReplaceTempView("decontaminate_grams")
+    held = grams.groupBy("gram").agg(F.countDistinct("words").alias("items"))
+    # only n-grams that occur are ranked: those that an edit broke everywhere must not push the others down
+    grams.join(held, "gram").join(seen, "gram").createOrReplaceTempView("decontaminate_grams")
     # one item's n-grams are ranked together: as many rows as the item has words
-    seeds = spark.sql("SELECT item, gram, df, percent_rank() OVER (PARTITION BY item ORDER BY df) AS at FROM decontaminate_grams")
-    seeds = materialise(seeds.filter((F.col("df") > 0) & ((F.col("df") <= rare_share * total) | (F.col("at") <= 0.5))).select("item", "gram"), "seeds")
+    seeds = spark.sql("SELECT item, gram, items, df, percent_rank() OVER (PARTITION BY item ORDER BY df) AS at FROM decontaminate_grams")
+    rare = (F.col("items") <= rare_items) | (F.col("df") <= rare_share * total) | (F.col("at") <= 0.5)
+    seeds = materialise(seeds.filter(rare).select("item", "gram"), "seeds")
     pairs = hits.select("passage", "gram").distinct().join(seeds, "gram").groupBy("passage", "item").agg(F.count("*").alias("seeds"))
     pairs = materialise(pairs, "pairs")
     work = (pairs.join(items.select("item", "item_id", F.col("text").alias("item_text")), "item")

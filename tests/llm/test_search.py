@@ -5,6 +5,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import ann, chat, decontaminate
@@ -64,6 +65,26 @@ def test_leaks(spark):
     assert decontaminate.find_leaks(docs, bench.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("length", [20, 30, 60])
+@pytest.mark.parametrize("every", [4, 5])
+def test_leaks_of_edited_copies(spark, length, every):
+    """Edits that break most of an item's n-grams, in few documents and in many."""
+    rng = random.Random(length + every)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    items = [[word() for _ in range(length)] for _ in range(4)]
+    edited = [[w if (k + 1) % every else word() for k, w in enumerate(i)] for i in items]
+    texts = [[word() for _ in range(20)] + e + [word() for _ in range(20)] for e in edited]
+    texts += [texts[0]] * 60  # a third of the rows hold one edited copy
+    leaks = {(d, d if d < 4 else 0) for d in range(len(texts))}
+    texts += [items[0], items[1]]  # whole copies: every n-gram occurs, those left by the edits are the commonest
+    leaks |= {(len(texts) - 2, 0), (len(texts) - 1, 1)}
+    texts += [[word() for _ in range(40)] for _ in range(120)]
+    docs = spark.createDataFrame([(d, " ".join(t)) for d, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(i)) for k, i in enumerate(items)], "item_id long, text string")
+    got = decontaminate.find_leaks(docs, bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == leaks and len(got) == len(leaks)
+
+
 def test_no_leak_missed_on_the_given_tables(spark):
     docs, bench = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
     got = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, bench).collect()}
