@@ -4,10 +4,10 @@ STAGES are (name, function); each function takes (spark, docs, sf_dir) and
 returns a DataFrame that is written as Parquet and read again as the docs of
 the next.  Stages but the last return the columns of their docs.
 
-Documents are told apart by ``doc_id``.  A document without one cannot be
-matched with a verdict found elsewhere: it passes the quality, near-duplicate
-and decontamination stages unchanged.  Null or empty texts have no language and
-go in the first stage.  Empty tables pass as empty.
+Verdicts hold for rows, not for ids: rows that share a ``doc_id``, or have none,
+are judged each by its own text.  Where verdicts are found elsewhere, the
+stage's rows are written with a key of their own and joined on it.  Null or
+empty texts have no language and go in the first stage.  Empty tables pass as empty.
 """
 
 from __future__ import annotations
@@ -22,9 +22,12 @@ from ledgerlake.llm.common import id_remainder, materialise, table, tokenizer_pa
 MAIN_LANGUAGE = 0.3
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` but those whose doc_id is in ``ids`` (column gone)."""
-    return docs.join(ids.select("gone").distinct(), docs["doc_id"] == F.col("gone"), "left_anti")
+def _keyed(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``docs`` with a key of each row, written once so that it stays the same, and the key's name."""
+    key = "_row"
+    while key in docs.columns:
+        key += "_"
+    return materialise(docs.withColumn(key, F.monotonically_increasing_id()), name), key
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,22 +41,28 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents go whose quality score is below 0.7."""
-    found = quality.score(docs, table(spark, sf_dir, "labels"), id_remainder("doc_id", 4) != 2, threshold=0.7)
-    return _without(docs, found.filter("predicted = 0").select(F.col("doc_id").alias("gone")))
+    model = quality.learn(materialise(quality.with_statistics(docs), "statistics"), table(spark, sf_dir, "labels"), id_remainder("doc_id", 4) != 2)
+    prefix = "_quality_"
+    found = quality.add_statistics(docs, prefix)
+    return found.filter(model.score(prefix) >= 0.7).select(*docs.columns)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document of smallest doc_id stays, once."""
-    found = simhash.near_duplicates(docs.filter("doc_id IS NOT NULL"), words=3, max_bits=3)
-    stay = found.select(F.col("component_id").alias("stays")).distinct()
-    kept = docs.join(stay, docs["doc_id"] == F.col("stays"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter("doc_id IS NULL"))
+    """Of each group of near duplicates the row of smallest doc_id stays (a row
+    without one only if none has one); of rows of that id, one."""
+    rows, key = _keyed(docs, "distinct-rows")
+    found = simhash.near_duplicates(rows.select(F.col(key).alias("doc_id"), "text"), words=3, max_bits=3)
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row"))
+    stay = (found.select(F.col("doc_id").alias("row"), "component_id").join(rows.select(F.col(key).alias("row"), F.col("doc_id").alias("id")), "row")
+            .groupBy("component_id").agg(first.alias("first")).select(F.col("first.row").alias(key)))
+    return rows.join(stay, key, "left_semi").select(*docs.columns)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents go that hold a passage of a benchmark item."""
-    leaks = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, leaks.select(F.col("doc_id").alias("gone")))
+    rows, key = _keyed(docs, "clean-rows")
+    leaks = decontaminate.find_leaks(rows.select(F.col(key).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    return rows.join(leaks.select(F.col("doc_id").alias(key)).distinct(), key, "left_anti").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

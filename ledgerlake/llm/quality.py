@@ -33,6 +33,7 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import materialise, slices
 
@@ -118,6 +119,21 @@ def with_statistics(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text")).mapInArrow(counted, schema)
 
 
+def add_statistics(docs: DataFrame, prefix: str) -> DataFrame:
+    """``docs`` (any columns, text among them) with the statistics of each row's
+    text, named with ``prefix``; columns of docs that have these names are replaced."""
+    names = [prefix + s for s in STATISTICS]
+    keep = docs.select([c for c in docs.columns if c not in names])
+
+    def counted(batches):
+        for b in slices(batches):
+            rows = [statistics(t.as_buffer().to_pybytes() if t.is_valid else b"") for t in b.column("text")]
+            stats = np.array(rows, np.float64).reshape(-1, len(STATISTICS)).round(6)
+            yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(stats[:, k]) for k in range(len(STATISTICS)))], [*b.schema.names, *names])
+
+    return keep.mapInArrow(counted, T.StructType([*keep.schema.fields, *(T.StructField(c, T.DoubleType()) for c in names)]))
+
+
 Rule = tuple[tuple[int, str, float], ...]  # (statistic, "<=" or ">", threshold), sorted
 
 
@@ -127,18 +143,18 @@ class RuleEnsemble:
     rules: tuple[tuple[Rule, float], ...]  # with their weights, none zero
     constant: float | None = None  # the score where nothing could be learnt
 
-    def score(self) -> Column:
-        """The model as a column expression over the statistics."""
+    def score(self, prefix: str = "") -> Column:
+        """The model as a column expression over the statistics (named with ``prefix``)."""
         if self.constant is not None:
             return F.lit(self.constant)
         total = F.lit(self.intercept)
         for rule, weight in self.rules:
-            total = total + F.when(condition(rule), F.lit(weight)).otherwise(F.lit(0.0))
+            total = total + F.when(condition(rule, prefix), F.lit(weight)).otherwise(F.lit(0.0))
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
 
 
-def condition(rule: Rule) -> Column:
-    return reduce(Column.__and__, [F.col(STATISTICS[f]) <= t if op == "<=" else F.col(STATISTICS[f]) > t for f, op, t in rule])
+def condition(rule: Rule, prefix: str = "") -> Column:
+    return reduce(Column.__and__, [F.col(prefix + STATISTICS[f]) <= t if op == "<=" else F.col(prefix + STATISTICS[f]) > t for f, op, t in rule])
 
 
 _SPLIT = re.compile(r"(If|Else) \(feature (\d+) (<=|>) (\S+)\)")
@@ -178,11 +194,16 @@ def fit(rows: DataFrame, trees: int = 16, depth: int = 3, lasso: float = 5e-4, s
     return RuleEnsemble(float(lr.intercept), tuple((r, float(w)) for r, w in zip(rules, lr.coefficients) if w))
 
 
+def learn(stats: DataFrame, labels: DataFrame, use: Column) -> RuleEnsemble:
+    """The ensemble of ``stats`` (doc_id and STATISTICS) with ``labels`` (doc_id,
+    quality), learnt where ``use`` (of doc_id) holds."""
+    known = labels.filter(use & F.col("quality").isin(0, 1)).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("label"))
+    return fit(materialise(stats.join(known, "doc_id").select(*STATISTICS, "label"), "quality-train"))
+
+
 def score(docs: DataFrame, labels: DataFrame, use: Column, threshold: float = 0.7) -> DataFrame:
     """doc_id, score and predicted (1 if score >= threshold) of each document;
     ``labels`` (doc_id, quality) are learnt from where ``use`` (of doc_id) holds."""
     stats = materialise(with_statistics(docs), "statistics")
-    known = labels.filter(use & F.col("quality").isin(0, 1)).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("label"))
-    train = materialise(stats.join(known, "doc_id").select(*STATISTICS, "label"), "quality-train")
-    model = fit(train)
+    model = learn(stats, labels, use)
     return stats.select("doc_id", model.score().alias("score")).withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -2,6 +2,7 @@
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
 from .helpers import no_docs, odd_docs
 
@@ -52,3 +53,27 @@ def test_odd_documents(spark, make):
             assert after.columns == docs.columns and after.count() <= docs.count()
             docs = after
     assert (after.count() > 0) == (make is odd_docs)
+
+
+def test_rows_of_one_id_or_none_are_judged_each(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    good = [r.text for r in docs.join(labels.filter("quality = 1"), "doc_id").filter("n_chars BETWEEN 1500 AND 3000").orderBy("doc_id").limit(8).collect()]
+    bad = [r.text for r in docs.join(labels.filter("quality = 0"), "doc_id").orderBy("doc_id").limit(6).collect()]
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first().text
+
+    def run(name, rows):
+        frame = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, _row string")
+        # the labelled documents are what the quality model learns from
+        frame = frame.unionByName(docs.select("doc_id", "text", F.lit("given").alias("_row"))) if name == "quality" else frame
+        after = dict(corpus_pipeline.STAGES)[name](spark, frame, SF)
+        assert after.columns == frame.columns
+        return sorted((r.doc_id or 0, r.text) for r in after.filter("_row = 'x'").collect())
+
+    # a rejected row takes no other row of its id along, and rows without an id are rejected, too
+    kept = run("quality", [(900_001, good[0]), *((900_001, b) for b in bad), *((None, b) for b in bad), (None, good[1])])
+    assert (900_001, good[0]) in kept and (0, good[1]) in kept and len(kept) <= 4
+    assert run("decontamination", [(1, good[0]), (1, f"{good[1]} {item} x"), (None, f"{good[2]} {item}"), (None, good[3])]) == sorted([(1, good[0]), (0, good[3])])
+    # different texts of one id are no duplicates; of equal ones the smallest id stays, an id before none
+    rows = [(7, good[0]), (7, good[1]), (7, good[1]), (9, good[0]), (None, good[1]), (None, good[2]), (None, good[2]), (None, good[3]), (5, good[3])]
+    assert run("near_duplicates", rows) == sorted([(7, good[0]), (7, good[1]), (0, good[2]), (5, good[3])])
