@@ -9,10 +9,10 @@ suffix statistics (how often URLs with the same top-level domain, registered
 domain, first path part or file extension are blocked).  URLs that no rule fits get
 the model's verdict.
 
-Suffix statistics are counts in ``SLOTS`` hash slots a kind of suffix, so the
-table has a fixed bound (``4 * SLOTS`` rows) and is broadcast.  Labelled URLs are
-dealt into ``FOLDS`` folds; a training row sees the counts of the other
-folds only, so that labels don't leak into features.
+Suffix statistics are counted by the exact suffix, a row a kind and suffix of the
+labelled URLs, and joined on it; a suffix without labelled URLs has the prior
+rate and count 0.  Labelled URLs are dealt into ``FOLDS`` folds; a training row
+sees the counts of the other folds only, so that labels don't leak into features.
 
 Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z
 lower-cased.  Path: then up to ``?``, ``#`` or the end.
@@ -36,7 +36,6 @@ from pyspark.sql import functions as F
 from .common import materialise
 
 ALLOW, BLOCK = "allow", "block"
-SLOTS = 1024
 FOLDS = 5
 KINDS = ("tld", "domain", "folder", "extension")
 
@@ -74,7 +73,7 @@ FEATURES = (*LEXICAL, *(f"{k}_rate" for k in KINDS), *(f"{k}_seen" for k in KIND
 
 
 def with_lexical(urls: DataFrame) -> DataFrame:
-    """Adds the lexical features and the suffixes' slots to rows of url, host, path."""
+    """Adds the lexical features and the suffixes to rows of url, host, path."""
     u, host, path = F.coalesce("url", F.lit("")), F.col("host"), F.col("path")
     query = F.regexp_extract(u, r"\?([^#]*)", 1)
     n = F.greatest(F.length(u), F.lit(1))
@@ -96,15 +95,16 @@ def with_lexical(urls: DataFrame) -> DataFrame:
         "port": host.rlike(r":\d+$"), "longest_part": F.array_max(F.transform(F.split(path, "/"), F.length)), "entropy": entropy,
     }
     return urls.withColumns({k: F.coalesce(v.cast("double"), F.lit(0.0)) for k, v in values.items()}
-                            | {f"{k}_slot": F.pmod(F.xxhash64(F.coalesce(v, F.lit(""))), F.lit(SLOTS)).cast("int") for k, v in suffix.items()})
+                            | {f"{k}_suffix": F.coalesce(v, F.lit("")) for k, v in suffix.items()})
 
 
 def _with_rates(rows: DataFrame, counts: DataFrame, prior: float, fold: Column | None = None) -> DataFrame:
     """Adds the share of blocked URLs of each suffix, and how many there are;
     with ``fold`` without those of the row's own fold."""
     for k in KINDS:
-        of = counts.filter(F.col("kind") == k).select(F.col("slot").alias(f"{k}_slot"), F.col("n").alias("n_"), F.col("blocked").alias("blocked_"))
-        rows = rows.join(F.broadcast(of), f"{k}_slot", "left")
+        of = counts.filter(F.col("kind") == k).select(F.col("suffix").alias(f"{k}_suffix"), F.col("n").alias("n_"), F.col("blocked").alias("blocked_"))
+        # no hint: small tables are broadcast, of larger ones AQE cuts the parts of hot suffixes
+        rows = rows.join(of, f"{k}_suffix", "left")
 
         def seen(name: str) -> Column:
             whole = F.coalesce(F.aggregate(name, F.lit(0).cast("long"), lambda s, x: s + x), F.lit(0))
@@ -127,16 +127,17 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], iterations: int = 12,
     known = rows.filter("ruled IS NOT NULL").withColumns({"label": (F.col("ruled") == BLOCK).cast("int"), "fold": F.pmod(F.xxhash64("page_id", "host", "path"), F.lit(FOLDS)).cast("int")})
     by_fold = [F.col("fold") == f for f in range(FOLDS)]
     counts = materialise(
-        known.select("label", "fold", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"{k}_slot").alias("slot")) for k in KINDS])).alias("s"))
-        .groupBy("s.kind", "s.slot").agg(F.array(*[F.sum(f.cast("long")) for f in by_fold]).alias("n"), F.array(*[F.sum(F.when(f, F.col("label")).otherwise(0)) for f in by_fold]).alias("blocked")),
-        "suffixes")  # 4 * SLOTS rows at most
+        known.select("label", "fold", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"{k}_suffix").alias("suffix")) for k in KINDS])).alias("s"))
+        .groupBy("s.kind", "s.suffix").agg(F.array(*[F.sum(f.cast("long")) for f in by_fold]).alias("n"), F.array(*[F.sum(F.when(f, F.col("label")).otherwise(0)) for f in by_fold]).alias("blocked")),
+        "suffixes")
     n, blocked = known.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     result = ("page_id", "host", "path", "rule")
     if blocked in (0, n):
         only = BLOCK if n and blocked == n else ALLOW
         return rows.select(*result, F.coalesce("ruled", F.lit(only)).alias("verdict"), F.lit(None).cast("double").alias("score"))
     vector = array_to_vector(F.array(*FEATURES)).alias("features")
-    train = _with_rates(known, counts, blocked / n, F.col("fold")).select(vector, F.col("label").cast("double").alias("label"))
+    train = materialise(_with_rates(known, counts, blocked / n, F.col("fold")).select(*FEATURES, F.col("label").cast("double").alias("label")), "url-train")
+    train = train.select(vector, "label")
     model = GBTClassifier(maxIter=iterations, maxDepth=depth, seed=seed, maxBins=64, stepSize=0.3, subsamplingRate=1.0).fit(train)
     judged = model.transform(_with_rates(rows, counts, blocked / n).select(*result, "ruled", vector))
     p = vector_to_array("probability")[1]

@@ -115,6 +115,16 @@ def test_url_trees_learn(spark):
     assert len(out) == 40 and sum((r.verdict == "block") == ("/de/" in r.path) for r in out) >= 38
 
 
+def test_url_rates_of_many_domains(spark):
+    """Thousands of domains, each with a rate of its own: only that tells the URLs without a rule apart."""
+    kind = lambda k: "ab"[zlib.crc32(str(k).encode()) % 2]
+    rows = [(k * 10 + j, f"https://d{10000 + k}.com/{kind(k)}{100000 + k * 10 + j}") for k in range(3000) for j in range(3)]
+    rows += [(100_000 + k, f"https://d{10000 + k}.com/c{100000 + k}") for k in range(3000)]
+    out = urls.judge(spark.createDataFrame(rows, "page_id long, url string"), [("block", "com/a"), ("allow", "com/b")]).filter("rule IS NULL").collect()
+    assert len(out) == 3000
+    assert sum((r.verdict == "block") == (kind(r.page_id - 100_000) == "a") for r in out) >= 2990
+
+
 def test_urls_without_labels(spark):
     some = spark.createDataFrame([(1, "http://a.net/"), (2, None)], "page_id long, url string")
     assert {r.verdict for r in urls.judge(some, RULES).collect()} == {"allow"}
