@@ -52,7 +52,7 @@ STATISTICS = (
     "repeated_lines",     # lines that occurred before
     "short_words",        # words of one or two bytes
     "single_symbols",     # words without a letter or digit
-    "worst_upper",        # the largest upper_share of a 40-word window
+    "worst_upper",        # the largest upper_share of a 40-word window (they overlap by half)
     "worst_symbols",      # the largest symbol_share of a window
     "worst_repeats",      # the largest share of words of a window that occurred in it before
     "line_words",         # log of 1 + words a line
@@ -90,14 +90,15 @@ def statistics(text: bytes) -> list[float]:
         fives = 1 - len(np.unique(runs)) / len(runs)
     lines = [x for x in text.split(b"\n") if x.strip()]
     worst_upper = worst_symbols = worst_repeats = 0.0
-    for k in range(0, max(1, n - WINDOW // 2), WINDOW):
+    # windows overlap by half; the last one holds the final words, so no word is left out
+    for k in [*range(0, n - WINDOW, WINDOW // 2), max(0, n - WINDOW)]:
         part = words[k:k + WINDOW]
         raw = b" ".join(part)
         up, low = len(raw.translate(None, _KEEP_UPPER)), len(raw.translate(None, _KEEP_LOWER))
         worst_upper = max(worst_upper, up / max(1, up + low))
         worst_symbols = max(worst_symbols, len(raw.translate(None, _KEEP_SYMBOLS)) / len(raw))
         worst_repeats = max(worst_repeats, 1 - len(set(part)) / len(part))
-    no_letters = sum(c for w, c in counts.items() if len(w) < 8 and w.isascii() and not any(chr(b).isalnum() for b in w))
+    no_letters = sum(c for w, c in counts.items() if w.isascii() and not any(chr(b).isalnum() for b in w))
     capitals = sum(c for w, c in counts.items() if len(w) > 1 and w.isupper())
     return [
         float(np.log1p(n)), float(np.log1p(len(lines))), sum(map(len, words)) / n, upper / max(1, upper + lower), len(text.translate(None, _KEEP_DIGITS)) / size,

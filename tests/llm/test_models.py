@@ -88,6 +88,24 @@ def test_quality_odd_rows(spark):
 
 
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+@pytest.mark.parametrize("n", [30, 41, 55, 60, 61, 75, 80, 100, 119])
+def test_windows_reach_the_end_and_across_borders(n):
+    plain = [f"word{k}" for k in range(n)]
+    at = {s: k for k, s in enumerate(quality.STATISTICS)}
+    tail, share = min(10, n), min(40, n)
+    got = quality.statistics(" ".join(plain[:-tail] + ["QUITE"] * tail).encode())
+    letters = 4 * (share - tail) + 5 * tail
+    assert got[at["worst_upper"]] >= 5 * tail / letters - 1e-12 and got[at["worst_repeats"]] >= (tail - 1) / share - 1e-12
+    assert quality.statistics(" ".join(plain[:-tail] + ["{}"] * tail).encode())[at["worst_symbols"]] > 0
+    if n >= 80:  # a burst on both sides of word 40
+        assert quality.statistics(" ".join(plain[:30] + ["QUITE"] * 20 + plain[50:]).encode())[at["worst_upper"]] >= 100 / 180 - 1e-12
+
+
+def test_long_symbol_words():
+    got = quality.statistics(b"some words " + b"-" * 8 + b" and more " + b"=" * 80)
+    assert got[quality.STATISTICS.index("single_symbols")] == 2 / 6
+
+
 URLS = {
     0: ("HTTP://A.Example.ORG/es/x?y=1#z", "a.example.org", "/es/x", "example.org/es/"), 1: ("http://example.org/en/12", "example.org", "/en/12", "example.org/en/1"),
     2: ("http://notexample.org/es/", "notexample.org", "/es/", "org/"), 3: ("https://x.com/fr/", "x.com", "/fr/", "com/fr/"), 4: ("https://x.com/de/a", "x.com", "/de/a", "com/de/"),
