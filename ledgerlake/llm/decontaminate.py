@@ -19,7 +19,8 @@ Words are lower-cased runs of letters and digits (ASCII punctuation and white
 space separate).  Nothing is capped: every hit, seed and pair is followed.
 
 Nulls, ties and odd input: null or empty texts (of documents or items) match
-nothing; items of fewer words than a seed are one n-gram of all their words; a
+nothing; items of fewer words than a seed are one n-gram of all their words, and
+n-grams of that length are looked up in documents, too; a
 null ``doc_id`` or ``item_id`` is kept as it is.  Repeated rows (same doc_id or
 item_id) give one row a (doc_id, item_id): the best score, then the earliest
 place.  Empty tables give no rows.  Other columns are not read.
@@ -27,6 +28,8 @@ place.  Empty tables give no rows.  Other columns are not read.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -98,31 +101,48 @@ def align(item: list[bytes], passage: list[bytes]) -> tuple[float, int, int, int
     return best / (MATCH * max(1, len(a))), j, end, matched
 
 
-def _passages(docs: DataFrame, bitmap, n: int, reach: int) -> DataFrame:
-    """passage (id), doc_id, first (word), text (its words), grams and places
+def within_reach(item: list[bytes], passage: list[bytes], threshold: float) -> bool:
+    """Whether the words that the two have in common could give a score of ``threshold``."""
+    own, most = Counter(item), threshold * len(item) - 1e-9
+    return sum(min(c, own[w]) for w, c in Counter(w for w in passage if w in own).items()) >= most
+
+
+def _passages(docs: DataFrame, bitmap, sizes: list[int], reach: int) -> DataFrame:
+    """Hits of the n-grams of ``sizes`` words: passage (id), doc_id, first (word), text (its words), grams and places
     (hashes of hits and their words in the document), fresh (whether a hit is
     the document's first of its n-gram)."""
     names = ["passage", "doc_id", "first", "text", "grams", "places", "fresh"]
+    n = max(sizes, default=0)
+
+    def hits(words: list[bytes], bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes and places of the n-grams that may be the benchmark's, by place."""
+        got = []
+        for m in sizes:
+            if m <= len(words):
+                g = gram_hashes(words, m)
+                slot = g >> np.uint64(64 - BITS)
+                at = np.flatnonzero(bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8) & 1)
+                got.append((g[at], at))
+        g, at = (np.concatenate(x) for x in zip(*got)) if got else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        order = np.argsort(at, kind="stable")
+        return g[order], at[order]
 
     def found(batches):
         bits, count = bitmap.value, 0
-        top = np.uint64(64 - BITS)
         base = TaskContext.get().partitionId() << 40
         for b in slices(batches):
             rows: list[tuple] = []
             for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
                 words = words_of(text)
-                g = gram_hashes(words, n)
-                slot = g >> top
-                at = np.flatnonzero(bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8) & 1)
+                g, at = hits(words, bits)
                 if not len(at):
                     continue
                 fresh = np.zeros(len(at), bool)
-                fresh[np.unique(g[at], return_index=True)[1]] = True
+                fresh[np.unique(g, return_index=True)[1]] = True
                 for part in np.split(np.arange(len(at)), np.flatnonzero(np.diff(at) > 2 * reach) + 1):
                     own = at[part]
                     lo, hi = max(0, int(own[0]) - reach), int(own[-1]) + n + reach
-                    rows.append((base + count, doc, lo, b" ".join(words[lo:hi]).decode("utf-8", "replace"), g[own].view(np.int64).tolist(), own.tolist(), fresh[part].tolist()))
+                    rows.append((base + count, doc, lo, b" ".join(words[lo:hi]).decode("utf-8", "replace"), g[part].view(np.int64).tolist(), own.tolist(), fresh[part].tolist()))
                     count += 1
             if rows:
                 cols = zip(*rows)
@@ -134,19 +154,20 @@ def _passages(docs: DataFrame, bitmap, n: int, reach: int) -> DataFrame:
 
 
 def item_grams(items: DataFrame, n: int) -> DataFrame:
-    """item, gram of the distinct n-grams of each item (item, text), and words
-    (a hash of all its words: items of equal words are one when counted)."""
+    """item, gram of the distinct n-grams of each item (item, text), words (a
+    hash of all its words: items of equal words are one when counted) and size
+    (words of the n-gram)."""
     def cut(batches):
         for b in slices(batches):
             rows = []
             for i, t in zip(b.column("item").to_pylist(), b.column("text").to_pylist()):
                 words = words_of(t)
                 whole = gram_hashes(words, len(words)).view(np.int64).tolist()
-                rows += [(i, g, *whole) for g in np.unique(gram_hashes(words, n)).view(np.int64).tolist()]
+                rows += [(i, g, *whole, min(n, len(words))) for g in np.unique(gram_hashes(words, n)).view(np.int64).tolist()]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["item", "gram", "words"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["item", "gram", "words", "size"])
 
-    return items.mapInArrow(cut, "item long, gram long, words long")
+    return items.mapInArrow(cut, "item long, gram long, words long, size long")
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = 3, rare_share: float = 0.001, threshold: float = 0.5, rare_items: int = 64) -> DataFrame:
@@ -174,8 +195,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = 3, rare_share: fl
     # at most one row a byte of the bitmap comes to the driver, however many items there are
     got = grams.select("gram").mapInArrow(mapped, "byte int, bits smallint").groupBy("byte").agg(F.bit_or("bits").alias("bits")).toPandas()
     bits[got["byte"].to_numpy(dtype=np.int64)] = got["bits"].to_numpy(dtype=np.uint8)
+    sizes = sorted(r[0] for r in grams.select("size").distinct().collect())  # n rows at most
     longest = items.agg(F.max(F.size(F.split(F.coalesce("text", F.lit("")), "[^\\p{L}\\p{N}]+")))).first()[0] or 0
-    passages = materialise(_passages(docs, spark.sparkContext.broadcast(bits), n, 2 * longest + n), "passages")
+    passages = materialise(_passages(docs, spark.sparkContext.broadcast(bits), sizes, 2 * longest + n), "passages")
 
     hits = passages.select("passage", F.explode(F.arrays_zip("grams", "fresh")).alias("h")).select("passage", F.col("h.grams").alias("gram"), F.col("h.fresh").alias("fresh"))
     seen = hits.filter("fresh").groupBy("gram").agg(F.count("*").alias("df"))
@@ -197,6 +219,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = 3, rare_share: fl
             rows = []
             for r in b.to_pylist():
                 item, words = words_of(r["item_text"]), r["text"].encode().split(b" ")
+                if not within_reach(item, words, threshold):
+                    continue
                 score, start, end, matched = align(item, words)
                 if score >= threshold:
                     rows.append((r["doc_id"], r["item_id"], score, r["first"] + start, r["first"] + end, matched, b" ".join(words[start:end]).decode()))

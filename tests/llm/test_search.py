@@ -85,6 +85,21 @@ def test_leaks_of_edited_copies(spark, length, every):
     assert {(r.doc_id, r.item_id) for r in got} == leaks and len(got) == len(leaks)
 
 
+def test_items_of_one_and_two_words(spark):
+    texts = {0: "here is zz yy, verbatim", 1: "zz aa yy", 2: "Solo", 3: "it says solo twice: solo", 4: "zz yy", 5: "nothing of the kind", 6: "one two three four", 7: "zz", 8: None}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    bench = spark.createDataFrame([(0, "zz yy"), (1, "solo"), (2, "two three four"), (3, "")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.score, r.word_start, r.word_end) for r in decontaminate.find_leaks(docs, bench).collect()}
+    assert got == {(0, 0): (1.0, 2, 4), (4, 0): (1.0, 0, 2), (2, 1): (1.0, 0, 1), (3, 1): (1.0, 2, 3), (6, 2): (1.0, 1, 4)}
+
+
+def test_words_out_of_reach_cannot_score():
+    rng = random.Random(3)
+    for _ in range(300):
+        item, passage = ([rng.choice([b"a", b"b", b"c", b"d", b"e", b"f"]) for _ in range(rng.randint(1, 12))] for _ in range(2))
+        assert decontaminate.within_reach(item, passage, 0.5) or decontaminate.align(item, passage)[0] < 0.5
+
+
 def test_no_leak_missed_on_the_given_tables(spark):
     docs, bench = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
     got = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, bench).collect()}
