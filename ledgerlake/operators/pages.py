@@ -2,8 +2,9 @@
 (J10).
 
 P1 is the one per-row parser of the library: HTML has to be parsed, which no
-built-in Spark expression does.  Pages that do not mention the section are
-filtered out by Spark; the rest run through ``mapInPandas`` (Arrow batches).
+built-in Spark expression does.  Pages without a table or heading tag are
+filtered out by Spark (a heading's text may be split by tags or written with
+character references, so it is left to the parser); the rest run through ``mapInPandas`` (Arrow batches).
 ``TableRows``, a state machine over the events of Python's ``html.parser``,
 keeps the open rows and cells only and never builds a page's tree.
 """
@@ -129,7 +130,7 @@ def extract_directors(pages: DataFrame, company: str = "company", html: str = "h
                     for i, holder in enumerate(holders(page, section, marked))]
             yield pd.DataFrame(rows, columns=["company", "pos", "role", "name", "start_date"]).astype(
                 {"pos": "int32"})
-    own = pages.select(F.col(company).alias("company"), F.col(html).alias("html")).filter(F.col("html").contains(section))
+    own = pages.select(F.col(company).alias("company"), F.col(html).alias("html")).filter(F.lower("html").contains("<table") & F.lower("html").contains("<h2"))
     return own.mapInPandas(run, DIRECTOR_SCHEMA)
 
 

@@ -65,6 +65,13 @@ def test_directors_fixture(spark):
     assert [(r["company"], r["pos"], r["name"]) for r in rows] == [("c1", 0, "Doe , Jane"), ("c1", 1, "Roe, Ann")]
 
 
+def test_directors_of_split_headings(spark):
+    page = "<TABLE><tr><td><H2>{}</H2></td></tr><tr><td class=QL>a</td><td>b</td></tr></TABLE>"
+    pages = [(str(k), page.format(h)) for k, h in enumerate(["Functies", "Func<b>ties</b>", "F&#117;ncties", "Other"])]
+    rows = P.extract_directors(spark.createDataFrame(pages, "company string, html string")).collect()
+    assert sorted((r["company"], r["role"], r["name"]) for r in rows) == [(k, "a", "b") for k in "012"]
+
+
 def test_directors_of_odd_pages():
     head = "<tr><td><h2>Mijn Functies</h2></td></tr>"
     assert holders(f"<table>{head}<tr><td class='x RL'>a<td>b  c<td>d</table><table>{head}<tr><td class=QL>no<td>no</table>") == [("a", "b c", "d")]
