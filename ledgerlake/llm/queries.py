@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontaminate, langid, lattice, packing, quality, simhash, urls, wavelet
+from . import ann, chat, decontaminate, langid, lattice, negatives, packing, quality, simhash, urls, wavelet
 from .common import id_remainder, shared_path, table, tokenizer_path
 
 
@@ -78,10 +78,16 @@ def op10_simhash_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_threshold_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 50th vector, three for each of its five positives."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_decontaminate, op2_wavelet_tokens, op3_language_mixture, op4_chat_parts, op5_rule_ensemble, op6_packing, op7_projection_forest, op8_url_trees,
-        op9_subword_lattice, op10_simhash_bytes,
+        op9_subword_lattice, op10_simhash_bytes, op11_threshold_negatives,
     )
 }
 
@@ -100,4 +106,26 @@ ORACLE: dict[str, str] = {
             sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
             CAST(sum(chars) AS BIGINT) AS formatted_chars
         FROM marked GROUP BY conv_id""",
+    "op11_threshold_negatives": """
+        WITH rows AS (
+            SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        near AS (
+            SELECT a.vec_id AS anchor_id, a.label, a.v, r.vec_id AS positive_id, CAST(list_inner_product(a.v, r.v) AS BIGINT) AS positive_score
+            FROM rows a JOIN rows r ON r.label = a.label AND r.vec_id <> a.vec_id
+            WHERE a.vec_id % 50 = 0
+            QUALIFY row_number() OVER (PARTITION BY a.vec_id ORDER BY positive_score DESC, positive_id) <= 5),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, r.vec_id AS negative_id, CAST(list_inner_product(a.v, r.v) AS BIGINT) AS negative_score
+            FROM rows a JOIN rows r ON r.label <> a.label AND r.vec_id <> a.vec_id
+            WHERE a.vec_id % 50 = 0)
+        SELECT anchor_id, positive_id,
+            CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY negative_score DESC, negative_id) AS INT) AS rank,
+            negative_id, positive_score, negative_score
+        FROM near JOIN scored USING (anchor_id)
+        WHERE 50 * positive_score <= 100 * negative_score AND 100 * negative_score <= 95 * positive_score
+        QUALIFY rank <= 3""",
 }
