@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontaminate, langid, lattice, negatives, packing, piecewise, quality, simhash, urls, wavelet
+from . import ann, chat, decontaminate, langid, lattice, negatives, packing, piecewise, quality, simhash, spelling, urls, wavelet
 from .common import id_remainder, shared_path, table, tokenizer_path
 
 
@@ -84,6 +84,11 @@ def op11_threshold_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
 
 
+def op12_trie_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants of all words of seven letters or more; every 31st run (by its hash) has lost a letter."""
+    return spelling.variants(table(spark, sf_dir, "documents"), min_chars=7, min_count=2, ratio=10, damage=31)
+
+
 def op13_piecewise_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piecewise hashes of every document, of its edited text, and their likeness."""
     out = piecewise.fingerprints(table(spark, sf_dir, "documents"))
@@ -93,7 +98,7 @@ def op13_piecewise_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_decontaminate, op2_wavelet_tokens, op3_language_mixture, op4_chat_parts, op5_rule_ensemble, op6_packing, op7_projection_forest, op8_url_trees,
-        op9_subword_lattice, op10_simhash_bytes, op11_threshold_negatives, op13_piecewise_hash,
+        op9_subword_lattice, op10_simhash_bytes, op11_threshold_negatives, op12_trie_spelling, op13_piecewise_hash,
     )
 }
 
