@@ -12,6 +12,7 @@ Every table lives under the lake root as a snapshot table
     gold/accounts        per-company accounts (A3/A4)
     lines/compacted      filing lines as Parquet, bucketed by company
     deposits/todo        deposits that need work, with their route (W1, F4, J9)
+    deposits/listed      companies that have a listing
     directors/cache      office holders per company (P1, J10)
     index/names          token index of company names
 
@@ -90,7 +91,9 @@ def deposits(spark: SparkSession, root: str, listings: str, per_company: int) ->
     _, state = _state(spark, root)
     listed = L.read_deposits(spark, f"{listings}/*").withColumnRenamed("company_key", "enterprise_key")
     own = listed.join(G.company_numbers(state), "enterprise_key").withColumnRenamed("enterprise_number", "company")
-    todo = T.eligible_deposits(T.latest_deposits(own, per_company), state)
+    todo = T.eligible_deposits(T.latest_deposits(own, per_company), state, position="listing_pos")
+    # companies that have a listing, be it an empty one: only these can be done
+    sinks.write_replace(L.listed_companies(spark, f"{listings}/*"), table(root, "deposits", "listed"))
     return sinks.write_replace(todo.select("company", "reference", "route"), table(root, "deposits", "todo"))
 
 
@@ -102,8 +105,11 @@ def claim(spark: SparkSession, root: str, n: int) -> str:
 
 
 def apply(spark: SparkSession, root: str, landed: str) -> str:
-    """Outcomes of the claimed companies.  A company succeeds when every
-    deposit to fetch has landed; then its refs are done (or migrated)."""
+    """Outcomes of the claimed companies.  A company succeeds when it has a
+    listing and every deposit to fetch has landed; then its refs are done (or migrated)."""
+    listed = sinks.read_table(spark, table(root, "deposits", "listed"))
+    if listed is None:
+        raise RuntimeError("no deposits/listed: run the deposits stage first")
     snapshot, state = _state(spark, root)
     claimed = state.filter(F.col("status") == STATE_IN_PROGRESS).select(F.col("_id"), X.company_key(F.col("_id")).alias("enterprise_key"))
     todo = sinks.read_table(spark, table(root, "deposits", "todo"), TODO_SCHEMA)
@@ -116,8 +122,9 @@ def apply(spark: SparkSession, root: str, landed: str) -> str:
         F.collect_list(F.when(~fetch, F.col("reference"))).alias("new_migrated"),
         F.max((fetch & F.col("_landed").isNull()).cast("int")).alias("_lacking"))
     none = F.array().cast("array<string>")
-    outcomes = claimed.select("_id").join(found, "_id", "left").select(
-        "_id", F.when(F.coalesce("_lacking", F.lit(0)) > 0, F.lit("failure")).otherwise(F.lit("success")).alias("result"),
+    listed = listed.select(F.col("company_key").alias("enterprise_key"), F.lit(True).alias("_listed"))
+    outcomes = claimed.join(listed, "enterprise_key", "left").join(found, "_id", "left").select(
+        "_id", F.when(F.col("_listed").isNull() | (F.coalesce("_lacking", F.lit(0)) > 0), F.lit("failure")).otherwise(F.lit("success")).alias("result"),
         F.coalesce("new_done", none).alias("new_done"), F.coalesce("new_migrated", none).alias("new_migrated"))
     return sinks.write_replace(T.state_apply(state, outcomes), table(root, "state", "download"), expected=snapshot)
 
@@ -153,11 +160,12 @@ def index(spark: SparkSession, root: str, buckets: int = 64) -> None:
 
 
 def gold_stream(spark: SparkSession, root: str, landed: str, available_now: bool, buckets: int = 64):
-    """E2 stream: landed files of companies whose download is done -> gold and gold state."""
-    _, state = _state(spark, root)
-    return start_incremental_gold(spark, landed, T.done_with_filings(state), table(root, "gold", "stream"), table(root, "lines", "stream"),
+    """E2 stream: landed files of companies whose download is done -> gold and
+    gold state.  The download state is read in each micro-batch, and a change of it starts one."""
+    path = table(root, "state", "download")
+    return start_incremental_gold(spark, landed, lambda: T.done_with_filings(_state(spark, root)[1]), table(root, "gold", "stream"), table(root, "lines", "stream"),
                                   table(root, "gold", "_checkpoint"), available_now=available_now, buckets=buckets, done_only=True,
-                                  gold_state_table=table(root, "state", "gold_stream"))
+                                  gold_state_table=table(root, "state", "gold_stream"), state_table=path)
 
 
 def compact(spark: SparkSession, root: str, landed: str, buckets: int = 64) -> None:
@@ -178,6 +186,11 @@ def deeds_stream(spark: SparkSession, root: str, events: str, available_now: boo
                                     table(root, "deeds", "_checkpoint"), available_now)
 
 
+#: Arguments that a stage cannot do without.
+REQUIRED = {"bronze": ("register_dir",), "deposits": ("listings", "per_company"), "claim": ("claim",), "apply": ("landed",), "check": ("landed",),
+            "compact": ("landed",), "gold": ("landed",), "gold-stream": ("landed",), "directors": ("pages",), "deeds-stream": ("events",)}
+
+
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="ledgerlake.jobs")
     p.add_argument("stage", choices=["bronze", "silver", "targets", "deposits", "claim", "apply", "check", "compact", "gold", "gold-stream",
@@ -194,6 +207,11 @@ def main(argv=None) -> None:
     p.add_argument("--buckets", type=int, default=64, help="compact, index, gold-stream: hash buckets of the table (stored with it)")
     p.add_argument("--continuous", action="store_true", help="streams: keep running")
     a = p.parse_args(argv)
+    lacking = [f"--{x.replace('_', '-')}" for x in REQUIRED.get(a.stage, ()) if getattr(a, x) is None]
+    if lacking:
+        p.error(f"{a.stage} needs {', '.join(lacking)}")
+    if any(x is not None and x < 1 for x in (a.per_company, a.claim)):
+        p.error("--per-company and --claim must be 1 or more")
     spark = build_session(app=f"ledgerlake-{a.stage}")
     stages = {
         "bronze": lambda: bronze(spark, a.root, a.register_dir),

@@ -48,6 +48,44 @@ def cached_deeds(state: DataFrame, manifest: DataFrame) -> tuple[DataFrame, Data
     return cached, to_fetch
 
 
+def _newest(rank, added, added_seq, got, got_seq) -> list:
+    """The fold's three aggregates: the highest status, the event that added the
+    row (lowest number) and the last download (highest number), with these numbers."""
+    return [F.max(rank).alias("rank"),
+            F.min(added_seq).alias("added_seq"), F.min_by(F.struct(*added), added_seq).alias("added"),
+            F.max(got_seq).alias("got_seq"), F.max_by(F.struct(*got), got_seq).alias("got")]
+
+
+_PARTIAL = ["run", "documentId", "rank", "added_seq", "added", "got_seq", "got"]
+
+
+def deed_partials(events: DataFrame) -> DataFrame:
+    """Events -> one partial row per (run, documentId), which keeps the number of the event that each value is from."""
+    ev = F.col("event")
+    downloaded = ev == "downloaded"
+    return (events.filter(ev.isin(*PROGRESS_KINDS) & F.col("documentId").isNotNull()).groupBy("run", "documentId")
+            .agg(*_newest(F.when(downloaded, F.lit(1)).otherwise(F.lit(0)), ["deedDate", "description"], F.col("seq"), ["filename", "sizeBytes"], F.when(downloaded, F.col("seq")))))
+
+
+def merge_partials(parts: DataFrame, *more: str) -> DataFrame:
+    """Partial rows of any batches -> one a (run, documentId).  The order of merging
+    doesn't matter, and merging a batch again changes nothing."""
+    return (parts.groupBy("run", "documentId", *more)
+            .agg(*_newest(F.col("rank"), [F.col("added.deedDate"), F.col("added.description")], F.col("added_seq"), [F.col("got.filename"), F.col("got.sizeBytes")], F.col("got_seq")))
+            .select(*_PARTIAL, *more))
+
+
+def deed_table(parts: DataFrame) -> DataFrame:
+    """Partial rows -> the running table."""
+    return parts.select(
+        "run", "documentId",
+        F.when(F.col("rank") == 1, F.lit("downloaded")).otherwise(F.lit("downloading")).alias("status"),
+        F.col("added.deedDate").alias("deedDate"),
+        F.coalesce(F.col("added.description"), F.lit("")).alias("description"),
+        F.coalesce(F.col("got.filename"), F.lit("")).alias("filename"),
+        F.coalesce(F.col("got.sizeBytes"), F.lit(0)).cast("long").alias("sizeBytes"))
+
+
 def deed_status(events: DataFrame) -> DataFrame:
     """Running table per (run, documentId) from progress events.
 
@@ -56,22 +94,8 @@ def deed_status(events: DataFrame) -> DataFrame:
     'downloaded'; 'download_failed' is ignored.  deedDate and description
     come from the event that added the row, filename and size from the last
     'downloaded'.  Order is the event number ``seq``, so the result does not
-    depend on arrival order.  Works on batch and streaming frames."""
-    ev = F.col("event")
-    progress = ev.isin(*PROGRESS_KINDS)
-    rank = F.when(ev == "downloaded", F.lit(1)).when(ev == "downloading", F.lit(0))
-    agg = (events.filter(progress & F.col("documentId").isNotNull())
-           .groupBy("run", "documentId")
-           .agg(F.max(rank).alias("_st"),
-                F.min_by(F.struct("deedDate", "description"), F.col("seq")).alias("_add"),
-                F.max_by(F.struct("filename", "sizeBytes"), F.when(ev == "downloaded", F.col("seq"))).alias("_dl")))
-    return agg.select(
-        "run", "documentId",
-        F.when(F.col("_st") == 1, F.lit("downloaded")).otherwise(F.lit("downloading")).alias("status"),
-        F.col("_add.deedDate").alias("deedDate"),
-        F.coalesce(F.col("_add.description"), F.lit("")).alias("description"),
-        F.coalesce(F.col("_dl.filename"), F.lit("")).alias("filename"),
-        F.coalesce(F.col("_dl.sizeBytes"), F.lit(0)).cast("long").alias("sizeBytes"))
+    depend on arrival order."""
+    return deed_table(deed_partials(events))
 
 
 def run_summary(events: DataFrame) -> DataFrame:

@@ -59,6 +59,21 @@ def q_deed_status_stream(spark, sf_dir):
     return DS.run_to_end(spark, folder, table, ckpt, max_files_per_trigger=3)
 
 
+# A fifth of the runs have lost their name, another fifth has an empty one.
+_ODD_RUNS = DEED_STATUS_SQL.replace("strftime(ts, '%Y-%m-%d') AS run", """CASE WHEN user_id % 5 = 0 THEN NULL WHEN user_id % 5 = 1 THEN ''
+         ELSE strftime(ts, '%Y-%m-%d') END AS run""")
+
+
+@register("deed_status_stream_odd_runs", _ODD_RUNS)
+def q_deed_status_stream_odd_runs(spark, sf_dir):
+    """E1 with null and empty runs, whose documents come in many micro-batches."""
+    folder, table, ckpt = _scratch(spark), _scratch(spark), _scratch(spark)
+    user = AD.table(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), (F.col("user_id") % 5).alias("fifth"))
+    run = F.when(F.col("fifth") == 0, F.lit(None)).when(F.col("fifth") == 1, F.lit("")).otherwise(F.col("run"))
+    AD.progress_events(spark, sf_dir).join(user, "seq").withColumn("run", run).drop("fifth").repartition(6).write.json(folder)
+    return DS.run_to_end(spark, folder, table, ckpt, max_files_per_trigger=2)
+
+
 @register("run_summary", "WITH " + EV_CTE + """,
 r AS (SELECT run,
         arg_max_null(event, seq) FILTER (WHERE event IN ('done', 'error')) AS final,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import accounts as A
 from ..operators import checks as C
 from ..operators import pages as P
+from ..operators import targets as T
 from ..sources import filings as S
 from ..sources import sinks
 from ..streaming.incremental_gold import start_incremental_gold
@@ -95,6 +96,33 @@ def q_incremental_gold_stream(spark, sf_dir):
     return flat_accounts(spark.read.parquet(gold_t))
 
 
+@register("gold_stream_late_done", _accounts_flat_sql(f"WHERE enterprise_key IN {DONE_KEYS}"))
+def q_gold_stream_late_done(spark, sf_dir):
+    """E2 stream where downloads are recorded after their files landed: at the first run
+    the files of all companies are there and no company is done, at the second all downloads are done and
+    nothing new lands, at the third some files have been written again with other content
+    (at first, the files of a third of the companies hold no amounts)."""
+    lines = AD.filing_lines(spark, sf_dir)
+    root = _scratch(spark)
+    damaged = (F.col("enterprise_key").cast("long") % 3 == 0) & ~F.col("code").rlike("^[A-Z]")
+    materialize_tree(lines.filter(~damaged), root)
+    gold_t, comp, ckpt, state_t = (_scratch(spark) for _ in range(4))
+    state = AD.download_state(spark, sf_dir)
+
+    def run():
+        q = start_incremental_gold(spark, root, lambda: T.done_with_filings(sinks.read_table(spark, state_t)), gold_t, comp, ckpt, AD.as_of(), max_files_per_trigger=50_000,
+                                   buckets=16, done_only=True, state_table=state_t)
+        q.awaitTermination()
+
+    sinks.write_replace(state.withColumn("status", F.lit("pending")), state_t)
+    run()
+    sinks.write_replace(state, state_t)
+    run()
+    materialize_tree(lines.filter(F.col("enterprise_key").cast("long") % 3 == 0), root)
+    run()
+    return flat_accounts(spark.read.parquet(gold_t))
+
+
 # A captured page of the register (invented content) with an office-holder
 # section between other sections.
 FIXTURE_PAGE = """<table>

@@ -37,6 +37,12 @@ def read_deposits(spark: SparkSession, path: str) -> DataFrame:
             .select("company_key", "d.*"))
 
 
+def listed_companies(spark: SparkSession, path: str) -> DataFrame:
+    """The companies that have a deposit listing under ``path``, an empty one included."""
+    raw = spark.read.schema(DEPOSIT_SCHEMA).json(path)
+    return raw.select(company_from_path(F.col("_metadata.file_path")).alias("company_key")).distinct()
+
+
 def read_deeds(spark: SparkSession, path: str) -> DataFrame:
     """One row per deed of all pages of all listings under ``path``."""
     raw = spark.read.schema(DEED_SCHEMA).json(path)

@@ -79,3 +79,24 @@ def test_directors_of_odd_pages():
     assert holders(f"<table>{head}<tr><td class=QL>a</td><td>b</td></tr><tr><td><h2>X</h2></td></tr>{head}<tr><td class=QL>c</td><td>d</td></tr></table>") == [("a", "b", "")]
     # a table inside a cell: its cells are also cells of the row around it
     assert holders(f"<table>{head}<tr><td class=QL>a<table><tr><td>b</td></tr></table></td><td>c</td></tr></table>") == [("ab", "b", "c")]
+
+
+def test_stream_keeps_rows_of_null_and_empty_runs(spark, tmpdir_path):
+    rows = [(run, *row[1:]) for row in EVENTS for run in ("r1", None, "")]
+    random.Random(5).shuffle(rows)
+    src = os.path.join(tmpdir_path, "events")
+    for lo in range(0, len(rows), 4):
+        frame(spark, rows[lo:lo + 4]).coalesce(1).write.mode("append").json(src)
+    out = run_to_end(spark, src, os.path.join(tmpdir_path, "table"), os.path.join(tmpdir_path, "ckpt"), max_files_per_trigger=1)
+    assert sorted(map(repr, out.collect())) == sorted(map(repr, D.deed_status(frame(spark, rows)).collect()))
+    assert out.count() == 9
+
+
+def test_partial_rows_merge_in_any_order_and_twice(spark):
+    rng = random.Random(6)
+    for _ in range(3):
+        shuffled = rng.sample(EVENTS, len(EVENTS))
+        cut = rng.randint(1, len(EVENTS) - 1)
+        one, two = (D.deed_partials(frame(spark, part)) for part in (shuffled[:cut], shuffled[cut:]))
+        merged = D.merge_partials(D.merge_partials(one.unionByName(two)).unionByName(two))
+        assert table(D.deed_table(merged)) == table(D.deed_status(frame(spark, EVENTS)))

@@ -4,6 +4,8 @@ after a deposit run) -> gold from a landed tree, through the job stages."""
 import csv
 import os
 
+import pytest
+from pyspark.sql import functions as F
 
 from ledgerlake import jobs
 from ledgerlake.operators import targets as T
@@ -152,6 +154,38 @@ def test_deposit_run_reaches_gold(spark, tmpdir_path):
     processed = {r["_id"]: r["processed_filings"] for r in sinks.read_table(spark, f"{lake}/state/gold_stream").collect()}
     assert processed == {"0100.000.002": ["2021-1", "2021-2", "2021-3", "not-landed"]}
 
+    # the other company becomes done after its files landed; nothing new lands
+    def stream():
+        jobs.gold_stream(spark, lake, landed, available_now=True, buckets=4).awaitTermination()
+        return {r["enterprise_number"]: r for r in spark.read.parquet(f"{lake}/gold/stream").collect()}
+
+    now = sinks.read_table(spark, f"{lake}/state/download")
+    sinks.write_replace(now.withColumn("status", F.lit("done")), f"{lake}/state/download")
+    built = stream()
+    assert sorted(built) == ["0100.000.001", "0100.000.002"] and len(built["0100.000.001"]["years"]) == 2
+    # a filing is written again with another amount: the old content counts no more
+    write_tree(landed, {"0100000001/hbb/2021-9.csv": ['"Accounting period end date","2021-12-31"', "70/74,999", "60/64,100", "54,5", "43,10"]})
+    again = stream()
+    assert [y["ca"] for y in again["0100.000.001"]["years"] if y["year"] == 2021] == [999]
+    assert again["0100.000.002"] == built["0100.000.002"]
+
+
+def test_a_company_without_a_listing_is_not_done(spark, tmpdir_path):
+    reg, lake, landed, listings = (os.path.join(tmpdir_path, "unlisted", x) for x in ("register", "lake", "landed", "listings"))
+    write_register(reg)
+    write_tree(landed)
+    _listing(listings, "0100000001", [])                                # a listing without deposits
+    jobs.bronze(spark, lake, reg)
+    jobs.silver(spark, lake)
+    jobs.targets(spark, lake)
+    jobs.claim(spark, lake, 10)
+    with pytest.raises(RuntimeError):
+        jobs.apply(spark, lake, landed)
+    jobs.deposits(spark, lake, listings, per_company=20)
+    jobs.apply(spark, lake, landed)
+    state = {r["_id"]: r["status"] for r in sinks.read_table(spark, f"{lake}/state/download").collect()}
+    assert state == {"0100.000.001": "done", "0100.000.002": "pending"}
+
 
 def test_directors_and_index_jobs(spark, tmpdir_path):
     from ledgerlake.operators import search as SE
