@@ -166,18 +166,28 @@ def test_nearest_of_few_is_exact(spark):
     assert ann.nearest(rows.limit(0), F.lit(True)).count() == 0
 
 
-def test_nearest_recall(spark):
-    """Trees of small leaves and few candidates, hot leaves cut into blocks."""
-    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding")
+def recall(spark, rows, **more):
     got = {}
-    for r in ann.nearest(rows, F.col("vec_id") % 20 == 0, k=20, block_rows=16).collect():
+    for r in ann.nearest(rows, F.col("vec_id") % 20 == 0, k=20, **more).collect():
         got.setdefault(r.query_id, set()).add(r.vec_id)
     pairs = [(r.vec_id, r.embedding) for r in rows.collect()]
     ids, m = np.array([p[0] for p in pairs]), np.array([p[1] for p in pairs])
-    recall = []
+    found = []
     for q in ids[ids % 20 == 0]:
         s = m @ m[np.flatnonzero(ids == q)[0]]
         s[ids == q] = -np.inf
-        recall.append(len(got[q] & set(ids[np.argsort(-s)[:20]].tolist())) / 20)
-    assert np.mean(recall) >= 0.9
-    assert ODD_TEXTS
+        found.append(len(got[q] & set(ids[np.argsort(-s)[:20]].tolist())) / 20)
+    return np.mean(found)
+
+
+def test_nearest_recall(spark):
+    """One rule at every size: none is searched whole but those of about a hundred rows."""
+    given = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding").filter("vec_id < 2000")
+    for n in (100, 513, 700, 1000):
+        assert recall(spark, given.filter(F.col("vec_id") < n)) >= 0.9, n
+    assert recall(spark, given, block_rows=16) >= 0.9  # hot leaves cut into blocks
+    rng = np.random.default_rng(3)
+    even = rng.normal(size=(600, 64)).astype(np.float32)
+    assert recall(spark, spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(even)], "vec_id long, embedding array<float>")) >= 0.9
+    few = given.filter("vec_id < 15")
+    assert ann.nearest(few, F.col("vec_id") == 0, k=20).count() == 14 and ODD_TEXTS
