@@ -17,7 +17,8 @@ penalty of a second language, the single language is the exact choice.
 The model is a table of ``languages x buckets`` log-probabilities: its size
 depends on the language set, not on the corpus, so it is sent to all tasks.
 
-Nulls, ties and odd input: a null text, or one without a letter, is ``und``
+Nulls, ties and odd input: a null text, or one without a letter (Unicode category L;
+numerals are none), is ``und``
 with score 0 and no proportions.  Equal likelihoods go to the language that
 sorts first.  With an empty training table every document is ``und``.
 Repeated rows are scored each; other columns are not read.
@@ -25,11 +26,11 @@ Repeated rows are scored each; other columns are not read.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,22 +38,48 @@ from pyspark.sql import types as T
 from .common import slices
 
 BUCKETS = 1 << 16
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")  # numerals such as ½ and Ⅷ are none
+#: Characters of a text from which on it is counted a step at a time.
+STEP = 1 << 20
 
 # Bytes of ASCII characters that aren't letters become spaces; the bytes of all others stay.
 _LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
 
-def grams(text: str) -> np.ndarray:
-    """Bucket of every 4-byte gram of a text's letters, as uint16."""
-    raw = b" " + b" ".join(text.lower().encode("utf-8", "replace").translate(_LETTERS).split()) + b" "
+def _hashed(raw: bytes) -> np.ndarray:
     a = np.frombuffer(raw, np.uint8).astype(np.uint32)
-    if len(a) < 4:
-        a = np.concatenate([a, np.full(4 - len(a), 32, np.uint32)])
     g = a[:-3] | a[1:-2] << 8 | a[2:-1] << 16 | a[3:] << 24
     return (g * np.uint32(2654435761) >> np.uint32(16)).astype(np.uint16)
 
 
+def grams(text: str) -> np.ndarray:
+    """Bucket of every 4-byte gram of a text's letters, as uint16."""
+    raw = b" " + b" ".join(text.lower().encode("utf-8", "replace").translate(_LETTERS).split()) + b" "
+    return _hashed(raw.ljust(4))
+
+
+def counts(text: str) -> np.ndarray:
+    """How often each bucket occurs among ``grams(text)``, a step of the text at a time."""
+    if len(text) <= STEP:
+        return np.bincount(grams(text), minlength=BUCKETS)
+    out, kept, met = np.zeros(BUCKETS, np.int64), b" ", 1
+    for lo in range(0, len(text), STEP):
+        raw = text[lo:lo + STEP].lower().encode("utf-8", "replace").translate(_LETTERS)
+        words = b" ".join(raw.split())
+        if raw[:1] == b" " and kept[-1:] != b" ":
+            words = b" " + words
+        if raw[-1:] == b" " and words[-1:].strip():
+            words += b" "
+        met += len(words)
+        kept += words
+        out += np.bincount(_hashed(kept) if len(kept) > 3 else [], minlength=BUCKETS).astype(np.int64)
+        kept = kept[-3:]
+    if kept[-1:] != b" ":
+        kept, met = kept + b" ", met + 1
+        out += np.bincount(_hashed(kept) if len(kept) > 3 else [], minlength=BUCKETS).astype(np.int64)
+    return out if met > 3 else np.bincount(_hashed(kept.ljust(4)), minlength=BUCKETS)
+
+
 @dataclass(frozen=True)
 class LanguageModel:
     languages: tuple[str, ...]
@@ -69,7 +96,7 @@ def train(docs: DataFrame, use: Column, smoothing: float = 0.5) -> LanguageModel
                 if LETTER.search(text):
                     if lang not in held:
                         held[lang] = np.zeros(BUCKETS, np.int64)
-                    held[lang] += np.bincount(grams(text), minlength=BUCKETS)
+                    held[lang] += counts(text)
         for lang, n in held.items():
             at = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(n[at])], ["lang", "bucket", "n"])
@@ -106,19 +133,30 @@ def _em(p: np.ndarray, times: np.ndarray, starts: np.ndarray, sizes: np.ndarray,
 
 def mixtures(model: LanguageModel, texts: list[str], penalty: float = 3.0, rounds: int = 25) -> np.ndarray:
     """Language proportions of each text (texts x languages); texts must have a letter."""
-    got = [grams(t) for t in texts]
-    sizes = np.array([len(g) for g in got])
-    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    # a long text as its distinct buckets with how often they occur: 65,536 entries at most
+    got, times_of = [], {}
+    for d, t in enumerate(texts):
+        if len(t) > STEP:
+            n = counts(t)
+            got.append(np.flatnonzero(n).astype(np.uint16))
+            times_of[d] = n[got[-1]]
+        else:
+            got.append(grams(t))
+    entries = np.array([len(g) for g in got])
+    sizes = np.array([int(times_of[d].sum()) if d in times_of else len(g) for d, g in enumerate(got)])
+    times = np.concatenate([times_of.get(d, np.ones(len(g))) for d, g in enumerate(got)]) if times_of else None
+    starts = np.concatenate([[0], np.cumsum(entries)[:-1]])
     logs = np.ascontiguousarray(model.log_prob.T)[:, np.concatenate(got)]
-    total = np.add.reduceat(logs, starts, axis=1, dtype=np.float64).T
+    total = np.add.reduceat(logs if times is None else logs * times, starts, axis=1, dtype=np.float64).T
     best = total.argmax(1)
     pi = np.zeros(total.shape)
     pi[np.arange(len(texts)), best] = 1.0
     k = total.shape[1]
     if k == 1:
         return pi
-    own = np.take_along_axis(logs, np.repeat(best, sizes)[None, :], axis=0)
-    gain = np.add.reduceat(np.exp(np.minimum(logs - own, 60)), starts, axis=1, dtype=np.float64).max(0) - sizes
+    own = np.take_along_axis(logs, np.repeat(best, entries)[None, :], axis=0)
+    more = np.exp(np.minimum(logs - own, 60))
+    gain = np.add.reduceat(more if times is None else more * times, starts, axis=1, dtype=np.float64).max(0) - sizes
     cost = penalty * np.log(np.maximum(sizes, 2))
     open_ = np.flatnonzero(gain > cost)
     # a group of texts at a time: its arrays stay in the processor's cache
@@ -128,12 +166,12 @@ def mixtures(model: LanguageModel, texts: list[str], penalty: float = 3.0, round
             groups.append([])
             held = 0
         groups[-1].append(d)
-        held += sizes[d]
+        held += entries[d]
     for ds in map(np.array, groups):
         if not len(ds):
             continue
-        seen = [np.unique(got[d], return_counts=True) for d in ds]
-        times = np.concatenate([n for _, n in seen]).astype(np.float64)
+        seen = [(got[d], times_of[d]) if d in times_of else np.unique(got[d], return_counts=True) for d in ds]
+        often = np.concatenate([n for _, n in seen]).astype(np.float64)
         part = model.log_prob[np.concatenate([g for g, _ in seen])].T.astype(np.float64)
         top = part.max(0)
         p = np.exp(part - top)
@@ -143,8 +181,8 @@ def mixtures(model: LanguageModel, texts: list[str], penalty: float = 3.0, round
             size = np.array([len(seen[x][0]) for x in at])
             inside = np.isin(of, at)
             start = np.concatenate([[0], np.cumsum(size)[:-1]])
-            shares, ll, gap = _em(np.ascontiguousarray(p[:, inside]), times[inside], start, size, sizes[ds[at]].astype(np.float64), allowed, rounds)
-            return shares.T, ll + np.add.reduceat(top[inside] * times[inside], start), gap
+            shares, ll, gap = _em(np.ascontiguousarray(p[:, inside]), often[inside], start, size, sizes[ds[at]].astype(np.float64), allowed, rounds)
+            return shares.T, ll + np.add.reduceat(top[inside] * often[inside], start), gap
 
         of = np.repeat(np.arange(len(ds)), [len(g) for g, _ in seen])
         at = np.arange(len(ds))

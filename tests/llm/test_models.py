@@ -211,3 +211,19 @@ def test_lm_scores(spark, held, monkeypatch):
 def test_remainder(spark):
     df = spark.createDataFrame([(k,) for k in range(50)] + [(None,)], "doc_id long").select("doc_id", id_remainder("doc_id", 7).alias("m"))
     assert all(r.m == (zlib.crc32(str(r.doc_id).encode()) % 7 if r.doc_id is not None else 0) for r in df.collect())
+
+
+def test_numerals_are_no_letters(spark, languages):
+    rows = odd_docs(spark, ["½ ② Ⅷ", "١٢٣ 4", "½ a"])
+    got = {r.doc_id: r for r in langid.identify(rows, languages).filter("doc_id IS NOT NULL").collect()}
+    assert [(got[k].lang_pred, got[k].score) for k in (0, 1)] == [("und", 0.0)] * 2 and got[2].lang_pred != "und"
+
+
+def test_long_texts_are_counted_in_steps(spark, languages, monkeypatch):
+    rng = np.random.default_rng(2)
+    texts = ["".join(rng.choice(list("abcdé  \n1.中")) for _ in range(n)) for n in (1, 3, 40, 400, 3000)] + ["a", "  a  ", "x" * 500, " " * 300 + "a"]
+    texts = [t for t in texts if langid.LETTER.search(t)] + [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(30).collect()]
+    whole, shares = [langid.counts(t) for t in texts], langid.mixtures(languages, texts)
+    monkeypatch.setattr(langid, "STEP", 7)
+    assert all((langid.counts(t) == n).all() for t, n in zip(texts, whole))
+    assert np.allclose(langid.mixtures(languages, texts), shares, atol=1e-4)
