@@ -6,7 +6,9 @@ import ctypes
 import os
 import uuid
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +46,17 @@ def slices(batches, rows: int = 1000):
     give_back()
 
 
+def portions(batches, column: str, size: int = 8 << 20):
+    """Arrow batches cut so that the texts of ``column`` have about ``size`` bytes (a longer one alone)."""
+    for b in batches:
+        at = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // size
+        edges = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), b.num_rows]
+        for lo, hi in zip(edges, edges[1:]):
+            if hi > lo:
+                yield b.slice(lo, hi - lo)
+    give_back()
+
+
 def give_back() -> None:
     """Freed memory goes back to the system: a worker idle between tasks would else keep its peak."""
     pa.default_memory_pool().release_unused()

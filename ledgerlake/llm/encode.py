@@ -14,7 +14,13 @@ Where the cuts lie depends on the tokenizer file:
   two other characters is a piece of its own.
 * ``whole``: any other tokenizer; texts are encoded as they are.
 
-Control strings inside texts are ordinary text.  A null text counts as empty.
+Ids are those of the library's ``encode`` with ``add_special_tokens=False``, which
+takes a control string inside a text for its token: texts that hold one (in any
+case) are encoded whole by the library.  A null text counts as empty.
+
+``Encoder.encode`` takes texts one by one.  ``Encoder.batch`` takes an Arrow column: where the rule is
+``drop``, the texts are cut and their distinct pieces found by Arrow, so that each
+piece is looked up once a batch, and ids are gathered by numpy.
 """
 
 from __future__ import annotations
@@ -25,6 +31,10 @@ import re
 from array import array
 from collections.abc import Iterable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 _OTHER_SPACE = re.compile(r"[^\S \n]")
@@ -35,6 +45,8 @@ _WIDE = ("  ", " \n", "\n ", "\n\n")
 #: Pieces of half a cache (about 200 bytes each) and the longest one kept.
 CACHE_PIECES = 600_000
 CACHE_LENGTH = 64
+#: Pieces whose ids are gathered at a time.
+_GATHERED = 1 << 20
 
 
 def cut_rule(spec: dict) -> str:
@@ -72,7 +84,7 @@ class _Pieces(dict):
         out = self._older.get(piece)
         if out is None:
             out = self._find(piece, self)
-        if len(piece) <= CACHE_LENGTH:
+        if len(piece) <= CACHE_LENGTH and not (piece[-1:] in _STOPS and len(piece) > 1):  # those are put together again
             self[piece] = out
         return out
 
@@ -89,10 +101,14 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        self._whole = Tokenizer.from_file(path)
         self._tok = Tokenizer.from_file(path)
-        self._tok.encode_special_tokens = True
+        self._tok.encode_special_tokens = True  # pieces of texts without control strings
         with open(path, encoding="utf-8") as f:
-            self.rule = cut_rule(json.load(f))
+            spec = json.load(f)
+        self.rule = cut_rule(spec)
+        self.control = [t["content"] for t in spec.get("added_tokens", [])]
+        self._has_control = re.compile("|".join(map(re.escape, self.control)) or "(?!)", re.IGNORECASE).search
         self.width = 2 if self._tok.get_vocab_size(with_added_tokens=True) <= 65536 else 4
         self._code = "H" if self.width == 2 else "I"
         self._model = self._tok.model
@@ -126,9 +142,80 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         if self.rule == "whole":
-            return [self.ids(e.ids) for e in self._tok.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
+            return [self._by_library(t or "") for t in texts]
         one = self._dropped if self.rule == "drop" else self._prefixed
-        return [one(t) if t else b"" for t in texts]
+        return [(self._by_library(t) if "<" in t and self._has_control(t) else one(t)) if t else b"" for t in texts]
+
+    def _by_library(self, text: str) -> bytes:
+        return self.ids(self._whole.encode(text, add_special_tokens=False).ids)
+
+    def _ids_of(self, pieces: pa.Array) -> list[bytes]:
+        """Ids of distinct pieces.  Letters and a run of symbols after them are
+        never in one token, so ``word``, ``word.`` and ``Word***`` look up the same word."""
+        small = pc.if_else(pc.match_substring_regex(pieces, "^[a-zÀ-ÖØ-öø-ÿ]+[!-&(-/:-@[-`{-~]*$"), pc.utf8_lower(pieces), pieces)
+        parts = pc.extract_regex(small, "^(?P<word>[a-zß-öø-ÿ]+)(?P<tail>[!-&(-/:-@[-`{-~]*)$")
+        word = pc.struct_field(parts, "word")
+        easy = pc.is_valid(word)
+        base = pc.if_else(easy, word, small).dictionary_encode()
+        tail = pc.fill_null(pc.struct_field(parts, "tail"), "").dictionary_encode()
+        found = self._looked_up(base.dictionary)
+        tails = self._looked_up(tail.dictionary)
+        return [found[b] + tails[t] for b, t in zip(base.indices.to_numpy().tolist(), tail.indices.to_numpy().tolist())]
+
+    def _looked_up(self, pieces: pa.Array) -> list[bytes]:
+        words = pieces.to_numpy(zero_copy_only=False).tolist()
+        plain = pc.match_substring_regex(pieces, "^[a-zß-öø-ÿ]+$").to_numpy(zero_copy_only=False).tolist()
+        known, older, tokens, code = self._plain, self._plain._older, self._model.tokenize, self._code
+        out = []
+        for w, easy in zip(words, plain):
+            x = known.get(w)  # get() adds nothing
+            if x is None:
+                x = older.get(w)
+                if x is None:
+                    if easy:
+                        text = w if w.isascii() else w.encode().decode("latin-1").translate(self._chars)
+                        x = array(code, [t.id for t in tokens(text)]).tobytes()
+                    else:
+                        x = self.ids(self._tok.encode(w, add_special_tokens=False).ids)
+                if len(w) <= CACHE_LENGTH:
+                    known[w] = x
+            out.append(x)
+        known.trim()
+        return out
+
+    def batch(self, texts: pa.Array, end: bytes = b"") -> pa.Array:
+        """Ids of each text of a string column, and ``end`` after them, as binary."""
+        if self.rule != "drop":
+            return pa.array([x + end for x in self.encode(texts.to_pylist())], pa.binary())
+        lower = pc.ascii_lower(pc.fill_null(texts, ""))
+        odd = np.zeros(len(texts), bool)
+        for c in self.control:
+            odd |= pc.match_substring(lower, c.lower(), ignore_case=True).to_numpy(zero_copy_only=False)
+        if odd.any():
+            lower = pc.if_else(pa.array(odd), "", lower)
+        cut = pc.split_pattern(pc.replace_substring(lower, "\n", " "), " ")
+        pieces = cut.flatten().dictionary_encode()
+        found = self._ids_of(pieces.dictionary)
+        first = len(found)  # after the pieces: the end of a text, and texts encoded whole
+        found.append(end)
+        more = np.full(len(texts), first)
+        for r in np.flatnonzero(odd):
+            more[r] = len(found)
+            found.append(self._by_library(texts[r].as_py()) + end)
+        ends = np.asarray(cut.offsets)[1:] - cut.offsets[0].as_py()
+        codes = np.insert(pieces.indices.to_numpy(), ends, more)
+        size = np.array([len(x) // self.width for x in found], np.int64)
+        start = np.concatenate([[0], np.cumsum(size)[:-1]])
+        ids = np.frombuffer(b"".join(found), f"<u{self.width}")
+        out, total = [], np.cumsum(size[codes])
+        for lo in range(0, len(codes), _GATHERED):
+            part = codes[lo:lo + _GATHERED]
+            n = size[part]
+            at = np.arange(int(n.sum())) + np.repeat(start[part] - np.concatenate([[0], np.cumsum(n)[:-1]]), n)
+            out.append(ids[at])
+        offsets = np.concatenate([[0], total[ends + np.arange(len(ends))]]) * self.width
+        data = pa.py_buffer(np.concatenate(out).tobytes() if out else b"")
+        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(offsets.astype(np.int32)), data])
 
     def _dropped(self, text: str) -> bytes:
         self._trim()

@@ -5,19 +5,20 @@ orders documents by ``doc_id`` over shards and writes one binary file a
 shard.  A file is a run of segments, each at most about ``segment_tokens`` ids
 (plus the document that crosses it); a segment is a wavelet matrix: for each
 bit of the ids, highest first, one bit plane, the ids being stably split into
-zeros and ones after each plane.  Planes are zstd-compressed and come with a
+zeros and ones after each plane.  Planes are zstd-compressed in blocks of
+PLANE_BLOCK bytes, each unpacked only when it is asked for, and come with a
 directory of one-counts every 512 bits, so that one file answers
 
 * ``access(i)``: the id at position ``i``,
 * ``rank(c, i)``: how often ``c`` occurs before ``i`` (``count(c)``: in all),
 * ``select(c, k)``: the position of the k-th ``c``,
 
-each in one step a plane, without another index.
+each in one step (and one block or two) a plane, without another index.
 
-Segment layout, little-endian: magic ``LWM1``; int64 shard; int64 segment;
+Segment layout, little-endian: magic ``LWM2``; int64 shard; int64 segment;
 uint64 documents; uint64 tokens; uint8 planes; uint8 0; then length-prefixed
 (uint64) zstd blocks: doc ids (int64), null flags of doc ids (uint8), ids a
-document (uint32), and for each plane its bits and its directory (uint32).
+document (uint32), and for each plane its blocks (uint64 how many, then each of them) and its directory (uint32).
 Spark's text writer puts the bytes of a segment and a line feed into the file
 of its task, so files go through Spark's own commit on any file system;
 ``read_documents`` gets them back with the ``binaryFile`` source.
@@ -36,15 +37,16 @@ from zlib import crc32
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, slices
+from .common import materialise, portions
 from .encode import encoder
 
-MAGIC = b"LWM1"
+MAGIC = b"LWM2"
 HEAD = struct.Struct("<4sqqQQBB")
 BLOCK = 512  # bits a directory entry
+PLANE_BLOCK = 1 << 14  # bytes of a plane compressed together
 
 
 def _pack(raw: bytes) -> bytes:
@@ -52,10 +54,43 @@ def _pack(raw: bytes) -> bytes:
     return struct.pack("<Q", len(z)) + z
 
 
+class Plane:
+    """Bits of a plane in compressed blocks; ``plane[i]`` is a byte, ``plane[a:b]``
+    some of them, and only the blocks that hold them are unpacked."""
+
+    def __init__(self, blocks: list[bytes]):
+        self.blocks, self._open = blocks, {}
+
+    def _block(self, k: int) -> np.ndarray:
+        if k not in self._open:
+            if len(self._open) > 8:
+                self._open.clear()
+            self._open[k] = np.frombuffer(zstandard.ZstdDecompressor().decompress(self.blocks[k]), np.uint8)
+        return self._open[k]
+
+    def __getitem__(self, at):
+        if isinstance(at, slice):
+            lo, hi = at.start or 0, len(self.blocks) * PLANE_BLOCK if at.stop is None else at.stop
+            first = lo // PLANE_BLOCK
+            parts = [self._block(k) for k in range(first, min(len(self.blocks), max(first + 1, -(-hi // PLANE_BLOCK))))]
+            return (np.concatenate(parts) if len(parts) != 1 else parts[0])[lo - first * PLANE_BLOCK:hi - first * PLANE_BLOCK] if parts else np.zeros(0, np.uint8)
+        return self._block(at // PLANE_BLOCK)[at % PLANE_BLOCK]
+
+    def whole(self) -> np.ndarray:
+        unzip = zstandard.ZstdDecompressor()
+        return np.frombuffer(b"".join(map(unzip.decompress, self.blocks)), np.uint8)
+
+
+def _packed(plane: np.ndarray) -> bytes:
+    zip_ = zstandard.ZstdCompressor(level=1)
+    blocks = [zip_.compress(plane[lo:lo + PLANE_BLOCK].tobytes()) for lo in range(0, len(plane), PLANE_BLOCK)]
+    return struct.pack("<Q", len(blocks)) + b"".join(struct.pack("<Q", len(b)) + b for b in blocks)
+
+
 class WaveletMatrix:
     """Bit planes of a sequence of unsigned integers, highest bit first."""
 
-    def __init__(self, n: int, planes: list[np.ndarray], ranks: list[np.ndarray]):
+    def __init__(self, n: int, planes: list[np.ndarray | Plane], ranks: list[np.ndarray]):
         self.n, self.planes, self.ranks = n, planes, ranks
         self.zeros = [n - int(r[-1]) for r in ranks]
 
@@ -128,11 +163,25 @@ class WaveletMatrix:
             i = self._select_bit(level, bit, i - self.zeros[level] if bit else i)
         return i
 
+    def _bits(self, level: int) -> np.ndarray:
+        plane = self.planes[level]
+        return np.unpackbits(plane.whole() if isinstance(plane, Plane) else plane, count=self.n, bitorder="little").astype(bool)
+
+    def positions(self, c: int) -> np.ndarray:
+        """Every position of ``c``, ascending."""
+        at = np.arange(*self._range(c, self.n), dtype=np.int64)
+        for level in range(len(self.planes) - 1, -1, -1):
+            if not len(at):
+                break
+            bit = bool(c >> len(self.planes) - 1 - level & 1)
+            at = np.flatnonzero(self._bits(level) == bit)[at - self.zeros[level] if bit else at]
+        return np.sort(at)
+
     def values(self) -> np.ndarray:
         """The whole sequence: planes undone from the last to the first."""
         out = np.zeros(self.n, np.uint16 if len(self.planes) <= 16 else np.uint32)
         for level in range(len(self.planes) - 1, -1, -1):
-            one = np.unpackbits(self.planes[level], count=self.n, bitorder="little").astype(bool)
+            one = self._bits(level)
             up, zeros = np.empty_like(out), self.zeros[level]
             up[np.flatnonzero(~one)] = out[:zeros]
             up[np.flatnonzero(one)] = out[zeros:] | out.dtype.type(1 << len(self.planes) - 1 - level)
@@ -153,7 +202,7 @@ def write_segment(shard: int, segment: int, doc_ids: list[int | None], lengths:
            _pack(np.array([d or 0 for d in doc_ids], "<i8").tobytes()), _pack(np.array([d is None for d in doc_ids], np.uint8).tobytes()),
            _pack(np.array(lengths, "<u4").tobytes())]
     for plane, ranks in zip(wm.planes, wm.ranks):
-        out += [_pack(plane.tobytes()), _pack(ranks.astype("<u4").tobytes())]
+        out += [_packed(plane), _pack(ranks.astype("<u4").tobytes())]
     return b"".join(out)
 
 
@@ -168,6 +217,16 @@ def read_segments(content: bytes) -> Iterator[tuple[int, int, list[int | None],
         at += 8 + size
         return np.frombuffer(raw, dtype)
 
+    def plane() -> Plane:
+        nonlocal at
+        (many,) = struct.unpack_from("<Q", content, at)
+        blocks, at = [], at + 8
+        for _ in range(many):
+            (size,) = struct.unpack_from("<Q", content, at)
+            blocks.append(content[at + 8:at + 8 + size])
+            at += 8 + size
+        return Plane(blocks)
+
     while at < len(content):
         magic, shard, segment, docs, n, bits, _ = HEAD.unpack_from(content, at)
         if magic != MAGIC:
@@ -176,7 +235,7 @@ def read_segments(content: bytes) -> Iterator[tuple[int, int, list[int | None],
         ids, null, lengths = block("<i8"), block("u1"), block("<u4")
         if len(ids) != docs:
             raise ValueError("torn token file")
-        planes, ranks = zip(*[(block("u1"), block("<u4")) for _ in range(bits)])
+        planes, ranks = zip(*[(plane(), block("<u4")) for _ in range(bits)])
         yield shard, segment, [None if z else int(d) for d, z in zip(ids, null)], lengths, WaveletMatrix(n, list(planes), list(ranks))
         at += 1  # the writer's line feed
 
@@ -193,11 +252,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, shard_
     def encoded(batches):
         enc, ends = encoder(tokenizer), np.array(cuts, np.int64)
         end = enc.ids([end_id])
-        for b in slices(batches):
-            ids = [x + end for x in enc.encode(b.column("text").to_pylist())]
+        for b in portions(batches, "text"):
             doc = b.column("doc_id")
             shard = np.searchsorted(ends, doc.fill_null(-2**63).to_numpy(), side="right").astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(shard), doc, pa.array(ids, pa.binary())], ["shard", "doc_id", "ids"])
+            yield pa.RecordBatch.from_arrays([pa.array(shard), doc, enc.batch(b.column("text"), end)], ["shard", "doc_id", "ids"])
 
     def segments(batches):
         enc = encoder(tokenizer)
@@ -265,7 +323,7 @@ def occurrences(spark: SparkSession, path: str, token: int) -> DataFrame:
         for b in batches:
             for content in b.column("content"):
                 for _, _, doc_ids, lengths, wm in read_segments(content.as_py()):
-                    at = np.array([wm.select(token, k) for k in range(wm.count(token))], np.int64)
+                    at = wm.positions(token)
                     ends = np.cumsum(lengths, dtype=np.int64)
                     of = np.searchsorted(ends, at, side="right")
                     yield pa.RecordBatch.from_arrays([pa.array([doc_ids[i] for i in of], pa.int64()), pa.array(at - (ends - lengths)[of])], ["doc_id", "offset"])
@@ -277,8 +335,11 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start (ids of all documents before it over all files), n_tokens,
     ids_crc32 of each document in the files."""
     docs = materialise(read_documents(spark, path, digest=True), "token-digests")
-    # one row a segment (a million ids), so one task can sum them up
+    # ids before each segment in its shard, and before each shard: one row a shard is summed up in one task
     size = docs.groupBy("shard", "segment").agg(F.sum("n_tokens").alias("size"))
-    size.createOrReplaceTempView("token_segments")
-    base = spark.sql("SELECT shard, segment, sum(size) OVER (ORDER BY shard, segment) - size AS base FROM token_segments")
-    return docs.join(base, ["shard", "segment"]).select("doc_id", (F.col("base") + F.col("seg_start")).alias("start"), "n_tokens", "ids_crc32")
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    shards = size.groupBy("shard").agg(F.sum("size").alias("total")).withColumn("base", F.coalesce(F.sum("total").over(before), F.lit(0))).drop("total")
+    inside = Window.partitionBy("shard").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
+    size = size.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).drop("size")
+    out = docs.join(size, ["shard", "segment"]).join(shards, "shard")
+    return out.select("doc_id", (F.col("base") + F.col("inside") + F.col("seg_start")).alias("start"), "n_tokens", "ids_crc32")

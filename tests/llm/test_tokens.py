@@ -1,8 +1,11 @@
 """Encoding, wavelet-matrix files (operator 2) and packing (operator 6)."""
 
+import random
 import zlib
+from array import array
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -20,7 +23,6 @@ WORD, BYTE = tokenizer_path("word_bpe_49k.json"), tokenizer_path("byte_bpe_50k.j
 
 def library(path):
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
     return lambda text: tok.encode(text or "", add_special_tokens=False).ids
 
 
@@ -47,7 +49,7 @@ def test_wavelet_matrix(values):
         at = [i for i, v in enumerate(values) if v == c]
         assert wm.count(c) == len(at)
         assert wm.rank(c, len(values) // 2) == sum(i < len(values) // 2 for i in at)
-        assert [wm.select(c, k) for k in range(len(at))] == at
+        assert [wm.select(c, k) for k in range(len(at))] == at and wm.positions(c).tolist() == at
         assert wm.select(c, len(at)) == -1
 
 
@@ -127,3 +129,32 @@ def test_little_padding(spark):
     out = packing.pack(docs, BYTE, 0).agg(F.sum("length").alias("ids"), F.countDistinct("sequence_id").alias("n")).first()
     assert 1 - out.ids / (1024 * out.n) < 0.02
     assert ODD_TEXTS
+
+
+def test_batches_of_pieces_against_the_library():
+    """Ids of Arrow columns are those of the library's default call, control strings included."""
+    from ledgerlake.llm.encode import Encoder
+    rng = random.Random(21)
+    bits = ["a", "B", "é", "É", ".", ",", " ", "  ", "\n", "!", "1", "²", "中", "İ", "Σ", "e\u0301", "'s", "<|endoftext|>", "<|STARTOFTEXT|>", "\t", "\xa0", ").", "ß", "***", "word", "Word's"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 25))) for _ in range(3000)]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        enc, lib = Encoder(tokenizer_path(name)), Tokenizer.from_file(tokenizer_path(name))
+        want = [array("H", [*e.ids, 7]).tobytes() for e in lib.encode_batch(texts, add_special_tokens=False)]
+        column = pa.array([None, *texts, None])
+        assert enc.batch(column, enc.ids([7])).to_pylist() == [enc.ids([7]), *want, enc.ids([7])]
+        assert enc.batch(column.slice(5, 40), enc.ids([7])).to_pylist() == want[4:44]
+        assert enc.batch(column.slice(0, 0)).to_pylist() == []
+        assert [x + enc.ids([7]) for x in enc.encode(texts)] == want
+
+
+def test_one_access_unpacks_one_block_a_plane():
+    from ledgerlake.llm import wavelet
+    values = np.random.default_rng(1).integers(0, 50_000, 600_000).astype(np.uint16)
+    raw = wavelet.write_segment(0, 0, [1], [len(values)], values, 16)
+    (_, _, _, _, wm), = wavelet.read_segments(raw + b"\n")
+    assert wm.access(123_456) == values[123_456]
+    assert all(len(p.blocks) > 4 and len(p._open) <= 2 for p in wm.planes)
+    c = int(values[400_000])
+    at = np.flatnonzero(values == c)
+    assert wm.rank(c, 500_000) == (at < 500_000).sum() and wm.select(c, len(at) - 1) == at[-1] and wm.positions(c).tolist() == at.tolist()
+    assert (wm.values() == values).all()
