@@ -77,3 +77,15 @@ def test_rows_of_one_id_or_none_are_judged_each(spark):
     # different texts of one id are no duplicates; of equal ones the smallest id stays, an id before none
     rows = [(7, good[0]), (7, good[1]), (7, good[1]), (9, good[0]), (None, good[1]), (None, good[2]), (None, good[2]), (None, good[3]), (5, good[3])]
     assert run("near_duplicates", rows) == sorted([(7, good[0]), (7, good[1]), (0, good[2]), (5, good[3])])
+
+
+def test_columns_of_any_name_stay(spark):
+    """Columns named as a stage's own ones come out as they went in."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").filter("doc_id < 60")
+    own = ["_language", "_share", "_shares", "_parts", "_quality_n_words", "_Quality_", "_row", "component_id", "fp", "item_id"]
+    docs = docs.select("*", *[F.concat(F.lit(f"{c} "), F.col("doc_id")).alias(c) for c in own])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF).cache()
+        assert docs.count() > 0
+        assert all(r[c] == f"{c} {r.doc_id}" for r in docs.collect() for c in own), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() > 0
