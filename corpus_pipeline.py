@@ -22,11 +22,16 @@ from ledgerlake.llm.common import id_remainder, materialise, table, tokenizer_pa
 MAIN_LANGUAGE = 0.3
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores if ``docs`` has a column that starts so."""
+    while any(c.lower().startswith(name.lower()) for c in docs.columns):
+        name += "_"
+    return name
+
+
 def _keyed(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
     """``docs`` with a key of each row, written once so that it stays the same, and the key's name."""
-    key = "_row"
-    while key in docs.columns:
-        key += "_"
+    key = _free(docs, "_row")
     return materialise(docs.withColumn(key, F.monotonically_increasing_id()), name), key
 
 
@@ -35,16 +40,18 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.train(docs, id_remainder("doc_id", 3) != 1)
     if not model.languages:  # nothing to tell languages by
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    found = langid.identify(docs, model, names=("_language", "_share", "_shares"))
-    return found.filter((F.col("_language") != "und") & (F.col("_share") >= MAIN_LANGUAGE)).select(*docs.columns)
+    names = tuple(_free(docs, n) for n in ("_language", "_share", "_parts"))
+    found = langid.identify(docs, model, names=names)
+    return found.filter((F.col(names[0]) != "und") & (F.col(names[1]) >= MAIN_LANGUAGE)).select(*docs.columns)
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents go whose quality score is below 0.7."""
-    model = quality.learn(materialise(quality.with_statistics(docs), "statistics"), table(spark, sf_dir, "labels"), id_remainder("doc_id", 4) != 2)
-    prefix = "_quality_"
-    found = quality.add_statistics(docs, prefix)
-    return found.filter(model.score(prefix) >= 0.7).select(*docs.columns)
+    prefix = _free(docs, "_quality_")
+    rows = materialise(quality.add_statistics(docs, prefix), "quality-rows")  # each text is read once
+    stats = rows.select(F.col("doc_id").cast("long").alias("doc_id"), *[F.col(prefix + s).alias(s) for s in quality.STATISTICS])
+    model = quality.learn(stats, table(spark, sf_dir, "labels"), id_remainder("doc_id", 4) != 2)
+    return rows.filter(model.score(prefix) >= 0.7).select(*docs.columns)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
