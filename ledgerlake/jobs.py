@@ -113,7 +113,7 @@ def apply(spark: SparkSession, root: str, landed: str) -> str:
     snapshot, state = _state(spark, root)
     claimed = state.filter(F.col("status") == STATE_IN_PROGRESS).select(F.col("_id"), X.company_key(F.col("_id")).alias("enterprise_key"))
     todo = sinks.read_table(spark, table(root, "deposits", "todo"), TODO_SCHEMA)
-    files = S.list_landed_files(spark, landed).select("enterprise_key", "filename", F.lit(True).alias("_landed"))
+    files = S.list_landed_files(spark, landed, claimed).select("enterprise_key", "filename", F.lit(True).alias("_landed"))
     work = (claimed.join(todo, F.col("_id") == F.col("company")).withColumn("filename", X.csv_ref(F.col("reference")))
             .join(files.distinct(), ["enterprise_key", "filename"], "left"))
     fetch = F.col("route") == "fetch"
@@ -133,7 +133,8 @@ def check(spark: SparkSession, root: str, landed: str) -> str:
     """Companies that lack files of done refs go back to pending, and
     those refs are no longer done, so that the next run fetches them."""
     snapshot, state = _state(spark, root)
-    found = C.missing_files(state, S.list_landed_files(spark, landed))
+    expected = state.filter(F.size("filings_done") > 0).select(X.company_key(F.col("_id")).alias("enterprise_key"))
+    found = C.missing_files(state, S.list_landed_files(spark, landed, expected))
     lost = F.transform("missing", lambda f: F.regexp_replace(f, "[.]csv$", ""))
     kept = F.when(F.size("missing") > 0, F.array_except("filings_done", lost)).otherwise(F.col("filings_done"))
     out = found.withColumns({"status": F.col("status_after"), "filings_done": kept})

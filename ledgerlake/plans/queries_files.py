@@ -40,11 +40,38 @@ def q_filing_tree_facts(spark, sf_dir):
     return A.facts_from_lines(S.read_filing_lines(spark, root))
 
 
+_LISTED = f"SELECT {O.key_sql('o_custkey')} AS enterprise_key, CAST(o_orderkey AS VARCHAR) || '.csv' AS filename FROM orders"
+
+
 @register("list_landed_files", f"""
-SELECT {O.key_sql('o_custkey')} AS enterprise_key, count(*) AS n_files FROM orders GROUP BY o_custkey""")
+SELECT enterprise_key, count(*) AS n_files, string_agg(filename, ',' ORDER BY filename) AS filenames FROM ({_LISTED}) GROUP BY enterprise_key""")
 def q_list_landed_files(spark, sf_dir):
     root = _tree(spark, sf_dir)
-    return S.list_landed_files(spark, root).groupBy("enterprise_key").agg(F.count(F.lit(1)).alias("n_files"))
+    files = S.list_landed_files(spark, root).groupBy("enterprise_key").agg(F.array_sort(F.collect_list("filename")).alias("names"))
+    return files.select("enterprise_key", F.size("names").cast("long").alias("n_files"), F.array_join("names", ",").alias("filenames"))
+
+
+def _every_third(spark, sf_dir):
+    """Keys of every third company, and of some that have no folder."""
+    cust = AD.table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 3 == 0)
+    return cust.select(AD.key_of(F.col("c_custkey")).alias("enterprise_key")).union(cust.select(F.concat(F.lit("no-"), F.col("c_custkey"))))
+
+
+_THIRD = f"enterprise_key IN (SELECT {_KEY} FROM customer WHERE c_custkey % 3 = 0)"
+
+
+@register("list_target_files", f"SELECT * FROM ({_LISTED}) WHERE {_THIRD}")
+def q_list_target_files(spark, sf_dir):
+    """S7 of some companies: only their folders are listed, in tasks."""
+    root = _tree(spark, sf_dir)
+    return S.list_landed_files(spark, root, _every_third(spark, sf_dir)).filter("size > 0").select("enterprise_key", "filename")
+
+
+@register("target_tree_facts", f"SELECT * FROM ({FACTS_SQL}) WHERE {_THIRD}")
+def q_target_tree_facts(spark, sf_dir):
+    """S4 + S5 + A1..X19 of some companies: only their files are opened."""
+    root = _tree(spark, sf_dir)
+    return A.facts_from_lines(S.read_filing_lines(spark, root, _every_third(spark, sf_dir)))
 
 
 def _landed_orders(spark, sf_dir):
@@ -55,15 +82,16 @@ def _landed_orders(spark, sf_dir):
 
 
 @register("missing_files", f"""
-WITH m AS (SELECT o_custkey, count(*) AS n, min(CAST(o_orderkey AS VARCHAR) || '.csv') AS first_missing
+WITH m AS (SELECT o_custkey, count(*) AS n, string_agg(CAST(o_orderkey AS VARCHAR) || '.csv', ',' ORDER BY CAST(o_orderkey AS VARCHAR) || '.csv') AS missing
            FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '3-MEDIUM' GROUP BY o_custkey)
-SELECT {_NUM} AS _id, CAST(coalesce(m.n, 0) AS INTEGER) AS n_missing, m.first_missing,
+SELECT {_NUM} AS _id, CAST(coalesce(m.n, 0) AS INTEGER) AS n_missing, coalesce(m.missing, '') AS missing,
        CASE WHEN m.n > 0 THEN 'pending' WHEN c_acctbal >= 0 THEN 'done' ELSE 'pending' END AS status_after
 FROM customer LEFT JOIN m ON m.o_custkey = c_custkey""")
 def q_missing_files(spark, sf_dir):
     root = _tree(spark, sf_dir, keep=_landed_orders(spark, sf_dir))
-    r = C.missing_files(AD.download_state(spark, sf_dir), S.list_landed_files(spark, root))
-    return r.select("_id", F.size("missing").alias("n_missing"), F.try_element_at("missing", F.lit(1)).alias("first_missing"),
+    state = AD.download_state(spark, sf_dir)
+    r = C.missing_files(state, S.list_landed_files(spark, root, state.select(F.regexp_replace("_id", "[^0-9]", "").alias("enterprise_key"))))
+    return r.select("_id", F.size("missing").alias("n_missing"), F.array_join("missing", ",").alias("missing"),
                     "status_after")
 
 
