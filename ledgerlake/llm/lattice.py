@@ -12,24 +12,29 @@ Then rounds of expectation-maximisation over all distinct training words give
 each piece its expected number of uses.  Single bytes are always pieces, so
 every text has a probability above 0.
 
-The lattice of a training word has one more arc: the whole word, by its count
-in training, with absolute discounting; the discounted mass goes to the piece
-arcs:  P(w) = max(c(w) - d, 0) / N + d * V / N * P_pieces(w),  V distinct
-tokens of N, d = 0.75.  The end is such a token too.
+After each word a text goes on or ends: it ends with probability
+e = (ends + 1/2) / (N + 1), ends and N the training set's ends and tokens.  So
+
+    score = sum over words of log10(P(word) * (1 - e)) + log10(e).
+
+``mixed_score`` is another model beside it: a training word's whole-word count,
+with absolute discounting, whose discounted mass goes to the lattice:
+P(w) = max(c(w) - d, 0) / N + d * V / N * P(word), V distinct tokens of N,
+d = 0.75.  The end is such a token too.
 
 How it is spread: one pass cuts texts into blocks (a task's consecutive
 documents, of bounded size) and writes, for each block, its distinct words with
 training counts and each document as numbers of words in its block.  Word
 counts are summed over blocks, each distinct word goes through its lattice once,
-and its two log-probabilities return to the blocks it occurs in; blocks and their
+and its count and log-probability return to the blocks it occurs in; blocks and their
 words then meet in tasks of bounded size.  No vocabulary is held whole anywhere.
 
 Words are runs of bytes other than 20 and 09-0D, A-Z lower-cased.
 
 Nulls, ties and odd input: a null or empty text is the end token alone.
-Repeated rows are scored each (and trained on each).  With an empty training
-set the base score of a token is 0 (= log10(1/1)) and the model is the piece
-lattice alone (the end has probability 1).  An empty table gives no rows.
+Repeated rows are scored each (and trained on each); a null flag means not held out.  With an empty training
+set the base score of a token is 0 (= log10(1/1)), e is 1/2 and the mixed model is the piece
+lattice alone (its end has probability 1).  An empty table gives no rows.
 Other columns are not read.
 """
 
@@ -224,7 +229,7 @@ def _blocks(docs: DataFrame, held_out: Column) -> DataFrame:
                 block, numbers, seen, held = block + 1, _Numbers(), np.zeros(1 << 16, np.int64), 0
         yield from vocabulary()
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), F.col("text").cast("string").cast("binary").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col("text").cast("string").cast("binary").alias("text"))
     return rows.mapInArrow(cut, BLOCK_SCHEMA)
 
 
@@ -253,8 +258,8 @@ def learn(words: DataFrame, vocabulary: Pieces, rounds: int) -> Pieces:
 
 def score(docs: DataFrame, held_out: Column, vocabulary_path: str, rounds: int = 1) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score (add-one
-    word unigram) and score (both log10) of each document; learnt from
-    those not ``held_out``."""
+    word unigram), score (marginal over all segmentations) and mixed_score (word
+    counts and lattice), all log10, of each document; learnt from those not ``held_out``."""
     blocks = materialise(_blocks(docs, held_out), "lm-blocks")
     vocab = blocks.filter("word IS NOT NULL").select("block", "word", "number", "n")
     texts = blocks.filter("body IS NOT NULL").select("block", "doc_id", "held_out", "n_tokens", "body")
@@ -272,16 +277,15 @@ def score(docs: DataFrame, held_out: Column, vocabulary_path: str, rounds: int =
             logs = np.empty(len(known))
             for at, part in _steps(known):
                 logs[at] = lattices(shared.value, part)[0]
-            c = b.column("c").to_numpy(zero_copy_only=False)
-            # the whole-word arc beside the piece arcs, in log space
-            whole = np.log(np.maximum(c - DISCOUNT, 0) / max(total, 1), where=c > 0, out=np.full(len(c), -np.inf))
-            yield pa.RecordBatch.from_arrays([b.column("word"), b.column("c"), pa.array(np.logaddexp(whole, np.log(smooth) + logs) / np.log(10))], ["word", "c", "log"])
+            yield pa.RecordBatch.from_arrays([b.column("word"), b.column("c"), pa.array(logs)], ["word", "c", "log"])
 
     scored = materialise(words.mapInArrow(arcs, "word binary, c long, log double"), "lm-scored")
     back = vocab.select("block", "word", "number").join(scored, "word").select(F.col("block").alias("of"), "number", "c", "log")
     end_base = float(np.log10((ends + 1) / (total + distinct + 1)))
+    stop = (ends + 0.5) / (total + 1)
+    stop_log, on_log = float(np.log10(stop)), float(np.log10(1 - stop))
     # of the mass of the end the discounted part is lost to the pieces, as for any token
-    end_log = float(np.log10(max(ends - DISCOUNT, 0.25) / total)) if total else 0.0
+    end_mixed = float(np.log10(max(ends - DISCOUNT, 0.25) / total)) if total else 0.0
     denominator = float(total + distinct + 1)
 
     def summed(key, left: pa.Table, right: pa.Table):
@@ -290,17 +294,22 @@ def score(docs: DataFrame, held_out: Column, vocabulary_path: str, rounds: int =
         at = right.column("number").to_numpy()
         c[at], logs[at] = right.column("c").to_numpy(), right.column("log").to_numpy()
         base = np.log10((c + 1) / denominator)
+        # the whole word's share beside the lattice's, in log space
+        whole = np.log(np.maximum(c - DISCOUNT, 0) / max(total, 1), where=c > 0, out=np.full(count, -np.inf))
+        mixed = np.logaddexp(whole, np.log(smooth) + logs) / np.log(10)
+        logs = logs / np.log(10) + on_log
         unzip = zstandard.ZstdDecompressor().decompress
-        known, bases, scores = [], [], []
+        known, bases, scores, mixes = [], [], [], []
         for body in left.column("body").to_pylist():
             pairs = np.frombuffer(unzip(body), "<u4").reshape(2, -1)
             ids, times = np.cumsum(pairs[0], dtype=np.int64), pairs[1].astype(np.float64)
             known.append(int(times[c[ids] > 0].sum()) + (1 if ends else 0))
             bases.append(float(base[ids] @ times) + end_base)
-            scores.append(float(logs[ids] @ times) + end_log)
+            scores.append(float(logs[ids] @ times) + stop_log)
+            mixes.append(float(mixed[ids] @ times) + end_mixed)
         n = left.num_rows
         return pa.table({"doc_id": left.column("doc_id"), "held_out": left.column("held_out"), "n_tokens": left.column("n_tokens"), "n_known": pa.array(known, pa.int64()),
-                         "train_tokens": pa.array([total] * n, pa.int64()), "base_score": pa.array(bases, pa.float64()), "score": pa.array(scores, pa.float64())})
+                         "train_tokens": pa.array([total] * n, pa.int64()), "base_score": pa.array(bases, pa.float64()), "score": pa.array(scores, pa.float64()), "mixed_score": pa.array(mixes, pa.float64())})
 
     return texts.groupBy("block").cogroup(back.groupBy("of")).applyInArrow(
-        summed, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        summed, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, mixed_score double")

@@ -205,9 +205,52 @@ def test_lm_scores(spark, held, monkeypatch):
         h, tokens, known, total, base = want[r.doc_id]
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (h, tokens, known, total)
         assert abs(r.base_score - base) < 1e-6 * max(1, abs(base)) and math.isfinite(r.score) and r.score <= 0
+        assert math.isfinite(r.mixed_score) and r.mixed_score <= 0
     assert lattice.score(no_docs(spark), F.lit(False), PIECES).count() == 0
 
 
+def segmentations(log, text):
+    """The log-probability of every way to cut ``text`` into pieces, one by one."""
+    if not text:
+        yield 0.0
+    for n in range(1, len(text) + 1):
+        if text[:n] in log:
+            for rest in segmentations(log, text[n:]):
+                yield log[text[:n]] + rest
+
+
+@pytest.mark.parametrize("rounds", [0, 1])
+def test_scores_are_sums_over_all_segmentations(spark, rounds):
+    """The operator's ``score`` of whole texts against every segmentation listed singly
+    (short texts) and a plain recursion over the whole text (odd and long ones)."""
+    short = ["the hat", "a  b", "hat the hat", "", None, "the", "élan"]
+    docs = odd_docs(spark, short + ODD_TEXTS)
+    held = F.col("doc_id") % 3 == 2
+    got = {(r.doc_id, r.n_tokens, round(r.base_score, 6)): r for r in lattice.score(docs, held, PIECES, rounds).collect()}
+    rows = docs.select("doc_id", "text", held.alias("h")).collect()
+    taught = [(r.text or "").encode().lower().split() for r in rows if not r.h]
+    v = lattice.Pieces.load(PIECES)
+    if rounds:
+        distinct = sorted({w for t in taught for w in t})
+        v = lattice.learn(spark.createDataFrame([(bytearray(w),) for w in distinct], "word binary"), v, rounds)
+    log = dict(zip(v.pieces, v.logs))
+    stop = (len(taught) + 0.5) / (sum(len(t) + 1 for t in taught) + 1)
+    checked = 0
+    for r in got.values():
+        texts = [x.text or "" for x in rows if x.doc_id == r.doc_id and len((x.text or "").encode().split()) + 1 == r.n_tokens]
+        wants = set()
+        for text in texts:
+            words = text.encode().lower().split()
+            whole = b"".join(b" " + w for w in words)
+            total = plain_lattice(log, whole[1:]) if words else 0.0
+            if words and len(whole) <= 14:
+                assert abs(total - math.log(sum(map(math.exp, segmentations(log, whole))))) < 1e-9
+                checked += 1
+            wants.add(total / math.log(10) + len(words) * math.log10(1 - stop) + math.log10(stop))
+        assert any(abs(r.score - w) < 1e-6 * max(1, abs(w)) for w in wants)
+    assert checked >= 4
+
+
 def test_remainder(spark):
     df = spark.createDataFrame([(k,) for k in range(50)] + [(None,)], "doc_id long").select("doc_id", id_remainder("doc_id", 7).alias("m"))
     assert all(r.m == (zlib.crc32(str(r.doc_id).encode()) % 7 if r.doc_id is not None else 0) for r in df.collect())
