@@ -195,6 +195,26 @@ def fit(rows: DataFrame, trees: int = 16, depth: int = 3, lasso: float = 5e-4, s
     return RuleEnsemble(float(lr.intercept), tuple((r, float(w)) for r, w in zip(rules, lr.coefficients) if w))
 
 
+#: Bits of the bitmap of labelled ids (8 MB at most, whatever the number of labels).
+LABEL_BITS = 1 << 26
+
+
+def labelled(docs: DataFrame, labels: DataFrame, use: Column) -> DataFrame:
+    """doc_id and text of the rows of ``docs`` that ``learn`` could use: all rows whose doc_id
+    has a label where ``use`` holds, and a few others whose hashed id falls on the bit of one.
+    The bitmap has a fixed size and goes to the documents, so no text is shuffled."""
+    def slot(doc_id: Column) -> Column:
+        return F.pmod(F.xxhash64(doc_id.cast("long")), F.lit(LABEL_BITS)) + 1  # from 1: bucket and bit count up together
+
+    own = slot(F.col("doc_id"))
+    marks = (labels.filter(use & F.col("quality").isin(0, 1)).groupBy(F.bitmap_bucket_number(own).alias("bucket"))
+             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(own)).alias("marks")))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.bitmap_bucket_number(own).alias("bucket"), F.bitmap_bit_position(own).alias("bit"))
+    byte = F.conv(F.hex(F.col("marks").substr((F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = F.pmod(F.floor(byte / F.pow(F.lit(2), F.col("bit") % 8)), F.lit(2)) == 1
+    return rows.join(F.broadcast(marks), "bucket").filter(marked).select("doc_id", "text")
+
+
 def learn(stats: DataFrame, labels: DataFrame, use: Column) -> RuleEnsemble:
     """The ensemble of ``stats`` (doc_id and STATISTICS) with ``labels`` (doc_id,
     quality), learnt where ``use`` (of doc_id) holds."""

@@ -71,6 +71,22 @@ def test_quality_rules_are_the_columns(spark):
         assert abs(score - 1 / (1 + math.exp(-total))) < 1e-12
 
 
+def test_labelled_rows_by_bitmap(spark, monkeypatch):
+    """No labelled row is lost; with few bits others come along; texts are not shuffled."""
+    docs = odd_docs(spark, [f"text {k}" for k in range(400)])
+    labels = spark.createDataFrame([(k, (1, 0, None, 1)[k % 4]) for k in range(0, 300, 3)] + [(None, 1), (5, None)], "doc_id long, quality int")
+    want = {k for k in range(0, 300, 3) if k % 4 != 2 and k % 5}
+    use = F.col("doc_id") % 5 != 0
+    got = quality.labelled(docs, labels, use)
+    rows = [r.doc_id for r in got.collect()]
+    assert set(rows) == want and len(rows) == len(want)
+    assert "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(quality, "LABEL_BITS", 64)
+    rows = {r.doc_id for r in quality.labelled(docs, labels, use).collect()}
+    assert want <= rows
+    assert quality.labelled(no_docs(spark), labels, use).count() == 0 == quality.labelled(docs, labels.limit(0), use).count()
+
+
 def test_tree_paths():
     text = "T\n  If (feature 1 <= 0.5)\n   If (feature 1 <= 0.2)\n    Predict: 1.0\n   Else (feature 1 > 0.2)\n    Predict: 0.0\n  Else (feature 1 > 0.5)\n   Predict: 0.0"
     assert quality.tree_paths(text) == {((1, "<=", 0.5),), ((1, "<=", 0.2),), ((1, "<=", 0.5), (1, ">", 0.2)), ((1, ">", 0.5),)}
