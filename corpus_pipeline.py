@@ -49,9 +49,7 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents go whose quality score is below 0.7."""
     prefix = _free(docs, "_quality_")
     labels, use = table(spark, sf_dir, "labels"), id_remainder("doc_id", 4) != 2
-    known = labels.filter(use & F.col("quality").isin(0, 1)).select(F.col("doc_id").cast("long").alias("_known")).distinct()
-    taught = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(known, F.col("doc_id") == F.col("_known"), "left_semi")
-    model = quality.learn(quality.with_statistics(taught), labels, use)  # statistics of labelled rows only
+    model = quality.learn(quality.with_statistics(quality.labelled(docs, labels, use)), labels, use)  # statistics of labelled rows only
     return quality.add_statistics(docs, prefix).filter(model.score(prefix) >= 0.7).select(*docs.columns)
 
 
