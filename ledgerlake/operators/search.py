@@ -15,8 +15,8 @@ one job.  Semantics per query:
   ``limit`` per query, ordered by company number (O4).
 
 All matching is done with equi-joins on generated keys (tokens, 3-grams,
-number keys); a nested-loop join is used only for fallback queries that
-contain regex metacharacters or have fewer than three characters.
+number keys); a nested-loop join is used only for fallback queries whose
+pattern requires no 3-gram (``required_grams``).
 """
 
 from __future__ import annotations
@@ -40,7 +40,6 @@ def _accent_table() -> tuple[str, str]:
 
 
 _ACCENTED, _PLAIN = _accent_table()
-REGEX_META = r"[.^$*+?()\[\]{}|\\]"
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 
 
@@ -141,35 +140,58 @@ def _grams(c: Column, n: int) -> Column:
                     lambda g: F.length(g) == n)
 
 
+_CUT = "\u0000"
+
+
+def required_grams(pattern: Column) -> Column:
+    """3-grams that a name (ASCII-lower-cased) must have to match ``pattern`` (case-insensitive):
+    an array a branch of the pattern (a|b), each of the grams of all its literal runs.  A match
+    has all grams of a branch at least.  Null where the pattern's parts can't be told (inline flags,
+    special escapes, nested classes, unbalanced brackets) or some branch has no run of three characters."""
+    def cut(c: Column, regex: str, by: str = _CUT) -> Column:
+        return F.regexp_replace(c, F.lit(regex), F.lit(by))
+
+    p = cut(X.ascii_lower(pattern), r"(?s)\\(?:[dwsb]|[^a-z0-9])")          # classes of one letter, escaped signs
+    p = cut(p, r"\[[^\[\]]*\]")                                             # character classes
+    for _ in range(4):
+        p = cut(p, r"\([^()]*\)")                                           # groups, from the innermost
+    p = cut(p, r"[^|](?:[?*]|\{[^{}]*\})[?+]?")                             # what may be absent or repeat
+    known = ~pattern.contains("(?") & ~p.rlike(r"[\\\[\](){}?*]|[|][+]")
+    p = cut(p, r"[+.^$]")
+    branches = F.transform(F.split(p, r"\|"), lambda branch: F.array_distinct(F.flatten(
+        F.transform(F.filter(F.split(branch, _CUT), lambda run: F.length(run) >= 3), lambda run: _grams(run, 3)))))
+    return F.when(known & F.forall(branches, lambda grams: F.size(grams) > 0), branches)
+
+
+def split_by_grams(q: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Name queries whose pattern Java's engine accepts, as (query_id, qt, branches) of those with
+    required grams and (query_id, qt) of the others.  Patterns are compiled with the engine rlike uses,
+    through ``try_reflect`` (null when compile throws), so that a wrong one gives no rows and fails no batch."""
+    valid = F.try_reflect(F.lit("java.util.regex.Pattern"), F.lit("compile"), F.concat(F.lit("(?i)"), F.col("qt"))).isNotNull()
+    known = q.filter(valid).select("query_id", "qt", required_grams(F.col("qt")).alias("branches"))
+    return known.filter(F.col("branches").isNotNull()), known.filter(F.col("branches").isNull()).select("query_id", "qt")
+
+
 def regex_hits(names: DataFrame, q: DataFrame) -> DataFrame:
     """Case-insensitive regex on names for the given name queries.
 
-    Literal queries of three characters and more are narrowed with an index of
-    3-grams of the ASCII-lower-cased names (a name can only contain the query if
-    it has every 3-gram of it) and then verified with the regex.  Shorter
-    ones and those with metacharacters are tested against all names
-    (nested-loop join with the query side)."""
-    qf = X.ascii_lower(F.col("qt"))
-    plain = ~F.col("qt").rlike(REGEX_META) & (F.length(qf) >= 3)
-    lit = q.filter(plain)
-    other = q.filter(~plain)
-    qg = lit.select("query_id", "qt", _grams(qf, 3).alias("gs"))
-    qg = qg.select("query_id", "qt", F.size("gs").alias("need"), F.explode("gs").alias("g"))
+    A pattern's branches are narrowed with the 3-grams each requires (``required_grams``; a
+    literal text is one branch) by an equi-join with the grams of the names, then
+    verified with the regex.  Only patterns that require no gram (one or two letters,
+    ``h.t.l``, inline flags) are tested against all names (nested-loop join with the query side)."""
+    planned, other = split_by_grams(q)
+    qg = planned.select("query_id", "qt", F.posexplode("branches").alias("branch", "gs"))
+    qg = qg.select("query_id", "qt", "branch", F.size("gs").alias("need"), F.explode("gs").alias("g"))
     # grams of every name, exploded map-side (no global distinct); only the
     # grams that some query needs survive the join with the query side
     index = names.select("EnterpriseNumber", F.explode(_grams(X.ascii_lower(F.col("name")), 3)).alias("g"))
     cand = (index.join(qg, "g")
-            .groupBy("query_id", "qt", "need", "EnterpriseNumber").agg(F.collect_set("g").alias("have"))
+            .groupBy("query_id", "qt", "branch", "need", "EnterpriseNumber").agg(F.collect_set("g").alias("have"))
             .filter(F.size("have") == F.col("need")).select("query_id", "qt", "EnterpriseNumber"))
     pattern = F.concat(F.lit("(?i)"), F.col("qt"))
     verified = (cand.join(names, "EnterpriseNumber").filter(F.regexp_like(F.col("name"), pattern))
                 .select("query_id", "EnterpriseNumber"))
-    # a query that is not a valid Java regex gives no rows (instead of
-    # failing the whole batch): the pattern is compiled with the same regex
-    # engine rlike uses, through try_reflect (null when compile throws)
-    valid = F.try_reflect(F.lit("java.util.regex.Pattern"), F.lit("compile"), pattern).isNotNull()
-    theta = (other.select("query_id", "qt").filter(valid).join(names, F.regexp_like(F.col("name"), pattern))
-             .select("query_id", "EnterpriseNumber"))
+    theta = other.join(names, F.regexp_like(F.col("name"), pattern)).select("query_id", "EnterpriseNumber")
     return verified.unionByName(theta).distinct().withColumn("source", F.lit("regex"))
 
 

@@ -135,3 +135,33 @@ def test_undotted_numbers(spark):
     q = spark.createDataFrame([(1, "36157"), (2, "0836157420")], "query_id int, q string")
     got = [(r["query_id"], r["EnterpriseNumber"]) for r in SE.number_hits(c, SE.classify(q)).collect()]
     assert got == [(1, "0836157420")]                            # ten digits are looked for with dots between
+
+
+PATTERNS = ["hotel", "h.tel", "ho+tel", "hot(el|ring)", "hotel|ring", "hotel|x", "r.d.*ring", "small r?ing", "ring{2}s", "ri[mn]gs", "^red", "gear$", r"gear\.s", r"\bsmall", r"a\\bc",
+            "[(]abc", "abc[]]def", "(?x) r e d", "(?i:red) ring", "ab", "", "((red))ring", "(((((red)))))ring", "re++d rin", "hotel??s", "é+lan", "ÉLAN", "sm.ll ..d ring", r"\Qa.b\E", "red{", "a|", "|{1,2}mall", "|?red", "zz(", "a["]
+
+
+def test_required_grams(spark):
+    got = {r["qt"]: r["branches"] for r in spark.createDataFrame([(p,) for p in PATTERNS], "qt string").select("qt", SE.required_grams(F.col("qt")).alias("branches")).collect()}
+    want = {"hotel": [["hot", "ote", "tel"]], "h.tel": [["tel"]], "ho+tel": [["tel"]], "hot(el|ring)": [["hot"]], "hotel|ring": [["hot", "ote", "tel"], ["rin", "ing"]],
+            "r.d.*ring": [["rin", "ing"]], "small r?ing": [["sma", "mal", "all", "ll ", "ing"]], "ring{2}s": [["rin"]], "^red": [["red"]], r"\bsmall": [["sma", "mal", "all"]],
+            "ÉLAN": [["Éla", "lan"]], "re++d rin": [["d r", " ri", "rin"]], "hotel??s": [["hot", "ote"]], "((red))ring": [["rin", "ing"]]}
+    assert {k: got[k] for k in want} == want
+    assert all(got[p] is None for p in ["hotel|x", "(?x) r e d", "(?i:red) ring", "ab", "", "(((((red)))))ring", r"\Qa.b\E", "red{", "a|", "|{1,2}mall", "|?red", "zz(", "abc[]]def", r"a\\bc"])
+
+
+def test_regex_hits_against_every_name(spark):
+    """Patterns made at random of regex parts: the same rows as each pattern tried on each name."""
+    import random
+    rng = random.Random(5)
+    parts = ["red", "ring", " ", "s", "mall", ".", ".*", "+", "?", "*", "|", "(", ")", "[", "]", "a-s", "{1,2}", "\\", "b", "d", "^", "$", "gear", "RING", "é", "(?"]
+    patterns = sorted({"".join(rng.choice(parts) for _ in range(rng.randint(1, 6))) for _ in range(700)} | set(PATTERNS))
+    texts = ["red ring", "small red ring", "rring", "Hotel", "hoteel", "ringgs", "gear s", "GEAR.S", "élan", "a\\bc", "abc]def", "(abc", "reed rings", "ss", "", "small ing", "redring\\", "mall", "hot[ring]", "rimgs"]
+    names = spark.createDataFrame([(f"{k:04d}", t) for k, t in enumerate(texts)] + [("0001", "second ring")], "EnterpriseNumber string, name string")
+    q = spark.createDataFrame(list(enumerate(patterns)), "query_id int, qt string")
+    ok = F.try_reflect(F.lit("java.util.regex.Pattern"), F.lit("compile"), F.concat(F.lit("(?i)"), F.col("qt"))).isNotNull()
+    want = q.filter(ok).join(names, F.regexp_like("name", F.concat(F.lit("(?i)"), F.col("qt")))).select("query_id", "EnterpriseNumber").distinct()
+    got = SE.regex_hits(names, q)
+    assert sorted(tuple(r) for r in got.select("query_id", "EnterpriseNumber").collect()) == sorted(tuple(r) for r in want.collect())
+    planned, other = SE.split_by_grams(q)
+    assert planned.count() > 100 and other.count() > 100
