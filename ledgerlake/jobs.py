@@ -15,6 +15,8 @@ Every table lives under the lake root as a snapshot table
     deposits/listed      companies that have a listing
     directors/cache      office holders per company (P1, J10)
     index/names          token index of company names
+    search/answers       answers to a batch of queries (J11-J13, O4)
+    profiles             company profiles (J7)
 
 A deposit run is: targets, deposits, claim, (the files land), apply, check,
 then gold.  Stages only declare DataFrame plans and write them; no data goes through
@@ -35,6 +37,7 @@ from .operators import gold as G
 from .operators import pages as P
 from .operators import search as SE
 from .operators import targets as T
+from .operators import views as V
 from .plans.gold_run import run_gold
 from .plans.silver_run import build_silver
 from .session import build_session
@@ -160,6 +163,21 @@ def index(spark: SparkSession, root: str, buckets: int = 64) -> None:
     SE.build_name_index(sinks.read_table(spark, table(root, "silver", "companies")), table(root, "index", "names"), buckets)
 
 
+def search(spark: SparkSession, root: str, queries: str, limit: int = 50) -> str:
+    """Answers to the JSON lines (query_id, q) under ``queries``, by the name index."""
+    companies = sinks.read_table(spark, table(root, "silver", "companies"))
+    batch = spark.read.schema("query_id long, q string").json(queries)
+    return sinks.write_replace(SE.search_indexed(companies, table(root, "index", "names"), batch, limit=limit), table(root, "search", "answers"))
+
+
+def profiles(spark: SparkSession, root: str) -> str:
+    """Silver companies with their gold accounts, as a stored table."""
+    companies, accounts = (sinks.read_table(spark, table(root, *t)) for t in (("silver", "companies"), ("gold", "accounts")))
+    if companies is None or accounts is None:
+        raise RuntimeError("profiles needs silver/companies and gold/accounts: run the silver and gold stages first")
+    return sinks.write_replace(V.company_profile(companies, accounts), table(root, "profiles"))
+
+
 def gold_stream(spark: SparkSession, root: str, landed: str, available_now: bool, buckets: int = 64):
     """E2 stream: landed files of companies whose download is done -> gold and
     gold state.  The download state is read in each micro-batch, and a change of it starts one."""
@@ -189,13 +207,13 @@ def deeds_stream(spark: SparkSession, root: str, events: str, available_now: boo
 
 #: Arguments that a stage cannot do without.
 REQUIRED = {"bronze": ("register_dir",), "deposits": ("listings", "per_company"), "claim": ("claim",), "apply": ("landed",), "check": ("landed",),
-            "compact": ("landed",), "gold": ("landed",), "gold-stream": ("landed",), "directors": ("pages",), "deeds-stream": ("events",)}
+            "compact": ("landed",), "gold": ("landed",), "gold-stream": ("landed",), "directors": ("pages",), "search": ("queries",), "deeds-stream": ("events",)}
 
 
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="ledgerlake.jobs")
     p.add_argument("stage", choices=["bronze", "silver", "targets", "deposits", "claim", "apply", "check", "compact", "gold", "gold-stream",
-                                     "directors", "index", "deeds-stream"])
+                                     "directors", "index", "search", "profiles", "deeds-stream"])
     p.add_argument("--root", required=True, help="lake root (a shared file system path)")
     p.add_argument("--register-dir", help="folder of register CSV files (bronze)")
     p.add_argument("--landed", help="root of the landed filing tree /{company}/hbb/{ref}.csv")
@@ -203,6 +221,7 @@ def main(argv=None) -> None:
     p.add_argument("--per-company", type=int, help="deposits: how many of the latest of a company count")
     p.add_argument("--claim", type=int, help="claim: how many companies")
     p.add_argument("--pages", help="folder of captured pages {company key}.html (directors)")
+    p.add_argument("--queries", help="search: folder of JSON lines (query_id, q)")
     p.add_argument("--events", help="folder of progress-event JSON lines (deeds-stream)")
     p.add_argument("--compacted", action="store_true", help="gold: read lines from the compacted table")
     p.add_argument("--buckets", type=int, default=64, help="compact, index, gold-stream: hash buckets of the table (stored with it)")
@@ -227,6 +246,8 @@ def main(argv=None) -> None:
         "gold-stream": lambda: gold_stream(spark, a.root, a.landed, not a.continuous, a.buckets).awaitTermination(),
         "directors": lambda: directors(spark, a.root, a.pages),
         "index": lambda: index(spark, a.root, a.buckets),
+        "search": lambda: search(spark, a.root, a.queries),
+        "profiles": lambda: profiles(spark, a.root),
         "deeds-stream": lambda: deeds_stream(spark, a.root, a.events, not a.continuous).awaitTermination(),
     }
     print(stages[a.stage]())

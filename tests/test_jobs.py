@@ -205,3 +205,21 @@ def test_directors_and_index_jobs(spark, tmpdir_path):
     companies = sinks.read_table(spark, f"{lake}/silver/companies")
     q = spark.createDataFrame([(1, "alpha")], "query_id int, q string")
     assert [r["EnterpriseNumber"] for r in SE.search_indexed(companies, f"{lake}/index/names", q, limit=5).collect()] == ["0100.000.001"]
+    # the stages answer a batch of queries, and store profiles of the written tables
+    asked = os.path.join(tmpdir_path, "dirs", "queries")
+    spark.createDataFrame([(1, "alpha"), (2, "0100000001"), (3, "al.h.*"), (4, "alpha$")], "query_id long, q string").write.json(asked)
+    jobs.search(spark, lake, asked)
+    answers = {(r["query_id"], r["EnterpriseNumber"], r["source"]) for r in sinks.read_table(spark, f"{lake}/search/answers").collect()}
+    assert {(1, "0100.000.001", "token"), (2, "0100.000.001", "number")} <= answers and (3, "0100.000.001", "regex") in answers
+    with pytest.raises(RuntimeError):
+        jobs.profiles(spark, lake)
+    landed = os.path.join(tmpdir_path, "dirs", "landed")
+    write_tree(landed)
+    state = sinks.read_table(spark, f"{lake}/state/download")
+    outcomes = spark.createDataFrame([("0100.000.001", "success", ["2022-1"], [])], "_id string, result string, new_done array<string>, new_migrated array<string>")
+    sinks.write_replace(T.state_apply(state, outcomes), f"{lake}/state/download")
+    jobs.gold(spark, lake, landed)
+    jobs.profiles(spark, lake)
+    stored = sinks.read_table(spark, f"{lake}/profiles")
+    assert stored.count() == companies.count()
+    assert {r["EnterpriseNumber"] for r in stored.filter("size(gold_data.years) > 0").collect()} == {"0100.000.001"}
