@@ -14,7 +14,7 @@ Every table lives under the lake root as a snapshot table
     deposits/todo        deposits that need work, with their route (W1, F4, J9)
     deposits/listed      companies that have a listing
     directors/cache      office holders per company (P1, J10)
-    index/names          token index of company names
+    index/names          segments of postings of company names
     search/answers       answers to a batch of queries (J11-J13, O4)
     profiles             company profiles (J7)
 
@@ -34,6 +34,7 @@ from .constants import EXCLUDED_FORMS, HOTEL_NACE_CODES, STATE_IN_PROGRESS
 from .functions import expr as X
 from .operators import checks as C
 from .operators import gold as G
+from .operators import name_index as NI
 from .operators import pages as P
 from .operators import search as SE
 from .operators import targets as T
@@ -158,9 +159,14 @@ def directors(spark: SparkSession, root: str, pages: str) -> str:
     return sinks.write_replace(P.update_directors_cache(cache, fetched), path)
 
 
-def index(spark: SparkSession, root: str, buckets: int = 64) -> None:
-    """The token index of company names for ``operators.search.search_indexed``."""
-    SE.build_name_index(sinks.read_table(spark, table(root, "silver", "companies")), table(root, "index", "names"), buckets)
+def index(spark: SparkSession, root: str, buckets: int = 64, most_segments: int = 8) -> None:
+    """The index of company names for the search stage: built once, then a segment of the companies whose names
+    changed, and a merge when there are more than ``most_segments``."""
+    companies, path = sinks.read_table(spark, table(root, "silver", "companies")), table(root, "index", "names")
+    if not NI.live_segments(spark, path):
+        NI.build_name_index(companies, path, buckets)
+    elif NI.update_name_index(companies, path) and len(NI.live_segments(spark, path)) > most_segments:
+        NI.merge_name_index(spark, path)
 
 
 def search(spark: SparkSession, root: str, queries: str, limit: int = 50) -> str:

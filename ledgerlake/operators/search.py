@@ -8,7 +8,8 @@ one job.  Semantics per query:
   the normalised number as a regex (9/10 digits -> 'dddd.ddd.ddd' where the
   dots match any character; otherwise the digit run itself);
 * otherwise name query (J11): names sharing a token with the query (tokens
-  = lower case, accents stripped, split on non-alphanumerics; OR);
+  = lower case, accents stripped, split on non-alphanumerics; OR), or all of its
+  "phrases"; companies with an excluded -word do not count (``name_index``);
 * a name query without any hit falls back to a case-insensitive regex on the
   names (J12);
 * only companies with an activity in the sector codes (F10); at most
@@ -21,36 +22,13 @@ pattern requires no 3-gram (``required_grams``).
 
 from __future__ import annotations
 
-import unicodedata
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import HOTEL_NACE_CODES
 from ..functions import expr as X
-from ..sources import sinks
-
-
-def _accent_table() -> tuple[str, str]:
-    """Every letter of the basic plane that is another letter with marks, and
-    that letter (a rule on the Unicode database, not a hand-written list)."""
-    pairs = [(chr(cp), unicodedata.normalize("NFD", chr(cp))) for cp in range(0xC0, 0xD7FF)]
-    pairs = [(c, d[0]) for c, d in pairs if len(d) > 1 and all(unicodedata.combining(m) for m in d[1:])]
-    return "".join(c for c, _ in pairs), "".join(d for _, d in pairs)
-
-
-_ACCENTED, _PLAIN = _accent_table()
-TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
-
-
-def fold(c: Column) -> Column:
-    """Lower case with accents stripped, whether they are part of a letter or
-    marks of their own (search tokens)."""
-    return F.regexp_replace(F.translate(F.lower(c), _ACCENTED, _PLAIN), r"\p{M}+", "")
-
-
-def tokens(c: Column) -> Column:
-    return F.filter(F.array_distinct(F.split(fold(c), TOKEN_SPLIT)), lambda t: t != "")
+from . import name_index as NI
+from .name_index import build_name_index, company_names as _names, fold, merge_name_index, tokens, update_name_index  # noqa: F401
 
 
 def has_sector(activities: Column, codes=HOTEL_NACE_CODES) -> Column:
@@ -108,29 +86,12 @@ def number_hits(cands: DataFrame, q: DataFrame) -> DataFrame:
             .select("query_id", "EnterpriseNumber", F.lit("number").alias("source")).distinct())
 
 
-def _names(cands: DataFrame) -> DataFrame:
-    return (cands.select("EnterpriseNumber", F.explode("denominations").alias("d"))
-            .select("EnterpriseNumber", F.col("d.Denomination").alias("name"))
-            .filter(F.col("name").isNotNull()))
-
-
-def _first_of_token(index: DataFrame, limit: int) -> DataFrame:
-    """The first ``limit`` companies of each token, by company number.  A
-    query's answer is its first ``limit`` companies by number, and those that an OR
-    of tokens finds first are among the first of each token, so nothing is
-    lost, and a very common token moves only so many rows (the rank
-    filter is a partial top-n before the shuffle)."""
-    w = Window.partitionBy("tok").orderBy("EnterpriseNumber")
-    return index.withColumn("_n", F.dense_rank().over(w)).filter(F.col("_n") <= limit).drop("_n")
-
-
 def token_hits(names: DataFrame, q: DataFrame, limit: int) -> DataFrame:
-    """Token index join (OR of query tokens): for each query the first
-    ``limit`` companies at least."""
-    nt = names.select("EnterpriseNumber", F.explode(tokens(F.col("name"))).alias("tok"))
-    qt = q.filter(F.col("kind") == "name").select("query_id", F.explode(tokens(F.col("qt"))).alias("tok"))
-    return (qt.join(_first_of_token(nt, limit), "tok")
-            .select("query_id", "EnterpriseNumber", F.lit("token").alias("source")).distinct())
+    """Phrases, minus terms and the OR of plain words (``name_index``); of queries of plain
+    words the first ``limit`` companies at least.  Only postings of the batch's tokens are ranked and joined."""
+    terms = NI.query_terms(q)
+    own = NI.postings(names).join(NI.asked_tokens(terms), "tok", "left_semi")
+    return NI.text_hits(own, terms, limit).withColumn("source", F.lit("token"))
 
 
 def _grams(c: Column, n: int) -> Column:
@@ -224,44 +185,14 @@ def search(companies: DataFrame, queries: DataFrame, *, limit: int, codes=HOTEL_
 
 # ------------------------------------------------------------------ persistent name index
 
-def token_bucket(tok: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(tok), F.lit(buckets)).cast("int")
-
-
-def build_name_index(companies: DataFrame, out: str, buckets: int = 64) -> None:
-    """Token table of all company names (the text index of the store),
-    written once as Parquet partitioned by a token hash bucket and sorted by
-    token, so a batch of queries reads only the buckets of its tokens."""
-    toks = (_names(companies).select("EnterpriseNumber", F.explode(tokens(F.col("name"))).alias("tok"))
-            .distinct().withColumn("tok_bucket", token_bucket(F.col("tok"), buckets)))
-    # REBALANCE: clustered by token, but a very common token is split over
-    # several write tasks by AQE
-    (toks.hint("rebalance", "tok").sortWithinPartitions("tok_bucket", "tok")
-     .write.mode("overwrite").partitionBy("tok_bucket").parquet(out))
-    sinks.write_bucket_layout(companies.sparkSession, out, buckets)
-
-
-def token_hits_indexed(index: DataFrame, q: DataFrame, cands: DataFrame, buckets: int, limit: int) -> DataFrame:
-    """J11 against a persistent index: query tokens join the index on
-    (bucket, token) -- dynamic partition pruning skips other buckets --
-    among the candidate (sector) companies."""
-    qt = (q.filter(F.col("kind") == "name").select("query_id", F.explode(tokens(F.col("qt"))).alias("tok"))
-          .withColumn("tok_bucket", token_bucket(F.col("tok"), buckets)))
-    own = index.join(qt.select("tok_bucket", "tok").distinct(), ["tok_bucket", "tok"], "left_semi")
-    own = own.join(cands.select("EnterpriseNumber"), "EnterpriseNumber", "left_semi").select("tok", "EnterpriseNumber")
-    return (qt.join(_first_of_token(own, limit), "tok").select("query_id", "EnterpriseNumber")
-            .withColumn("source", F.lit("token")).distinct())
-
-
 def search_indexed(companies: DataFrame, index_path: str, queries: DataFrame, *, limit: int,
                    codes=HOTEL_NACE_CODES) -> DataFrame:
-    """``search`` with the name tokens read from ``build_name_index``, whose
-    bucket count is the one stored with it."""
-    spark = companies.sparkSession
-    buckets = sinks.bucket_layout(spark, index_path)
-    if buckets is None:
-        raise ValueError(f"{index_path} holds no bucket count: build the index again")
+    """``search`` with the postings of names read from the stored index (``name_index``),
+    among the candidate (sector) companies."""
     cands = companies.filter(has_sector(F.col("activities"), codes))
     q = classify(queries)
-    tok = token_hits_indexed(spark.read.parquet(index_path), q, cands, buckets, limit)
+    terms = NI.query_terms(q)
+    own = (NI.stored_postings(companies.sparkSession, index_path, NI.asked_tokens(terms))
+           .join(cands.select("EnterpriseNumber"), "EnterpriseNumber", "left_semi"))
+    tok = NI.text_hits(own, terms, limit).withColumn("source", F.lit("token"))
     return _answer(cands, _names(cands), q, tok, limit)

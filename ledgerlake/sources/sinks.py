@@ -140,7 +140,7 @@ def write_replace(df: DataFrame, table: str, expected: str | None = None, keep:
     while True:
         last = (versions(spark, table) or [0])[-1]
         if expected is not None and (not last or _snapshot(spark, table, last) != expected):
-            _remove(spark, path)
+            remove(spark, path)
             raise ConflictError(f"{table} was replaced by another writer")
         # without overwriting: another writer that took this version meanwhile is seen in the next turn
         if _publish(spark, table, name, last + 1):
@@ -149,7 +149,8 @@ def write_replace(df: DataFrame, table: str, expected: str | None = None, keep:
     return path
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a file or a folder, if there is one."""
     p, store = _path(spark, path)
     store.delete(p, True)
 
@@ -158,8 +159,8 @@ def drop_old_snapshots(spark: SparkSession, table: str, keep: int) -> None:
     """Removes the snapshots that were published before the newest ``keep`` and
     their pointers.  Snapshots not yet published are another writer's and stay."""
     for version in versions(spark, table)[:-keep]:
-        _remove(spark, _snapshot(spark, table, version))
-        _remove(spark, _pointer(table, version))
+        remove(spark, _snapshot(spark, table, version))
+        remove(spark, _pointer(table, version))
 
 
 def upsert(existing: DataFrame, changes: DataFrame, key: list[str] | str) -> DataFrame:
@@ -209,7 +210,7 @@ def rewrite_partitions(changes: DataFrame, table: str, partition_col: str, stagi
     (spark.read.schema(merged.schema).parquet(staging).hint("rebalance", partition_col)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(table))
-    _remove(spark, staging)
+    remove(spark, staging)
 
 
 def upsert_partitions(changes: DataFrame, table: str, key: list[str] | str, partition_col: str,
