@@ -17,9 +17,15 @@ Every table lives under the lake root as a snapshot table
     index/names          segments of postings of company names
     search/answers       answers to a batch of queries (J11-J13, O4)
     profiles             company profiles (J7)
+    state/deeds          deed progress state (J4 seeded from F3 targets)
+    deeds/todo           published deeds not yet done, with their route (F8, J9)
+    deeds/listed         companies that have a listing of deeds
+    deeds/cached, left   files of companies whose deeds are done (J14), and the other companies
+    deeds/summary        outcome of each download run (A10)
 
 A deposit run is: targets, deposits, claim, (the files land), apply, check,
-then gold.  Stages only declare DataFrame plans and write them; no data goes through
+then gold.  A deed run is: deed-targets, deeds, deeds-claim, (the files land), deeds-apply,
+deeds-cached.  Stages only declare DataFrame plans and write them; no data goes through
 the driver.
 """
 
@@ -30,9 +36,10 @@ import argparse
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from .constants import EXCLUDED_FORMS, HOTEL_NACE_CODES, STATE_IN_PROGRESS
+from .constants import EXCLUDED_FORMS, HOTEL_NACE_CODES, STATE_DONE, STATE_IN_PROGRESS, STATE_PENDING
 from .functions import expr as X
 from .operators import checks as C
+from .operators import deeds as D
 from .operators import gold as G
 from .operators import name_index as NI
 from .operators import pages as P
@@ -51,6 +58,7 @@ from .streaming.incremental_gold import start_incremental_gold
 
 STATE_SCHEMA = ("_id string, status string, filings_count int, filings_done array<string>, "
                 "filings_migrated array<string>")
+DEED_STATE_SCHEMA = "_id string, status string, acts_count int, acts_done array<string>"
 TODO_SCHEMA = "company string, reference string, route string"
 DIRECTORS_CACHE_SCHEMA = "_id string, directors array<struct<role:string,name:string,start_date:string>>, scraped_at timestamp"
 REGISTER_CHILDREN = ("activity", "address", "branch", "code", "contact", "denomination", "enterprise",
@@ -205,6 +213,70 @@ def gold(spark: SparkSession, root: str, landed: str, use_compacted: bool = Fals
                     F.current_timestamp(), compacted=table(root, "lines", "compacted") if use_compacted else None)
 
 
+def deed_targets(spark: SparkSession, root: str, sector_codes=HOTEL_NACE_CODES, excluded_forms=EXCLUDED_FORMS) -> str:
+    """F3 + J4: seed the deed state with new target companies that may have deeds."""
+    companies, path = sinks.read_table(spark, table(root, "silver", "companies")), table(root, "state", "deeds")
+    tg = T.deed_targets(companies, sector_codes=sector_codes, excluded_forms=excluded_forms).withColumnRenamed("EnterpriseNumber", "_id")
+    defaults = {"status": STATE_PENDING, "acts_count": 0, "acts_done": F.array().cast("array<string>")}
+    return sinks.write_replace(sinks.seed_missing(sinks.read_table(spark, path, DEED_STATE_SCHEMA), tg, defaults), path)
+
+
+def _deed_state(spark: SparkSession, root: str):
+    path = table(root, "state", "deeds")
+    return sinks.current_snapshot(spark, path), sinks.read_table(spark, path, DEED_STATE_SCHEMA)
+
+
+def _manifest(spark: SparkSession, files: str):
+    return L.deed_manifest(L.list_deed_files(spark, files))
+
+
+def deeds(spark: SparkSession, root: str, listings: str, files: str) -> str:
+    """F8 + J9: published deeds of the target companies that are not done, and whether their file is there
+    already.  ``listings`` holds a folder of JSON pages a company, ``files`` the PDFs."""
+    _, state = _deed_state(spark, root)
+    own = L.read_deeds(spark, f"{listings}/*").join(state.select(X.company_key(F.col("_id")).alias("company_key")), "company_key", "left_semi")
+    todo = D.deeds_to_fetch(own, state, _manifest(spark, files)).select("company_key", "documentId", "filename", "route").distinct()
+    sinks.write_replace(L.listed_companies(spark, f"{listings}/*"), table(root, "deeds", "listed"))
+    return sinks.write_replace(todo, table(root, "deeds", "todo"))
+
+
+def deeds_claim(spark: SparkSession, root: str, n: int) -> str:
+    """E4 for deeds: the first ``n`` pending companies become in_progress."""
+    snapshot, state = _deed_state(spark, root)
+    return sinks.write_replace(T.state_claim(T.reset_stale(state), n), table(root, "state", "deeds"), expected=snapshot)
+
+
+def deeds_apply(spark: SparkSession, root: str, files: str) -> str:
+    """Outcomes of the claimed companies: deeds whose file landed are done.  A company is done when it has a
+    listing and lacks no file; otherwise it is pending again."""
+    listed, todo = (sinks.read_table(spark, table(root, "deeds", x)) for x in ("listed", "todo"))
+    if listed is None or todo is None:
+        raise RuntimeError("no deeds/todo: run the deeds stage first")
+    snapshot, state = _deed_state(spark, root)
+    claimed = state.filter(F.col("status") == STATE_IN_PROGRESS).select("_id", X.company_key(F.col("_id")).alias("company_key"))
+    landed = _manifest(spark, files).select("filename").distinct().withColumn("_landed", F.lit(True))
+    found = claimed.join(todo, "company_key").join(landed, "filename", "left").groupBy("_id").agg(
+        F.collect_set(F.when(F.col("_landed"), F.col("documentId"))).alias("_new"), F.bool_or(F.col("_landed").isNull()).alias("_lacking"))
+    outcomes = (claimed.join(listed.withColumn("_listed", F.lit(True)), "company_key", "left").join(found, "_id", "left")
+                .select("_id", "_new", (F.col("_listed").isNotNull() & ~F.coalesce("_lacking", F.lit(False))).alias("_complete")))
+    done = F.array_union("acts_done", F.array_sort(F.coalesce("_new", F.array().cast("array<string>"))))
+    status = F.when(F.col("_complete"), F.lit(STATE_DONE)).when(~F.col("_complete"), F.lit(STATE_PENDING)).otherwise(F.col("status"))
+    out = state.join(outcomes, "_id", "left").withColumns({"status": status, "acts_done": done}).withColumn("acts_count", F.size("acts_done"))
+    return sinks.write_replace(out.select(*state.columns), table(root, "state", "deeds"), expected=snapshot)
+
+
+def deeds_cached(spark: SparkSession, root: str, files: str) -> str:
+    """The files of companies whose deeds are done; the other companies are left to fetch."""
+    cached, left = D.cached_deeds(_deed_state(spark, root)[1], _manifest(spark, files))
+    sinks.write_replace(left, table(root, "deeds", "left"))
+    return sinks.write_replace(cached, table(root, "deeds", "cached"))
+
+
+def deeds_summary(spark: SparkSession, root: str, events: str) -> str:
+    """A10: the outcome of each run of progress events."""
+    return sinks.write_replace(D.run_summary(L.read_progress_events(spark, events)), table(root, "deeds", "summary"))
+
+
 def deeds_stream(spark: SparkSession, root: str, events: str, available_now: bool):
     """Progress events -> running deed table."""
     return start_deed_status_stream(spark, events, table(root, "deeds", "status"),
@@ -213,22 +285,25 @@ def deeds_stream(spark: SparkSession, root: str, events: str, available_now: boo
 
 #: Arguments that a stage cannot do without.
 REQUIRED = {"bronze": ("register_dir",), "deposits": ("listings", "per_company"), "claim": ("claim",), "apply": ("landed",), "check": ("landed",),
-            "compact": ("landed",), "gold": ("landed",), "gold-stream": ("landed",), "directors": ("pages",), "search": ("queries",), "deeds-stream": ("events",)}
+            "compact": ("landed",), "gold": ("landed",), "gold-stream": ("landed",), "directors": ("pages",), "search": ("queries",), "deeds-stream": ("events",),
+            "deeds": ("listings", "files"), "deeds-claim": ("claim",), "deeds-apply": ("files",), "deeds-cached": ("files",), "deeds-summary": ("events",)}
 
 
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="ledgerlake.jobs")
     p.add_argument("stage", choices=["bronze", "silver", "targets", "deposits", "claim", "apply", "check", "compact", "gold", "gold-stream",
-                                     "directors", "index", "search", "profiles", "deeds-stream"])
+                                     "directors", "index", "search", "profiles", "deeds-stream",
+                                     "deed-targets", "deeds", "deeds-claim", "deeds-apply", "deeds-cached", "deeds-summary"])
     p.add_argument("--root", required=True, help="lake root (a shared file system path)")
     p.add_argument("--register-dir", help="folder of register CSV files (bronze)")
     p.add_argument("--landed", help="root of the landed filing tree /{company}/hbb/{ref}.csv")
-    p.add_argument("--listings", help="folder of deposit listings (deposits)")
+    p.add_argument("--listings", help="folder of deposit or deed listings (deposits, deeds)")
+    p.add_argument("--files", help="folder of deed PDFs (deeds, deeds-apply, deeds-cached)")
     p.add_argument("--per-company", type=int, help="deposits: how many of the latest of a company count")
-    p.add_argument("--claim", type=int, help="claim: how many companies")
+    p.add_argument("--claim", type=int, help="claim, deeds-claim: how many companies")
     p.add_argument("--pages", help="folder of captured pages {company key}.html (directors)")
     p.add_argument("--queries", help="search: folder of JSON lines (query_id, q)")
-    p.add_argument("--events", help="folder of progress-event JSON lines (deeds-stream)")
+    p.add_argument("--events", help="folder of progress-event JSON lines (deeds-stream, deeds-summary)")
     p.add_argument("--compacted", action="store_true", help="gold: read lines from the compacted table")
     p.add_argument("--buckets", type=int, default=64, help="compact, index, gold-stream: hash buckets of the table (stored with it)")
     p.add_argument("--continuous", action="store_true", help="streams: keep running")
@@ -254,6 +329,12 @@ def main(argv=None) -> None:
         "index": lambda: index(spark, a.root, a.buckets),
         "search": lambda: search(spark, a.root, a.queries),
         "profiles": lambda: profiles(spark, a.root),
+        "deed-targets": lambda: deed_targets(spark, a.root),
+        "deeds": lambda: deeds(spark, a.root, a.listings, a.files),
+        "deeds-claim": lambda: deeds_claim(spark, a.root, a.claim),
+        "deeds-apply": lambda: deeds_apply(spark, a.root, a.files),
+        "deeds-cached": lambda: deeds_cached(spark, a.root, a.files),
+        "deeds-summary": lambda: deeds_summary(spark, a.root, a.events),
         "deeds-stream": lambda: deeds_stream(spark, a.root, a.events, not a.continuous).awaitTermination(),
     }
     print(stages[a.stage]())

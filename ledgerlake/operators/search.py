@@ -165,7 +165,9 @@ def rank_limit(hits: DataFrame, limit: int) -> DataFrame:
 
 def _answer(cands: DataFrame, names: DataFrame, q: DataFrame, tok: DataFrame, limit: int) -> DataFrame:
     num = number_hits(cands, q)
-    leftover = q.filter(F.col("kind") == "name").join(tok.select("query_id").distinct(), "query_id", "left_anti")
+    # counted, not made distinct: the plan then holds the hits' own aggregation, whose exchange is reused
+    answered = tok.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 0)
+    leftover = q.filter(F.col("kind") == "name").join(answered.select("query_id"), "query_id", "left_anti")
     rx = regex_hits(names, leftover)
     hits = rank_limit(num.unionByName(tok).unionByName(rx), limit)
     return hits.join(search_projection(cands), "EnterpriseNumber").select(

@@ -38,7 +38,7 @@ def read_deposits(spark: SparkSession, path: str) -> DataFrame:
 
 
 def listed_companies(spark: SparkSession, path: str) -> DataFrame:
-    """The companies that have a deposit listing under ``path``, an empty one included."""
+    """The companies that have a listing (of deposits or deeds) under ``path``, an empty one included."""
     raw = spark.read.schema(DEPOSIT_SCHEMA).json(path)
     return raw.select(company_from_path(F.col("_metadata.file_path")).alias("company_key")).distinct()
 

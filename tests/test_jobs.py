@@ -205,6 +205,9 @@ def test_directors_and_index_jobs(spark, tmpdir_path):
     companies = sinks.read_table(spark, f"{lake}/silver/companies")
     q = spark.createDataFrame([(1, "alpha")], "query_id int, q string")
     assert [r["EnterpriseNumber"] for r in SE.search_indexed(companies, f"{lake}/index/names", q, limit=5).collect()] == ["0100.000.001"]
+    # a second run of the stage indexes nothing if no name changed
+    jobs.index(spark, lake, buckets=4)
+    assert len(SE.NI.live_segments(spark, f"{lake}/index/names")) == 1
     # the stages answer a batch of queries, and store profiles of the written tables
     asked = os.path.join(tmpdir_path, "dirs", "queries")
     spark.createDataFrame([(1, "alpha"), (2, "0100000001"), (3, "al.h.*"), (4, "alpha$")], "query_id long, q string").write.json(asked)
@@ -223,3 +226,60 @@ def test_directors_and_index_jobs(spark, tmpdir_path):
     stored = sinks.read_table(spark, f"{lake}/profiles")
     assert stored.count() == companies.count()
     assert {r["EnterpriseNumber"] for r in stored.filter("size(gold_data.years) > 0").collect()} == {"0100.000.001"}
+
+
+def test_deed_run_reaches_cached_files(spark, tmpdir_path):
+    """silver -> deed targets -> deeds -> claim -> apply -> cached files, and the summary of runs."""
+    import json
+    reg, lake, listings, files, events = (os.path.join(tmpdir_path, "deeds", x) for x in ("register", "lake", "listings", "files", "events"))
+    write_register(reg)
+    for key, deeds in (("0100000001", [("d1", "2020-01-02", "DONE"), ("d2", None, "DONE"), ("d3", "2020-01-04", "PENDING")]),
+                       ("0100000002", []), ("0777777777", [("x", "2020-01-01", "DONE")])):
+        os.makedirs(os.path.join(listings, key))
+        for page, part in enumerate((deeds[:1], deeds[1:])):
+            with open(os.path.join(listings, key, f"p{page}.json"), "w") as fh:
+                fh.write(json.dumps({"statutes": [{"documentId": d, "deedDate": t, "documentStatus": s} for d, t, s in part], "totalItems": len(deeds)}))
+    os.makedirs(files)
+
+    def land(name):
+        with open(os.path.join(files, name), "wb") as fh:
+            fh.write(b"%PDF")
+
+    def rows(*name):
+        return sinks.read_table(spark, "/".join([lake, *name])).collect()
+
+    land("0100000001_20200102_d1.pdf")
+    jobs.bronze(spark, lake, reg)
+    jobs.silver(spark, lake)
+    jobs.deed_targets(spark, lake)
+    jobs.deed_targets(spark, lake)                                       # a second run adds nothing
+    assert sorted((r["_id"], r["status"], r["acts_count"]) for r in rows("state", "deeds")) == [("0100.000.001", "pending", 0), ("0100.000.002", "pending", 0)]
+    jobs.deeds_claim(spark, lake, 10)
+    with pytest.raises(RuntimeError):
+        jobs.deeds_apply(spark, lake, files)
+    jobs.deeds(spark, lake, listings, files)
+    assert {(r["documentId"], r["filename"], r["route"]) for r in rows("deeds", "todo")} == {
+        ("d1", "0100000001_20200102_d1.pdf", "have_file"), ("d2", "0100000001_unknown_d2.pdf", "fetch")}
+    jobs.deeds_apply(spark, lake, files)                                 # one file lacks; the other company has no deeds
+    assert sorted((r["_id"], r["status"], r["acts_done"]) for r in rows("state", "deeds")) == [
+        ("0100.000.001", "pending", ["d1"]), ("0100.000.002", "done", [])]
+    land("0100000001_unknown_d2.pdf")
+    jobs.deeds(spark, lake, listings, files)
+    assert [(r["documentId"], r["route"]) for r in rows("deeds", "todo")] == [("d2", "have_file")]
+    jobs.deeds_claim(spark, lake, 10)
+    jobs.deeds_apply(spark, lake, files)
+    assert sorted((r["_id"], r["status"], r["acts_count"], r["acts_done"]) for r in rows("state", "deeds")) == [
+        ("0100.000.001", "done", 2, ["d1", "d2"]), ("0100.000.002", "done", 0, [])]
+    jobs.deeds_cached(spark, lake, files)
+    assert sorted((r["_id"], r["doc_id"], r["deed_date"], r["files_count"]) for r in rows("deeds", "cached")) == [
+        ("0100.000.001", "d1", "20200102", 2), ("0100.000.001", "d2", "unknown", 2)]
+    assert rows("deeds", "left") == []
+    os.makedirs(events)
+    with open(os.path.join(events, "e.json"), "w") as fh:
+        for e in ({"event": "downloading", "documentId": "d1", "run": "r", "seq": 1}, {"event": "downloaded", "documentId": "d1", "run": "r", "seq": 2},
+                  {"event": "done", "total": 1, "downloaded": 1, "run": "r", "seq": 3}):
+            fh.write(json.dumps(e) + "\n")
+    jobs.deeds_summary(spark, lake, events)
+    assert [(r["run"], r["final"], r["n_downloaded"]) for r in rows("deeds", "summary")] == [("r", "done", 1)]
+    with pytest.raises(SystemExit):
+        jobs.main(["deeds-apply", "--root", lake])
