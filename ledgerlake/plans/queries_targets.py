@@ -134,7 +134,21 @@ def _outcomes(spark, sf_dir):
                     F.coalesce("new_migrated", empty).alias("new_migrated")))
 
 
-@register("state_apply", "WITH " + DEPOSITS_CTE + """,
+def _refs_sql(condition: str) -> str:
+    """A customer's orders that meet a condition, as sorted text."""
+    return f"coalesce(string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY CAST(o_orderkey AS VARCHAR)) FILTER (WHERE {condition}), '')"
+
+
+_DONE = "(o_orderstatus = 'O' AND o_orderpriority IN ('1-URGENT', '2-HIGH'))"
+_MIGRATED = "(o_orderstatus = 'F' AND o_orderpriority = '5-LOW')"
+_STAYS = "c_mktsegment IN ('AUTOMOBILE', 'BUILDING')"
+
+
+@register("state_apply", "WITH " + DEPOSITS_CTE + f""",
+refs AS (SELECT c_custkey,
+  {_refs_sql(f"{_DONE} OR (NOT {_STAYS} AND o_orderstatus = 'P')")} AS filings_done,
+  {_refs_sql(f"{_MIGRATED} OR (NOT {_STAYS} AND o_orderstatus = 'F' AND o_orderpriority = '4-NOT SPECIFIED')")} AS filings_migrated
+  FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey),""" + """
 nw AS (SELECT c_custkey,
   CAST((SELECT count(*) FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P') AS INTEGER) AS n_new,
   CAST((SELECT count(*) FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F'
@@ -143,11 +157,13 @@ nw AS (SELECT c_custkey,
 SELECT _id,
   CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING') THEN 'pending' ELSE 'done' END AS status,
   CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING') THEN filings_count ELSE filings_count + n_new END AS filings_count,
-  CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING') THEN n_migrated ELSE n_migrated + n_new_mig END AS n_migrated
-FROM ds JOIN nw USING (c_custkey)""")
+  CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING') THEN n_migrated ELSE n_migrated + n_new_mig END AS n_migrated,
+  filings_done, filings_migrated
+FROM ds JOIN nw USING (c_custkey) JOIN refs USING (c_custkey)""")
 def q_state_apply(spark, sf_dir):
     new = T.state_apply(AD.deposit_state(spark, sf_dir), _outcomes(spark, sf_dir))
-    return new.select("_id", "status", "filings_count", F.size("filings_migrated").alias("n_migrated"))
+    return new.select("_id", "status", "filings_count", F.size("filings_migrated").alias("n_migrated"),
+                      *[F.array_join(F.array_sort(c), ",").alias(c) for c in ("filings_done", "filings_migrated")])
 
 
 @register("state_claim", "WITH " + DEPOSITS_CTE + """,
@@ -164,13 +180,17 @@ def q_done_with_filings(spark, sf_dir):
     return T.done_with_filings(AD.download_state(spark, sf_dir)).select("_id", "filings_count")
 
 
-@register("refs_difference", "WITH " + DEPOSITS_CTE + """
+@register("refs_difference", "WITH " + DEPOSITS_CTE + f""",
+refs AS (SELECT c_custkey, {_refs_sql(f"NOT {_DONE}")} AS difference, {_refs_sql(_DONE)} AS done, {_refs_sql(_MIGRATED)} AS migrated
+  FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey)""" + """
 SELECT _id,
   CAST((SELECT count(*) FROM orders WHERE o_custkey = c_custkey) - filings_count AS INTEGER) AS n_diff,
-  CAST(filings_count + n_migrated AS INTEGER) AS n_append
-FROM ds""")
+  CAST(filings_count + n_migrated AS INTEGER) AS n_append,
+  difference, concat_ws(',', nullif(done, ''), nullif(migrated, '')) AS appended
+FROM ds JOIN refs USING (c_custkey)""")
 def q_refs_difference(spark, sf_dir):
     every = AD.download_state(spark, sf_dir).select("_id", F.col("filings_done").alias("all_refs"))
     st = AD.deposit_state(spark, sf_dir).join(every, "_id")
-    return st.select("_id", F.size(X.refs_difference("all_refs", "filings_done")).alias("n_diff"),
-                     F.size(X.append_refs("filings_done", "filings_migrated")).alias("n_append"))
+    lacking, appended = X.refs_difference("all_refs", "filings_done"), X.append_refs("filings_done", "filings_migrated")
+    return st.select("_id", F.size(lacking).alias("n_diff"), F.size(appended).alias("n_append"),
+                     F.array_join(F.array_sort(lacking), ",").alias("difference"), F.array_join(appended, ",").alias("appended"))
