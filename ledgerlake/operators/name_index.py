@@ -8,7 +8,10 @@ excluded parts alone fits nothing.  A quote without its partner separates words.
 A posting is (EnterpriseNumber, name_no, tok, pos).  The stored index is a set of segments: the first
 holds all companies, each later one those whose names changed.  A company's postings count only in the
 newest segment that lists it, so an update writes the changed companies alone.  The list of live
-segments is a snapshot table (``sources.sinks``): a reader sees an update as a whole or not at all."""
+segments is a snapshot table (``sources.sinks``): a reader sees an update as a whole or not at all.
+
+Tables that grow with the companies are joined by shuffles (``shuffled``): their size before a scan is that of
+compressed files, of which a few MB hold millions of names that would be broadcast through the driver."""
 
 from __future__ import annotations
 
@@ -38,6 +41,11 @@ COMPANY_SCHEMA = "EnterpriseNumber string, names_hash string, segment string"
 SEGMENT_SCHEMA = "segment string, ordinal int, buckets int, live boolean"
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that is not broadcast, however small its files are."""
+    return df.hint("merge")
+
+
 def fold(c: Column) -> Column:
     """Lower case with accents stripped, whether they are part of a letter or
     marks of their own (search tokens)."""
@@ -94,13 +102,21 @@ def _first_of_token(index: DataFrame, limit: int) -> DataFrame:
     return index.withColumn("_n", F.dense_rank().over(w)).filter(F.col("_n") <= limit).select("tok", "EnterpriseNumber")
 
 
-def _verified(found: DataFrame, index: DataFrame) -> DataFrame:
-    """Of places (query_id, no, toks, EnterpriseNumber, name_no, start) those where all of ``toks`` stand in
-    a row.  The join's key is a token's place in one name, so that a common token makes no hot key."""
-    place = ["query_id", "no", "EnterpriseNumber", "name_no", "start"]
-    need = found.select(*place, F.size("toks").alias("need"), F.posexplode("toks").alias("off", "tok")).withColumn("pos", F.col("start") + F.col("off"))
-    return (need.join(index, ["tok", "EnterpriseNumber", "name_no", "pos"]).groupBy(*place, "need").agg(F.count(F.lit(1)).alias("n"))
-            .filter(F.col("n") == F.col("need")).select("query_id", "no", "EnterpriseNumber").distinct())
+def with_places(index: DataFrame) -> DataFrame:
+    """Postings, each with all postings of its name as ``places`` ((pos, tok) structs): a phrase is told from one row."""
+    names = index.groupBy("EnterpriseNumber", "name_no").agg(F.collect_list(F.struct("pos", "tok")).alias("places"))
+    return names.select("EnterpriseNumber", "name_no", "places", F.explode("places").alias("_at")).select("EnterpriseNumber", "name_no", "_at.pos", "_at.tok", "places")
+
+
+def placed_postings(names: DataFrame) -> DataFrame:
+    """``with_places`` of the postings of ``names``, from each name itself."""
+    every = names.select("EnterpriseNumber", "name_no", F.transform(words(F.col("name")), lambda t, k: F.struct(k.alias("pos"), t.alias("tok"))).alias("places"))
+    return every.select("EnterpriseNumber", "name_no", "places", F.explode("places").alias("_at")).select("EnterpriseNumber", "name_no", "_at.pos", "_at.tok", "places")
+
+
+def _in_a_row() -> Column:
+    """Whether all of a row's ``toks`` stand in a row in its name, from place ``start``."""
+    return F.forall(F.transform("toks", lambda t, k: F.struct((F.col("start") + k).alias("pos"), t.alias("tok"))), lambda at: F.array_contains("places", at))
 
 
 def phrase_hits(index: DataFrame, phrases: DataFrame) -> DataFrame:
@@ -108,26 +124,27 @@ def phrase_hits(index: DataFrame, phrases: DataFrame) -> DataFrame:
     proposes places, the others are looked up there."""
     toks = phrases.select("query_id", "no", "toks", F.posexplode("toks").alias("off", "tok"))
     often = index.join(toks.select("tok").distinct(), "tok", "left_semi").groupBy("tok").agg(F.count(F.lit(1)).alias("n"))
-    lead = (toks.join(often, "tok", "left").groupBy("query_id", "no", "toks")
+    lead = (toks.join(shuffled(often), "tok", "left").groupBy("query_id", "no", "toks")
             .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "off", "tok")).alias("lead"))
             .select("query_id", "no", "toks", F.col("lead.tok").alias("tok"), F.col("lead.off").alias("off")))
-    found = lead.join(index, "tok").select("query_id", "no", "toks", "EnterpriseNumber", "name_no", (F.col("pos") - F.col("off")).alias("start"))
-    return _verified(found, index)
+    found = lead.join(shuffled(index), "tok").select("query_id", "no", "toks", "EnterpriseNumber", "places", (F.col("pos") - F.col("off")).alias("start"))
+    return found.filter(_in_a_row()).select("query_id", "no", "EnterpriseNumber").distinct()
 
 
 def excluded(index: DataFrame, hits: DataFrame, phrases: DataFrame) -> DataFrame:
     """Of ``hits`` (query_id, EnterpriseNumber) those that have one of their query's ``phrases``; only the names of hits are looked at."""
-    lead = phrases.withColumn("tok", F.col("toks")[0]).join(hits, "query_id")
-    found = lead.join(index, ["tok", "EnterpriseNumber"]).select("query_id", "no", "toks", "EnterpriseNumber", "name_no", F.col("pos").alias("start"))
-    return _verified(found, index).select("query_id", "EnterpriseNumber").distinct()
+    lead = phrases.withColumn("tok", F.col("toks")[0]).join(shuffled(hits), "query_id")
+    found = lead.join(shuffled(index), ["tok", "EnterpriseNumber"]).select("query_id", "toks", "EnterpriseNumber", "places", F.col("pos").alias("start"))
+    return found.filter(_in_a_row()).select("query_id", "EnterpriseNumber").distinct()
 
 
 def text_hits(index: DataFrame, terms: DataFrame, limit: int) -> DataFrame:
     """(query_id, EnterpriseNumber) of the companies that fit.  Of queries of plain words alone at least
-    the first ``limit`` companies by number; of others all, since excluded companies must not use up the limit."""
+    the first ``limit`` companies by number; of others all, since excluded companies must not use up the limit.
+    ``index``: postings with their names' ``places``."""
     plain = (F.size("phrases") == 0) & (F.size("minus") == 0)
     simple, other = terms.filter(plain), terms.filter(~plain)
-    any_word = (simple.select("query_id", F.explode("plus").alias("tok")).join(_first_of_token(index, limit), "tok")
+    any_word = (simple.select("query_id", F.explode("plus").alias("tok")).join(shuffled(_first_of_token(index, limit)), "tok")
                 .select("query_id", "EnterpriseNumber"))
     asked = other.filter(F.size("phrases") > 0).select("query_id", F.size("phrases").alias("n_phrases"), F.posexplode("phrases").alias("no", "toks"))
     whole = (phrase_hits(index, asked.select("query_id", "no", "toks"))
@@ -135,10 +152,10 @@ def text_hits(index: DataFrame, terms: DataFrame, limit: int) -> DataFrame:
              .groupBy("query_id", "n_phrases", "EnterpriseNumber").agg(F.count(F.lit(1)).alias("n"))
              .filter(F.col("n") == F.col("n_phrases")).select("query_id", "EnterpriseNumber"))
     loose = (other.filter(F.size("phrases") == 0).select("query_id", F.explode("plus").alias("tok"))
-             .join(index, "tok").select("query_id", "EnterpriseNumber"))
+             .join(shuffled(index), "tok").select("query_id", "EnterpriseNumber"))
     hits = whole.unionByName(loose).distinct()
     ban = other.select("query_id", F.posexplode("minus").alias("no", "toks"))
-    return any_word.unionByName(hits.join(excluded(index, hits, ban), ["query_id", "EnterpriseNumber"], "left_anti")).distinct()
+    return any_word.unionByName(hits.join(shuffled(excluded(index, hits, ban)), ["query_id", "EnterpriseNumber"], "left_anti")).distinct()
 
 
 # ------------------------------------------------------------------ stored index
@@ -228,7 +245,7 @@ def update_name_index(companies: DataFrame, out: str) -> bool:
     written = _write_companies(changed, out, segment)
     if written.isEmpty():
         return False
-    _write_postings(postings(company_names(companies.join(written, "EnterpriseNumber", "left_semi"))), out, segment, live[0]["buckets"])
+    _write_postings(postings(company_names(companies.join(shuffled(written), "EnterpriseNumber", "left_semi"))), out, segment, live[0]["buckets"])
     _publish(spark, out, [tuple(r) for r in rows] + [(segment, rows[-1]["ordinal"] + 1, live[0]["buckets"], True)], snapshot)
     return True
 
@@ -260,7 +277,7 @@ def _alive(index: DataFrame, spark: SparkSession, out: str, live: list) -> DataF
     if len(live) > 1:
         later = (_companies(spark, out, [r["segment"] for r in live[1:]])
                  .groupBy("EnterpriseNumber").agg(F.max(_ordinal(live)).alias("_latest")))
-        index = (index.join(later, "EnterpriseNumber", "left")
+        index = (index.join(shuffled(later), "EnterpriseNumber", "left")
                  .filter(F.col("_latest").isNull() | (F.col("_latest") == _ordinal(live))))
     return index.select("EnterpriseNumber", "name_no", "pos", "tok")
 
