@@ -11,6 +11,7 @@ from ..sources import listings as L
 from ..streaming import deed_status as DS
 from . import adapters as AD
 from . import oracle as O
+from .filing_tree import write_listings
 from .queries_silver import _scratch
 from .registry import register
 
@@ -170,8 +171,7 @@ def q_read_deeds(spark, sf_dir):
     pages = d.groupBy("company_key", "deedNatureDecoded").agg(
         F.collect_list(F.struct("documentId", "deedDate", "deedNatureDecoded", "documentStatus")).alias("statutes"))
     totals = d.groupBy("company_key").agg(F.count(F.lit(1)).cast("int").alias("totalItems"))
-    (pages.join(totals, "company_key").select("company_key", "statutes", "totalItems")
-     .repartition(8, "company_key").write.partitionBy("company_key").json(folder))
+    write_listings(pages.join(totals, "company_key").select("company_key", "statutes", "totalItems"), folder)
     return L.read_deeds(spark, folder).select("company_key", "documentId", "deedDate", "documentStatus")
 
 
@@ -185,7 +185,6 @@ def q_read_deposits(spark, sf_dir):
     """One listing document per company written as JSON, read back."""
     folder = _scratch(spark)
     dep = AD.deposits(spark, sf_dir).withColumn("company_key", F.translate("company", ".", ""))
-    dep.groupBy("company_key").agg(F.collect_list(F.struct(
-        "reference", "periodEndDateYear", "id", "migration", "periodEndDate", "depositDate")).alias("content")) \
-        .repartition(8, "company_key").write.partitionBy("company_key").json(folder)
+    write_listings(dep.groupBy("company_key").agg(F.collect_list(F.struct(
+        "reference", "periodEndDateYear", "id", "migration", "periodEndDate", "depositDate")).alias("content")), folder)
     return L.read_deposits(spark, folder).select("company_key", "reference", "periodEndDate", "migration")

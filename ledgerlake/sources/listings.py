@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import expr as X
+from . import landed
 
 DEPOSIT_SCHEMA = ("content array<struct<reference: string, periodEndDateYear: int, id: string, "
                   "migration: boolean, periodEndDate: string, depositDate: string>>")
@@ -29,26 +30,31 @@ def company_from_path(path: Column) -> Column:
     return F.regexp_replace(parent, r"^[^=]*=", "")
 
 
+def _documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """company_key and the columns of ``schema`` of every JSON document under ``path``.  A folder's files, one or
+    more a company, are listed and read in tasks (``sources.landed``); other paths by Spark's reader."""
+    uri = landed.tree_uri(spark, path)
+    if uri is None:
+        raw = spark.read.schema(schema).json(path)
+        return raw.select(company_from_path(F.col("_metadata.file_path")).alias("company_key"), *raw.columns)
+    # an array of documents, as the reader takes it, too: one document is an array of one
+    lines = landed.text_lines(spark, uri).withColumn("docs", F.from_json("line", f"array<struct<{schema}>>"))
+    return lines.select(company_from_path(F.col("file_path")).alias("company_key"), F.explode_outer("docs").alias("doc")).select("company_key", "doc.*")
+
+
 def read_deposits(spark: SparkSession, path: str) -> DataFrame:
     """One row per deposit of every listing under ``path``."""
-    raw = spark.read.schema(DEPOSIT_SCHEMA).json(path)
-    return (raw.select(company_from_path(F.col("_metadata.file_path")).alias("company_key"),
-                       F.explode("content").alias("d"))
-            .select("company_key", "d.*"))
+    return _documents(spark, path, DEPOSIT_SCHEMA).select("company_key", F.explode("content").alias("d")).select("company_key", "d.*")
 
 
 def listed_companies(spark: SparkSession, path: str) -> DataFrame:
     """The companies that have a listing (of deposits or deeds) under ``path``, an empty one included."""
-    raw = spark.read.schema(DEPOSIT_SCHEMA).json(path)
-    return raw.select(company_from_path(F.col("_metadata.file_path")).alias("company_key")).distinct()
+    return _documents(spark, path, DEPOSIT_SCHEMA).select("company_key").distinct()
 
 
 def read_deeds(spark: SparkSession, path: str) -> DataFrame:
     """One row per deed of all pages of all listings under ``path``."""
-    raw = spark.read.schema(DEED_SCHEMA).json(path)
-    return (raw.select(company_from_path(F.col("_metadata.file_path")).alias("company_key"),
-                       F.explode("statutes").alias("s"))
-            .select("company_key", "s.*"))
+    return _documents(spark, path, DEED_SCHEMA).select("company_key", F.explode("statutes").alias("s")).select("company_key", "s.*")
 
 
 def read_progress_events(spark: SparkSession, path: str, stream: bool = False,

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import gzip
+import json
 import os
 
+from pyspark.sql import functions as F
+
 from ledgerlake.operators import search as SE
+from ledgerlake.sources import listings as L
 from tests.test_plans import plan_of
 
 
@@ -23,3 +28,28 @@ def test_names_are_not_broadcast(spark, tmpdir_path):
     assert got == {(4, f"0{i:03}.000.000") for i in range(50)} | {(5, f"0{i:03}.000.000") for i in range(50) if str(i)[0] == "1"}
     phrase = {r[0] for r in SE.token_hits(names, q.filter("query_id = 3"), 5).select("EnterpriseNumber").collect()}
     assert phrase == {f"0{i:03}.000.000" for i in range(50) if i != 7}
+
+
+def test_listings_are_read_in_tasks(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "listings")
+
+    def put(path, text, opener=open):
+        os.makedirs(os.path.dirname(f"{root}/{path}"), exist_ok=True)
+        with opener(f"{root}/{path}", "wb") as fh:
+            fh.write(text.encode())
+
+    doc = lambda *ids: json.dumps({"statutes": [{"documentId": i, "documentStatus": "DONE"} for i in ids], "totalItems": len(ids)})
+    put("company_key=01/a.json", doc("d1", "d2") + "\n\n" + doc("d3") + "\n")
+    put("company_key=02/a.json", f"[{doc('d4')}, {doc('d5')}]")
+    put("company_key=02/b.json.gz", doc("d6"), gzip.open)
+    put("company_key=03/_hidden.json", doc("d7"))
+    put("company_key=03/.b.json", doc("d8"))
+    put("company_key=04/a.json", "not json\n" + doc("d9"))
+    put("company_key=05/a.json", doc())
+    df = L.read_deeds(spark, root)
+    assert "FileScan json" not in plan_of(df)
+    raw = spark.read.schema(L.DEED_SCHEMA).json(root)
+    want = raw.select(L.company_from_path(F.col("_metadata.file_path")).alias("k"), F.explode("statutes").alias("s")).select("k", "s.*")
+    assert sorted(map(str, df.collect())) == sorted(str(r).replace("Row(k=", "Row(company_key=") for r in want.collect())
+    assert {(r["company_key"], r["documentId"]) for r in df.collect()} == {("01", "d1"), ("01", "d2"), ("01", "d3"), ("02", "d4"), ("02", "d5"), ("02", "d6"), ("04", "d9")}
+    assert {r[0] for r in L.listed_companies(spark, root).collect()} == {"01", "02", "04", "05"}
