@@ -9,6 +9,7 @@ import os
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import search as SE
+from ledgerlake.sources import filings as S
 from ledgerlake.sources import listings as L
 from tests.test_plans import plan_of
 
@@ -53,3 +54,26 @@ def test_listings_are_read_in_tasks(spark, tmpdir_path):
     assert sorted(map(str, df.collect())) == sorted(str(r).replace("Row(k=", "Row(company_key=") for r in want.collect())
     assert {(r["company_key"], r["documentId"]) for r in df.collect()} == {("01", "d1"), ("01", "d2"), ("01", "d3"), ("02", "d4"), ("02", "d5"), ("02", "d6"), ("04", "d9")}
     assert {r[0] for r in L.listed_companies(spark, root).collect()} == {"01", "02", "04", "05"}
+
+
+def test_whole_tree_is_read_in_tasks(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "landed")
+
+    def put(path, text):
+        os.makedirs(os.path.dirname(f"{root}/{path}"), exist_ok=True)
+        with open(f"{root}/{path}", "wb") as fh:
+            fh.write(text)
+
+    put("0100000001/hbb/r1.csv", b'70,1\n"a,b","x ""y"""\n\n \n60\n')
+    put("more/0100000002/hbb/r2.csv", b"\xef\xbb\xbf70,2\r\n71,3\r\n")
+    put("0100000002/hbb/_r3.csv", b"70,9\n")
+    put("0100000002/_tmp/hbb/r4.csv", b"70,9\n")
+    put("0100000002/other/r5.csv", b"70,9\n")
+    put("0100000002/hbb/r6.txt", b"70,9\n")
+    df = S.read_filing_lines(spark, root)
+    assert "FileScan csv" not in plan_of(df)
+    cols = ["enterprise_key", "filing_ref", "file_path", "code", "value"]
+    want = S.with_provenance(S.with_line_numbers(S.filing_reader(spark.read).csv(root))).select(*cols, "line_no")
+    got = [tuple(r)[:5] for r in df.select(*cols, "line_no").orderBy("file_path", "line_no").collect()]
+    assert got == [tuple(r)[:5] for r in want.orderBy("file_path", "line_no").collect()] and len(got) == 5
+    assert sorted(map(tuple, S.list_landed_files(spark, root).select("enterprise_key", "filename").collect())) == [("0100000001", "r1.csv"), ("0100000002", "r2.csv")]
