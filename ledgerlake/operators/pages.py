@@ -4,7 +4,7 @@
 P1 is the one per-row parser of the library: HTML has to be parsed, which no
 built-in Spark expression does.  Pages without a table or heading tag are
 filtered out by Spark (a heading's text may be split by tags or written with
-character references, so it is left to the parser); the rest run through ``mapInPandas`` (Arrow batches).
+character references, so it is left to the parser); the rest run through a UDF, a page a call.
 ``TableRows``, a state machine over the events of Python's ``html.parser``,
 keeps the open rows and cells only and never builds a page's tree.
 """
@@ -15,12 +15,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources import sinks
 
+HOLDERS_TYPE = "array<struct<role:string,name:string,start_date:string>>"
 DIRECTOR_SCHEMA = "company string, pos int, role string, name string, start_date string"
 
 
@@ -124,14 +124,15 @@ def extract_directors(pages: DataFrame, company: str = "company", html: str = "h
     Pages without a table or without the section's name give no rows."""
     marked = frozenset(classes)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = [(comp, i, *holder) for comp, page in zip(pdf["company"], pdf["html"])
-                    for i, holder in enumerate(holders(page, section, marked))]
-            yield pd.DataFrame(rows, columns=["company", "pos", "role", "name", "start_date"]).astype(
-                {"pos": "int32"})
-    own = pages.select(F.col(company).alias("company"), F.col(html).alias("html")).filter(F.lower("html").contains("<table") & F.lower("html").contains("<h2"))
-    return own.mapInPandas(run, DIRECTOR_SCHEMA)
+    # a plain UDF: a Python worker holds the pages of one small batch (100 rows), not of an Arrow batch
+    @F.udf(HOLDERS_TYPE, useArrow=False)
+    def found(page):
+        return [*holders(page, section, marked)]
+
+    own = pages.select(F.col(company).cast("string").alias("company"), F.col(html).alias("html")).filter(F.lower("html").contains("<table") & F.lower("html").contains("<h2"))
+    # outer: of an inner one Spark would infer a filter that parses each page once more
+    rows = own.select("company", F.posexplode_outer(found("html")).alias("pos", "_holder")).filter("pos IS NOT NULL")
+    return rows.select("company", "pos", "_holder.*")
 
 
 def directors_cache_rows(directors: DataFrame, companies: DataFrame, as_of, company: str = "_id") -> DataFrame:

@@ -100,3 +100,13 @@ def test_partial_rows_merge_in_any_order_and_twice(spark):
         one, two = (D.deed_partials(frame(spark, part)) for part in (shuffled[:cut], shuffled[cut:]))
         merged = D.merge_partials(D.merge_partials(one.unionByName(two)).unionByName(two))
         assert table(D.deed_table(merged)) == table(D.deed_status(frame(spark, EVENTS)))
+
+
+def test_pages_reach_the_parser_in_small_batches(spark):
+    from tests.test_plans import plan_of
+    df = spark.createDataFrame([(f"c{k}", FIXTURE_PAGE) for k in range(250)] + [(None, FIXTURE_PAGE), ("none", None)], "company string, html string")
+    got = P.extract_directors(df)
+    assert got.count() == 502
+    plan = plan_of(got)
+    assert "MapInPandas" not in plan and plan.split("== Initial Plan")[0].count("BatchEvalPython") == 1   # no Arrow batch of whole pages; parsed once
+    assert sorted(map(tuple, got.filter("company IS NULL").collect())) == [(None, 0, "Bestuurder", "Doe , Jane", "Sinds 1 januari 2020"), (None, 1, "Zaakvoerder", "Roe, Ann", "")]
