@@ -19,8 +19,9 @@ takes a control string inside a text for its token: texts that hold one (in any
 case) are encoded whole by the library.  A null text counts as empty.
 
 ``Encoder.encode`` takes texts one by one.  ``Encoder.batch`` takes an Arrow column: where the rule is
-``drop``, the texts are cut and their distinct pieces found by Arrow, so that each
-piece is looked up once a batch, and ids are gathered by numpy.
+``drop`` or ``prefix``, the texts are cut and their distinct pieces found by Arrow, so that each
+piece is looked up once a batch, and ids are gathered by numpy.  Under ``prefix``, texts with other
+white space than single spaces and line feeds inside are encoded one by one.
 """
 
 from __future__ import annotations
@@ -40,7 +41,11 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 _WORD_START = re.compile(r"(?<=\S)(?= \S)")
 _STOPS = (".", ",")
+#: Letters and the symbols after them, which the word pattern of byte-level BPE keeps apart (an apostrophe may not be).
+_TAILED = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@[-`{-~]+)").fullmatch
 _WIDE = ("  ", " \n", "\n ", "\n\n")
+#: The texts that ``_prefixed`` cuts at word starts only, for Arrow (whose \\s is ASCII).
+_UNEVEN = r"^[ \n]|[ \n]$|[ \n][ \n]|[" + "".join(f"\\x{{{c:x}}}" for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n") + "]"
 
 #: Pieces of half a cache (about 200 bytes each) and the longest one kept.
 CACHE_PIECES = 600_000
@@ -134,6 +139,8 @@ class Encoder:
             if lead or not piece.isascii():
                 text = text.encode().decode("latin-1").translate(self._chars)
             return array(self._code, [t.id for t in self._model.tokenize(text)]).tobytes()
+        if self.rule == "prefix" and (parts := _TAILED(piece)):
+            return known[parts[1]] + self._plain[parts[2]]
         return self.ids(self._tok.encode(lead + piece, add_special_tokens=False).ids)
 
     def _trim(self) -> None:
@@ -183,27 +190,48 @@ class Encoder:
         known.trim()
         return out
 
+    def _spaced_ids(self, pieces: pa.Array) -> list[bytes]:
+        """Ids of distinct pieces after a space; one that starts with a line feed is that and the first word of a line."""
+        first, rest = self._plain.__getitem__, self._spaced.__getitem__
+        line = first("\n")
+        return [line + first(p[1:]) if p[:1] == "\n" else rest(p) if p else b"" for p in pieces.to_pylist()]
+
     def batch(self, texts: pa.Array, end: bytes = b"") -> pa.Array:
         """Ids of each text of a string column, and ``end`` after them, as binary."""
-        if self.rule != "drop":
+        if self.rule == "whole":
             return pa.array([x + end for x in self.encode(texts.to_pylist())], pa.binary())
-        lower = pc.ascii_lower(pc.fill_null(texts, ""))
+        drop = self.rule == "drop"
+        plain = pc.fill_null(texts, "")
+        if drop:
+            plain = pc.ascii_lower(plain)
         odd = np.zeros(len(texts), bool)
         for c in self.control:
-            odd |= pc.match_substring(lower, c.lower(), ignore_case=True).to_numpy(zero_copy_only=False)
+            odd |= pc.match_substring(plain, c.lower(), ignore_case=True).to_numpy(zero_copy_only=False)
+        if not drop:
+            odd |= pc.match_substring_regex(plain, _UNEVEN).to_numpy(zero_copy_only=False)
         if odd.any():
-            lower = pc.if_else(pa.array(odd), "", lower)
-        cut = pc.split_pattern(pc.replace_substring(lower, "\n", " "), " ")
+            plain = pc.if_else(pa.array(odd), "", plain)
+        cut = pc.split_pattern(pc.replace_substring(plain, "\n", " " if drop else " \n"), " ")
         pieces = cut.flatten().dictionary_encode()
-        found = self._ids_of(pieces.dictionary)
-        first = len(found)  # after the pieces: the end of a text, and texts encoded whole
+        edges = np.asarray(cut.offsets) - cut.offsets[0].as_py()
+        ends, codes = edges[1:], pieces.indices.to_numpy()
+        if drop:
+            found = self._ids_of(pieces.dictionary)
+        else:
+            self._trim()
+            found = self._spaced_ids(pieces.dictionary)
+            # the first word of a text has no space before it
+            codes = codes.copy()
+            own, at = np.unique(codes[edges[:-1]], return_inverse=True)
+            codes[edges[:-1]] = len(found) + at
+            found += [self._plain[p] if p else b"" for p in pieces.dictionary.take(pa.array(own)).to_pylist()]
+        first = len(found)  # after the pieces: the end of a text, and texts encoded one by one
         found.append(end)
         more = np.full(len(texts), first)
         for r in np.flatnonzero(odd):
             more[r] = len(found)
-            found.append(self._by_library(texts[r].as_py()) + end)
-        ends = np.asarray(cut.offsets)[1:] - cut.offsets[0].as_py()
-        codes = np.insert(pieces.indices.to_numpy(), ends, more)
+            found.append(self.encode([texts[r].as_py()])[0] + end)
+        codes = np.insert(codes, ends, more)
         size = np.array([len(x) // self.width for x in found], np.int64)
         start = np.concatenate([[0], np.cumsum(size)[:-1]])
         ids = np.frombuffer(b"".join(found), f"<u{self.width}")

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import portions
 from .encode import encoder
 
 
@@ -91,36 +91,34 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = 1024, block
     def packed(batches):
         enc = encoder(tokenizer)
         end, width = enc.ids([end_id]), enc.width
-        base, rows, rests, held = (TaskContext.get().partitionId() << 32), [], [], 0
-        step = window * width
-
-        def wide(raw: bytes) -> bytes:
-            return raw if width == 4 else np.frombuffer(raw, "<u2").astype("<u4").tobytes()
+        base, rests, held = (TaskContext.get().partitionId() << 32), [], 0
 
         def out(cols):
             return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:6]), pa.array(cols[6], pa.binary())], [f.split()[0] for f in SCHEMA.split(", ")])
 
         def flush():
             nonlocal base, rests, held
-            where, offset, count = best_fit_decreasing([len(r[3]) // width for r in rests], window)
+            where, offset, count = best_fit_decreasing([len(r[3]) // 4 for r in rests], window)
             for k in range(0, len(rests), 20_000):
                 part = slice(k, k + 20_000)
                 doc, start, total, raw = zip(*rests[part])
-                yield out([doc, start, [len(x) // width for x in raw], total, [base + w for w in where[part]], offset[part], [wide(x) for x in raw]])
+                yield out([doc, start, [len(x) // 4 for x in raw], total, [base + w for w in where[part]], offset[part], raw])
             base, rests, held = base + count, [], 0
 
-        for b in slices(batches):
+        for b in portions(batches, "text"):
             full: list[list] = [[] for _ in range(7)]
-            for doc, ids in zip(b.column("doc_id").to_pylist(), enc.encode(b.column("text").to_pylist())):
-                ids += end
-                total = len(ids) // width
+            ids = enc.batch(b.column("text"), end)
+            edges = (np.frombuffer(ids.buffers()[1], np.int32, len(ids) + 1) // width).tolist()
+            raw = np.frombuffer(ids.buffers()[2], f"<u{width}", edges[-1]).astype("<u4").tobytes()
+            for doc, lo, hi in zip(b.column("doc_id").to_pylist(), edges, edges[1:]):
+                total = hi - lo
                 cut = total // window * window
                 for k in range(0, cut, window):
-                    for col, x in zip(full, (doc, k, window, total, base, 0, wide(ids[k * width:k * width + step]))):
+                    for col, x in zip(full, (doc, k, window, total, base, 0, raw[4 * (lo + k):4 * (lo + k + window)])):
                         col.append(x)
                     base += 1
                 if cut < total:
-                    rests.append((doc, cut, total, ids[cut * width:]))
+                    rests.append((doc, cut, total, raw[4 * (lo + cut):4 * hi]))
                     held += total - cut
             if full[0]:
                 yield out(full)

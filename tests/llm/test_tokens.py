@@ -38,6 +38,27 @@ def test_cached_pieces_give_the_librarys_ids(path, text):
     assert np.frombuffer(enc.encode([text])[0], "<u2").tolist() == ids(text)
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.none() | st.lists(ATOMS | st.sampled_from(["word", " next", "\nline", "***", " x!?", "\nso."]), max_size=12).map("".join), max_size=6))
+def test_batches_give_the_librarys_ids(path, texts):
+    enc, ids = ENCODERS[path]
+    got = enc.batch(pa.array(texts, pa.string()), enc.ids([7])).to_pylist()
+    assert [np.frombuffer(x, "<u2").tolist() for x in got] == [ids(t) + [7] for t in texts]
+
+
+def test_words_are_looked_up_once_a_batch(monkeypatch):
+    """A text of a plain kind costs no Python work a word: only distinct pieces are looked up, and the word of ``word***`` is the word."""
+    enc = Encoder(BYTE)
+    monkeypatch.setattr(enc, "_prefixed", lambda text: pytest.fail("encoded word by word"))
+    asked = []
+    monkeypatch.setattr(enc, "_tok", type("Asked", (), {"encode": lambda self, text, **k: asked.append(text) or ENCODERS[BYTE][0]._tok.encode(text, **k)})())
+    texts = ["one two two*** one\ntwo one$$$ two." * 50, "two one\none two"]
+    got = enc.batch(pa.array(texts)).to_pylist()
+    assert [np.frombuffer(x, "<u2").tolist() for x in got] == [library(BYTE)(t) for t in texts]
+    assert not [a for a in asked if any(c.isalpha() for c in a) and a != " two.one"]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 70), max_size=1500))
 def test_wavelet_matrix(values):
