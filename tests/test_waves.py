@@ -25,6 +25,14 @@ def sf_dir(spark, tmp_path_factory):
     return root
 
 
+@pytest.mark.parametrize("name", ["gold_from_compacted", "gold_stale_compaction", "gold_partial_update"])
+def test_waves_of_compacted_files(spark, sf_dir, monkeypatch, name):
+    registry.load_all()
+    want = sorted(map(repr, registry.QUERIES[name](spark, sf_dir).collect()))
+    monkeypatch.setattr(filing_tree, "WAVE_FILINGS", 45)
+    assert sorted(map(repr, registry.QUERIES[name](spark, sf_dir).collect())) == want and len(want) > 1
+
+
 @pytest.mark.parametrize("name", ["list_landed_files", "list_target_files", "filing_tree_facts", "target_tree_facts", "missing_files", "gold_from_files"])
 def test_waves_give_the_rows_of_one_tree(spark, sf_dir, monkeypatch, tmp_path, name):
     registry.load_all()
