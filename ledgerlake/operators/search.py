@@ -150,21 +150,24 @@ def regex_hits(names: DataFrame, q: DataFrame) -> DataFrame:
     """Case-insensitive regex on names for the given name queries.
 
     A pattern's branches are narrowed with the 3-grams each requires (``required_grams``; a
-    literal text is one branch) by an equi-join with the grams of the names, then
-    verified with the regex.  Only patterns that require no gram (one or two letters,
+    literal text is one branch): the rarest of them, by the names that have it, proposes names in an equi-join with
+    the grams of the names, so a gram that most names have moves nothing; the others and the regex
+    are tested there.  Only patterns that require no gram (one or two letters,
     ``h.t.l``, inline flags) are tested against all names (nested-loop join with the query side)."""
     planned, other = split_by_grams(q)
     qg = planned.select("query_id", "qt", F.posexplode("branches").alias("branch", "gs"))
-    qg = qg.select("query_id", "qt", "branch", F.size("gs").alias("need"), F.explode("gs").alias("g"))
-    # grams of every name, exploded map-side (no global distinct); only the
-    # grams that some query needs survive the join with the query side
-    index = names.select("EnterpriseNumber", F.explode(_grams(X.ascii_lower(F.col("name")), 3)).alias("g"))
-    cand = (NI.shuffled(index).join(qg, "g")
-            .groupBy("query_id", "qt", "branch", "need", "EnterpriseNumber").agg(F.collect_set("g").alias("have"))
-            .filter(F.size("have") == F.col("need")).select("query_id", "qt", "EnterpriseNumber"))
+    asked = qg.select("*", F.explode("gs").alias("g"))
+    # grams of every name, exploded map-side (no global distinct)
+    every = names.filter("EnterpriseNumber IS NOT NULL").select("EnterpriseNumber", "name", F.explode(_grams(X.ascii_lower(F.col("name")), 3)).alias("g"))
+    often = every.join(asked.select("g").distinct(), "g", "left_semi").groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    # a branch with a gram that no name has is left out here
+    lead = (asked.join(NI.shuffled(often), "g", "left").groupBy("query_id", "qt", "branch", "gs")
+            .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "g")).alias("lead"))
+            .filter(F.col("lead.n") > 0).select("query_id", "qt", "gs", F.col("lead.g").alias("g")))
     pattern = F.concat(F.lit("(?i)"), F.col("qt"))
-    verified = (cand.join(NI.shuffled(names), "EnterpriseNumber").filter(F.regexp_like(F.col("name"), pattern))
-                .select("query_id", "EnterpriseNumber"))
+    cand = lead.join(NI.shuffled(every), "g")
+    verified = (cand.filter(F.forall("gs", lambda g: F.contains(X.ascii_lower(F.col("name")), g)))
+                .filter(F.regexp_like(F.col("name"), pattern)).select("query_id", "EnterpriseNumber"))
     # each pattern is broadcast once: it is the names that are many
     fits = F.broadcast(other.select("qt").distinct()).join(names, F.regexp_like(F.col("name"), pattern)).select("qt", "EnterpriseNumber")
     theta = other.join(NI.shuffled(fits), "qt").select("query_id", "EnterpriseNumber")

@@ -165,3 +165,22 @@ def test_regex_hits_against_every_name(spark):
     assert sorted(tuple(r) for r in got.select("query_id", "EnterpriseNumber").collect()) == sorted(tuple(r) for r in want.collect())
     planned, other = SE.split_by_grams(q)
     assert planned.count() > 100 and other.count() > 100
+
+
+def joined_rows(plan) -> int:
+    """The most rows that a join of an executed plan made."""
+    plan = plan.executedPlan() if "AdaptiveSparkPlan" in plan.nodeName() else plan.plan() if "QueryStage" in plan.nodeName() else plan
+    kids = plan.children()
+    own = plan.metrics().apply("numOutputRows").value() if "Join" in plan.nodeName() else 0
+    return max([own, *(joined_rows(kids.apply(k)) for k in range(kids.size()))])
+
+
+def test_regex_candidates_come_from_the_rarest_gram(spark):
+    """Grams that every name has propose none: 40 queries and 200 names share five."""
+    names = spark.createDataFrame([(f"c{k:03d}", f"kind{k} Brand#{k}") for k in range(200)], "EnterpriseNumber string, name string")
+    q = spark.createDataFrame([(k, f"d{k} Brand#{k}") for k in range(40)] + [(90, '"kind7 Brand#7" -"hot"'), (7, "nd#199|kind3 ")], "query_id int, qt string")
+    got = SE.regex_hits(names, q)
+    rows = sorted((r["query_id"], r["EnterpriseNumber"]) for r in got.collect())
+    want = q.join(names, F.regexp_like("name", F.concat(F.lit("(?i)"), F.col("qt")))).select("query_id", "EnterpriseNumber").distinct()
+    assert rows == sorted(map(tuple, want.collect())) and len(rows) >= 42
+    assert joined_rows(got._jdf.queryExecution().executedPlan()) < 42 * 200 / 2
