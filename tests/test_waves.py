@@ -56,3 +56,28 @@ def test_waves_give_the_rows_of_one_tree(spark, sf_dir, monkeypatch, tmp_path, n
     assert landed == FILINGS + 1 - (name == "missing_files") * sum("OFP"[k % 7 % 3] == "P" and k % 3 == 1 for k in range(FILINGS))
     assert standing == written and max(standing) < landed / 2
     assert not [f for top in tmp_path.glob("s1*") for _, _, names in os.walk(top) for f in names if f.endswith(".csv")]
+
+
+def test_few_waves_and_trees_removed_in_tasks(spark, tmp_path, monkeypatch):
+    """A wave costs its jobs, and files made after others were removed: 900,000 filings (0.1 GB) are one."""
+    ran = []
+    filing_tree.over_waves(spark, str(tmp_path / "none"), 900_000, [], lambda folder: ran.append(folder))
+    assert len(ran) == 1
+
+    root = tmp_path / "tree"
+    lines = spark.createDataFrame([(f"k{k % 9}", f"r{k}", 0, "70", "5") for k in range(90)], "enterprise_key string, filing_ref string, line_no long, code string, value string")
+    assert filing_tree.materialize_tree(lines, str(root)) == 90 and len(list(root.glob("*/hbb/*.csv"))) == 90
+    left, remove = [], filing_tree.sinks.remove
+    monkeypatch.setattr(filing_tree.sinks, "remove", lambda spark, path: left.append(sum(len(f) for _, _, f in os.walk(path))) or remove(spark, path))
+    filing_tree.remove_tree(spark, str(root))
+    filing_tree.remove_tree(spark, str(tmp_path / "missing"))
+    assert left == [0, 0] and not root.exists()  # nothing was left to the driver
+
+
+@pytest.mark.parametrize("name", ["gold_stale_compaction", "gold_partial_update"])
+def test_a_filing_lands_once(spark, sf_dir, monkeypatch, name):
+    written, land = [], queries_files.materialize_tree
+    monkeypatch.setattr(queries_files, "materialize_tree", lambda lines, root: written.append(land(lines, root)))
+    registry.load_all()
+    assert registry.QUERIES[name](spark, sf_dir).count() > 1
+    assert len(written) == 2 and min(written) > 0 and sum(written) == FILINGS + 1
