@@ -81,3 +81,11 @@ def test_a_filing_lands_once(spark, sf_dir, monkeypatch, name):
     registry.load_all()
     assert registry.QUERIES[name](spark, sf_dir).count() > 1
     assert len(written) == 2 and min(written) > 0 and sum(written) == FILINGS + 1
+
+
+def test_null_keys_and_values_land(spark, tmp_path):
+    rows = [(None, "r1", 0, "70", "5"), (None, "r2", 0, None, "6"), ("k1", None, 0, "70", None), (None, None, 0, "70", 'a "b",c')]
+    lines = spark.createDataFrame(rows, "enterprise_key string, filing_ref string, line_no long, code string, value string")
+    assert filing_tree.materialize_tree(lines, str(tmp_path / "tree")) == 4
+    got = {f.relative_to(tmp_path / "tree").as_posix(): f.read_text() for f in (tmp_path / "tree").glob("*/hbb/*.csv")}
+    assert got == {"None/hbb/r1.csv": "70,5\n", "None/hbb/r2.csv": ",6\n", "k1/hbb/None.csv": "70,\n", "None/hbb/None.csv": '70,"a ""b"",c"\n'}
